@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sievespark.llm import decontamination, mixing, secrets, sharding
+from sievespark.llm import decontamination, mixing, secrets, sharding, token_counts
 from sievespark.session import read_table
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -16,6 +17,11 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(read_table(spark, sf_dir, "documents"))
 
@@ -30,7 +36,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix, op7_secrets, op8_shard, op9_decontaminate)}
+    return {f.__name__: f for f in (op1_mix, op2_token_counts, op7_secrets, op8_shard, op9_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
