@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sievespark.llm import decontamination, mixing, secrets, sharding, token_counts
+from sievespark.llm import decontamination, language_id, mixing, secrets, sharding, token_counts, topk_search
 from sievespark.session import read_table
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -22,6 +22,15 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(rows, rows["vec_id"] % 50 == 0)
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(read_table(spark, sf_dir, "documents"))
 
@@ -36,8 +45,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix, op2_token_counts, op7_secrets, op8_shard, op9_decontaminate)}
+    return {f.__name__: f for f in (op1_mix, op2_token_counts, op4_topk, op6_language, op7_secrets, op8_shard, op9_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_topk": topk_search.ORACLE}

@@ -10,6 +10,8 @@ length band, over a histogram of the statistic, so the corpus is never sorted.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +24,8 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-#: Sum of squared letter frequencies of prose, and the share of class changes in a prose-like token.
-PROSE_SQUARES, PROSE_CHANGES, PROSE_SERIAL = 0.067, 0.08, 0.35
+#: Sum of squared letter frequencies of prose, and the share of class changes in a word-like token or identifier.
+PROSE_SQUARES, PROSE_CHANGES, PROSE_SERIAL = 0.067, 0.25, 0.35
 BANDS = (20, 28, 40, 64)
 STEP = 0.05
 
@@ -100,10 +102,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: flo
     down = Window.partitionBy("band").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tested = hist.select("band", "bin", F.sum("count").over(down).alias("k"), F.sum("count").over(Window.partitionBy("band")).alias("m"))
     bars = tested.where(upper_tail(F.col("bin") * STEP) * F.col("m") <= q * F.col("k")).groupBy("band").agg(F.min("bin").alias("bar"))
-    bars = bars.agg(F.map_from_entries(F.collect_list(F.struct("band", "bar"))).alias("bars"))  # at most one entry a band
-    added = F.filter("tokens", lambda t: F.coalesce(t["bin"] >= F.element_at(F.col("bars"), t["band"]), F.lit(False)))
+    lowest = {r["band"]: r["bar"] for r in bars.collect()}  # at most one row a band
+    passed = lambda t: reduce(lambda a, b: a | b, [(t["band"] == k) & (t["bin"] >= bar) for k, bar in sorted(lowest.items())], F.lit(False))
+    added = F.filter("tokens", passed)
     added = F.transform(added, lambda t: F.struct(t["start"].alias("start"), t["kind"].alias("kind"), t["end"].alias("end")))
-    return rows.crossJoin(F.broadcast(bars)).select("id", "base", added.alias("added"))
+    return rows.select("id", "base", added.alias("added"))
 
 
 def _written(items: Column) -> Column:
