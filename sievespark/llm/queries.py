@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sievespark.llm import decontamination, language_id, mixing, secrets, sharding, token_counts, topk_search
+from sievespark.llm import decontamination, language_id, mixing, near_dedup, secrets, sharding, token_counts, topk_search
 from sievespark.session import read_table
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -44,9 +44,13 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix, op2_token_counts, op4_topk, op6_language, op7_secrets, op8_shard, op9_decontaminate)}
+    return {f.__name__: f for f in (op1_mix, op2_token_counts, op4_topk, op6_language, op7_secrets, op8_shard, op9_decontaminate, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_topk": topk_search.ORACLE}
+    return {"op4_topk": topk_search.ORACLE, "op10_near_dedup": near_dedup.ORACLE}
