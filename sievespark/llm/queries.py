@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sievespark.llm import decontamination, language_id, mixing, near_dedup, secrets, sharding, token_counts, topk_search
+from sievespark.llm import decontamination, language_id, mixing, near_dedup, secrets, sharding, suffix_dedup, token_counts, topk_search
 from sievespark.session import read_table
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -27,6 +27,10 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(rows, rows["vec_id"] % 50 == 0)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix, op2_token_counts, op4_topk, op6_language, op7_secrets, op8_shard, op9_decontaminate, op10_near_dedup)}
+    return {f.__name__: f for f in (op1_mix, op2_token_counts, op4_topk, op5_suffix_dedup, op6_language, op7_secrets, op8_shard, op9_decontaminate, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
