@@ -60,7 +60,7 @@ def find_hits(docs: DataFrame, bench: DataFrame, n: int = 10, id_col: str = "doc
     flat = hashed.select("row_id", "id", *keep, "words", F.explode(every).alias("g"))
     joined = flat.join(F.broadcast(wins) if small else wins, (F.col("g.hash") == F.col("b_hash")) & (F.col("g.len") == F.col("b_len")))
     true = joined.where((F.col("b_len") == 0) | (F.slice("words", F.col("g.pos") + 1, F.greatest(F.col("b_len"), F.lit(1))) == F.col("b_words")))
-    true = true.select("row_id", "id", *keep, F.when(F.col("b_len") == 0, F.size("words")).alias("n"), F.when(F.col("b_len") > 0, F.struct(F.col("g.pos").alias("pos"), (F.col("g.pos") + F.col("b_len")).alias("end"))).alias("hit"), "items")
+    true = true.select("row_id", "id", *[F.when(F.col("b_len") == 0, F.col(c)).alias(c) for c in keep], F.when(F.col("b_len") == 0, F.size("words")).alias("n"), F.when(F.col("b_len") > 0, F.struct(F.col("g.pos").alias("pos"), (F.col("g.pos") + F.col("b_len")).alias("end"))).alias("hit"), "items")
     out = true.groupBy("row_id").agg(F.first("id", ignorenulls=True).alias("id"), *[F.first(c, ignorenulls=True).alias(c) for c in keep], F.max("n").cast("long").alias("n_words"), F.array_sort(F.collect_list("hit")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     return out
 

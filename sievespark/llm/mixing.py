@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievespark.llm.common import word_count
+from sievespark.llm.common import WORD, word_count
 from sievespark.session import cut_lineage
 
 BINS = 1024
@@ -122,19 +122,21 @@ def plan_mix(patterns: list[tuple[list[str | None], int]], weight_cycle: tuple[f
     return sources, sizes, goal, [sum(x) for x in sent]
 
 
-def mix_sources(df: DataFrame, id_col: str, size: Column, members: Column, seed: int = 0, weight_cycle: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: int = 2) -> DataFrame:
-    """Per row of ``df``: id, size, pattern (array of sources), copies, part, taken.
+def mix_sources(df: DataFrame, id_col: str, size: Column, members: Column, seed: int = 0, weight_cycle: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per row of ``df``: ``keep``, id, size, pattern (array of sources), copies, part, taken.
 
     ``copies`` complete passes over the row plus the first ``part`` words of one more are taken;
     ``taken = copies * size + part`` never exceeds ``cap * size``. Null and empty texts have size 0
     and are never taken; a null source is a source of its own, sorted last; repeated rows count as
     separate rows and are taken alike if their ids are equal and they lie before the cut (ties of
     the hash are ordered by id and size, equal rows share the cut evenly in order). An empty
-    table gives an empty result. Other columns are dropped, so their names cannot clash.
+    table gives an empty result. Columns of ``df`` named in ``keep`` come as a struct ``kept``, the
+    others are dropped, so no name can clash.
     """
     spark = df.sparkSession
     hashed = F.xxhash64(F.lit(seed), F.coalesce(df[id_col].cast("string"), F.lit("\x00null")))
-    base = cut_lineage(df.select(df[id_col].alias("id"), size.alias("size"), F.array_sort(F.array_distinct(members)).alias("pattern"), F.shiftrightunsigned(hashed, 1).alias("h")))
+    shown = df.select(*([F.struct(*[df[c] for c in keep]).alias("kept")] if keep else []), df[id_col].alias("id"), size.alias("size"), F.array_sort(F.array_distinct(members)).alias("pattern"), F.shiftrightunsigned(hashed, 1).alias("h"))
+    base = cut_lineage(shown.select("id", "size", "pattern", "h"))
     span = (1 << 63) // BINS
     first, second = F.expr(f"h div {span}L"), F.expr(f"(h % {span}L) div {span // BINS}L")
     sums = base.groupBy("pattern").agg(F.sum("size").alias("n"))
@@ -171,7 +173,7 @@ def mix_sources(df: DataFrame, id_col: str, size: Column, members: Column, seed:
     edge = edge.select("p", "id", "size", "h", "rest2").withColumn("before", F.sum("size").over(order) - F.col("size"))
     edge = edge.select(F.col("p").alias("ep"), F.col("h").alias("eh"), F.col("id").alias("eid"), F.col("size").alias("esize"), F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest2") - F.col("before"))).alias("part"))
     edge = edge.groupBy("ep", "eh", "eid", "esize").agg(F.sort_array(F.collect_list("part"), asc=False).alias("parts"))
-    full = base.join(plan, same(F.col("pattern"), F.col("p")), "left").drop("p")
+    full = (shown if keep else base).join(plan, same(F.col("pattern"), F.col("p")), "left").drop("p")
     full = full.join(c2.select(F.col("p").alias("cp"), F.col("b1").alias("cb1"), F.col("b2").alias("cb2")), same(F.col("pattern"), F.col("cp")), "left")
     here = F.struct(first, second)
     there = F.struct(F.col("cb1"), F.col("cb2"))
@@ -182,7 +184,7 @@ def mix_sources(df: DataFrame, id_col: str, size: Column, members: Column, seed:
     open_ = inside.where("at = 2").withColumn("turn", F.row_number().over(twin))
     open_ = open_.join(edge, same(F.col("pattern"), F.col("ep")) & (F.col("h") == F.col("eh")) & same(F.col("id"), F.col("eid")) & (F.col("size") == F.col("esize")), "left")
     open_ = open_.withColumn("part", F.coalesce(F.element_at("parts", F.col("turn")), F.lit(0)).cast("long"))
-    final = ["id", "size", "pattern", "source_size", "target", F.coalesce(F.col("copies"), F.lit(0)).cast("long").alias("copies"), "part"]
+    final = [*(["kept"] if keep else []), "id", "size", "pattern", "source_size", "target", F.coalesce(F.col("copies"), F.lit(0)).cast("long").alias("copies"), "part"]
     both = settled.select(*final).unionByName(open_.select(*final))
     done = both.withColumn("copies", F.when(F.col("part") == F.col("size"), F.col("copies") + F.when(F.col("size") > 0, 1).otherwise(0)).otherwise(F.col("copies")))
     done = done.withColumn("part", F.when(F.col("part") == F.col("size"), F.lit(0)).otherwise(F.col("part")))
@@ -196,3 +198,22 @@ def mix_documents(docs: DataFrame, seed: int = 0, **how: object) -> DataFrame:
     """
     mixed = mix_sources(docs, "doc_id", word_count(docs["text"]), F.array(docs["source"]), seed, **how)
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies", "part")
+
+
+def mixed_rows(docs: DataFrame, seed: int = 0, **how: object) -> DataFrame:
+    """``docs`` as the mix takes it: each row ``copies`` times, and the cut row's first ``part`` words once.
+
+    The columns of ``docs`` stay as they are, but for text and n_chars of a cut row.
+    """
+    cols = tuple(docs.columns)
+    mixed = mix_sources(docs, "doc_id", word_count(docs["text"]), F.array(docs["source"]), seed, keep=cols, **how)
+    turns = F.col("copies") + F.when(F.col("part") > 0, 1).otherwise(0)
+    rows = mixed.where(turns > 0).select("kept", "copies", "part", F.explode(F.sequence(F.lit(1).cast("long"), turns)).alias("turn"))
+    text = F.col("kept")["text"]
+    pairs = F.slice(F.arrays_zip(F.split(text, WORD, -1).alias("gap"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("word")), 1, F.greatest(F.lit(1), F.col("part")).cast("int"))
+    length = F.aggregate(pairs, F.lit(0), lambda a, p: a + F.length(p["gap"]) + F.length(p["word"]))
+    whole = F.col("turn") <= F.col("copies")
+    new = {"text": F.when(whole, text).otherwise(F.substring(text, F.lit(1), length))}
+    if "n_chars" in cols:
+        new["n_chars"] = F.when(whole, F.col("kept")["n_chars"]).otherwise(length).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[new.get(c, F.col("kept")[c]).alias(c) for c in cols])

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sievespark.llm import decontamination, language_id, mixing, near_dedup, secrets, sharding, suffix_dedup, token_counts, topk_search
+from sievespark.llm import chat_format, decontamination, language_id, mixing, near_dedup, secrets, sharding, suffix_dedup, token_counts, topk_search
 from sievespark.session import read_table
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -22,6 +23,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+#: Tools whose calls the conversations may make.
+TOOLS = {
+    "search": {"type": "object", "properties": {"query": {"type": "string"}, "limit": {"type": "integer", "minimum": 1}}, "required": ["query"]},
+    "calculate": {"type": "object", "properties": {"expression": {"type": "string"}}, "required": ["expression"], "additionalProperties": False},
+}
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat_format.format_messages(read_table(spark, sf_dir, "conversations"), TOOLS)
+    return out.select("conv_id", "turn", "at", "level", "role", "answers_turn", F.size("problems").alias("n_problems"), "json")
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "embeddings")
     return topk_search.top_k(rows, rows["vec_id"] % 50 == 0)
@@ -53,8 +66,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix, op2_token_counts, op4_topk, op5_suffix_dedup, op6_language, op7_secrets, op8_shard, op9_decontaminate, op10_near_dedup)}
+    return {f.__name__: f for f in (op1_mix, op2_token_counts, op3_chat, op4_topk, op5_suffix_dedup, op6_language, op7_secrets, op8_shard, op9_decontaminate, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_topk": topk_search.ORACLE, "op10_near_dedup": near_dedup.ORACLE}
+    return {"op3_chat": chat_format.ORACLE, "op4_topk": topk_search.ORACLE, "op10_near_dedup": near_dedup.ORACLE}
