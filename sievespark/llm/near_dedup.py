@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievespark.llm.common import small_batches
@@ -155,12 +155,11 @@ def signatures(df: DataFrame, id_col: str, text_col: str, width: int = 2) -> Dat
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) whose sizes and registers allow the threshold."""
+    """Pairs (a, b) whose registers allow the threshold."""
     slim = F.substring("regs", 1, 2 * ESTIMATE_REGISTERS)
-    one = classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), slim.alias("ra"))
-    two = classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), slim.alias("rb"))
-    fit = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * round(100 * threshold)
-    both = pairs.join(one, "a").join(two, "b").where(fit).select("a", "b", "ra", "rb")
+    one = classes.select(F.col("rep").alias("a"), slim.alias("ra"))
+    two = classes.select(F.col("rep").alias("b"), slim.alias("rb"))
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "ra", "rb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,52 +211,66 @@ def _verified(pairs: DataFrame, bodies: DataFrame, threshold: float, width: int)
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def _open_pairs(members: DataFrame, comps: DataFrame | None, tested: DataFrame | None, turn: int, limit: int) -> tuple[DataFrame, bool]:
-    """Untested pairs inside buckets that join different components; True if these are all of them.
+def _fits(n: str, m: str, threshold: float) -> Column:
+    """Sets of these sizes can reach the threshold."""
+    return F.least(n, m) * 100 >= F.greatest(n, m) * round(100 * threshold)
 
-    Where all of them would be more than ``limit``, each member gets one pivot a bucket instead.
+
+def _open_pairs(members: DataFrame, every: DataFrame, comps: DataFrame | None, tested: DataFrame | None, turn: int, limit: float, before: float | None, threshold: float) -> tuple[DataFrame, float | None]:
+    """Untested pairs inside buckets that join different components, and how many there may still be.
+
+    These are all of them (and the number is None) once that many are within ``limit``, or once
+    pivots no longer connect much; until then each member gets one pivot a bucket. ``every``: the
+    members that the first round has paired with their bucket's first.
     """
     placed = members.withColumn("comp", F.col("rep")) if comps is None else members.join(comps.select(F.col("id").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     placed = cut_lineage(placed)
     order = F.col("rep") if turn == 0 else F.xxhash64(F.lit(turn), "rep")
-    per = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min(F.struct(order.alias("o"), F.col("rep").alias("pivot"), F.col("comp").alias("pc"))).alias("p")).where("c1 <> c2")
-    whole = turn > 0
-    if whole:
+    per = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min(F.struct(order.alias("o"), F.col("rep").alias("pivot"), F.col("comp").alias("pc"), F.col("n").alias("pn"))).alias("p")).where("c1 <> c2")
+    left = None
+    if turn > 0:
+        if members is every:
+            per = per.where("m > 2")  # the two members have met
         inside = placed.groupBy("key", "comp").count().groupBy("key").agg(F.sum(F.col("count") * F.col("count")).alias("same"))
-        total = per.join(inside, "key").agg(F.sum((F.col("m").cast("double") * F.col("m") - F.col("same")) / 2)).first()[0]
-        whole = (total or 0) <= limit
-    if whole:
+        left = per.join(inside, "key").agg(F.sum((F.col("m").cast("double") * F.col("m") - F.col("same")) / 2)).first()[0] or 0.0
+        if left <= limit or before is not None and left > 0.8 * before:
+            left = None
+    if turn > 0 and left is None:
         live = placed.join(per.select("key"), "key", "left_semi")
-        pairs = live.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb")).join(live.select("key", F.col("rep").alias("a"), F.col("comp").alias("ca")), "key").where("ca <> cb and a > b")
+        one = live.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
+        two = live.select("key", F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
+        pairs = one.join(two, (one["key"] == two["key"]) & (F.col("ca") != F.col("cb")) & (F.col("a") > F.col("b")) & _fits("na", "nb", threshold))
     else:
-        pairs = placed.join(per.select("key", "p.pivot", "p.pc"), "key").where("comp <> pc").select(F.greatest("rep", "pivot").alias("a"), F.least("rep", "pivot").alias("b"))
+        pivot = per.select("key", "p.pivot", "p.pc", "p.pn")
+        pairs = placed.join(pivot, (placed["key"] == pivot["key"]) & (F.col("comp") != F.col("pc")) & _fits("n", "pn", threshold)).select(F.greatest("rep", "pivot").alias("a"), F.least("rep", "pivot").alias("b"))
+        left = float("inf") if left is None else left
     pairs = pairs.select("a", "b").distinct()
     if tested is not None:
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    return cut_lineage(pairs), whole
+    return cut_lineage(pairs), left
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, width: int = 2, pivots: int = 40) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, width: int = 2, pivots: float = 2.0) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept.
 
     Null and empty texts have an empty set and are linked with nothing; so are rows with a null id
     (component_id null, kept). Rows that repeat an id are one document: kept alike. Equal sets are
     one class, however many rows they have, and are never expanded into pairs. An empty table gives
-    no rows; columns other than the two named are not read. ``pivots``: at most so many pairs a
-    document are made at once before buckets are compared pivot by pivot.
+    no rows; columns other than the two named are not read. ``pivots``: where the open pairs are more
+    than so many a class, buckets are compared pivot by pivot first, which connects most members.
     """
     sigs = cut_lineage(signatures(df, id_col, text_col, width))
     some = sigs.where("digest is not null and doc_id is not null")
     classes = cut_lineage(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.min_by("regs", "doc_id").alias("regs")))
     band = lambda i: F.xxhash64(i, F.substring(F.col("regs"), i * (2 * ROWS) + 1, F.lit(2 * ROWS)))
-    rows = classes.select("rep", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("key"))
+    rows = classes.select("rep", "n", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("key"))
     shared = rows.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("key")
     members = cut_lineage(rows.join(shared, "key", "left_semi"))
-    limit = pivots * max(1, members.count())
+    limit = pivots * classes.count()
     # Pairs that the estimate lets through; buckets are exhausted but for pairs already connected.
-    passed, comps, tested, done, turn = None, None, None, False, 0
-    while not done:
-        pairs, done = _open_pairs(members, comps, tested, turn, limit)
+    passed, comps, tested, left, turn = None, None, None, float("inf"), 0
+    while left is not None:
+        pairs, left = _open_pairs(members, members, comps, tested, turn, limit, left, threshold)
         fresh = cut_lineage(_estimated(pairs, classes, threshold))
         tested = pairs if tested is None else tested.unionByName(pairs)
         passed = fresh if passed is None else passed.unionByName(fresh)
@@ -266,14 +279,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bodies = _bodies(df, id_col, text_col, nodes)
     # Verification; whatever it parts is compared anew, inside what the estimates had connected.
     links = cut_lineage(_verified(passed, bodies, threshold, width))
-    comps, tested, done, turn = components(links), tested, False, 1
+    comps, left, turn = components(links), float("inf"), 1
     near = members.join(nodes.select(F.col("doc_id").alias("rep")), "rep", "left_semi")
-    while not done:
-        pairs, done = _open_pairs(near, comps, tested, turn, limit)
+    while left is not None:
+        pairs, left = _open_pairs(near, members, comps, tested, turn, limit, left, threshold)
+        turn += 1
         if pairs.isEmpty():
             continue
         fresh = cut_lineage(_verified(_estimated(pairs, classes, threshold), bodies, threshold, width))
-        tested, turn = tested.unionByName(pairs), turn + 1
+        tested = tested.unionByName(pairs)
         if not fresh.isEmpty():
             links = links.unionByName(fresh)
             comps = components(links)
