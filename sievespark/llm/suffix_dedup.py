@@ -2,14 +2,15 @@
 
 Every ``LENGTH``-byte window is owned by its leftmost least ``GRAM``-byte gram (by hash), a choice
 that depends on the window's bytes alone, so equal windows have equal owners wherever they stand.
-The windows with one owner at one place form a piece of text (about 140 bytes for 41 windows);
-pieces are dealt into buckets by owner, and all occurrences of a string meet in one bucket.
+The windows with one owner at one place form a piece of text (about 140 bytes for 41 windows).
 
-In a bucket the windows that occur twice or more are named, windows all of whose occurrences
-extend to the left alike are passed over (their group is the shifted group of a longer string),
-and over the rest an enhanced suffix array is built and stack-scanned: each node of the
-common-prefix interval tree is a maximal repeat group with all its occurrences, and every
-occurrence but a group's first is marked.
+1. Pieces are dealt by owner as headers of a few bytes; those whose owner stands alone drop out.
+2. The others are cut out of their documents and dealt by owner, so that all occurrences of a
+   string meet in one bucket. There the windows that occur twice or more are named, windows all of
+   whose occurrences extend to the left alike are passed over (their group is the shifted group of
+   a longer string), and over the rest an enhanced suffix array is built and stack-scanned: each
+   node of the common-prefix interval tree is a maximal repeat group with all its occurrences, and
+   every occurrence but a group's first is marked.
 
 Hot owners: windows that repeat inside one map batch are settled there, so a bucket gets each
 distinct window at most once a batch; owners that are frequent in the corpus (a bounded set, found
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from sievespark.llm.common import small_batches
 
 LENGTH, GRAM = 100, 20
-#: Text bytes handled at once in a map task, and text bytes behind one bucket.
-BATCH_BYTES, BUCKET_BYTES = 1 << 21, 1 << 22
+#: Text bytes handled at once in a map task (in blocks that fit the cache), and behind one bucket.
+BATCH_BYTES, BLOCK_BYTES, BUCKET_BYTES = 1 << 22, 1 << 17, 1 << 23
 #: An owner of so many pieces is hot; only the most frequent HOT_OWNERS are sent out (8 MB).
 HOT_PIECES, HOT_OWNERS = 2000, 1 << 20
 LAST_ID = (1 << 63) - 1
@@ -49,25 +50,18 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(29))
 
 
-def rolling(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all GRAM-byte and of all LENGTH-byte substrings, by doubling."""
-    levels, size = {1: _TABLE[raw]}, 1
-    while size * 2 <= LENGTH:
-        h = levels[size]
-        levels[size * 2] = h[:-size] * _power(size) + h[size:]
+def rolling(raw: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all substrings of ``length`` bytes, by doubling."""
+    h, size, out, held = _TABLE[raw], 1, None, 0
+    while True:
+        if length & size:  # parts from the short to the long: each new one stands before the others
+            out = h if out is None else h[: len(h) - held] * _power(held) + out[size:]
+            held += size
+        if size * 2 > length:
+            return _mixed(out[: max(0, len(raw) - length + 1)])
+        h = h[:-size] * _power(size) + h[size:]
         size *= 2
 
-    def of(length: int) -> np.ndarray:
-        out, at = None, 0
-        for part in sorted(levels, reverse=True):
-            if length & part:
-                h = levels[part][at : at + max(0, len(raw) - length + 1)]
-                out = h if out is None else out * _power(part) + h
-                at += part
-        return _mixed(out)
-
-    return of(GRAM), of(LENGTH)
-
 
 def owners(gram_hash: np.ndarray, windows: int) -> np.ndarray:
     """Position of the owning gram of each window: the leftmost minimum."""
@@ -88,63 +82,77 @@ class Batch:
     def __init__(self, segments: list[tuple[int, int, bytes]]):
         self.row = np.array([s[0] for s in segments])
         self.base = np.array([s[1] for s in segments])
-        self.edge = np.cumsum([0] + [len(s[2]) for s in segments])
+        sizes = np.array([len(s[2]) for s in segments])
+        self.edge = np.concatenate([[0], np.cumsum(sizes)])
         self.raw = np.frombuffer(b"".join(s[2] for s in segments), np.uint8)
-        n = max(0, len(self.raw) - LENGTH + 1)
-        if n:
-            self.grams, self.hashes = rolling(self.raw)
-            own = owners(self.grams, n)
-            inside = np.zeros(len(self.raw) + 1, np.int8)  # windows that end in their segment
-            lengths = np.diff(self.edge)
-            long_ = lengths >= LENGTH
-            np.add.at(inside, self.edge[:-1][long_], 1)
-            np.add.at(inside, self.edge[:-1][long_] + lengths[long_] - LENGTH + 1, -1)
-            self.valid = np.cumsum(inside[:n]).astype(bool)
-            new = np.ones(n, bool)
-            new[1:] = (own[1:] != own[:-1]) | ~self.valid[:-1]
-            self.first = np.flatnonzero(new & self.valid)
-            stop = np.flatnonzero(self.valid & np.concatenate([new[1:] | ~self.valid[1:], [True]]))
-            self.count = stop - self.first + 1
-            self.owner = self.grams[own[self.first]]
-        else:
-            self.first = self.count = np.zeros(0, np.int64)
-            self.owner = np.zeros(0, np.uint64)
-            self.hashes, self.valid = np.zeros(0, np.uint64), np.zeros(0, bool)
-
-    def settle(self) -> np.ndarray:
-        """Marks the windows that also start earlier in this batch."""
-        done = np.zeros(len(self.valid), bool)
-        _, inverse, counts = np.unique(self.owner, return_inverse=True, return_counts=True)
-        twice = counts[inverse] > 1
-        at = expand(self.first[twice], self.count[twice])
-        if len(at):
-            order = np.argsort(self.hashes[at], kind="stable")
-            h, at = self.hashes[at][order], at[order]
-            head = np.concatenate([[True], h[1:] != h[:-1]])
-            lead = at[np.flatnonzero(head)][np.cumsum(head) - 1]
-            done[at[~head & equal_rows(self.raw, at, lead)]] = True
-        return done
-
-    def pieces(self, hot: np.ndarray, done: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(key, first window, number of windows) of what the batch leaves open."""
-        left = self.valid & ~done
-        which = np.zeros(len(left) + 1, np.int64)
-        which[self.first] = 1
-        piece = np.cumsum(which[:-1]) - 1
-        new = left.copy()
-        new[1:] &= ~left[:-1] | (which[1:-1] == 1)
+        found, i = [], 0
+        while i < len(segments):
+            j = max(i + 1, int(np.searchsorted(self.edge, self.edge[i] + BLOCK_BYTES, side="right")) - 1)
+            found.append(self._runs(int(self.edge[i]), sizes[i:j]))
+            i = j
+        self.first, self.count, self.owner = (np.concatenate(x) for x in zip(*found))
+
+    def _runs(self, at: int, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of a block of segments: first window, number of windows, owner."""
+        raw = self.raw[at : at + int(sizes.sum())]
+        n = len(raw) - LENGTH + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        grams = rolling(raw, GRAM)
+        own = owners(grams, n)
+        start = np.cumsum(sizes) - sizes
+        fits = sizes >= LENGTH
+        step = np.zeros(len(raw) + 1, np.int8)  # windows that end in their segment
+        np.add.at(step, start[fits], 1)
+        np.add.at(step, start[fits] + sizes[fits] - LENGTH + 1, -1)
+        valid = np.cumsum(step[:n], dtype=np.int8).astype(bool)
+        change = own[1:] != own[:-1]
+        new, end = valid.copy(), valid.copy()
+        new[1:] &= change | ~valid[:-1]
+        end[:-1] &= change | ~valid[1:]
         first = np.flatnonzero(new)
-        last = left.copy()
-        last[:-1] &= ~left[1:] | (which[1:-1] == 1)
-        count = np.flatnonzero(last) - first + 1
-        key = self.owner[piece[first]] if len(first) else np.zeros(0, np.uint64)
-        if len(hot) and len(key):
-            is_hot = hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key
-            single = expand(first[is_hot], count[is_hot])
-            key = np.concatenate([key[~is_hot], self.hashes[single]])
-            first = np.concatenate([first[~is_hot], single])
-            count = np.concatenate([count[~is_hot], np.ones(len(single), np.int64)])
-        return key, first, count
+        return first + at, np.flatnonzero(end) - first + 1, grams[own[first]]
+
+    def open_pieces(self, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(settled windows, key, first window, number of windows).
+
+        Settled: windows that also start earlier in this batch. The rest stays open, as pieces keyed
+        by owner, or window by window where the owner is hot.
+        """
+        _, inverse, counts = np.unique(self.owner, return_inverse=True, return_counts=True)
+        busy = counts[inverse] > 1
+        is_hot = np.zeros(len(self.owner), bool)
+        if len(hot) and len(self.owner):
+            is_hot = hot[np.minimum(np.searchsorted(hot, self.owner), len(hot) - 1)] == self.owner
+            busy |= is_hot
+        if not busy.any():
+            return np.zeros(0, np.int64), self.owner, self.first, self.count
+        first, count = self.first[busy], self.count[busy]
+        raw = gather(self.raw, first, count + LENGTH - 1)
+        at = expand(np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1), count)
+        place = expand(first, count)
+        hashes = rolling(raw, LENGTH)[at]
+        order = np.argsort(hashes, kind="stable")
+        head = np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])
+        lead = order[np.flatnonzero(head)][np.cumsum(head) - 1]
+        again = order[~head]
+        done = np.zeros(len(at), bool)
+        done[again] = equal_rows(raw, at[again], at[lead[~head]])
+        # Runs of open windows, within pieces.
+        new_piece = np.zeros(len(at), bool)
+        new_piece[np.cumsum(count) - count] = True
+        piece = np.repeat(np.arange(len(first)), count)
+        start, stop = ~done, ~done
+        start[1:] &= done[:-1] | new_piece[1:]
+        stop = stop.copy()
+        stop[:-1] &= done[1:] | new_piece[1:]
+        a, b = np.flatnonzero(start), np.flatnonzero(stop)
+        single = is_hot[busy][piece[a]]
+        each = expand(a[single], b[single] - a[single] + 1)
+        a, b = a[~single], b[~single]
+        key = np.concatenate([self.owner[~busy], self.owner[busy][piece[a]], hashes[each]])
+        from_ = np.concatenate([self.first[~busy], place[a], place[each]])
+        return place[done], key, from_, np.concatenate([self.count[~busy], b - a + 1, np.ones(len(each), np.int64)])
 
     def place(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row and offset in its text of each position."""
@@ -228,7 +236,7 @@ def repeats(raw: np.ndarray, first: np.ndarray, count: np.ndarray, time: np.ndar
         return none
     piece = np.repeat(np.arange(len(first)), count)
     offset = at - first[piece]
-    hashes = rolling(raw)[1][at]
+    hashes = rolling(raw, LENGTH)[at]
     order = np.argsort(hashes, kind="stable")
     head = np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])
     if not equal_rows(raw, at[order[1:]], at[order[:-1]])[~head[1:]].all():  # a hash collision: name by the bytes
@@ -295,8 +303,8 @@ def segments_of(texts: list[bytes]) -> list[tuple[int, int, bytes]]:
     """Texts as (row, offset, bytes), long ones in parts that share LENGTH - 1 bytes."""
     out = []
     for row, text in enumerate(texts):
-        for at in range(0, max(1, len(text) - LENGTH + 1), BATCH_BYTES):
-            out.append((row, at, text[at : at + BATCH_BYTES + LENGTH - 1]))
+        for at in range(0, max(1, len(text) - LENGTH + 1), BLOCK_BYTES):
+            out.append((row, at, text[at : at + BLOCK_BYTES + LENGTH - 1]))
     return out
 
 
@@ -345,6 +353,49 @@ def _hot_owners(rows: DataFrame) -> np.ndarray:
     return np.sort(counts.toArrow().column("owner").to_numpy().view(np.uint64))
 
 
+_PRESS = {"level": 3}
+
+
+def _packed(arrays: list[np.ndarray], text: bytes = b"") -> bytes:
+    """Arrays of one length, then bytes, compressed."""
+    head = np.array([len(arrays[0])], np.int64).tobytes() + b"".join(a.tobytes() for a in arrays)
+    return zstandard.ZstdCompressor(**_PRESS).compress(head + text)
+
+
+def _unpacked(blob: bytes, kinds: list[type]) -> tuple[list[np.ndarray], np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    n, at, out = int(np.frombuffer(data, np.int64, 1)[0]), 8, []
+    for kind in kinds:
+        out.append(np.frombuffer(data, kind, n, at))
+        at += n * np.dtype(kind).itemsize
+    return out, np.frombuffer(data, np.uint8, offset=at)
+
+
+HEADER = [np.int64, np.uint32, np.int64, np.uint8, np.uint32]  # id, mark, offset, windows, short key
+RANGE = [np.int64, np.uint32, np.int64, np.int64]  # id, mark, start, end
+CUT = [np.int64, np.uint32, np.int64, np.uint8]  # id, mark, offset, windows; the text follows
+
+
+def _deltas(ids: np.ndarray) -> np.ndarray:
+    return np.diff(ids, prepend=np.int64(0))
+
+
+def _dealt(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """(bucket, slice) of sorted bucket numbers."""
+    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else np.zeros(1, np.int64)
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        yield int(bucket[a]), slice(a, b)
+
+
+def _blob_rows(rows: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(rows), 4096):
+        part = list(zip(*rows[i : i + 4096]))
+        yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int64()), pa.array(part[1], pa.int8()), pa.array(part[2], pa.binary())], ["bucket", "kind", "blob"])
+
+
+BLOBS = "bucket long, kind byte, blob binary"
+
+
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, mark, start, end): byte ranges to remove, overlapping; id is LAST_ID for null.
 
@@ -357,71 +408,114 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     size = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES + 1)
     hot = spark.sparkContext.broadcast(_hot_owners(rows))
-    pack = "<i8"
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press, turn = zstandard.ZstdCompressor(level=1), 0
+    def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Headers of open pieces by bucket (kind 0), and ranges settled in the batch (kind 1)."""
         for rec in batches:
             for ids, marks, segs in batches_of(*_rows(rec)):
-                batch, to, blobs = Batch(segs), [], []
-                done = batch.settle()
-                if done.any():
-                    edge = np.diff(np.concatenate([[False], done, [False]]).astype(np.int8))
-                    start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-                    row, offset = batch.place(start)
-                    head = np.stack([ids[row], marks[row], offset, offset + (stop - start) + LENGTH - 1])
-                    to.append((int(ids[row[0]]) + turn) % buckets)
-                    blobs.append(press.compress(b"\1" + head.astype(pack).tobytes()))
-                    turn += 1
-                key, first, count = batch.pieces(hot.value, done)
-                bucket = (_mixed(key ^ _U(0x5851F42D4C957F2D)) % _U(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
+                batch, out = Batch(segs), []
+                done, key, first, count = batch.open_pieces(hot.value)
+                if len(done):
+                    a = np.flatnonzero(np.diff(done, prepend=-2) != 1)
+                    b = np.append(a[1:], len(done)) - 1
+                    row, offset = batch.place(done[a])
+                    # Windows of neighbouring documents are never neighbours, so a run has one row.
+                    out.append((int(ids[row[0]] % buckets), 1, _packed([_deltas(ids[row]), marks[row].astype(np.uint32), offset, offset + done[b] - done[a] + LENGTH])))
+                bucket = (key % _U(buckets)).astype(np.int64)
+                order = np.lexsort((first, bucket))
                 key, first, count, bucket = key[order], first[order], count[order], bucket[order]
                 row, offset = batch.place(first)
-                heads = np.stack([key.view(np.int64), ids[row], marks[row], offset, count]) if len(key) else np.zeros((5, 0), np.int64)
-                edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(key) else np.zeros(1, np.int64)
-                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                    text = gather(batch.raw, first[a:b], count[a:b] + LENGTH - 1)
-                    to.append(int(bucket[a]))
-                    blobs.append(press.compress(b"\0" + np.int64(b - a).tobytes() + heads[:, a:b].astype(pack).tobytes() + text.tobytes()))
-                for i in range(0, len(to), 4096):
-                    yield pa.RecordBatch.from_arrays([pa.array(to[i : i + 4096], pa.int64()), pa.array(blobs[i : i + 4096], pa.binary())], ["bucket", "blob"])
+                short = (key >> _U(32)).astype(np.uint32)
+                for to, part in _dealt(bucket):
+                    out.append((to, 0, _packed([_deltas(ids[row[part]]), marks[row[part]].astype(np.uint32), offset[part], count[part].astype(np.uint8), short[part]])))
+                yield from _blob_rows(out)
+
+    def repeated(table: pa.Table) -> pa.Table:
+        """Pieces whose key occurs again, and the settled ranges, by document."""
+        cols: list[list[np.ndarray]] = [[], [], [], [], [], []]
+        keys = []
+        bucket = table.column("bucket")[0].as_py()
+        for kind, blob in zip(table.column("kind").to_pylist(), table.column("blob").to_pylist()):
+            if kind:
+                (ids, marks, a, b), _ = _unpacked(blob, RANGE)
+                keys.append(np.full(len(ids), -1, np.int64))
+            else:
+                (ids, marks, a, b, short), _ = _unpacked(blob, HEADER)
+                keys.append(short.astype(np.int64))
+            for col, x in zip(cols, (np.cumsum(ids), marks, a, b, np.full(len(ids), kind), np.full(len(ids), bucket))):
+                col.append(x.astype(np.int64))
+        flat = [np.concatenate(c) for c in cols]
+        _, inverse, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        some = (times[inverse] > 1) | (flat[4] == 1)
+        return pa.table([pa.array(c[some]) for c in flat], names=["id", "mark", "a", "b", "kind", "bucket"])
+
+    spans = rows.mapInArrow(head, BLOBS).groupBy("bucket").applyInArrow(repeated, "id long, mark long, a long, b long, kind long, bucket long")
+    by_doc = spans.groupBy(F.col("id").alias("rid"), F.col("mark").alias("rmark")).agg(F.collect_list(F.struct("bucket", "kind", "a", "b")).alias("spans"))
+    texts = rows.join(by_doc, (F.col("id") == F.col("rid")) & (F.col("mark") == F.col("rmark"))).select("id", "mark", "data", "spans")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pieces' texts, by bucket (kind 0), and the settled ranges (kind 1)."""
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = turn = 0
+
+        def flush() -> list[tuple[int, int, bytes]]:
+            nonlocal size, turn
+            heads = np.concatenate([h for h, _ in held], axis=1)
+            raw = np.concatenate([t for _, t in held])
+            at = np.cumsum([0] + [len(t) for _, t in held])[np.repeat(np.arange(len(held)), [h.shape[1] for h, _ in held])]
+            bucket, kind, ids, marks, a, b = heads
+            out = []
+            done = kind == 1
+            if done.any():
+                turn += 1
+                order = np.lexsort((a[done], ids[done]))
+                out.append((int((ids[done][0] + turn) % buckets), 1, _packed([_deltas(ids[done][order]), marks[done][order].astype(np.uint32), a[done][order], b[done][order]])))
+            order = np.flatnonzero(~done)
+            order = order[np.lexsort((a[order], ids[order], bucket[order]))]
+            for to, part in _dealt(bucket[order]):
+                i = order[part]
+                text = gather(raw, at[i] + a[i], b[i] + LENGTH - 1).tobytes()
+                out.append((to, 0, _packed([_deltas(ids[i]), marks[i].astype(np.uint32), a[i], b[i].astype(np.uint8)], text)))
+            held.clear()
+            size = 0
+            return out
+
+        for batch in batches:
+            for id_, mark, data, part in zip(*(batch.column(i) for i in range(4))):
+                fields = part.values.flatten()
+                bucket, kind, a, b = (x.to_numpy(zero_copy_only=False) for x in fields)
+                raw = np.frombuffer(data.as_buffer(), np.uint8)
+                held.append((np.stack([bucket, kind, np.full(len(a), id_.as_py()), np.full(len(a), mark.as_py()), a, b]), raw))
+                size += len(raw)
+                if size >= BATCH_BYTES:
+                    yield from _blob_rows(flush())
+        if held:
+            yield from _blob_rows(flush())
 
     def join(table: pa.Table) -> pa.Table:
-        unpack = zstandard.ZstdDecompressor()
-        ranges, heads, texts = [], [], []
-        for blob in table.column("blob").to_pylist():
-            data = unpack.decompress(blob)
-            if data[0] == 1:
-                ranges.append(np.frombuffer(data, pack, offset=1).reshape(4, -1))
-            else:
-                n = int(np.frombuffer(data, pack, 1, 1)[0])
-                heads.append(np.frombuffer(data, pack, 5 * n, 9).reshape(5, n))
-                texts.append(np.frombuffer(data, np.uint8, offset=9 + 40 * n))
+        ranges, heads, raws = [], [], []
+        for kind, blob in zip(table.column("kind").to_pylist(), table.column("blob").to_pylist()):
+            cols, raw = _unpacked(blob, RANGE if kind else CUT)
+            cols[0] = np.cumsum(cols[0])
+            (ranges if kind else heads).append(np.stack([c.astype(np.int64) for c in cols]))
+            if not kind:
+                raws.append(raw)
         if heads:
-            key, ids, marks, offset, count = np.concatenate(heads, axis=1)
-            raw = np.concatenate(texts)
+            ids, marks, offset, count = np.concatenate(heads, axis=1)
             length = count + LENGTH - 1
             first = np.cumsum(length) - length
-            _, inverse, times = np.unique(key, return_inverse=True, return_counts=True)
-            some = np.flatnonzero(times[inverse] > 1)
-            if len(some):
-                raw = gather(raw, first[some], length[some])
-                ids, marks, offset, count, length = (x[some] for x in (ids, marks, offset, count, length))
-                first = np.cumsum(length) - length
-                # Places in order of document, then offset; documents lie far apart.
-                order = np.lexsort((offset, marks, ids))
-                new = np.concatenate([[False], (np.diff(ids[order]) != 0) | (np.diff(marks[order]) != 0)])
-                time = np.empty(len(order), np.int64)
-                time[order] = np.cumsum(new) * (1 << 40) + offset[order]
-                piece, window, size_ = repeats(raw, first, count, time)
-                at = offset[piece] + window
-                ranges.append(np.stack([ids[piece], marks[piece], at, at + size_]))
+            # Places in order of document, then offset; documents lie far apart.
+            order = np.lexsort((offset, marks, ids))
+            new = np.concatenate([[False], (np.diff(ids[order]) != 0) | (np.diff(marks[order]) != 0)])
+            time = np.empty(len(order), np.int64)
+            time[order] = np.cumsum(new) * (1 << 40) + offset[order]
+            piece, window, size_ = repeats(np.concatenate(raws), first, count, time)
+            at = offset[piece] + window
+            ranges.append(np.stack([ids[piece], marks[piece], at, at + size_]))
         flat = np.concatenate(ranges, axis=1) if ranges else np.zeros((4, 0), np.int64)
-        return pa.table([pa.array(flat[i].astype(np.int64)) for i in range(4)], names=["id", "mark", "start", "end"])
+        return pa.table([pa.array(c) for c in flat], names=["id", "mark", "start", "end"])
 
-    pieces = rows.mapInArrow(cut, "bucket long, blob binary")
-    return pieces.groupBy("bucket").applyInArrow(join, "id long, mark long, start long, end long")
+    return texts.mapInArrow(cut, BLOBS).groupBy("bucket").applyInArrow(join, "id long, mark long, start long, end long")
 
 
 def keyed_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
