@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from sievespark.llm.common import small_batches
 from sievespark.session import cut_lineage
 
-#: Longest chain of calls that use each other's results; what is longer is reported as a cycle.
-MAX_CHAIN = 64
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
 
@@ -140,16 +138,25 @@ def format_messages(df: DataFrame, schemas: dict[str, dict] | None = None) -> Da
     edges = pairs.where("call_turn is not null and answer_turn is not null").select("conv_id", F.col("call_turn").alias("a"), F.col("answer_turn").alias("b"))
     needs = linked.select("conv_id", F.explode("uses").alias("call"), F.col("turn").alias("b")).join(pairs.select("conv_id", "call", "answer_turn"), ["conv_id", "call"]).where("answer_turn is not null")
     edges = cut_lineage(edges.unionByName(needs.select("conv_id", F.col("answer_turn").alias("a"), "b")).distinct())
-    keys = edges.select("conv_id", F.col("a").alias("turn")).unionByName(edges.select("conv_id", F.col("b").alias("turn"))).distinct().select("conv_id", "turn", F.struct(F.col("turn").alias("at"), F.lit(0).alias("level")).alias("k"))
-    moved = keys.limit(0)
-    for _ in range(MAX_CHAIN):
-        due = edges.join(keys.select("conv_id", F.col("turn").alias("a"), "k"), ["conv_id", "a"]).groupBy("conv_id", F.col("b").alias("turn")).agg(F.max(F.struct(F.col("k.at").alias("at"), (F.col("k.level") + 1).alias("level"))).alias("due"))
-        step = cut_lineage(keys.join(due, ["conv_id", "turn"], "left").withColumn("new", F.when(F.col("due") > F.col("k"), F.col("due")).otherwise(F.col("k"))))
-        moved = step.where("new <> k").select("conv_id", "turn")
-        keys = step.select("conv_id", "turn", F.col("new").alias("k"))
-        if moved.isEmpty():
+    # Rounds: whatever waits for nothing any more gets its key; what is left at the end waits for itself.
+    pending = edges.select("conv_id", F.col("a").alias("turn")).unionByName(edges.select("conv_id", F.col("b").alias("turn"))).distinct()
+    keys = None
+    while True:
+        waits = edges.join(pending.select("conv_id", F.col("turn").alias("a")), ["conv_id", "a"], "left_semi").select("conv_id", F.col("b").alias("turn"))
+        ready = pending.join(waits, ["conv_id", "turn"], "left_anti")
+        own = F.struct(F.col("turn").alias("at"), F.lit(0).alias("level"))
+        if keys is None:
+            fresh = ready.select("conv_id", "turn", own.alias("k"))
+        else:
+            due = edges.join(keys.select("conv_id", F.col("turn").alias("a"), "k"), ["conv_id", "a"]).groupBy("conv_id", F.col("b").alias("turn")).agg(F.max(F.struct(F.col("k.at").alias("at"), (F.col("k.level") + 1).alias("level"))).alias("due"))
+            fresh = ready.join(due, ["conv_id", "turn"], "left").select("conv_id", "turn", F.greatest(own, F.col("due")).alias("k"))
+        fresh = cut_lineage(fresh)
+        if fresh.isEmpty():
             break
-    late = moved.withColumn("cycle", F.lit(True))
+        keys = fresh if keys is None else cut_lineage(keys.unionByName(fresh))
+        pending = cut_lineage(pending.join(fresh, ["conv_id", "turn"], "left_anti"))
+    late = pending.select("conv_id", "turn", F.lit(True).alias("cycle"))
+    keys = late.select("conv_id", "turn", F.lit(None).cast(f"struct<at:{kind['turn']},level:int>").alias("k")) if keys is None else keys.unionByName(late.select("conv_id", "turn", F.lit(None).cast(f"struct<at:{kind['turn']},level:int>").alias("k")))
     placed = keys.join(late, ["conv_id", "turn"], "left").select(F.col("conv_id").alias("kc"), F.col("turn").alias("kt"), "k", "cycle")
     out = parsed.join(placed, (F.col("conv_id") == F.col("kc")) & (F.col("turn") == F.col("kt")), "left")
     own = pairs.select(F.col("conv_id").alias("pc"), F.col("call").alias("pcall"), "call_turn")

@@ -12,7 +12,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, comp) for every end of ``edges``; comp is the smallest id reachable.
 
     Each round joins the edges with the current labels, hooks every label to the smallest label
-    beside it and follows the hooks; labels only fall, so it ends when no edge joins two labels.
+    beside it and follows the hooks to their ends; labels only fall, so it ends when no edge joins two labels.
     Hot nodes are met by partial aggregation and by adaptive skew joins. No edges, no rows.
     """
     links = cut_lineage(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct())
@@ -25,6 +25,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return labels
         links = apart.select("a", "b")  # edges within a label are settled for good
         hooks = apart.groupBy(F.col("hi").alias("comp")).agg(F.min("lo").alias("to"))
-        # Follow each hook once more: most chains are that short, the rest shrink in the next round.
-        hooks = hooks.join(hooks.select(F.col("comp").alias("to"), F.col("to").alias("far")), "to", "left").select("comp", F.coalesce("far", "to").alias("to"))
+        while True:  # pointer jumping: every hook to the end of its chain, which halves each time
+            ahead = hooks.select(F.col("comp").alias("to"), F.col("to").alias("far"))
+            hooks = cut_lineage(hooks.join(ahead, "to", "left").select("comp", F.coalesce("far", "to").alias("to"), F.col("far").isNotNull().alias("moved")))
+            if hooks.where("moved").isEmpty():
+                break
         labels = cut_lineage(labels.join(hooks, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")))

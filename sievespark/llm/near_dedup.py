@@ -225,7 +225,9 @@ def _open_pairs(members: DataFrame, every: DataFrame, comps: DataFrame | None, t
     """
     placed = members.withColumn("comp", F.col("rep")) if comps is None else members.join(comps.select(F.col("id").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     placed = cut_lineage(placed)
-    order = F.col("rep") if turn == 0 else F.xxhash64(F.lit(turn), "rep")
+    # Pivots: the class that shares most buckets, later on a draw weighted by that.
+    draw = F.lit(1.0) if turn == 0 else F.pmod(F.xxhash64(F.lit(turn), "rep"), F.lit(1 << 20)) / float(1 << 20)
+    order = -F.col("shared") * draw
     per = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min(F.struct(order.alias("o"), F.col("rep").alias("pivot"), F.col("comp").alias("pc"), F.col("n").alias("pn"))).alias("p")).where("c1 <> c2")
     left = None
     if turn > 0:
@@ -233,7 +235,7 @@ def _open_pairs(members: DataFrame, every: DataFrame, comps: DataFrame | None, t
             per = per.where("m > 2")  # the two members have met
         inside = placed.groupBy("key", "comp").count().groupBy("key").agg(F.sum(F.col("count") * F.col("count")).alias("same"))
         left = per.join(inside, "key").agg(F.sum((F.col("m").cast("double") * F.col("m") - F.col("same")) / 2)).first()[0] or 0.0
-        if left <= limit or before is not None and left > 0.8 * before:
+        if left <= limit or before is not None and left > 0.9 * before:
             left = None
     if turn > 0 and left is None:
         live = placed.join(per.select("key"), "key", "left_semi")
@@ -264,8 +266,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = cut_lineage(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.min_by("regs", "doc_id").alias("regs")))
     band = lambda i: F.xxhash64(i, F.substring(F.col("regs"), i * (2 * ROWS) + 1, F.lit(2 * ROWS)))
     rows = classes.select("rep", "n", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("key"))
-    shared = rows.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("key")
-    members = cut_lineage(rows.join(shared, "key", "left_semi"))
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    members = cut_lineage(rows.join(shared, "key"))
+    # How often a class meets others: the middle of a group of variants meets the most.
+    central = members.groupBy("rep").agg(F.sum("m").alias("shared"))
+    members = cut_lineage(members.select("key", "rep", "n").join(central, "rep"))
     limit = pivots * classes.count()
     # Pairs that the estimate lets through; buckets are exhausted but for pairs already connected.
     passed, comps, tested, left, turn = None, None, None, float("inf"), 0

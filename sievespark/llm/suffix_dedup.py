@@ -194,29 +194,26 @@ def interval_tree(lcp: list[int], time: list[int], least: int, group: Callable[[
     out = [0] * n
     stack: list[list[int]] = []  # depth, first leaf, earliest leaf
     current, start = 0, 0
+
+    def settle(a: int, b: int, depth: int) -> int:
+        """The earlier of two; the later one is marked. Equal times are one place, met twice."""
+        if time[b] < time[a]:
+            a, b = b, a
+        if time[a] < time[b] and not out[b]:
+            out[b] = depth
+        return a
+
     for i in range(1, n + 1):
         depth = lcp[i] if i < n else 0
         while stack and stack[-1][0] > depth:
             d, lo, early = stack.pop()
-            if time[early] <= time[current]:
-                if not out[current] and current != early:
-                    out[current] = d
-                current = early
-            elif not out[early]:
-                out[early] = d
+            current = settle(early, current, d)
             start = lo
             if group:
                 group(d, lo, i - 1)
         if depth >= least:
             if stack and stack[-1][0] == depth:
-                early = stack[-1][2]
-                if time[early] <= time[current]:
-                    if not out[current] and current != early:
-                        out[current] = depth
-                else:
-                    if not out[early]:
-                        out[early] = depth
-                    stack[-1][2] = current
+                stack[-1][2] = settle(stack[-1][2], current, depth)
             else:
                 stack.append([depth, start, current])
         current = start = i
@@ -270,8 +267,7 @@ def repeats(raw: np.ndarray, first: np.ndarray, count: np.ndarray, time: np.ndar
     common = np.minimum(unequal.argmax(axis=1), np.minimum(limit[1:], limit[:-1]))
     lcp = np.concatenate([[0], np.where(same, LENGTH + common, 0)])
     when = time[piece[chosen]] + offset[chosen]
-    rank = np.empty(len(when), np.int64)
-    rank[np.lexsort((when,))] = np.arange(len(when))
+    rank = np.unique(when, return_inverse=True)[1]
     group = None
     if collect is not None:
         kept, byte = chosen, np.where(offset[chosen] > 0, raw[np.maximum(at[chosen] - 1, 0)].astype(np.int64), -1)
