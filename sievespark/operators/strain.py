@@ -31,4 +31,4 @@ def strain_report(compounds: DataFrame, matches: DataFrame, total_limit: float =
     flagged = F.coalesce("flagged", F.lit(False))
     why = F.when(F.col("n_torsions").isNull(), "no torsion matched").when(flagged, "an angle was never observed")
     verdict = strained(F.col("total"), F.col("single"), flagged, total_limit, single_limit)
-    return out.withColumn("n_torsions", F.coalesce("n_torsions", F.lit(0))).withColumn("flagged", flagged).withColumn("strained", verdict).withColumn("error", why)
+    return out.withColumn("error", why).withColumn("strained", verdict).withColumn("n_torsions", F.coalesce("n_torsions", F.lit(0))).withColumn("flagged", flagged)
