@@ -25,9 +25,9 @@ def write_csv(df: DataFrame, name: str, path: str) -> None:
 
 def write_ranked_blocks(df: DataFrame, path: str, rank: str = "rank", block: str = "block", per_file: int = 50_000) -> None:
     """Blocks in rank order, one folder a part of ``per_file`` ranks; each part is written by one task."""
-    parts = df.select(chunk_index(F.col(rank), per_file).alias("part"), F.col(rank).alias("__rank"), F.col(block).alias("value"))
+    parts = df.select(chunk_index(F.col(rank), per_file).alias("part"), F.col(rank).alias("__rank"), F.regexp_replace(F.col(block), r"\r?\n\z", "").alias("value"))
     placed = parts.repartition("part").sortWithinPartitions("part", "__rank").select("part", "value")
-    placed.write.mode("overwrite").partitionBy("part").option("lineSep", "").text(path)
+    placed.write.mode("overwrite").partitionBy("part").text(path)  # each block keeps its one last line end
 
 
 def write_tagged_blocks(df: DataFrame, path: str, tags: dict[str, Column], rank: str = "rank", block: str = "block", per_file: int = 50_000) -> None:
