@@ -24,10 +24,15 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
 
 
+def _gram(hashes: Column, length: Column | int) -> Column:
+    """One hash for a window of word hashes; its length is part of it."""
+    return F.xxhash64(F.lit(length) if isinstance(length, int) else length, hashes)
+
+
 def _windows(words: Column, hashes: Column, length: int) -> Column:
-    """All windows of ``length`` words as (len, pos, hash)."""
-    at = F.when(F.size(words) >= length, F.sequence(F.lit(0), F.size(words) - length)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.struct(F.lit(length).alias("len"), i.alias("pos"), F.xxhash64(F.slice(hashes, i + 1, length)).alias("hash")))
+    """Hashes of all windows of ``length`` words, in order."""
+    at = F.when(F.size(words) >= length, F.sequence(F.lit(1), F.size(words) - (length - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: _gram(F.slice(hashes, i, length), length))
 
 
 def benchmark_windows(bench: DataFrame, n: int = 10, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -36,7 +41,7 @@ def benchmark_windows(bench: DataFrame, n: int = 10, id_col: str = "item_id", te
     items = items.withColumn("len", F.least(F.size("w"), F.lit(n)))
     wins = items.select("item", "len", F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - F.col("len")), lambda i: F.slice(F.col("w"), i + 1, F.col("len")))).alias("gram"))
     wins = wins.groupBy("len", "gram").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    return wins.select(F.col("len").alias("b_len"), F.xxhash64(F.transform("gram", lambda x: F.xxhash64(x))).alias("b_hash"), F.col("gram").alias("b_words"), "items")
+    return wins.select(F.col("len").alias("b_len"), _gram(F.transform("gram", lambda x: F.xxhash64(x)), F.col("len")).alias("b_hash"), F.col("gram").alias("b_words"), "items")
 
 
 def find_hits(docs: DataFrame, bench: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -55,12 +60,19 @@ def find_hits(docs: DataFrame, bench: DataFrame, n: int = 10, id_col: str = "doc
     wins = wins.unionByName(marker)
     base = docs.select(F.monotonically_increasing_id().alias("row_id"), docs[id_col].alias("id"), *[docs[c] for c in keep], words_of(docs[text_col]).alias("words"))
     hashed = base.withColumn("hashes", F.transform("words", lambda x: F.xxhash64(x)))
-    first = F.array(F.struct(F.lit(0).alias("len"), F.lit(0).alias("pos"), F.lit(0).cast("long").alias("hash")))
-    every = reduce(lambda a, b: F.concat(a, b), [_windows(F.col("words"), F.col("hashes"), k) for k in lengths], first)
-    flat = hashed.select("row_id", "id", *keep, "words", F.explode(every).alias("g"))
-    joined = flat.join(F.broadcast(wins) if small else wins, (F.col("g.hash") == F.col("b_hash")) & (F.col("g.len") == F.col("b_len")))
-    true = joined.where((F.col("b_len") == 0) | (F.slice("words", F.col("g.pos") + 1, F.greatest(F.col("b_len"), F.lit(1))) == F.col("b_words")))
-    true = true.select("row_id", "id", *[F.when(F.col("b_len") == 0, F.col(c)).alias(c) for c in keep], F.when(F.col("b_len") == 0, F.size("words")).alias("n"), F.when(F.col("b_len") > 0, F.struct(F.col("g.pos").alias("pos"), (F.col("g.pos") + F.col("b_len")).alias("end"))).alias("hit"), "items")
+    # One array a document: the marker, then the windows of each length in turn.
+    every = reduce(lambda a, b: F.concat(a, b), [_windows(F.col("words"), F.col("hashes"), k) for k in lengths], F.array(F.lit(0).cast("long")))
+    flat = hashed.select("row_id", "id", *keep, "words", F.posexplode(every).alias("at", "hash"))
+    joined = flat.join(F.broadcast(wins) if small else wins, F.col("hash") == F.col("b_hash"))
+    base_, pos = F.lit(1), F.lit(-1)
+    for k in lengths:
+        pos = F.when(F.col("b_len") == k, F.col("at") - base_).otherwise(pos)
+        base_ = base_ + F.greatest(F.lit(0), F.size("words") - (k - 1))
+    placed = joined.select("row_id", "id", *keep, "words", "at", "b_len", "b_words", "items", pos.alias("pos"))
+    marked = (F.col("b_len") == 0) & (F.col("at") == 0)
+    same = (F.col("b_len") > 0) & (F.col("pos") >= 0) & (F.slice("words", F.greatest(F.lit(0), F.col("pos")) + 1, F.greatest(F.col("b_len"), F.lit(1))) == F.col("b_words"))
+    true = placed.where(marked | same)
+    true = true.select("row_id", "id", *[F.when(F.col("b_len") == 0, F.col(c)).alias(c) for c in keep], F.when(F.col("b_len") == 0, F.size("words")).alias("n"), F.when(F.col("b_len") > 0, F.struct("pos", (F.col("pos") + F.col("b_len")).alias("end"))).alias("hit"), "items")
     out = true.groupBy("row_id").agg(F.first("id", ignorenulls=True).alias("id"), *[F.first(c, ignorenulls=True).alias(c) for c in keep], F.max("n").cast("long").alias("n_words"), F.array_sort(F.collect_list("hit")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     return out
 

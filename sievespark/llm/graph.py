@@ -15,19 +15,26 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     beside it and follows the hooks to their ends; labels only fall, so it ends when no edge joins two labels.
     Hot nodes are met by partial aggregation and by adaptive skew joins. No edges, no rows.
     """
-    links = cut_lineage(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct())
-    labels = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).distinct().select("id", F.col("id").alias("comp"))
+    links = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
+    # First round: every node is its own label.
+    apart = links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
+    nodes = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    labels, turn = nodes.select("id", F.col("id").alias("comp")), 1
     while True:
-        seen = links.join(labels.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a").join(labels.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b")
-        apart = seen.where("ca <> cb").select("a", "b", F.greatest("ca", "cb").alias("hi"), F.least("ca", "cb").alias("lo"))
-        apart = cut_lineage(apart)
-        if apart.isEmpty():
-            return labels
-        links = apart.select("a", "b")  # edges within a label are settled for good
         hooks = apart.groupBy(F.col("hi").alias("comp")).agg(F.min("lo").alias("to"))
-        while True:  # pointer jumping: every hook to the end of its chain, which halves each time
-            ahead = hooks.select(F.col("comp").alias("to"), F.col("to").alias("far"))
-            hooks = cut_lineage(hooks.join(ahead, "to", "left").select("comp", F.coalesce("far", "to").alias("to"), F.col("far").isNotNull().alias("moved")))
-            if hooks.where("moved").isEmpty():
-                break
+        for i in range(turn):  # pointer jumping: chains get shorter by four each time
+            hooks = _jumped(_jumped(hooks))
+            hooks = cut_lineage(hooks) if i + 1 < turn else hooks
         labels = cut_lineage(labels.join(hooks, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")))
+        seen = links.join(labels.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a").join(labels.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b")
+        open_ = cut_lineage(seen.where("ca <> cb").select("a", "b", F.greatest("ca", "cb").alias("hi"), F.least("ca", "cb").alias("lo")))
+        if open_.isEmpty():
+            return labels
+        links, apart = open_.select("a", "b"), open_  # edges within a label are settled for good
+        turn += 1
+
+
+def _jumped(hooks: DataFrame) -> DataFrame:
+    """Every hook (comp -> to) followed once more."""
+    ahead = hooks.select(F.col("comp").alias("to"), F.col("to").alias("far"))
+    return hooks.join(ahead, "to", "left").select("comp", F.coalesce("far", "to").alias("to"))

@@ -216,40 +216,37 @@ def _fits(n: str, m: str, threshold: float) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * round(100 * threshold)
 
 
-def _open_pairs(members: DataFrame, every: DataFrame, comps: DataFrame | None, tested: DataFrame | None, turn: int, limit: float, before: float | None, threshold: float) -> tuple[DataFrame, float | None]:
-    """Untested pairs inside buckets that join different components, and how many there may still be.
+def _open_pairs(members: DataFrame, comps: DataFrame | None, turn: int, limit: float, before: float | None, threshold: float) -> tuple[DataFrame, float | None]:
+    """Pairs inside buckets that join different components, and how many there may be in all.
 
-    These are all of them (and the number is None) once that many are within ``limit``, or once
-    pivots no longer connect much; until then each member gets one pivot a bucket. ``every``: the
-    members that the first round has paired with their bucket's first.
+    Each bucket has three pivots: the class that shares most buckets, later on a draw weighted by
+    that, and two more draws. First every member is paired with its buckets' pivots. Once the pairs
+    beyond those are within ``limit``, or pivots no longer connect much, the members that are no
+    pivots are paired with each other too; these are then all pairs, and the number is None.
     """
-    placed = members.withColumn("comp", F.col("rep")) if comps is None else members.join(comps.select(F.col("id").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    placed = cut_lineage(placed)
-    # Pivots: the class that shares most buckets, later on a draw weighted by that.
-    draw = F.lit(1.0) if turn == 0 else F.pmod(F.xxhash64(F.lit(turn), "rep"), F.lit(1 << 20)) / float(1 << 20)
-    order = -F.col("shared") * draw
-    per = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min(F.struct(order.alias("o"), F.col("rep").alias("pivot"), F.col("comp").alias("pc"), F.col("n").alias("pn"))).alias("p")).where("c1 <> c2")
-    left = None
+    placed = members.withColumn("comp", F.col("rep")) if comps is None else cut_lineage(members.join(comps.select(F.col("id").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
+    draw = lambda k: -F.col("shared") * (F.pmod(F.xxhash64(F.lit(k), "rep"), F.lit(1 << 20)) + 1) / float(1 << 20)
+    orders = [-F.col("shared").cast("double") if turn == 0 else draw(3 * turn), draw(3 * turn + 1), draw(3 * turn + 2)]
+    chosen = [F.min(F.struct(o.alias("o"), F.col("rep").alias("r"), F.col("comp").alias("c"), F.col("n").alias("n"))) for o in orders]
+    per = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.array(*chosen).alias("p")).where("c1 <> c2")
+    per = per.select("key", "m", F.array_distinct(F.transform("p", lambda x: F.struct(x["r"].alias("r"), x["c"].alias("c"), x["n"].alias("n")))).alias("p"))
+    left: float | None = float("inf")
     if turn > 0:
-        if members is every:
-            per = per.where("m > 2")  # the two members have met
         inside = placed.groupBy("key", "comp").count().groupBy("key").agg(F.sum(F.col("count") * F.col("count")).alias("same"))
-        left = per.join(inside, "key").agg(F.sum((F.col("m").cast("double") * F.col("m") - F.col("same")) / 2)).first()[0] or 0.0
+        many = F.greatest(F.lit(0.0), (F.col("m").cast("double") * F.col("m") - F.col("same")) / 2 - F.size("p") * F.col("m"))
+        left = per.join(inside, "key").agg(F.sum(many)).first()[0] or 0.0
         if left <= limit or before is not None and left > 0.9 * before:
             left = None
-    if turn > 0 and left is None:
-        live = placed.join(per.select("key"), "key", "left_semi")
+    met = placed.join(per, "key").select("key", "rep", "comp", "n", F.explode("p").alias("x"))
+    met = met.where((F.col("comp") != F.col("x.c")) & _fits("n", "x.n", threshold))
+    pairs = met.select(F.greatest("rep", "x.r").alias("a"), F.least("rep", "x.r").alias("b"))
+    if left is None:
+        live = placed.join(per.where(F.col("m") > F.size("p") + 1), "key").where(~F.exists("p", lambda x: x["r"] == F.col("rep")))
         one = live.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
         two = live.select("key", F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
-        pairs = one.join(two, (one["key"] == two["key"]) & (F.col("ca") != F.col("cb")) & (F.col("a") > F.col("b")) & _fits("na", "nb", threshold))
-    else:
-        pivot = per.select("key", "p.pivot", "p.pc", "p.pn")
-        pairs = placed.join(pivot, (placed["key"] == pivot["key"]) & (F.col("comp") != F.col("pc")) & _fits("n", "pn", threshold)).select(F.greatest("rep", "pivot").alias("a"), F.least("rep", "pivot").alias("b"))
-        left = float("inf") if left is None else left
-    pairs = pairs.select("a", "b").distinct()
-    if tested is not None:
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    return cut_lineage(pairs), left
+        rest = one.join(two, (one["key"] == two["key"]) & (F.col("ca") != F.col("cb")) & (F.col("a") > F.col("b")) & _fits("na", "nb", threshold))
+        pairs = pairs.unionByName(rest.select("a", "b"))
+    return pairs.distinct(), left
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, width: int = 2, pivots: float = 2.0) -> DataFrame:
@@ -272,12 +269,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     central = members.groupBy("rep").agg(F.sum("m").alias("shared"))
     members = cut_lineage(members.select("key", "rep", "n").join(central, "rep"))
     limit = pivots * classes.count()
-    # Pairs that the estimate lets through; buckets are exhausted but for pairs already connected.
-    passed, comps, tested, left, turn = None, None, None, float("inf"), 0
+    # Pairs that the estimate lets through, until no bucket holds an untried pair.
+    passed, comps, left, turn = None, None, float("inf"), 0
     while left is not None:
-        pairs, left = _open_pairs(members, members, comps, tested, turn, limit, left, threshold)
+        pairs, left = _open_pairs(members, comps, turn, limit, left, threshold)
         fresh = cut_lineage(_estimated(pairs, classes, threshold))
-        tested = pairs if tested is None else tested.unionByName(pairs)
         passed = fresh if passed is None else passed.unionByName(fresh)
         comps, turn = components(passed), turn + 1
     nodes = comps.select(F.col("id").alias("doc_id"))
@@ -287,12 +283,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     comps, left, turn = components(links), float("inf"), 1
     near = members.join(nodes.select(F.col("doc_id").alias("rep")), "rep", "left_semi")
     while left is not None:
-        pairs, left = _open_pairs(near, members, comps, tested, turn, limit, left, threshold)
+        pairs, left = _open_pairs(near, comps, turn, limit, left, threshold)
+        fresh = cut_lineage(_verified(_estimated(pairs.join(passed, ["a", "b"], "left_anti"), classes, threshold), bodies, threshold, width))
         turn += 1
-        if pairs.isEmpty():
-            continue
-        fresh = cut_lineage(_verified(_estimated(pairs, classes, threshold), bodies, threshold, width))
-        tested = tested.unionByName(pairs)
         if not fresh.isEmpty():
             links = links.unionByName(fresh)
             comps = components(links)
