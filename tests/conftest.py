@@ -12,7 +12,7 @@ from sievespark.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", spark__sql__shuffle__partitions=4, spark__ui__showConsoleProgress="false", spark__driver__memory="4g")
+    session = build_session("tests", "local[2]", spark__sql__shuffle__partitions=4, spark__ui__showConsoleProgress="false", spark__driver__memory="4g")
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
