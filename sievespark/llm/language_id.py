@@ -180,8 +180,10 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", rows_pe
     return Filters(names, [np.sort(values[langs == name]) for name in names])
 
 
-def predict(df: DataFrame, filters: Filters, text: Column, keep: list[Column]) -> DataFrame:
-    """``keep`` plus lang_pred and score for each row; every text is read whole.
+def predict(df: DataFrame, filters: Filters, text: Column | str, keep: list[Column]) -> DataFrame:
+    """``keep`` (as struct kept) plus lang_pred and score for each row; every text is read whole.
+
+    ``text`` is a column, or the name of the one of ``keep`` that holds it.
 
     Null texts and texts without a letter give ``und`` and 0; repeated rows are judged alike.
     """
@@ -189,11 +191,13 @@ def predict(df: DataFrame, filters: Filters, text: Column, keep: list[Column]) -
     small_batches(spark)
     model = spark.sparkContext.broadcast(filters)  # a table of fixed size
 
-    rows = df.select(F.struct(*keep).alias("kept"), text.alias("text"))
+    inside = text if isinstance(text, str) else None
+    rows = df.select(F.struct(*keep).alias("kept"), *([] if inside else [text.alias("text")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.value.predict(t) for t in batch.column(1).to_pylist()]
+            texts = batch.column(0).field(inside) if inside else batch.column(1)
+            found = [model.value.predict(t) for t in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())], ["kept", "lang_pred", "score"])
 
     return rows.mapInArrow(run, f"kept {rows.schema['kept'].dataType.simpleString()}, lang_pred string, score double")
@@ -218,6 +222,6 @@ def accepted(docs: DataFrame, min_score: float = 0.5, **how: object) -> DataFram
     """
     filters = train(docs.where(~held_out(docs["doc_id"])), **how)
     cols = docs.columns
-    out = predict(docs, filters, docs["text"], [docs[c].alias(f"c{i}") for i, c in enumerate(cols)])
+    out = predict(docs, filters, f"c{cols.index('text')}", [docs[c].alias(f"c{i}") for i, c in enumerate(cols)])
     kept = out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
     return kept.select(*[F.col("kept")[f"c{i}"].alias(c) for i, c in enumerate(cols)])
