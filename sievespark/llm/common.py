@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sievespark.session import cut_lineage
+
 #: Words as runs of anything but ASCII white space (a fixed value of the contracts).
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -28,3 +30,10 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
 def keyed(df: DataFrame, *names: str) -> DataFrame:
     """Only the columns an operator uses, so extra columns cannot clash with its own."""
     return df.select(*[df[n] for n in names])
+
+
+def cut_and_count(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written to the shared checkpoint folder, and its rows, counted on the way."""
+    seen = Observation()
+    out = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return out, int(seen.get["n"])

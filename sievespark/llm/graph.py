@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievespark.llm.common import cut_and_count
 from sievespark.session import cut_lineage
 
 
@@ -27,8 +28,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             hooks = cut_lineage(hooks) if i + 1 < turn else hooks
         labels = cut_lineage(labels.join(hooks, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")))
         seen = links.join(labels.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a").join(labels.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b")
-        open_ = cut_lineage(seen.where("ca <> cb").select("a", "b", F.greatest("ca", "cb").alias("hi"), F.least("ca", "cb").alias("lo")))
-        if open_.isEmpty():
+        open_, n = cut_and_count(seen.where("ca <> cb").select("a", "b", F.greatest("ca", "cb").alias("hi"), F.least("ca", "cb").alias("lo")))
+        if not n:
             return labels
         links, apart = open_.select("a", "b"), open_  # edges within a label are settled for good
         turn += 1

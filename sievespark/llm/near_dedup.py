@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievespark.llm.common import small_batches
+from sievespark.llm.common import cut_and_count, small_batches
 from sievespark.llm.graph import components
 from sievespark.session import cut_lineage
 
@@ -28,6 +28,8 @@ BANDS, ROWS = 36, 5
 #: Registers used for the estimate, and how far below the threshold it may fall (five deviations).
 ESTIMATE_REGISTERS, SLACK = 90, 0.21
 MANTISSA = 10
+#: Members of a bucket compared with each other at once.
+BLOCK = 2048
 STEP = 1 << 14
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _BASE = 0x9E3779B97F4A7C15
@@ -216,37 +218,97 @@ def _fits(n: str, m: str, threshold: float) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * round(100 * threshold)
 
 
-def _open_pairs(members: DataFrame, comps: DataFrame | None, turn: int, limit: float, before: float | None, threshold: float) -> tuple[DataFrame, float | None]:
-    """Pairs inside buckets that join different components, and how many there may be in all.
+def _placed(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Members of buckets that still hold several components, with theirs."""
+    own = comps.select(F.col("id").alias("rep"), "comp")
+    return cut_lineage(members.join(own, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
 
-    Each bucket has three pivots: the class that shares most buckets, later on a draw weighted by
-    that, and two more draws. First every member is paired with its buckets' pivots. Once the pairs
-    beyond those are within ``limit``, or pivots no longer connect much, the members that are no
-    pivots are paired with each other too; these are then all pairs, and the number is None.
+
+def _pivots(placed: DataFrame, turn: int) -> DataFrame:
+    """(key, m, p) of buckets with several components: their size and up to three pivots.
+
+    The first is the class that shares most buckets, later on a draw weighted by that; the others
+    are draws.
     """
-    placed = members.withColumn("comp", F.col("rep")) if comps is None else cut_lineage(members.join(comps.select(F.col("id").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
     draw = lambda k: -F.col("shared") * (F.pmod(F.xxhash64(F.lit(k), "rep"), F.lit(1 << 20)) + 1) / float(1 << 20)
     orders = [-F.col("shared").cast("double") if turn == 0 else draw(3 * turn), draw(3 * turn + 1), draw(3 * turn + 2)]
     chosen = [F.min(F.struct(o.alias("o"), F.col("rep").alias("r"), F.col("comp").alias("c"), F.col("n").alias("n"))) for o in orders]
     per = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.array(*chosen).alias("p")).where("c1 <> c2")
-    per = per.select("key", "m", F.array_distinct(F.transform("p", lambda x: F.struct(x["r"].alias("r"), x["c"].alias("c"), x["n"].alias("n")))).alias("p"))
-    left: float | None = float("inf")
-    if turn > 0:
-        inside = placed.groupBy("key", "comp").count().groupBy("key").agg(F.sum(F.col("count") * F.col("count")).alias("same"))
-        many = F.greatest(F.lit(0.0), (F.col("m").cast("double") * F.col("m") - F.col("same")) / 2 - F.size("p") * F.col("m"))
-        left = per.join(inside, "key").agg(F.sum(many)).first()[0] or 0.0
-        if left <= limit or before is not None and left > 0.9 * before:
-            left = None
+    return per.select("key", "m", F.array_distinct(F.transform("p", lambda x: F.struct(x["r"].alias("r"), x["c"].alias("c"), x["n"].alias("n")))).alias("p"))
+
+
+def _pivot_pairs(placed: DataFrame, per: DataFrame, threshold: float) -> DataFrame:
+    """Every member with its buckets' pivots of other components."""
     met = placed.join(per, "key").select("key", "rep", "comp", "n", F.explode("p").alias("x"))
     met = met.where((F.col("comp") != F.col("x.c")) & _fits("n", "x.n", threshold))
-    pairs = met.select(F.greatest("rep", "x.r").alias("a"), F.least("rep", "x.r").alias("b"))
-    if left is None:
-        live = placed.join(per.where(F.col("m") > F.size("p") + 1), "key").where(~F.exists("p", lambda x: x["r"] == F.col("rep")))
-        one = live.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
-        two = live.select("key", F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
-        rest = one.join(two, (one["key"] == two["key"]) & (F.col("ca") != F.col("cb")) & (F.col("a") > F.col("b")) & _fits("na", "nb", threshold))
-        pairs = pairs.unionByName(rest.select("a", "b"))
-    return pairs.distinct(), left
+    return met.select(F.greatest("rep", "x.r").alias("a"), F.least("rep", "x.r").alias("b")).distinct()
+
+
+def _crossed(placed: DataFrame, per: DataFrame, classes: DataFrame, threshold: float, spanning: bool) -> DataFrame:
+    """Pairs (a, b) of members that are no pivots, across components, that pass the estimate.
+
+    Buckets are compared in blocks of BLOCK members; registers are compared in place and only what
+    passes is written. ``spanning``: of the pairs of a block only as many as connect it.
+    """
+    live = placed.join(per.where(F.col("m") > F.size("p") + 1), "key").where(~F.exists("p", lambda x: x["r"] == F.col("rep")))
+    n_blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("rep"), n_blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), n_blocks - 1))
+    dealt = live.select("key", "rep", "comp", "n", own.alias("own"), other.alias("o")).select("key", F.least("own", "o").alias("bi"), F.greatest("own", "o").alias("bj"), "own", "rep", "comp", "n")
+    slim = classes.select("rep", F.substring("regs", 1, 2 * ESTIMATE_REGISTERS).alias("regs"))
+    rows = dealt.join(slim, "rep").repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "rep")
+    percent = round(100 * threshold)
+
+    def block_pairs(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(parts)
+        bi, bj, own_, rep, comp, n = (t.column(c).to_numpy() for c in ("bi", "bj", "own", "rep", "comp", "n"))
+        regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), ">u2").reshape(len(rep), -1)
+        up = {c: c for c in comp.tolist()}
+
+        def root(c: int) -> int:
+            while up[c] != c:
+                up[c] = c = up[up[c]]
+            return c
+
+        for i in range(len(rep) - 1):
+            j = np.arange(i + 1, len(rep))
+            j = j[(comp[j] != comp[i]) & (np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * percent)]
+            if bi[0] != bj[0]:
+                j = j[own_[j] != own_[i]]
+            if not len(j):
+                continue
+            j = j[estimate(regs[j], regs[i][None, :]) >= threshold - SLACK]
+            if spanning:
+                kept = []
+                for k in j.tolist():
+                    x, y = root(int(comp[i])), root(int(comp[k]))
+                    if x != y:
+                        up[x] = y
+                        kept.append(k)
+                j = np.array(kept, np.int64)
+            if len(j):
+                a, b = np.maximum(rep[j], rep[i]), np.minimum(rep[j], rep[i])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = np.stack([batch.column(i).to_numpy() for i in range(3)])
+            cuts = np.flatnonzero(np.concatenate([[True], (ids[:, 1:] != ids[:, :-1]).any(axis=0), [True]]))
+            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                here = tuple(ids[:, x].tolist())
+                if here != last and held:
+                    yield from block_pairs(held)
+                    held = []
+                last = here
+                held.append(batch.slice(x, y - x))
+        if held:
+            yield from block_pairs(held)
+
+    return rows.select("key", "bi", "bj", "own", "rep", "comp", "n", "regs").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, width: int = 2, pivots: float = 2.0) -> DataFrame:
@@ -269,24 +331,33 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     central = members.groupBy("rep").agg(F.sum("m").alias("shared"))
     members = cut_lineage(members.select("key", "rep", "n").join(central, "rep"))
     limit = pivots * classes.count()
-    # Pairs that the estimate lets through, until no bucket holds an untried pair.
-    passed, comps, left, turn = None, None, float("inf"), 0
-    while left is not None:
-        pairs, left = _open_pairs(members, comps, turn, limit, left, threshold)
-        fresh = cut_lineage(_estimated(pairs, classes, threshold))
-        passed = fresh if passed is None else passed.unionByName(fresh)
-        comps, turn = components(passed), turn + 1
-    nodes = comps.select(F.col("id").alias("doc_id"))
+    # Pairs that the estimate lets through: with pivots, then across what these left apart.
+    start = members.withColumn("comp", F.col("rep"))
+    first = cut_lineage(_estimated(_pivot_pairs(start, _pivots(start, 0), threshold), classes, threshold))
+    placed = _placed(members, components(first))
+    per = _pivots(placed, 0)
+    passed = first.unionByName(cut_lineage(_crossed(placed, per, classes, threshold, spanning=True)))
+    nodes = components(passed).select(F.col("id").alias("doc_id"))
     bodies = _bodies(df, id_col, text_col, nodes)
     # Verification; whatever it parts is compared anew, inside what the estimates had connected.
     links = cut_lineage(_verified(passed, bodies, threshold, width))
-    comps, left, turn = components(links), float("inf"), 1
+    comps, before, turn, done = components(links), None, 1, False
     near = members.join(nodes.select(F.col("doc_id").alias("rep")), "rep", "left_semi")
-    while left is not None:
-        pairs, left = _open_pairs(near, comps, turn, limit, left, threshold)
-        fresh = cut_lineage(_verified(_estimated(pairs.join(passed, ["a", "b"], "left_anti"), classes, threshold), bodies, threshold, width))
-        turn += 1
-        if not fresh.isEmpty():
+    while not done:
+        placed = _placed(near, comps)
+        per = _pivots(placed, turn)
+        inside = placed.groupBy("key", "comp").count().groupBy("key").agg(F.sum(F.col("count") * F.col("count")).alias("same"))
+        open_ = (F.col("m").cast("double") * F.col("m") - F.col("same")) / 2
+        left = per.join(inside, "key").agg(F.sum(open_)).first()[0] or 0.0
+        done = left <= limit or before is not None and left > 0.9 * before
+        before, turn = left, turn + 1
+        if not left:
+            break
+        pairs = _estimated(_pivot_pairs(placed, per, threshold).join(passed, ["a", "b"], "left_anti"), classes, threshold)
+        if done:  # few are left, or pivots no longer connect much: all of them
+            pairs = pairs.unionByName(_crossed(placed, per, classes, threshold, spanning=False)).distinct()
+        fresh, n = cut_and_count(_verified(pairs, bodies, threshold, width))
+        if n:
             links = links.unionByName(fresh)
             comps = components(links)
     found = classes.select("digest", "rep").join(comps.select(F.col("id").alias("rep"), "comp"), "rep", "left").select(F.col("digest").alias("d"), F.coalesce("comp", "rep").alias("comp"))
