@@ -117,3 +117,21 @@ def clean_documents(docs: DataFrame, bench: DataFrame, n: int = 10, remove: str
     pairs = F.zip_with(gaps, words_of(text), lambda g, w: F.struct(F.coalesce(g, F.lit("")).alias("gap"), w.alias("word")))
     cleaned = F.when((F.size("hits") == 0) | (size == 0) | text.isNull(), text).otherwise(F.aggregate(pairs, spot, step, lambda a: a["out"]))
     return hits.select(*[(cleaned if c == "text" else F.col("__row")[c]).alias(c) for c in cols])
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+#: The same rows in SQL.
+ORACLE = f"""
+with d as (select row_number() over () as rid, doc_id, {_WORDS} as w from documents),
+b as (select cast(item_id as varchar) as item, {_WORDS} as w from benchmark),
+bg as (select distinct item, n, list_slice(w, i, i + n - 1) as g
+  from (select item, w, least(10, len(w)) as n, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i from b where len(w) > 0)),
+dg as (select rid, n, i, list_slice(w, i, i + n - 1) as g
+  from (select rid, w, n, unnest(range(1, len(w) - n + 2)) as i from d, (select distinct n from bg) where len(w) >= n)),
+hit as (select rid, i, n, item from dg join bg using (n, g)),
+words as (select rid, count(*) as n_hit from (select distinct rid, unnest(range(i, i + n)) as p from hit) group by rid),
+items as (select rid, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct rid, item from hit where item is not null) group by rid)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (rid) left join items using (rid)
+"""

@@ -70,4 +70,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": chat_format.ORACLE, "op4_topk": topk_search.ORACLE, "op10_near_dedup": near_dedup.ORACLE}
+    return {"op3_chat": chat_format.ORACLE, "op4_topk": topk_search.ORACLE, "op9_decontaminate": decontamination.ORACLE, "op10_near_dedup": near_dedup.ORACLE}
