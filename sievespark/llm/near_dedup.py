@@ -120,7 +120,11 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
 
 def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Jaccard estimate of register rows, corrected for collisions of different minima."""
-    equal = (a == b).mean(axis=1)
+    return corrected((a == b).mean(axis=1))
+
+
+def corrected(equal: np.ndarray) -> np.ndarray:
+    """Share of equal registers, less what chance adds."""
     # Two different minima of n and m values agree in zeros and mantissa about once in 1.5 * 2**MANTISSA.
     chance = 1.0 / (1.5 * (1 << MANTISSA))
     return np.clip((equal - chance) / (1 - chance), 0, 1)
@@ -244,32 +248,40 @@ def _pivot_pairs(placed: DataFrame, per: DataFrame, threshold: float) -> DataFra
     return met.select(F.greatest("rep", "x.r").alias("a"), F.least("rep", "x.r").alias("b")).distinct()
 
 
-def _crossed(placed: DataFrame, per: DataFrame, classes: DataFrame, threshold: float, spanning: bool) -> DataFrame:
-    """Pairs (a, b) of members that are no pivots, across components, that pass the estimate.
+def _crossed(placed: DataFrame, per: DataFrame, classes: DataFrame, threshold: float, bodies: DataFrame | None = None, width: int = 2) -> DataFrame:
+    """Pairs (a, b) of members that are no pivots, across components: of each block as many as connect it.
 
-    Buckets are compared in blocks of BLOCK members; registers are compared in place and only what
-    passes is written. ``spanning``: of the pairs of a block only as many as connect it.
+    Buckets are compared in blocks of BLOCK members, in place: sizes first, then the estimate, then
+    the full sets if ``bodies`` are given. A pair is looked at in the first band it shares only.
     """
     live = placed.join(per.where(F.col("m") > F.size("p") + 1), "key").where(~F.exists("p", lambda x: x["r"] == F.col("rep")))
     n_blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), n_blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), n_blocks - 1))
-    dealt = live.select("key", "rep", "comp", "n", own.alias("own"), other.alias("o")).select("key", F.least("own", "o").alias("bi"), F.greatest("own", "o").alias("bj"), "own", "rep", "comp", "n")
-    slim = classes.select("rep", F.substring("regs", 1, 2 * ESTIMATE_REGISTERS).alias("regs"))
-    rows = dealt.join(slim, "rep").repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "rep")
-    percent = round(100 * threshold)
+    dealt = live.select("key", "band", "rep", "comp", "n", own.alias("own"), other.alias("o")).select("key", F.least("own", "o").alias("bi"), F.greatest("own", "o").alias("bj"), "band", "own", "rep", "comp", "n")
+    rows = dealt.join(classes.select("rep", "regs"), "rep")
+    if bodies is not None:
+        rows = rows.join(bodies.select(F.col("doc_id").alias("rep"), "body"), "rep")
+    rows = rows.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "rep")
+    percent, exact = round(100 * threshold), bodies is not None
 
     def block_pairs(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(parts)
-        bi, bj, own_, rep, comp, n = (t.column(c).to_numpy() for c in ("bi", "bj", "own", "rep", "comp", "n"))
+        band, bi, bj, own_, rep, comp, n = (t.column(c).to_numpy() for c in ("band", "bi", "bj", "own", "rep", "comp", "n"))
         regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), ">u2").reshape(len(rep), -1)
         up = {c: c for c in comp.tolist()}
+        sets: dict[int, np.ndarray] = {}
 
         def root(c: int) -> int:
             while up[c] != c:
                 up[c] = c = up[up[c]]
             return c
 
+        def full(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingle_sets([zstandard.ZstdDecompressor().decompress(t.column("body")[i].as_py())], width)[0]
+            return sets[i]
+
         for i in range(len(rep) - 1):
             j = np.arange(i + 1, len(rep))
             j = j[(comp[j] != comp[i]) & (np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * percent)]
@@ -277,18 +289,18 @@ def _crossed(placed: DataFrame, per: DataFrame, classes: DataFrame, threshold: f
                 j = j[own_[j] != own_[i]]
             if not len(j):
                 continue
-            j = j[estimate(regs[j], regs[i][None, :]) >= threshold - SLACK]
-            if spanning:
-                kept = []
-                for k in j.tolist():
-                    x, y = root(int(comp[i])), root(int(comp[k]))
-                    if x != y:
-                        up[x] = y
-                        kept.append(k)
-                j = np.array(kept, np.int64)
-            if len(j):
-                a, b = np.maximum(rep[j], rep[i]), np.minimum(rep[j], rep[i])
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            equal = regs[j] == regs[i]
+            j = j[(equal.reshape(len(j), BANDS, ROWS).all(axis=2).argmax(axis=1) == band[0]) & (corrected(equal.mean(axis=1)) >= threshold - SLACK)]
+            for k in j.tolist():
+                x, y = root(int(comp[i])), root(int(comp[k]))
+                if x == y:
+                    continue
+                if exact:
+                    inter = len(np.intersect1d(full(i), full(k), assume_unique=True))
+                    if 100 * inter < percent * (len(full(i)) + len(full(k)) - inter):
+                        continue
+                up[x] = y
+                yield pa.RecordBatch.from_arrays([pa.array([max(rep[i], rep[k])]), pa.array([min(rep[i], rep[k])])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -308,7 +320,8 @@ def _crossed(placed: DataFrame, per: DataFrame, classes: DataFrame, threshold: f
         if held:
             yield from block_pairs(held)
 
-    return rows.select("key", "bi", "bj", "own", "rep", "comp", "n", "regs").mapInArrow(run, "a long, b long").distinct()
+    cols = ["key", "bi", "bj", "band", "own", "rep", "comp", "n", "regs"]
+    return rows.select(*cols, *(["body"] if exact else [])).mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, width: int = 2, pivots: float = 2.0) -> DataFrame:
@@ -324,19 +337,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     some = sigs.where("digest is not null and doc_id is not null")
     classes = cut_lineage(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.min_by("regs", "doc_id").alias("regs")))
     band = lambda i: F.xxhash64(i, F.substring(F.col("regs"), i * (2 * ROWS) + 1, F.lit(2 * ROWS)))
-    rows = classes.select("rep", "n", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("key"))
+    rows = classes.select("rep", "n", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("band", "key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     members = cut_lineage(rows.join(shared, "key"))
     # How often a class meets others: the middle of a group of variants meets the most.
     central = members.groupBy("rep").agg(F.sum("m").alias("shared"))
-    members = cut_lineage(members.select("key", "rep", "n").join(central, "rep"))
+    members = cut_lineage(members.select("key", "band", "rep", "n").join(central, "rep"))
     limit = pivots * classes.count()
     # Pairs that the estimate lets through: with pivots, then across what these left apart.
     start = members.withColumn("comp", F.col("rep"))
     first = cut_lineage(_estimated(_pivot_pairs(start, _pivots(start, 0), threshold), classes, threshold))
     placed = _placed(members, components(first))
     per = _pivots(placed, 0)
-    passed = first.unionByName(cut_lineage(_crossed(placed, per, classes, threshold, spanning=True)))
+    passed = first.unionByName(cut_lineage(_crossed(placed, per, classes, threshold)))
     nodes = components(passed).select(F.col("id").alias("doc_id"))
     bodies = _bodies(df, id_col, text_col, nodes)
     # Verification; whatever it parts is compared anew, inside what the estimates had connected.
@@ -354,9 +367,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if not left:
             break
         pairs = _estimated(_pivot_pairs(placed, per, threshold).join(passed, ["a", "b"], "left_anti"), classes, threshold)
+        fresh = _verified(pairs, bodies, threshold, width)
         if done:  # few are left, or pivots no longer connect much: all of them
-            pairs = pairs.unionByName(_crossed(placed, per, classes, threshold, spanning=False)).distinct()
-        fresh, n = cut_and_count(_verified(pairs, bodies, threshold, width))
+            fresh = fresh.unionByName(_crossed(placed, per, classes, threshold, bodies, width))
+        fresh, n = cut_and_count(fresh)
         if n:
             links = links.unionByName(fresh)
             comps = components(links)
