@@ -23,8 +23,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     labels, turn = nodes.select("id", F.col("id").alias("comp")), 1
     while True:
         hooks = apart.groupBy(F.col("hi").alias("comp")).agg(F.min("lo").alias("to"))
-        for i in range(turn):  # pointer jumping: chains get shorter by four each time
-            hooks = _jumped(_jumped(hooks))
+        for i in range(turn):  # pointer jumping: each jump halves the chains
+            hooks = _jumped(hooks) if turn == 1 else _jumped(_jumped(hooks))
             hooks = cut_lineage(hooks) if i + 1 < turn else hooks
         labels = cut_lineage(labels.join(hooks, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")))
         seen = links.join(labels.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a").join(labels.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b")

@@ -324,7 +324,7 @@ def _crossed(placed: DataFrame, per: DataFrame, classes: DataFrame, threshold: f
     return rows.select(*cols, *(["body"] if exact else [])).mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, width: int = 2, pivots: float = 2.0) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, width: int = 2, pivots: float = 100.0) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept.
 
     Null and empty texts have an empty set and are linked with nothing; so are rows with a null id
