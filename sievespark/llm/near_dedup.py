@@ -249,20 +249,21 @@ def _pivot_pairs(placed: DataFrame, per: DataFrame, threshold: float) -> DataFra
 
 
 def _crossed(placed: DataFrame, per: DataFrame, classes: DataFrame, threshold: float, bodies: DataFrame | None = None, width: int = 2) -> DataFrame:
-    """Pairs (a, b) of members that are no pivots, across components: of each block as many as connect it.
+    """Pairs (a, b) of members across components: of each block as many as connect it.
 
     Buckets are compared in blocks of BLOCK members, in place: sizes first, then the estimate, then
-    the full sets if ``bodies`` are given. A pair is looked at in the first band it shares only.
+    the full sets if ``bodies`` are given (without them, pivots have been met and are left out). A
+    pair is looked at in the first band it shares only.
     """
-    live = placed.join(per.where(F.col("m") > F.size("p") + 1), "key").where(~F.exists("p", lambda x: x["r"] == F.col("rep")))
+    live = placed.join(per.where(F.col("m") > F.size("p") + 1), "key").where(~F.exists("p", lambda x: x["r"] == F.col("rep"))) if bodies is None else placed.join(per, "key")
     n_blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), n_blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), n_blocks - 1))
     dealt = live.select("key", "band", "rep", "comp", "n", own.alias("own"), other.alias("o")).select("key", F.least("own", "o").alias("bi"), F.greatest("own", "o").alias("bj"), "band", "own", "rep", "comp", "n")
-    rows = dealt.join(classes.select("rep", "regs"), "rep")
+    facts = classes.select("rep", "regs")
     if bodies is not None:
-        rows = rows.join(bodies.select(F.col("doc_id").alias("rep"), "body"), "rep")
-    rows = rows.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "rep")
+        facts = facts.join(bodies.select(F.col("doc_id").alias("rep"), "body"), "rep")
+    rows = dealt.join(facts, "rep").repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "rep")
     percent, exact = round(100 * threshold), bodies is not None
 
     def block_pairs(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,10 +367,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         before, turn = left, turn + 1
         if not left:
             break
-        pairs = _estimated(_pivot_pairs(placed, per, threshold).join(passed, ["a", "b"], "left_anti"), classes, threshold)
-        fresh = _verified(pairs, bodies, threshold, width)
         if done:  # few are left, or pivots no longer connect much: all of them
-            fresh = fresh.unionByName(_crossed(placed, per, classes, threshold, bodies, width))
+            fresh = _crossed(placed, per, classes, threshold, bodies, width)
+        else:
+            pairs = _pivot_pairs(placed, per, threshold).join(passed, ["a", "b"], "left_anti")
+            fresh = _verified(_estimated(pairs, classes, threshold), bodies, threshold, width)
         fresh, n = cut_and_count(fresh)
         if n:
             links = links.unionByName(fresh)
