@@ -229,13 +229,13 @@ def _placed(members: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _pivots(placed: DataFrame, turn: int) -> DataFrame:
-    """(key, m, p) of buckets with several components: their size and up to three pivots.
+    """(key, m, p) of buckets with several components: their size and up to two pivots.
 
-    The first is the class that shares most buckets, later on a draw weighted by that; the others
-    are draws.
+    The first is the class that shares most buckets, later on a draw weighted by that; the
+    other is a draw.
     """
     draw = lambda k: -F.col("shared") * (F.pmod(F.xxhash64(F.lit(k), "rep"), F.lit(1 << 20)) + 1) / float(1 << 20)
-    orders = [-F.col("shared").cast("double") if turn == 0 else draw(3 * turn), draw(3 * turn + 1), draw(3 * turn + 2)]
+    orders = [-F.col("shared").cast("double") if turn == 0 else draw(2 * turn), draw(2 * turn + 1)]
     chosen = [F.min(F.struct(o.alias("o"), F.col("rep").alias("r"), F.col("comp").alias("c"), F.col("n").alias("n"))) for o in orders]
     per = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.array(*chosen).alias("p")).where("c1 <> c2")
     return per.select("key", "m", F.array_distinct(F.transform("p", lambda x: F.struct(x["r"].alias("r"), x["c"].alias("c"), x["n"].alias("n")))).alias("p"))
