@@ -363,11 +363,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         inside = placed.groupBy("key", "comp").count().groupBy("key").agg(F.sum(F.col("count") * F.col("count")).alias("same"))
         open_ = (F.col("m").cast("double") * F.col("m") - F.col("same")) / 2
         left = per.join(inside, "key").agg(F.sum(open_)).first()[0] or 0.0
-        done = left <= limit or before is not None and left > 0.9 * before
+        done = left <= limit or before is not None and left > 0.5 * before
         before, turn = left, turn + 1
         if not left:
             break
-        if done:  # few are left, or pivots no longer connect much: all of them
+        if done:  # few are left, or pivots no longer halve them: all of them
             fresh = _crossed(placed, per, classes, threshold, bodies, width)
         else:
             pairs = _pivot_pairs(placed, per, threshold).join(passed, ["a", "b"], "left_anti")

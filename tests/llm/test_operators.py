@@ -435,7 +435,7 @@ def brute_components(rows, width):
 @pytest.mark.parametrize("width", [2, 5])
 def test_near_dedup_matches_brute_force(spark, width):
     rows = near_rows()
-    got = near_dedup.near_duplicates(docs(spark, rows).repartition(3), width=width, pivots=0.5).collect()
+    got = near_dedup.near_duplicates(docs(spark, rows).repartition(3), width=width, pivots=2.0).collect()
     order = lambda r: (r[0] is None, r[0] or 0)
     want = brute_components(rows, width)
     assert sorted([tuple(r)[:3] for r in got], key=order) == sorted(want, key=order)
