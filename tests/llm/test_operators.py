@@ -312,6 +312,26 @@ def test_secret_scan(spark):
     assert secrets.secret_report(docs(spark, [])).count() == 0
 
 
+def test_secrets_of_one_case_among_prose(spark):
+    """Planted at 1 % of the tokens each: upper-case hex, base32, a-z; words run together are left alone."""
+    rng = random.Random(11)
+    words = "account address balance builder cluster column config connection context control data default delivery document element error event factory field filter folder format function handler header image index input internal language list manager message method model number object option order output package parameter parser process project property protocol provider query record remote report request resource response result schema screen search section select server service session setting source standard state storage string structure support system table target template text thread time transaction transfer update user value version window workshop".split()
+
+    def name():
+        s = "".join(rng.choices(words, k=8))[: rng.randint(28, 39)]
+        s = s[:-4] + str(rng.randint(1990, 2030)) if rng.random() < 0.2 else s
+        return s.upper() if rng.random() < 0.5 else s
+
+    alphabets = ("0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz")
+    rows = [(i, "see " + name() + " end") for i in range(2910)]
+    rows += [(3000 + 100 * a + i, "see " + "".join(rng.choices(s, k=32)) + " end") for a, s in enumerate(alphabets) for i in range(30)]
+    rows += [(4000 + i, t) for i, t in enumerate(("XVXVXVMMMVXMXVXVXVXVXVXVXVXVXVXV", "dmku" * 8, "z" * 32, "0" * 32, "A" * 16 + "======", "12345678901234567890123456789012"))]
+    found = {r.doc_id for r in secrets.secret_report(docs(spark, rows)).collect() if "random" in r.spans}
+    for a in range(3):
+        assert len(found & set(range(3000 + 100 * a, 3030 + 100 * a))) >= 18, a
+    assert len(found & set(range(2910))) <= 1 and not found & set(range(4000, 4100))
+
+
 def test_sharding_table_and_placement(spark):
     shards = [f"s{i}" for i in range(7)]
     table = sharding.lookup_table(shards, 251, seed=3)
