@@ -128,6 +128,13 @@ class Filters:
         return self.languages[best], float(min(1.0, max(0.0, share[best])))
 
 
+def _drawn(labelled: DataFrame, sizes: list, rows: int, seed: int) -> DataFrame:
+    """About ``rows`` of the ``sizes`` rows (lang, text) of each language, by a seeded hash of the text."""
+    scale = 1 << 30
+    rate = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, min(scale, scale * rows // n))])
+    return labelled.where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(scale)) < F.element_at(rate, F.col("lang")))
+
+
 def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 4000, grams_per_language: int = 20_000, stray: float = 0.05, seed: int = 0) -> Filters:
     """Learn from the rows of ``df`` with a language.
 
@@ -144,9 +151,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", rows_pe
     sizes = sorted(sizes)
     if not sizes:
         return Filters([], [])
-    scale = 1 << 30
-    rate = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, min(scale, scale * rows_per_language // n))])
-    chosen = labelled.where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(scale)) < F.element_at(rate, F.col("lang")))
+    chosen = _drawn(labelled, sizes, rows_per_language, seed)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -215,13 +220,33 @@ def identify(docs: DataFrame, **how: object) -> DataFrame:
     return out.select("kept.doc_id", "kept.held_out", "lang_pred", "score")
 
 
+def bars(held: DataFrame, filters: Filters, text_col: str = "text", lang_col: str = "lang", rows: int = 1000, seed: int = 0, below: float = 0.6) -> dict[str, float]:
+    """Per language ``below`` times the 5 % quantile of the scores that its labelled rows get when found.
+
+    ``held`` are rows that training left aside, ``rows`` a language at most are drawn. Scripts of
+    many characters score lower than alphabets, since a filter holds a smaller share of their n-grams.
+    """
+    labelled = held.select(held[lang_col].alias("lang"), held[text_col].alias("text")).where("lang is not null and text is not null")
+    sizes = sorted(labelled.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect())
+    if not sizes or not filters.languages:
+        return {}
+    scored = predict(_drawn(labelled, sizes, rows, seed), filters, "text", [F.col("lang").alias("lang"), F.col("text").alias("text")])
+    low = scored.where("kept.lang = lang_pred").groupBy("lang_pred").agg(F.percentile_approx("score", 0.05, 10_000).alias("low"))
+    return {r["lang_pred"]: below * r["low"] for r in low.collect()}  # a row a language
+
+
 def accepted(docs: DataFrame, min_score: float = 0.5, **how: object) -> DataFrame:
     """The rows of ``docs`` whose text is in a known language: not ``und``, and a score of ``min_score`` or more.
 
-    The columns of ``docs`` stay as they are.
+    Where a language's own rows score low, its bar is lower, see :func:`bars`. The columns of
+    ``docs`` stay as they are.
     """
     filters = train(docs.where(~held_out(docs["doc_id"])), **how)
+    low = bars(docs.where(held_out(docs["doc_id"])), filters, **{k: v for k, v in how.items() if k in ("text_col", "lang_col", "seed")})
+    bar = F.lit(min_score)
+    for lang, value in sorted(low.items()):
+        bar = F.when(F.col("lang_pred") == lang, min(min_score, value)).otherwise(bar)
     cols = docs.columns
     out = predict(docs, filters, f"c{cols.index('text')}", [docs[c].alias(f"c{i}") for i, c in enumerate(cols)])
-    kept = out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    kept = out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= bar))
     return kept.select(*[F.col("kept")[f"c{i}"].alias(c) for i, c in enumerate(cols)])

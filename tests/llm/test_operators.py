@@ -256,6 +256,19 @@ def test_language_id(spark):
     assert {r.lang_pred for r in language_id.identify(docs(spark, [(1, "abc", "s", None)])).collect()} == {"und"}
 
 
+def test_languages_of_many_characters_are_accepted(spark):
+    """A script of 3,500 characters has more n-grams than a filter keeps; its rows stay, those of no known language go."""
+    rng = random.Random(12)
+    signs = [chr(0x4E00 + i) for i in range(3500)]
+    often = [1 / (i + 10) for i in range(3500)]
+    rows = [(i, "".join(rng.choices(signs, often, k=300)), "s", "ideo") for i in range(300)]
+    rows += [(i, prose(rng, 40, "kala mato suri pelo"), "s", "xx") for i in range(300, 500)]
+    rows += [(i, prose(rng, 40, "брат вода земля дом"), "s", None) for i in range(500, 520)]
+    frame = docs(spark, rows)
+    scores = [r.score for r in language_id.identify(frame).collect() if r.doc_id < 300]
+    assert max(scores) < 0.5 and {r.doc_id for r in language_id.accepted(frame).collect()} == set(range(500))
+
+
 def test_language_blocks_lose_nothing(monkeypatch):
     text = "Straße über alles, naïve 12 café " * 50
     whole = np.sort(np.concatenate(list(language_id.text_hashes(text))))
