@@ -129,23 +129,23 @@ class Filters:
 
 
 def _drawn(labelled: DataFrame, sizes: list, rows: int, seed: int) -> DataFrame:
-    """About ``rows`` of the ``sizes`` rows (lang, text) of each language, by a seeded hash of the text."""
+    """About ``rows`` of the ``sizes`` different texts of each language, once each, by a seeded hash of the text."""
     scale = 1 << 30
     rate = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, min(scale, scale * rows // n))])
-    return labelled.where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(scale)) < F.element_at(rate, F.col("lang")))
+    return labelled.where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(scale)) < F.element_at(rate, F.col("lang"))).distinct()
 
 
 def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 4000, grams_per_language: int = 20_000, stray: float = 0.05, seed: int = 0) -> Filters:
     """Learn from the rows of ``df`` with a language.
 
-    A seeded sample of about ``rows_per_language`` rows a language is used (all, if fewer): the
+    A seeded sample of about ``rows_per_language`` texts a language is used (all, if fewer): the
     documented bound on labelled rows. Null labels and null texts teach nothing; repeated rows count
     by their text, once each; an empty table gives filters without languages.
     """
     spark = df.sparkSession
     small_batches(spark)
     labelled = df.select(df[lang_col].alias("lang"), df[text_col].alias("text")).where("lang is not null and text is not null")
-    sizes = labelled.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    sizes = labelled.select("lang", F.xxhash64("text")).distinct().groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     sizes = sorted(sizes)
@@ -227,7 +227,7 @@ def bars(held: DataFrame, filters: Filters, text_col: str = "text", lang_col: st
     many characters score lower than alphabets, since a filter holds a smaller share of their n-grams.
     """
     labelled = held.select(held[lang_col].alias("lang"), held[text_col].alias("text")).where("lang is not null and text is not null")
-    sizes = sorted(labelled.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect())
+    sizes = sorted(labelled.select("lang", F.xxhash64("text")).distinct().groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect())
     if not sizes or not filters.languages:
         return {}
     scored = predict(_drawn(labelled, sizes, rows, seed), filters, "text", [F.col("lang").alias("lang"), F.col("text").alias("text")])

@@ -269,6 +269,16 @@ def test_languages_of_many_characters_are_accepted(spark):
     assert max(scores) < 0.5 and {r.doc_id for r in language_id.accepted(frame).collect()} == set(range(500))
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_language_training_counts_each_text_once(spark, seed):
+    """A text that makes up a third of its language, drawn or not, changes neither the sample nor the n-grams."""
+    rng = random.Random(13)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghijklmno", k=5)) for _ in range(20)), "s", "xx") for i in range(400)]
+    copies = [(1000 + i, rows[0][1], "s", "xx") for i in range(200)]
+    once, often = (language_id.train(docs(spark, x), rows_per_language=100, grams_per_language=600, seed=seed) for x in (rows, rows + copies))
+    assert (once.table == often.table).all()
+
+
 def test_language_blocks_lose_nothing(monkeypatch):
     text = "Straße über alles, naïve 12 café " * 50
     whole = np.sort(np.concatenate(list(language_id.text_hashes(text))))
