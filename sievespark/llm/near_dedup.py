@@ -25,8 +25,8 @@ from sievespark.llm.graph import components
 from sievespark.session import cut_lineage
 
 BANDS, ROWS = 36, 5
-#: Registers used for the estimate, and how far below the threshold it may fall (five deviations).
-ESTIMATE_REGISTERS, SLACK = 90, 0.21
+#: How far below the threshold the estimate from all registers may fall (seven deviations).
+SLACK = 0.21
 MANTISSA = 10
 #: Members of a bucket compared with each other at once.
 BLOCK = 2048
@@ -162,9 +162,8 @@ def signatures(df: DataFrame, id_col: str, text_col: str, width: int = 2) -> Dat
 
 def _estimated(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) whose registers allow the threshold."""
-    slim = F.substring("regs", 1, 2 * ESTIMATE_REGISTERS)
-    one = classes.select(F.col("rep").alias("a"), slim.alias("ra"))
-    two = classes.select(F.col("rep").alias("b"), slim.alias("rb"))
+    one = classes.select(F.col("rep").alias("a"), F.col("regs").alias("ra"))
+    two = classes.select(F.col("rep").alias("b"), F.col("regs").alias("rb"))
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "ra", "rb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

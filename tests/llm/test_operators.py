@@ -507,3 +507,14 @@ def test_registers_estimate_jaccard():
         j = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
         r = near_dedup.registers([a, b])
         assert abs(near_dedup.estimate(r[:1], r[1:])[0] - j) < 0.12
+
+
+def test_near_dedup_estimates_pairs_from_all_registers(spark):
+    """A pair with 50 of its first 90 registers equal, and 140 of all 180, stays; one with 100 of 180 goes."""
+    base = np.arange(near_dedup.BANDS * near_dedup.ROWS).astype(">u2")
+    near, far = base.copy(), base.copy()
+    near[50:90] += 1000
+    far[100:] += 1000
+    classes = spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate((base, near, far))], "rep long, regs binary")
+    pairs = spark.createDataFrame([(1, 0), (2, 0)], "a long, b long")
+    assert [(r.a, r.b) for r in near_dedup._estimated(pairs, classes, 0.8).collect()] == [(1, 0)]
