@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
+import weakref
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+#: Paths of the tables that are still there, by the DataFrame that reads them.
+_TABLES: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def build_session(app: str = "sievespark", master: str | None = None, **conf: object) -> SparkSession:
@@ -29,18 +37,51 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder (``spark.checkpoint.dir``); a local one only where it is unset."""
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder below ``spark.checkpoint.dir``; a local one only where that is unset."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    shared = sc.getConf().get("spark.checkpoint.dir")
-    if not shared and not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="sievespark-checkpoint-"))
+    if not sc.getCheckpointDir():
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        if not folder:
+            folder = tempfile.mkdtemp(prefix="sievespark-checkpoint-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and go on from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` once as a table in the shared folder and go on from there.
+
+    Lost executors cost at most the stage in hand. :func:`drop` removes a table that nothing reads
+    any more; the rest stays as long as the shared folder does.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _TABLES[out] = path
+    return out
+
+
+def cut_and_count(df: DataFrame) -> tuple[DataFrame, int]:
+    """The same, and the number of its rows, counted on the way."""
+    seen = Observation()
+    out = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return out, int(seen.get["n"])
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove tables of :func:`cut_lineage`, and let the JVM's cleaner remove the shuffle files behind them.
+
+    The cleaner goes by garbage collection, which a driver with a large heap may not see for hours.
+    """
+    for table in tables:
+        path = _TABLES.pop(table, None)
+        if path:
+            jvm = table.sparkSession._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
