@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievespark.llm.common import small_batches
+from sievespark.llm.common import sliced
 from sievespark.session import cut_lineage
 
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
@@ -115,13 +115,12 @@ def format_messages(df: DataFrame, schemas: dict[str, dict] | None = None) -> Da
     formatted as JSON null and left unlinked if they cannot be ordered; a null conversation is one
     of its own; repeated rows are formatted each by itself; an empty table gives no rows.
     """
-    small_batches(df.sparkSession)
     known = dict(schemas or {})
     rows = df.select("conv_id", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"json": pa.string(), "calls": pa.list_(pa.string()), "uses": pa.list_(pa.string()), "answers": pa.string(), "errors": pa.list_(pa.string())}
-        for batch in batches:
+        for batch in sliced(batches):
             found = [parse(r, t, known) for r, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *[pa.array([x[k] for x in found], kind) for k, kind in kinds.items()]], ["conv_id", "turn", "role", *kinds])
 

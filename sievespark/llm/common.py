@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Iterator
 
-from sievespark.session import cut_lineage
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 #: Words as runs of anything but ASCII white space (a fixed value of the contracts).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,18 +23,21 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Keep Arrow batches small, since single texts may be very long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows, since single texts may be very long (Spark bounds batches by bytes)."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def unused(names: list[str], wanted: str) -> str:
+    """``wanted``, lengthened until it is none of ``names`` (in any case)."""
+    taken = {n.lower() for n in names}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
 
 
 def keyed(df: DataFrame, *names: str) -> DataFrame:
     """Only the columns an operator uses, so extra columns cannot clash with its own."""
     return df.select(*[df[n] for n in names])
-
-
-def cut_and_count(df: DataFrame) -> tuple[DataFrame, int]:
-    """``df`` written to the shared checkpoint folder, and its rows, counted on the way."""
-    seen = Observation()
-    out = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
-    return out, int(seen.get["n"])

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievespark.llm.common import small_batches
+from sievespark.llm.common import sliced
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)
@@ -143,7 +143,6 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", rows_pe
     by their text, once each; an empty table gives filters without languages.
     """
     spark = df.sparkSession
-    small_batches(spark)
     labelled = df.select(df[lang_col].alias("lang"), df[text_col].alias("text")).where("lang is not null and text is not null")
     sizes = labelled.select("lang", F.xxhash64("text")).distinct().groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
@@ -161,7 +160,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", rows_pe
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h)), pa.array(h.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
             seen.clear()
 
-        for batch in batches:
+        for batch in sliced(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for hashes in text_hashes(text):
                     h, n = np.unique(hashes, return_counts=True)
@@ -193,14 +192,13 @@ def predict(df: DataFrame, filters: Filters, text: Column | str, keep: list[Colu
     Null texts and texts without a letter give ``und`` and 0; repeated rows are judged alike.
     """
     spark = df.sparkSession
-    small_batches(spark)
     model = spark.sparkContext.broadcast(filters)  # a table of fixed size
 
     inside = text if isinstance(text, str) else None
     rows = df.select(F.struct(*keep).alias("kept"), *([] if inside else [text.alias("text")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(0).field(inside) if inside else batch.column(1)
             found = [model.value.predict(t) for t in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())], ["kept", "lang_pred", "score"])

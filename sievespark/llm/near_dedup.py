@@ -2,11 +2,17 @@
 
 Each document's set of word shingles is hashed to 64 bits. For every one of ``BANDS * ROWS`` hash
 functions the minimum is stored as a HyperMinHash register: its count of leading zeros and the
-mantissa bits after them, 16 bits in all. Documents with equal sets are one class. Bands of
-``ROWS`` registers bring classes together; inside a band's bucket only pairs with a pivot, and
-pairs across what is not yet connected, are ever made. A pair first has to pass the Jaccard
-estimate from the compressed registers, corrected for chance collisions; then the full sets are
-compared. A pair at the threshold of 0.8 misses all bands with probability (1 - 0.8**5)**36 < 1e-6.
+mantissa bits after them, 16 bits in all. Documents with equal sets are one class; bands of ``ROWS``
+registers bring classes together in buckets.
+
+1. In every bucket, pairs with two pivots are made. A pair first has to pass the Jaccard estimate
+   from the compressed registers, corrected for chance collisions; then the full sets are compared.
+   That connects nearly all that belongs together.
+2. Buckets that still hold several components are compared in blocks of bounded size, in place: the
+   same estimate, then the full sets, for all pairs of different components. No pair is ever written.
+
+A pair at the threshold of 0.8 misses all bands with probability (1 - 0.8**5)**36 < 1e-6, and the
+estimate with less than 1e-9.
 """
 
 from __future__ import annotations
@@ -20,16 +26,18 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievespark.llm.common import cut_and_count, small_batches
-from sievespark.llm.graph import components
-from sievespark.session import cut_lineage
+from sievespark.llm.common import sliced
+from sievespark.llm.graph import components, compose
+from sievespark.session import cut_and_count, cut_lineage, drop
 
 BANDS, ROWS = 36, 5
 #: How far below the threshold the estimate from all registers may fall (seven deviations).
 SLACK = 0.21
 MANTISSA = 10
-#: Members of a bucket compared with each other at once.
-BLOCK = 2048
+#: Classes, and their shingles, in one block of a bucket.
+BLOCK, WEIGHT = 512, 1 << 21
+#: Slots of the table that says which texts are wanted again (2 to 4 MB).
+SLOTS = 1 << 18
 STEP = 1 << 14
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _BASE = 0x9E3779B97F4A7C15
@@ -130,90 +138,69 @@ def corrected(equal: np.ndarray) -> np.ndarray:
     return np.clip((equal - chance) / (1 - chance), 0, 1)
 
 
-def signatures(df: DataFrame, id_col: str, text_col: str, width: int = 2) -> DataFrame:
-    """doc_id, digest of the shingle set (null if empty), n_shingles, regs."""
-    small_batches(df.sparkSession)
-    rows = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].alias("text"))
+def _packed(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "replace").lower()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [(t or "").encode("utf-8", "replace").lower() for t in batch.column(1).to_pylist()]
-            digests: list[bytes | None] = []
-            counts: list[int] = []
-            regs: list[bytes | None] = []
-            at = 0
-            while at < len(texts):
-                to, size = at, 0
-                while to < len(texts) and (to == at or size < 1 << 20):
-                    size += len(texts[to])
-                    to += 1
-                sets = shingle_sets(texts[at:to], width)
-                full = [s for s in sets if len(s)]
-                found = iter(registers(full)) if full else iter(())
-                for s in sets:
-                    counts.append(len(s))
-                    digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                    regs.append(next(found).tobytes() if len(s) else None)
-                at = to
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(regs, pa.binary())], ["doc_id", "digest", "n_shingles", "regs"])
-
-    return rows.mapInArrow(run, "doc_id long, digest binary, n_shingles long, regs binary")
-
-
-def _estimated(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) whose registers allow the threshold."""
-    one = classes.select(F.col("rep").alias("a"), F.col("regs").alias("ra"))
-    two = classes.select(F.col("rep").alias("b"), F.col("regs").alias("rb"))
-    both = pairs.join(one, "a").join(two, "b").select("a", "b", "ra", "rb")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                ra, rb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), ">u2").reshape(batch.num_rows, -1) for i in (2, 3))
-                yield batch.filter(pa.array(estimate(ra, rb) >= threshold - SLACK)).select(["a", "b"])
+def _runs(texts: list[bytes], most: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Texts in runs of about ``most`` bytes."""
+    at = 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (to == at or size < most):
+            size += len(texts[to])
+            to += 1
+        yield texts[at:to]
+        at = to
 
-    return both.mapInArrow(run, "a long, b long")
 
+def _described(texts: list[bytes], width: int) -> tuple[list[bytes | None], list[int], list[bytes | None]]:
+    """Digest of the shingle set (None if empty), its size and its registers, for each text."""
+    digests: list[bytes | None] = []
+    counts: list[int] = []
+    regs: list[bytes | None] = []
+    for run in _runs(texts):
+        sets = shingle_sets(run, width)
+        full = [s for s in sets if len(s)]
+        found = iter(registers(full)) if full else iter(())
+        for s in sets:
+            counts.append(len(s))
+            digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+            regs.append(next(found).tobytes() if len(s) else None)
+    return digests, counts, regs
 
-def _bodies(df: DataFrame, id_col: str, text_col: str, nodes: DataFrame) -> DataFrame:
-    """Compressed lower-cased texts of the classes in question, one row each."""
-    rows = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].alias("text")).where("doc_id is not null and text is not null")
+
+def signatures(df: DataFrame, id_col: str, text_col: str, width: int = 2) -> DataFrame:
+    """doc_id, digest of the shingle set (null if empty), n (its size), regs."""
+    rows = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            packed = [press.compress(t.encode("utf-8", "replace").lower()) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "body"])
+        for batch in sliced(batches):
+            digests, counts, regs = _described([_packed(t) for t in batch.column(1).to_pylist()], width)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(regs, pa.binary())], ["doc_id", "digest", "n", "regs"])
 
-    packed = rows.mapInArrow(run, "doc_id long, body binary")
-    return cut_lineage(packed.join(nodes, "doc_id", "left_semi"))
+    return rows.mapInArrow(run, "doc_id long, digest binary, n long, regs binary")
 
 
-def _verified(pairs: DataFrame, bodies: DataFrame, threshold: float, width: int) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach the threshold."""
-    percent = round(100 * threshold)
-    both = pairs.join(bodies.select(F.col("doc_id").alias("a"), F.col("body").alias("ba")), "a")
-    both = both.join(bodies.select(F.col("doc_id").alias("b"), F.col("body").alias("bb")), "b").select("a", "b", "ba", "bb")
+def _bodies(df: DataFrame, id_col: str, text_col: str, nodes: DataFrame, width: int) -> DataFrame:
+    """rep, n, regs and compressed lower-cased text of the ``nodes`` (and of a few more), one row a text.
+
+    A table of SLOTS slots of the nodes' hashes is sent out, so that most other texts are never packed.
+    """
+    slot = F.pmod(F.xxhash64("rep"), F.lit(SLOTS))
+    slots = F.broadcast(nodes.select(slot.alias("slot")).distinct())  # at most SLOTS rows
+    rows = df.select(df[id_col].cast("long").alias("rep"), df[text_col].alias("text")).where("rep is not null and text is not null")
+    rows = rows.join(slots, slot == F.col("slot"), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        last: tuple[int | None, bytes, np.ndarray] = (None, b"", np.zeros(0, np.uint64))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b, ba, bb = (batch.column(i).to_pylist() for i in range(4))
-            keep = []
-            for at in range(0, len(a), 64):
-                lefts = shingle_sets([unpack.decompress(x) for x in ba[at : at + 64]], width)
-                for i, left in enumerate(lefts, at):
-                    if last[0] != b[i] or last[1] != bb[i]:  # pairs come sorted by b
-                        last = (b[i], bb[i], shingle_sets([unpack.decompress(bb[i])], width)[0])
-                    right = last[2]
-                    inter = len(np.intersect1d(left, right, assume_unique=True))
-                    keep.append(100 * inter >= percent * (len(left) + len(right) - inter))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in sliced(batches):
+            texts = [_packed(t) for t in batch.column(1).to_pylist()]
+            digests, counts, regs = _described(texts, width)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(regs, pa.binary()), pa.array([press.compress(t) for t in texts], pa.binary())], ["rep", "digest", "n", "regs", "body"])
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    packed = rows.mapInArrow(run, "rep long, digest binary, n long, regs binary, body binary").where("digest is not null")
+    return cut_lineage(packed.dropDuplicates(["rep", "digest"]).drop("digest"))
 
 
 def _fits(n: str, m: str, threshold: float) -> Column:
@@ -221,89 +208,129 @@ def _fits(n: str, m: str, threshold: float) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * round(100 * threshold)
 
 
-def _placed(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """Members of buckets that still hold several components, with theirs."""
-    own = comps.select(F.col("id").alias("rep"), "comp")
-    return cut_lineage(members.join(own, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
-
+def _members(classes: DataFrame) -> DataFrame:
+    """(key, band, rep, n, m, place) of classes that share a bucket; m: its size, place: the most central class comes first."""
+    band = lambda i: F.xxhash64(i, F.substring(F.col("regs"), i * (2 * ROWS) + 1, F.lit(2 * ROWS)))
+    rows = classes.select("rep", "n", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("band", "key"))
+    members = cut_lineage(rows.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "key"))
+    # How often a class meets others: the middle of a group of variants meets the most.
+    central = members.groupBy("rep").agg(F.sum("m").alias("met"))
+    place = -F.least("met", F.lit(1 << 38)) * (1 << 24) + F.pmod(F.xxhash64("rep"), F.lit(1 << 24))
+    out = cut_lineage(members.join(central, "rep").select("key", "band", "rep", "n", place.alias("place")))
+    drop(members)
+    return out
 
-def _pivots(placed: DataFrame, turn: int) -> DataFrame:
-    """(key, m, p) of buckets with several components: their size and up to three pivots.
 
-    The first is the class that shares most buckets, later on a draw weighted by that; the others
-    are draws.
-    """
-    draw = lambda k: -F.col("shared") * (F.pmod(F.xxhash64(F.lit(k), "rep"), F.lit(1 << 20)) + 1) / float(1 << 20)
-    orders = [-F.col("shared").cast("double") if turn == 0 else draw(3 * turn), draw(3 * turn + 1), draw(3 * turn + 2)]
-    chosen = [F.min(F.struct(o.alias("o"), F.col("rep").alias("r"), F.col("comp").alias("c"), F.col("n").alias("n"))) for o in orders]
-    per = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.array(*chosen).alias("p")).where("c1 <> c2")
-    return per.select("key", "m", F.array_distinct(F.transform("p", lambda x: F.struct(x["r"].alias("r"), x["c"].alias("c"), x["n"].alias("n")))).alias("p"))
+def _pivot_links(members: DataFrame, bodies: DataFrame, threshold: float, width: int) -> DataFrame:
+    """Links (a, b) between members and two pivots of their buckets: the most central class, and the first by hash."""
+    firsts = [[F.min_by(c, o).alias(f"{c}{i}") for c in ("rep", "n")] for i, o in enumerate((F.col("place"), F.xxhash64("rep")))]
+    pivots = members.groupBy("key").agg(*firsts[0], *firsts[1])
+    met = members.join(pivots, "key").select("rep", "n", F.explode(F.array(*[F.struct(F.col(f"rep{i}").alias("b"), F.col(f"n{i}").alias("m")) for i in range(2)])).alias("p")).select("rep", "n", "p.b", "p.m")
+    pairs = met.where((F.col("rep") != F.col("b")) & _fits("n", "m", threshold))
+    pairs = pairs.select(F.greatest("rep", "b").alias("rep"), F.least("rep", "b").alias("b")).groupBy("rep").agg(F.collect_set("b").alias("bs"))  # two a band at most
+    one = pairs.join(bodies, "rep").select(F.col("rep").alias("a"), F.col("regs").alias("ra"), F.col("body").alias("ba"), F.explode("bs").alias("rep"))
+    both = one.join(bodies.select("rep", "regs", "body"), "rep").select("a", F.col("rep").alias("b"), "ra", F.col("regs").alias("rb"), "ba", F.col("body").alias("bb"))
+    percent = round(100 * threshold)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        last: tuple[bytes, np.ndarray] = (b"", np.zeros(0, np.uint64))
+        for batch in sliced(batches):
+            ra, rb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), ">u2").reshape(batch.num_rows, -1) for i in (2, 3))
+            batch = batch.filter(pa.array(estimate(ra, rb) >= threshold - SLACK)).select(["a", "b", "ba", "bb"])
+            keep, right = [], iter(batch.column(3).to_pylist())
+            for part in _runs([unpack.decompress(x) for x in batch.column(2).to_pylist()]):
+                for left in shingle_sets(part, width):
+                    body = next(right)
+                    if body != last[0]:  # sorted by b, where the join sorts
+                        last = (body, shingle_sets([unpack.decompress(body)], width)[0])
+                    inter = len(np.intersect1d(left, last[1], assume_unique=True))
+                    keep.append(100 * inter >= percent * (len(left) + len(last[1]) - inter))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-def _pivot_pairs(placed: DataFrame, per: DataFrame, threshold: float) -> DataFrame:
-    """Every member with its buckets' pivots of other components."""
-    met = placed.join(per, "key").select("key", "rep", "comp", "n", F.explode("p").alias("x"))
-    met = met.where((F.col("comp") != F.col("x.c")) & _fits("n", "x.n", threshold))
-    return met.select(F.greatest("rep", "x.r").alias("a"), F.least("rep", "x.r").alias("b")).distinct()
+    return both.mapInArrow(run, "a long, b long")
 
 
-def _crossed(placed: DataFrame, per: DataFrame, classes: DataFrame, threshold: float, bodies: DataFrame | None = None, width: int = 2) -> DataFrame:
-    """Pairs (a, b) of members that are no pivots, across components: of each block as many as connect it.
+def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components, dealt into blocks (key, bi, bj).
 
-    Buckets are compared in blocks of BLOCK members, in place: sizes first, then the estimate, then
-    the full sets if ``bodies`` are given. A pair is looked at in the first band it shares only.
+    A bucket's largest component is never compared with itself. The others are dealt into blocks
+    0 .. k - 1 and meet each other in (bi, bj), bi <= bj < k; the largest is dealt into blocks from
+    k on, each of which meets the others' blocks. A block has about BLOCK classes and WEIGHT
+    shingles at most, but for single larger texts.
+    """
+    own = comps.select(F.col("id").alias("rep"), "comp")
+    placed = cut_lineage(members.join(own, "rep", "left").select("key", "band", "rep", "n", F.coalesce("comp", "rep").alias("comp")))
+    sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
+    top = sizes.groupBy("key").agg(F.max_by("comp", "c").alias("top"), F.count(F.lit(1)).alias("many"), F.max("c").alias("c1"), F.max_by("w", "c").alias("w1"), F.sum("c").alias("cs"), F.sum("w").alias("ws")).where("many > 1")
+    blocks = lambda c, w: F.greatest(F.lit(1), F.ceil(c / BLOCK), F.ceil(w / WEIGHT)).cast("int")
+    top = top.select("key", "top", blocks(F.col("cs") - F.col("c1"), F.col("ws") - F.col("w1")).alias("k"), blocks(F.col("c1"), F.col("w1")).alias("l"))
+    live = placed.join(top, "key").withColumn("large", F.col("comp") == F.col("top"))
+    mine = F.pmod(F.xxhash64("rep"), F.when(F.col("large"), F.col("l")).otherwise(F.col("k"))).cast("int")
+    live = live.select("key", "band", "rep", "comp", "k", "l", F.when(F.col("large"), F.col("k") + mine).otherwise(mine).alias("own"))
+    others = F.sequence(F.lit(0), F.when(F.col("own") < F.col("k"), F.col("k") + F.col("l")).otherwise(F.col("k")) - 1)
+    return live.select("key", "band", "rep", "comp", "k", "own", F.explode(others).alias("o")).select("key", F.least("own", "o").alias("bi"), F.greatest("own", "o").alias("bj"), "k", "band", "own", "rep", "comp")
+
+
+def _compared(block: pa.Table, threshold: float, width: int) -> tuple[list[int], list[int]]:
+    """Pairs of components (a, b) that links between the rows of a block join, as many as connect them.
+
+    Sizes first, then the estimate, then the full sets. Two classes are compared in the first band they share only.
     """
-    live = placed.join(per.where(F.col("m") > F.size("p") + 1), "key").where(~F.exists("p", lambda x: x["r"] == F.col("rep")))
-    n_blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), n_blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), n_blocks - 1))
-    dealt = live.select("key", "band", "rep", "comp", "n", own.alias("own"), other.alias("o")).select("key", F.least("own", "o").alias("bi"), F.greatest("own", "o").alias("bj"), "band", "own", "rep", "comp", "n")
-    rows = dealt.join(classes.select("rep", "regs"), "rep")
-    if bodies is not None:
-        rows = rows.join(bodies.select(F.col("doc_id").alias("rep"), "body"), "rep")
-    rows = rows.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "rep")
-    percent, exact = round(100 * threshold), bodies is not None
-
-    def block_pairs(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(parts)
-        band, bi, bj, own_, rep, comp, n = (t.column(c).to_numpy() for c in ("band", "bi", "bj", "own", "rep", "comp", "n"))
-        regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), ">u2").reshape(len(rep), -1)
-        up = {c: c for c in comp.tolist()}
-        sets: dict[int, np.ndarray] = {}
-
-        def root(c: int) -> int:
-            while up[c] != c:
-                up[c] = c = up[up[c]]
-            return c
-
-        def full(i: int) -> np.ndarray:
-            if i not in sets:
-                sets[i] = shingle_sets([zstandard.ZstdDecompressor().decompress(t.column("body")[i].as_py())], width)[0]
-            return sets[i]
-
-        for i in range(len(rep) - 1):
-            j = np.arange(i + 1, len(rep))
-            j = j[(comp[j] != comp[i]) & (np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * percent)]
-            if bi[0] != bj[0]:
-                j = j[own_[j] != own_[i]]
-            if not len(j):
+    percent = round(100 * threshold)
+    band, bi, bj, k = (int(block.column(c)[0].as_py()) for c in ("band", "bi", "bj", "k"))
+    own, comp, n = (block.column(c).to_numpy() for c in ("own", "comp", "n"))
+    bodies = block.column("body")
+    regs = np.frombuffer(b"".join(block.column("regs").to_pylist()), ">u2").reshape(len(own), -1)
+    up = {c: c for c in comp.tolist()}
+    sets: dict[int, np.ndarray] = {}
+
+    def root(c: int) -> int:
+        while up[c] != c:
+            up[c] = c = up[up[c]]
+        return c
+
+    def full(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingle_sets([zstandard.ZstdDecompressor().decompress(bodies[i].as_py())], width)[0]
+        return sets[i]
+
+    first, second = [], []
+    lefts = np.flatnonzero(own == bi)
+    rights = lefts if bi == bj else np.flatnonzero(own == bj)
+    for at, i in enumerate(lefts.tolist()):
+        j = rights[at + 1 :] if bi == bj else rights
+        j = j[(comp[j] != comp[i]) & (np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * percent)]
+        if not len(j):
+            continue
+        equal = regs[j] == regs[i]
+        j = j[(equal.reshape(len(j), BANDS, ROWS).all(axis=2).argmax(axis=1) == band) & (corrected(equal.mean(axis=1)) >= threshold - SLACK)]
+        for x in j.tolist():
+            p, q = root(int(comp[i])), root(int(comp[x]))
+            if p == q:
                 continue
-            equal = regs[j] == regs[i]
-            j = j[(equal.reshape(len(j), BANDS, ROWS).all(axis=2).argmax(axis=1) == band[0]) & (corrected(equal.mean(axis=1)) >= threshold - SLACK)]
-            for k in j.tolist():
-                x, y = root(int(comp[i])), root(int(comp[k]))
-                if x == y:
-                    continue
-                if exact:
-                    inter = len(np.intersect1d(full(i), full(k), assume_unique=True))
-                    if 100 * inter < percent * (len(full(i)) + len(full(k)) - inter):
-                        continue
-                up[x] = y
-                yield pa.RecordBatch.from_arrays([pa.array([max(rep[i], rep[k])]), pa.array([min(rep[i], rep[k])])], ["a", "b"])
+            inter = len(np.intersect1d(full(i), full(x), assume_unique=True))
+            if 100 * inter >= percent * (len(full(i)) + len(full(x)) - inter):
+                up[max(p, q)] = min(p, q)
+                first.append(max(p, q))
+                second.append(min(p, q))
+    return first, second
+
+
+def _cross_links(live: DataFrame, bodies: DataFrame, threshold: float, width: int) -> DataFrame:
+    """Links (a, b) between the components of open buckets, found block by block and in place."""
+    cols = ["key", "bi", "bj", "k", "band", "own", "rep", "comp", "n", "regs", "body"]
+    rows = live.join(bodies, "rep").select(*cols).repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         last = None
+
+        def done() -> pa.RecordBatch:
+            a, b = _compared(pa.Table.from_batches(held), threshold, width)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -312,82 +339,64 @@ def _crossed(placed: DataFrame, per: DataFrame, classes: DataFrame, threshold: f
             for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 here = tuple(ids[:, x].tolist())
                 if here != last and held:
-                    yield from block_pairs(held)
-                    held = []
+                    yield done()
                 last = here
                 held.append(batch.slice(x, y - x))
         if held:
-            yield from block_pairs(held)
+            yield done()
 
-    cols = ["key", "bi", "bj", "band", "own", "rep", "comp", "n", "regs"]
-    return rows.select(*cols, *(["body"] if exact else [])).mapInArrow(run, "a long, b long").distinct()
+    return rows.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, width: int = 2, pivots: float = 2.0) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, width: int = 2) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept.
 
     Null and empty texts have an empty set and are linked with nothing; so are rows with a null id
-    (component_id null, kept). Rows that repeat an id are one document: kept alike. Equal sets are
-    one class, however many rows they have, and are never expanded into pairs. An empty table gives
-    no rows; columns other than the two named are not read. ``pivots``: where the open pairs are more
-    than so many a class, buckets are compared pivot by pivot first, which connects most members.
+    (component_id null, kept). Rows that repeat an id are one document, whose links are those of all
+    its texts. Equal sets are one class, however many rows they have, and are never expanded into
+    pairs. An empty table gives no rows; columns other than the two named are not read.
     """
     sigs = cut_lineage(signatures(df, id_col, text_col, width))
     some = sigs.where("digest is not null and doc_id is not null")
-    classes = cut_lineage(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.min_by("regs", "doc_id").alias("regs")))
-    band = lambda i: F.xxhash64(i, F.substring(F.col("regs"), i * (2 * ROWS) + 1, F.lit(2 * ROWS)))
-    rows = classes.select("rep", "n", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("band", "key"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = cut_lineage(rows.join(shared, "key"))
-    # How often a class meets others: the middle of a group of variants meets the most.
-    central = members.groupBy("rep").agg(F.sum("m").alias("shared"))
-    members = cut_lineage(members.select("key", "band", "rep", "n").join(central, "rep"))
-    limit = pivots * classes.count()
-    # Pairs that the estimate lets through: with pivots, then across what these left apart.
-    start = members.withColumn("comp", F.col("rep"))
-    first = cut_lineage(_estimated(_pivot_pairs(start, _pivots(start, 0), threshold), classes, threshold))
-    placed = _placed(members, components(first))
-    per = _pivots(placed, 0)
-    passed = first.unionByName(cut_lineage(_crossed(placed, per, classes, threshold)))
-    nodes = components(passed).select(F.col("id").alias("doc_id"))
-    bodies = _bodies(df, id_col, text_col, nodes)
-    # Verification; whatever it parts is compared anew, inside what the estimates had connected.
-    links = cut_lineage(_verified(passed, bodies, threshold, width))
-    comps, before, turn, done = components(links), None, 1, False
-    near = members.join(nodes.select(F.col("doc_id").alias("rep")), "rep", "left_semi")
-    while not done:
-        placed = _placed(near, comps)
-        per = _pivots(placed, turn)
-        inside = placed.groupBy("key", "comp").count().groupBy("key").agg(F.sum(F.col("count") * F.col("count")).alias("same"))
-        open_ = (F.col("m").cast("double") * F.col("m") - F.col("same")) / 2
-        left = per.join(inside, "key").agg(F.sum(open_)).first()[0] or 0.0
-        done = left <= limit or before is not None and left > 0.9 * before
-        before, turn = left, turn + 1
-        if not left:
-            break
-        pairs = _estimated(_pivot_pairs(placed, per, threshold).join(passed, ["a", "b"], "left_anti"), classes, threshold)
-        fresh = _verified(pairs, bodies, threshold, width)
-        if done:  # few are left, or pivots no longer connect much: all of them
-            fresh = fresh.unionByName(_crossed(placed, per, classes, threshold, bodies, width))
-        fresh, n = cut_and_count(fresh)
-        if n:
-            links = links.unionByName(fresh)
-            comps = components(links)
-    found = classes.select("digest", "rep").join(comps.select(F.col("id").alias("rep"), "comp"), "rep", "left").select(F.col("digest").alias("d"), F.coalesce("comp", "rep").alias("comp"))
-    placed = sigs.join(found, (sigs["digest"] == found["d"]) & sigs["doc_id"].isNotNull(), "left")
-    comp = F.coalesce(F.col("comp"), F.col("doc_id"))
-    return placed.select("doc_id", "n_shingles", comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
+    classes = cut_lineage(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("regs").alias("regs")))
+    names = classes.select("digest", "rep")
+    # An id with several texts ties their classes.
+    which = F.xxhash64("digest")
+    several, n = cut_and_count(some.groupBy("doc_id").agg(F.min(which).alias("x"), F.max(which).alias("y")).where("x <> y").select("doc_id"))
+    members = _members(classes)
+    bodies = _bodies(df, id_col, text_col, members.select("rep").distinct(), width)
+    links = _pivot_links(members, bodies, threshold, width)
+    if n:
+        links = links.unionByName(some.join(several, "doc_id").join(names, "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    links = cut_lineage(links)
+    drop(several)
+    comps = components(links)
+    live = cut_lineage(_open(members, comps))
+    drop(links, members)
+    links = cut_lineage(_cross_links(live, bodies, threshold, width))
+    drop(live, bodies)
+    more = components(links)
+    labels = compose(comps, more).withColumnRenamed("id", "rep")
+    found = names.join(labels, "rep", "left").select("digest", F.coalesce("comp", "rep").alias("comp"))
+    placed = sigs.select("doc_id", "digest", "n").join(found, "digest", "left")
+    comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
+    out = cut_lineage(placed.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept")))
+    drop(sigs, classes, comps, links, more)
+    return out
 
 
 def keep_one(docs: DataFrame, **how: object) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates, its columns unchanged."""
-    found = near_duplicates(docs, **how).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    one = docs.join(found, docs["doc_id"] == F.col("__id"), "left_semi")
-    cols = [c for c in docs.columns if c != "doc_id"]
-    # Rows that repeat an id are one document; rows without an id are documents of their own.
-    first = one.groupBy("doc_id").agg(F.min(F.struct(*cols)).alias("r")) if cols else one.select("doc_id").distinct()
-    named = first.select(*[F.col("doc_id") if c == "doc_id" else F.col("r")[c].alias(c) for c in docs.columns]) if cols else first
-    return named.unionByName(docs.where("doc_id is null"))
+    """``docs`` with one row of each group of near-duplicates, its columns unchanged.
+
+    Rows that repeat an id are one document; rows without an id are documents of their own.
+    """
+    cols = docs.columns
+    row = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(cols)])
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row.alias("r"))
+    found = near_duplicates(docs, **how).where("kept and doc_id is not null").select("doc_id").distinct()
+    one = rows.join(found, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("r").alias("r")).select("r")
+    both = one.unionByName(rows.where("doc_id is null").select("r"))
+    return both.select(*[F.col("r")[f"c{i}"].alias(c) for i, c in enumerate(cols)])
 
 
 #: The same rows in SQL.

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievespark.llm.common import small_batches
+from sievespark.llm.common import sliced
 
 LENGTH, GRAM = 100, 20
 #: Text bytes handled at once in a map task (in blocks that fit the cache), and behind one bucket.
@@ -336,7 +336,7 @@ def _hot_owners(rows: DataFrame) -> np.ndarray:
             some = n >= least
             return pa.RecordBatch.from_arrays([pa.array(h[some].view(np.int64)), pa.array(n[some])], ["owner", "n"])
 
-        for batch in batches:
+        for batch in sliced(batches):
             for _, _, segs in batches_of(*_rows(batch)):
                 held.append(Batch(segs).owner)
             if sum(map(len, held)) > 4_000_000:
@@ -399,7 +399,6 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their marks; rows that repeat both are one document. Null and empty texts have no ranges.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     rows = keyed_rows(docs, id_col, text_col)
     size = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES + 1)
@@ -407,7 +406,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Headers of open pieces by bucket (kind 0), and ranges settled in the batch (kind 1)."""
-        for rec in batches:
+        for rec in sliced(batches):
             for ids, marks, segs in batches_of(*_rows(rec)):
                 batch, out = Batch(segs), []
                 done, key, first, count = batch.open_pieces(hot.value)
@@ -476,7 +475,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             size = 0
             return out
 
-        for batch in batches:
+        for batch in sliced(batches):
             for id_, mark, data, part in zip(*(batch.column(i) for i in range(4))):
                 fields = part.values.flatten()
                 bucket, kind, a, b = (x.to_numpy(zero_copy_only=False) for x in fields)
@@ -541,7 +540,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     both = rows.join(gone, (F.col("id") == F.col("rid")) & (F.col("mark") == F.col("rmark")), "left").select("id", "data", "ranges")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             cols: list[list] = [[] for _ in range(5)]
             for data, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 mask = removed_mask(len(data), found)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievespark.llm.common import small_batches
+from sievespark.llm.common import sliced
 
 #: Character classes of the splitter.
 LETTER, STMD, RV, ELL, EE, DIGIT, SPACE, WHITE, QUOTE, OTHER, END = range(11)
@@ -296,13 +296,12 @@ def token_counts(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     read whole; an empty table gives an empty result; other columns are not read.
     """
     spark = df.sparkSession
-    small_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:  # of the driver; its content goes out once
         spec = spark.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = compiled(spec)
-        for batch in batches:
+        for batch in sliced(batches):
             counts = tokenizer.count_all(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts, pa.int64())], ["id", "n_bytes", "n_tokens"])
 

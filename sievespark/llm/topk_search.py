@@ -15,8 +15,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievespark.llm.common import small_batches
-
 QUERY_ROWS, CANDIDATE_ROWS = 1024, 4096
 #: Dense scores held at once in a task.
 STRIP = 128
@@ -81,7 +79,6 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
     rows that repeat an id with other vectors are queries and candidates of their own. Scores are
     64-bit integers. Fewer than k candidates are all returned; an empty table gives no rows.
     """
-    small_batches(df.sparkSession, 2000)
     rows = df.select(df[id_col].cast("long").alias("id"), quantised(df[vector_col], scale).alias("v"), is_query.alias("q")).where("id is not null and v is not null")
     asked = rows.where("q").select("id", "v").distinct()
     n_queries, n_rows = asked.count(), rows.count()

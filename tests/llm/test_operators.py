@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievespark.llm import chat_format, decontamination, language_id, mixing, near_dedup, secrets, sharding, suffix_dedup, token_counts, topk_search
+from sievespark.llm import chat_format, decontamination, graph, language_id, mixing, near_dedup, secrets, sharding, suffix_dedup, token_counts, topk_search
 
 #: Extra columns named like what operators make inside.
 EXTRA = ("id", "size", "pattern", "copies", "part", "kept", "hits", "row_id", "words", "score", "c0", "slot", "shard", "rank", "key", "rep", "comp", "mark", "data", "h", "n", "base", "tokens")
@@ -445,6 +445,7 @@ def near_rows():
     rows += [(500 + k, base[1].upper() if k % 2 else base[1].replace(" ", "\n")) for k in range(60)]
     rows += [(700 + k, " ".join(rng.sample("p q r s t u v w x y".split(), rng.randint(1, 4)))) for k in range(60)]
     rows += [(900, None), (901, ""), (902, " \t "), (903, "one"), (904, "ONE"), (905, "one two"), (906, "a b " * 3000), (907, "a  b " * 2999 + "a b"), (None, base[2]), (1003, base[3])]
+    rows += [(950, base[4]), (950, base[5]), (951, base[6]), (952, base[6] + " x"), (950, base[6] + " y")]  # an id with three texts ties three groups
     return rows
 
 
@@ -475,11 +476,12 @@ def brute_components(rows, width):
     return [(d, len(s), least[root(i)] if d is not None else None) for i, ((d, _), s) in enumerate(zip(rows, sets))]
 
 
-@pytest.mark.parametrize("width", [2, 5])
-def test_near_dedup_matches_brute_force(spark, width):
+@pytest.mark.parametrize("width,block", [(2, 512), (5, 512), (2, 3)])
+def test_near_dedup_matches_brute_force(spark, width, block, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     rows = near_rows()
-    got = near_dedup.near_duplicates(docs(spark, rows).repartition(3), width=width, pivots=0.5).collect()
-    order = lambda r: (r[0] is None, r[0] or 0)
+    got = near_dedup.near_duplicates(docs(spark, rows).repartition(3), width=width).collect()
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
     want = brute_components(rows, width)
     assert sorted([tuple(r)[:3] for r in got], key=order) == sorted(want, key=order)
     assert all(r.kept == (r.component_id == r.doc_id or r.doc_id is None) for r in got)
@@ -490,7 +492,7 @@ def test_near_dedup_matches_brute_force(spark, width):
 
 
 def test_near_dedup_sql_agrees(spark, tmp_path):
-    rows = [r for r in near_rows()[:-2]]
+    rows = near_rows()[:-7]
     con = duckdb.connect()
     docs(spark, rows).select("doc_id", "text").coalesce(1).write.parquet(str(tmp_path / "d"))
     con.execute(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
@@ -509,12 +511,63 @@ def test_registers_estimate_jaccard():
         assert abs(near_dedup.estimate(r[:1], r[1:])[0] - j) < 0.12
 
 
-def test_near_dedup_estimates_pairs_from_all_registers(spark):
-    """A pair with 50 of its first 90 registers equal, and 140 of all 180, stays; one with 100 of 180 goes."""
+def block_of(regs, texts, own=None, k=1, bi=0, bj=0):
+    packed = [near_dedup.zstandard.ZstdCompressor().compress(t) for t in texts]
+    n = len(texts)
+    cols = {"k": [k] * n, "bi": [bi] * n, "bj": [bj] * n, "band": [0] * n, "own": own or [0] * n, "comp": list(range(n)), "n": [5] * n, "regs": [r.tobytes() for r in regs], "body": packed}
+    return near_dedup.pa.table(cols)
+
+
+def test_near_dedup_estimates_pairs_from_all_registers():
+    """A pair with 50 of its first 90 registers equal, and 140 of all 180, is compared; one with 100 of 180 is not, whatever its text."""
     base = np.arange(near_dedup.BANDS * near_dedup.ROWS).astype(">u2")
     near, far = base.copy(), base.copy()
     near[50:90] += 1000
     far[100:] += 1000
-    classes = spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate((base, near, far))], "rep long, regs binary")
-    pairs = spark.createDataFrame([(1, 0), (2, 0)], "a long, b long")
-    assert [(r.a, r.b) for r in near_dedup._estimated(pairs, classes, 0.8).collect()] == [(1, 0)]
+    texts = [b"a b c d e f"] * 3
+    assert near_dedup._compared(block_of((base, near, far), texts), 0.8, 2) == ([1], [0])
+    assert near_dedup._compared(block_of((base, near), [texts[0], b"g h i j k"]), 0.8, 2) == ([], [])
+    # The others' block against the largest component's: only across.
+    assert near_dedup._compared(block_of((base, base, base), texts, [0, 1, 1], 1, 0, 1), 0.8, 2) == ([1, 2], [0, 0])
+
+
+def test_near_dedup_recall_at_the_threshold():
+    """Thousands of pairs planted at a similarity of just over 0.8: bands and estimate let all of them through."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for _ in range(3000):
+        pool = rng.integers(0, 1 << 64, 110, np.uint64)
+        sets += [np.unique(pool[:100]), np.unique(pool[11:])]  # 89 of 110
+    regs = near_dedup.registers(sets)
+    equal = regs[0::2] == regs[1::2]
+    met = equal.reshape(len(equal), near_dedup.BANDS, near_dedup.ROWS).all(axis=2).any(axis=1)
+    assert met.all() and (near_dedup.corrected(equal.mean(axis=1)) >= 0.8 - near_dedup.SLACK).all()
+
+
+def labels_of(links):
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    return {x: root(x) for x in up if root(x) != x}
+
+
+@pytest.mark.parametrize("kind", ["chain", "star", "hub", "random", "none"])
+def test_components(spark, kind):
+    rng = random.Random(7)
+    links = {
+        "chain": [(i, i + 1) for i in range(200)],
+        "star": [(0, i) for i in range(1, 200)],
+        "hub": [(1000, i) for i in range(200)] + [(5, 5)],
+        "random": [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)],
+        "none": [(3, 3)],
+    }[kind]
+    rng.shuffle(links)
+    df = spark.createDataFrame(links, "a long, b long").repartition(7)
+    assert {r.id: r.comp for r in graph.components(df).collect()} == labels_of(links)
