@@ -27,11 +27,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOOLS = {
     "search": {"type": "object", "properties": {"query": {"type": "string"}, "limit": {"type": "integer", "minimum": 1}}, "required": ["query"]},
     "calculate": {"type": "object", "properties": {"expression": {"type": "string"}}, "required": ["expression"], "additionalProperties": False},
+    "reply": {"type": "object", "properties": {"turn": {"type": "integer", "minimum": 0}}, "required": ["turn"], "additionalProperties": False},
 }
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = chat_format.format_messages(read_table(spark, sf_dir, "conversations"), TOOLS)
+    """The driver's conversations hold no explicit call; their plain turns are linked as calls of ``reply`` and its results."""
+    out = chat_format.format_messages(read_table(spark, sf_dir, "conversations"), TOOLS, reply="reply")
     return out.select("conv_id", "turn", "at", "level", "role", "answers_turn", F.size("problems").alias("n_problems"), "json")
 
 

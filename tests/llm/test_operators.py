@@ -144,6 +144,120 @@ def test_chat_links_orders_and_validates(spark):
     assert chat_format.format_messages(df.limit(0), schema).count() == 0
 
 
+HOSTILE = [
+    '{"tool_calls":[{"id":"i","name":"add","arguments":{"a":1,"b":1' + "0" * 400 + "}}]}",  # an integer beyond doubles
+    '{"tool_calls":[{"id":"n","name":{"x":1},"arguments":{}}]}',
+    '{"tool_call_id":"zz","content":"\\ud800 half"}',
+    '{"tool_calls":[{"id":"\\udc00","name":"add","arguments":{"a":1,"b":2}}]}',
+    '{"tool_calls":[{"id":"deep","name":"add","arguments":{"a":' + "[" * 5000 + "]" * 5000 + ',"b":1}}]}',
+    '{"tool_calls":[{"id":"s","name":"add","arguments":"' + "[" * 200_000 + '"}]}',
+    '{"tool_calls":[{"id":"inf","name":"add","arguments":{"a":1e400,"b":1}}]}',
+    '{"tool_calls":[{"id":"nan","name":"add","arguments":{"a":NaN,"b":1}}]}',
+    '{"tool_calls":7}', '{"tool_calls":[7,{"id":3},{"id":"z"}]}', '{"tool_call_id":{}}', "{" * 100_000, '{"tool_calls":[{"id":"l","name":"add","arguments":{"b":1.0,"a":' + "1" * 5000 + "}}]}",
+]
+
+
+def test_chat_survives_hostile_texts(spark):
+    import json
+
+    rows = [(1, i, "assistant", t) for i, t in enumerate(HOSTILE)] + [(None, 1, "assistant", '{"tool_calls":[{"id":"c1","name":"add","arguments":{"a":1,"b":2}}]}'), (None, 2, "tool", '{"tool_call_id":"c1"}'), (2, 5, "tool", '{"tool_call_id":"c1"}'), (3, 1, "user", "x" * 1_000_000)]
+    out = chat_format.format_messages(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), {"add": ADD}).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        json.loads(r.json, parse_constant=lambda x: pytest.fail(x))
+    one = {r.turn: r for r in out if r.conv_id == 1}
+    assert one[0].problems == ["i: no result"] and one[1].problems == ["n: unknown tool", "n: no result"]
+    assert one[2].json == '{"content":"\\ud800 half","role":"assistant","tool_call_id":"zz"}' and one[3].problems == ["\\udc00: no result"]
+    assert all("tool_calls" not in json.loads(one[i].json) for i in (4, 6, 7, 8, 10, 11, 12)) and one[5].problems[0] == "s: arguments are not JSON"
+    none = {r.turn: r for r in out if r.conv_id is None}
+    assert none[2].answers_turn == 1 and none[1].problems == none[2].problems == []
+    assert [r.problems for r in out if r.conv_id == 2] == [["c1: no call"]]
+
+
+def chats(rng, n):
+    """Rows with calls, results and uses in any order, ids called again, missing ones, cycles."""
+    import json
+
+    rows = []
+    for conv in [*range(n), None]:
+        ids = [f"c{k}" for k in range(rng.randint(1, 8))]
+        turns = list(range(3 * len(ids) + 3))
+        rng.shuffle(turns)
+        for i in ids:
+            uses = {"$result": rng.choice(ids)} if rng.random() < 0.6 else 3
+            rows.append((conv, turns.pop(), "assistant", json.dumps({"tool_calls": [{"id": i, "name": "add", "arguments": {"a": uses, "b": rng.choice([1, "x", 2.5])}}]})))
+            for _ in range(rng.choice([0, 1, 1, 1, 2])):
+                rows.append((conv, turns.pop(), "tool", json.dumps({"tool_call_id": rng.choice([i, i, "lost"]), "content": "é"})))
+        if rng.random() < 0.3:
+            rows.append((conv, turns.pop(), "assistant", json.dumps({"tool_calls": [{"id": ids[0], "name": "add", "arguments": {"a": 1, "b": 1}}]})))
+        rows.append((conv, turns.pop(), "user", "plain"))
+    return rows
+
+
+def brute_chat(rows):
+    import json
+
+    out = []
+    for conv in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == conv]
+        call, answer, uses, again = {}, {}, {}, set()
+        for _, turn, _, text in mine:
+            body = json.loads(text) if text[0] == "{" else {}
+            for c in body.get("tool_calls", []):
+                call.setdefault(c["id"], []).append(turn)
+                used = c["arguments"]["a"]
+                if isinstance(used, dict):
+                    uses.setdefault(turn, set()).add(used["$result"])
+            if "tool_call_id" in body:
+                answer.setdefault(body["tool_call_id"], []).append(turn)
+        before = {}  # turn -> turns it waits for
+        for i in call:
+            if i in answer:
+                before.setdefault(min(answer[i]), set()).add(min(call[i]))
+        for turn, ids in uses.items():
+            before.setdefault(turn, set()).update(min(answer[i]) for i in ids if i in answer)
+
+        def stuck(t, path=()):
+            return t in path or any(stuck(b, (*path, t)) for b in before.get(t, ()))
+
+        def key(t):
+            return max([(t, 0), *((a, n + 1) for a, n in map(key, before.get(t, ())))])
+
+        for _, turn, _, text in mine:
+            body, problems = json.loads(text) if text[0] == "{" else {}, []
+            late = stuck(turn)
+            for c in body.get("tool_calls", []):
+                b = c["arguments"]["b"]
+                problems += [f"{c['id']}: $.b: not of type integer"] if not isinstance(b, int) else []
+                problems += [f"{c['id']}: called again"] if turn > min(call[c["id"]]) else [f"{c['id']}: no result"] if c["id"] not in answer else []
+            i = body.get("tool_call_id")
+            problems += [f"{i}: no call"] if i is not None and i not in call else []
+            out.append((conv, turn, *((turn, 0) if late else key(turn)), min(call[i]) if i in call else None, problems + ["cycle"] * late))
+    return out
+
+
+ADD = {"type": "object", "properties": {"a": {}, "b": {"type": "integer"}}, "required": ["a", "b"]}
+
+
+@pytest.mark.parametrize("group", [100_000, 6])
+def test_chat_matches_brute_force(spark, group, monkeypatch):
+    monkeypatch.setattr(chat_format, "GROUP", group)
+    rows = chats(random.Random(21), 40)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = [(r.conv_id, r.turn, r["at"], r.level, r.answers_turn, r.problems) for r in chat_format.format_messages(df, {"add": ADD}).collect()]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(got, key=order) == sorted(brute_chat(rows), key=order)
+
+
+def test_chat_replies(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "q"), (1, 2, "assistant", "a"), (1, 3, "assistant", "more"), (1, 4, "user", None), (None, 1, "user", "q"), (None, 2, "assistant", "a"), (2, None, "user", "q"), (1, 1, "user", "q")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {(r.conv_id, r.turn): r for r in chat_format.format_messages(df, {"reply": {"type": "object"}}, "reply").collect()}
+    assert {k: r.answers_turn for k, r in out.items() if r.answers_turn is not None} == {(1, 2): 1, (None, 2): 1}
+    assert {k: r.problems for k, r in out.items() if r.problems} == {(1, 3): ["turn-2: no call"], (1, 4): ["turn-4: no result"]}
+    assert out[1, 1].json == '{"content":"q","role":"user","tool_calls":[{"arguments":{"turn":1},"id":"turn-1","name":"reply"}]}'
+
+
 def test_top_k_is_exact(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.normal(0, 0.3, 8)]) for i in range(260)]
