@@ -2,7 +2,9 @@
 
 Benchmark items become word windows; equal windows of several items are one row. Each document's
 words are hashed once, every window of the document becomes one 64-bit hash, and a hash join
-against the broadcast set leaves the few candidate windows, which are then verified word by word.
+against the broadcast set leaves the few candidate windows, by a key of the text. They are joined
+back to the documents and verified word by word in the text itself; a benchmark too large to be
+broadcast is joined by hash in the same plan, with nothing but keys, positions and hashes dealt out.
 """
 
 from __future__ import annotations
@@ -12,12 +14,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievespark.llm.common import ascii_lower
+from sievespark.llm.common import ascii_lower, let
+from sievespark.session import cut_lineage
 
 #: Words of the contract: ASCII letters and digits after lower-casing, and anything beyond ASCII.
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words in a text as it is written.
+WORD_AS_WRITTEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Windows that may be broadcast (about 200 bytes each); a larger benchmark is joined by shuffle.
 BROADCAST_WINDOWS = 200_000
+#: Slots of the table that says which texts may have a candidate (2 to 4 MB).
+SLOTS = 1 << 18
 
 
 def words_of(text: Column) -> Column:
@@ -29,12 +36,6 @@ def _gram(hashes: Column, length: Column | int) -> Column:
     return F.xxhash64(F.lit(length) if isinstance(length, int) else length, hashes)
 
 
-def _windows(words: Column, hashes: Column, length: int) -> Column:
-    """Hashes of all windows of ``length`` words, in order."""
-    at = F.when(F.size(words) >= length, F.sequence(F.lit(1), F.size(words) - (length - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: _gram(F.slice(hashes, i, length), length))
-
-
 def benchmark_windows(bench: DataFrame, n: int = 10, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Distinct windows: len, hash, words and the items (as strings) that hold them."""
     items = bench.select(bench[id_col].cast("string").alias("item"), words_of(bench[text_col]).alias("w")).where(F.size("w") > 0)
@@ -44,37 +45,56 @@ def benchmark_windows(bench: DataFrame, n: int = 10, id_col: str = "item_id", te
     return wins.select(F.col("len").alias("b_len"), _gram(F.transform("gram", lambda x: F.xxhash64(x)), F.col("len")).alias("b_hash"), F.col("gram").alias("b_words"), "items")
 
 
-def find_hits(docs: DataFrame, bench: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row of ``docs``: row_id, id, n_words, hits (array of word ranges), items (array), ``keep``.
+def _key(text: Column) -> Column:
+    """128 bits of a text: rows of one text have the same hits."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+
+
+def _candidates(docs: DataFrame, bench: DataFrame, n: int, text_col: str) -> DataFrame:
+    """(key, found): per text with a window hash of the benchmark, all (pos, end, words, items). Written.
+
+    What is dealt out is a key, a position and a hash a window; texts without a hit have no row.
+    """
+    wins = benchmark_windows(bench, n)
+    lengths = sorted(r[0] for r in wins.select("b_len").distinct().collect())  # at most n values
+    if lengths and wins.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
+        wins = F.broadcast(wins)
+    rows = docs.select(_key(docs[text_col]).alias("key"), F.transform(words_of(docs[text_col]), lambda x: F.xxhash64(x)).alias("hashes"))
+
+    def windows(k: int) -> DataFrame:
+        at = rows.where(F.size("hashes") >= k).select("key", "hashes", F.explode(F.sequence(F.lit(0), F.size("hashes") - k)).alias("pos"))
+        return at.select("key", F.lit(k).alias("len"), "pos", _gram(F.slice("hashes", F.col("pos") + 1, k), k).alias("hash"))
+
+    met = reduce(DataFrame.unionByName, map(windows, lengths or [n])).join(wins, (F.col("hash") == F.col("b_hash")) & (F.col("len") == F.col("b_len")))
+    found = F.struct("pos", (F.col("pos") + F.col("len")).alias("end"), F.col("b_words").alias("words"), "items")
+    return cut_lineage(met.groupBy("key").agg(F.collect_set(found).alias("found")))
+
+
+def find_hits(docs: DataFrame, bench: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text", keep: Column | None = None) -> DataFrame:
+    """Per row of ``docs``: id, n_words, hits (sorted array of word ranges), items (array); with ``keep`` also kept and text.
 
     A window is ``n`` consecutive words of an item; an item of fewer words is one window, one of
     none has no window. Null and empty texts have no words and no hits; rows that repeat an id are
     judged each by itself; null item ids count as hits without an item. Columns other than those
-    named are not read.
+    named are not read. The windows are broadcast up to BROADCAST_WINDOWS, and joined by hash beyond.
     """
-    wins = benchmark_windows(bench, n)
-    lengths = sorted(r[0] for r in wins.select("b_len").distinct().collect())  # at most n values
-    small = wins.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
-    # One marker row (length 0) lets each document through the join once, hit or not.
-    marker = bench.sparkSession.range(1).select(F.lit(0).alias("b_len"), F.lit(0).cast("long").alias("b_hash"), F.array().cast("array<string>").alias("b_words"), F.array().cast("array<string>").alias("items"))
-    wins = wins.unionByName(marker)
-    base = docs.select(F.monotonically_increasing_id().alias("row_id"), docs[id_col].alias("id"), *[docs[c] for c in keep], words_of(docs[text_col]).alias("words"))
-    hashed = base.withColumn("hashes", F.transform("words", lambda x: F.xxhash64(x)))
-    # One array a document: the marker, then the windows of each length in turn.
-    every = reduce(lambda a, b: F.concat(a, b), [_windows(F.col("words"), F.col("hashes"), k) for k in lengths], F.array(F.lit(0).cast("long")))
-    flat = hashed.select("row_id", "id", *keep, "words", F.posexplode(every).alias("at", "hash"))
-    joined = flat.join(F.broadcast(wins) if small else wins, F.col("hash") == F.col("b_hash"))
-    base_, pos = F.lit(1), F.lit(-1)
-    for k in lengths:
-        pos = F.when(F.col("b_len") == k, F.col("at") - base_).otherwise(pos)
-        base_ = base_ + F.greatest(F.lit(0), F.size("words") - (k - 1))
-    placed = joined.select("row_id", "id", *keep, "words", "at", "b_len", "b_words", "items", pos.alias("pos"))
-    marked = (F.col("b_len") == 0) & (F.col("at") == 0)
-    same = (F.col("b_len") > 0) & (F.col("pos") >= 0) & (F.slice("words", F.greatest(F.lit(0), F.col("pos")) + 1, F.greatest(F.col("b_len"), F.lit(1))) == F.col("b_words"))
-    true = placed.where(marked | same)
-    true = true.select("row_id", "id", *[F.when(F.col("b_len") == 0, F.col(c)).alias(c) for c in keep], F.when(F.col("b_len") == 0, F.size("words")).alias("n"), F.when(F.col("b_len") > 0, F.struct("pos", (F.col("pos") + F.col("b_len")).alias("end"))).alias("hit"), "items")
-    out = true.groupBy("row_id").agg(F.first("id", ignorenulls=True).alias("id"), *[F.first(c, ignorenulls=True).alias(c) for c in keep], F.max("n").cast("long").alias("n_words"), F.array_sort(F.collect_list("hit")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return out
+    found = _candidates(docs, bench, n, text_col)
+    slot = lambda key: F.pmod(key["a"], F.lit(SLOTS))
+    slots = F.broadcast(found.select(slot(F.col("key")).alias("slot")).distinct())  # at most SLOTS rows
+    text = docs[text_col]
+    n_words = F.coalesce(F.regexp_count(ascii_lower(text), F.lit(TOKEN)), F.lit(0)).cast("long")
+    rows = docs.select(docs[id_col].alias("id"), n_words.alias("n_words"), _key(text).alias("key"), text.alias("text"), *([keep.alias("kept")] if keep is not None else []))
+    out = ["id", "n_words", "hits", "items", *(["kept", "text"] if keep is not None else [])]
+    # Texts that cannot have a candidate pass by; only the others are dealt out and verified, word by word in the text itself.
+    near = slot(F.col("key")) == F.col("slot")
+    open_ = rows.join(slots, near, "left_semi").join(found.select(F.col("key").alias("found_key"), "found"), F.col("key") == F.col("found_key"), "left")
+    none = F.array().cast(found.schema["found"].dataType)
+    true = let(words_of(F.col("text")), lambda w: F.filter("found", lambda f: F.slice(w, f["pos"] + 1, f["end"] - f["pos"]) == f["words"]))
+    open_ = open_.withColumn("true", F.when(F.col("found").isNotNull(), true).otherwise(none))
+    clear = rows.join(slots, near, "left_anti").withColumn("true", none)
+    hits = lambda t: F.sort_array(F.transform(t, lambda f: F.struct(f["pos"].alias("pos"), f["end"].alias("end"))))
+    items = lambda t: F.sort_array(F.array_distinct(F.flatten(F.transform(t, lambda f: f["items"]))))
+    return open_.withColumns({"hits": hits("true"), "items": items("true")}).select(*out).unionByName(clear.withColumns({"hits": hits("true"), "items": items("true")}).select(*out))
 
 
 def covered(hits: Column) -> Column:
@@ -99,24 +119,23 @@ def clean_documents(docs: DataFrame, bench: DataFrame, n: int = 10, remove: str
     The columns of ``docs`` stay as they are; rows without a hit are returned unchanged.
     """
     cols = docs.columns
-    hits = find_hits(docs.select("*", F.struct(*[docs[c] for c in cols]).alias("__row")), bench, n, keep=("__row",))
+    hits = find_hits(docs, bench, n, keep=F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(cols)]))
+    whole = [F.col("kept")[f"c{i}"].alias(c) for i, c in enumerate(cols)]
     if remove == "documents":
-        return hits.where(F.size("hits") == 0).select(*[F.col("__row")[c].alias(c) for c in cols])
-    text = F.col("__row")["text"]
-    lower = ascii_lower(text)  # as long as the text, so word ranges carry over
-    gaps, size = F.split(lower, TOKEN, -1), F.length(text)
-    spot = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.lit("").alias("out"))
-
-    def step(a: Column, pair: Column) -> Column:
-        start = a["at"] + F.length(pair["gap"])
-        end = start + F.length(F.coalesce(pair["word"], F.lit("")))
-        hit = F.exists(F.col("hits"), lambda h: (h["pos"] <= a["i"]) & (a["i"] < h["end"]))
-        kept = F.concat(a["out"], F.substring(text, a["at"] + 1, F.when(hit, start - a["at"]).otherwise(end - a["at"])))
-        return F.struct(end.alias("at"), (a["i"] + 1).alias("i"), kept.alias("out"))
-
-    pairs = F.zip_with(gaps, words_of(text), lambda g, w: F.struct(F.coalesce(g, F.lit("")).alias("gap"), w.alias("word")))
-    cleaned = F.when((F.size("hits") == 0) | (size == 0) | text.isNull(), text).otherwise(F.aggregate(pairs, spot, step, lambda a: a["out"]))
-    return hits.select(*[(cleaned if c == "text" else F.col("__row")[c]).alias(c) for c in cols])
+        return hits.where(F.size("hits") == 0).select(*whole)
+    text = F.col("text")
+
+    def without(words: Column, gone: Column) -> Column:
+        every = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
+        # Position i as 2 i + 1 where it stays, as 2 i where it goes: sorted, the last bit of entry i says which.
+        flags = F.sort_array(F.concat(F.transform(F.array_except(every, gone), lambda i: 2 * i + 1), F.transform(gone, lambda i: 2 * i)))
+        left = F.zip_with(words, flags, lambda w, f: F.when(f % 2 == 1, w).otherwise(F.lit("")))
+        return F.array_join(F.zip_with(F.split(text, WORD_AS_WRITTEN, -1), left, lambda g, w: F.concat(g, F.coalesce(w, F.lit("")))), "")
+
+    gone = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["pos"], h["end"] - 1))))
+    parts = let(F.struct(F.regexp_extract_all(text, F.lit(WORD_AS_WRITTEN), F.lit(0)).alias("words"), gone.alias("gone")), lambda x: without(x["words"], x["gone"]))
+    cleaned = F.when((F.size("hits") == 0) | text.isNull(), text).otherwise(parts)
+    return hits.select(*[(cleaned.alias(c) if c == "text" else x) for c, x in zip(cols, whole)])
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

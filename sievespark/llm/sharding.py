@@ -56,9 +56,9 @@ def place(df: DataFrame, key: str, shards: list[str], slots: int = 65_537, weigh
     """
     spark = df.sparkSession
     table = lookup_table(shards, slots, weights, seed)
-    look = spark.createDataFrame(pa.table({"__slot": pa.array(range(slots), pa.int64()), "__shard": [shards[i] for i in table]}))
+    look = spark.createDataFrame(pa.table({"look": pa.array(range(slots), pa.int64()), "shard": [shards[i] for i in table]}))
     hashed = F.xxhash64(F.lit(seed), F.coalesce(df[key].cast("string"), F.lit("\x00null")))
     keep = [c for c in df.columns if c not in (slot_col, shard_col)]
-    rows = df.select(*[df[c] for c in keep], F.pmod(hashed, F.lit(slots)).alias("__key"))
-    joined = rows.join(F.broadcast(look), rows["__key"] == look["__slot"], "left")  # MAX_SLOTS bounds the table
-    return joined.select(*[rows[c] for c in keep], rows["__key"].alias(slot_col), look["__shard"].alias(shard_col))
+    rows = df.select(*[df[c].alias(f"c{i}") for i, c in enumerate(keep)], F.pmod(hashed, F.lit(slots)).alias("slot"))
+    joined = rows.join(F.broadcast(look), F.col("slot") == F.col("look"), "left")  # MAX_SLOTS bounds the table
+    return joined.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], F.col("slot").alias(slot_col), F.col("shard").alias(shard_col))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from sievespark.llm import chat_format, decontamination, graph, language_id, mixing, near_dedup, secrets, sharding, suffix_dedup, token_counts, topk_search
 
 #: Extra columns named like what operators make inside.
-EXTRA = ("id", "size", "pattern", "copies", "part", "kept", "hits", "row_id", "words", "score", "c0", "slot", "shard", "rank", "key", "rep", "comp", "mark", "data", "h", "n", "base", "tokens")
+EXTRA = ("id", "size", "pattern", "copies", "part", "kept", "hits", "row_id", "words", "score", "c0", "slot", "shard", "rank", "key", "rep", "comp", "mark", "data", "h", "n", "base", "tokens", "__row", "__id", "__key", "__slot", "key_", "found", "found_key", "true", "text_", "r")
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()), *[T.StructField(c, T.StringType()) for c in EXTRA]])
 LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -533,7 +533,9 @@ def leaks(rng):
     return items, rows
 
 
-def test_decontamination_matches_brute_force(spark):
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_decontamination_matches_brute_force(spark, most, monkeypatch):
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", most)
     items, rows = leaks(random.Random(11))
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("words", F.lit(1)).withColumn("len", F.lit(1))
     got = [tuple(r) for r in decontamination.contamination(docs(spark, rows), bench).collect()]
@@ -546,6 +548,7 @@ def test_decontamination_matches_brute_force(spark):
     assert clean.columns == docs(spark, []).columns and clean.count() == sum(not w[5] for w in want)
     cut = {r.doc_id: r.text for r in decontamination.clean_documents(docs(spark, rows), bench, remove="spans").collect()}
     assert cut[202] == ", ; " and cut[3] == rows[3][1] and cut[200] is None and cut[206] == "   Ünïcode"
+    assert cut[205] == " " * (len(items[4][1].split()) - 1) + " x " + (" " * (len(items[4][1].split()) - 1) + " x ") * 1499
 
 
 def near_rows():
