@@ -1,14 +1,19 @@
 """Secret scan: fixed detectors plus a randomness battery with false-discovery control (DataFrame functions only).
 
 The battery looks at every other run of 20 or more credential characters. Its encoding is inferred
-(hex, base32, letters of one case with or without digits, letters and digits, base64). Against the
-null hypothesis "prose-like token" of that encoding statistics are standardised. Of mixed case:
-chi-squared distance from a uniform alphabet (non-central under the null, so its mean grows with
-length), runs of character classes, and lag-1 serial correlation. Of one case, where prose has few
-classes: hex by chi-squared and changes between letters and digits; the others by letter
-frequencies, changes between vowels and consonants and, with digits, changes between letters and
-digits. Their weighted sum gives one p-value a token. Benjamini-Hochberg then runs separately in
-each length band, over a histogram of the statistic, so the corpus is never sorted.
+(hex, letters of one case, base32, base36, base62, base64), and three kinds of tests are made, each
+standardised under the null hypothesis "ordinary text run together in this encoding":
+
+* chi-squared distance of the symbols from a uniform alphabet; for letters also their mean surprise;
+* runs: changes between classes of symbols (vowels, consonants, digits, cases, signs);
+* lag-1 serial correlation of the codes, as a null of its own in mixed case.
+
+The null's letter frequencies and its share of vowel changes are measured on all other text of the
+corpus, with PRIOR letters of prose added; the shapes of identifiers are stated constants. The
+weighted sum, divided by its deviation under the null, gives one p-value a token. A token that
+randomness itself cannot explain (symbols far from uniform, strong serial correlation) is no secret.
+Benjamini-Hochberg runs separately in each length band, over a histogram of the statistic, so the
+corpus is never sorted. All work on a token is linear in its length.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievespark.llm.common import let
 from sievespark.session import cut_lineage
 
 #: Fixed patterns of the contract.
@@ -27,18 +33,46 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-#: Sum of squared letter frequencies of prose, and the share of class changes in a word-like token or identifier.
-PROSE_SQUARES, PROSE_CHANGES, PROSE_SERIAL = 0.067, 0.25, 0.35
-#: Percent of letters a to z in English prose; rarer ones count as one percent.
+UPPER, LOWER, DIGITS, SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", "+/_-="
+ALPHABET = UPPER + LOWER + DIGITS + SIGNS
+#: Percent of letters a to z in English prose, and the share of vowel changes between neighbouring letters there.
 LETTERS = (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.074)
-WEIGHTS = [math.log(100 / 26 / max(p, 1.0)) for p in LETTERS]
-#: Tokens of one case: mean and deviation of a letter's weight and the share of vowel changes, fitted to words of four
-#: languages and of code run together; squares and share of changes between letters and digits of hex, chosen wide.
-CASE_WEIGHT, CASE_SPREAD, CASE_VOWELS, CASE_DIGITS, HEX_SQUARES = -0.36, 0.70, 0.56, 0.10, 0.105
+VOWEL_CHANGES = 0.56
+#: Letters of such prose that are added to what the corpus holds; a letter's share is taken as RAREST at least.
+PRIOR, RAREST = 1_000_000, 0.01
+#: Encodings: alphabet size, and the shares of digits, capitals and signs in ordinary runs of it.
+HEX16, ALPHA, BASE32, BASE36, BASE62, BASE64 = range(6)
+SIZES = (16, 26, 32, 36, 62, 66)
+SHAPES = ((0.5, 0.0, 0.0), (0.0, 0.0, 0.0), (0.1, 0.0, 0.0), (0.1, 0.0, 0.0), (0.05, 0.15, 0.0), (0.05, 0.15, 0.08))
+#: Share of changes under the null: between letters and digits, and between classes in mixed case; serial correlation there.
+DIGIT_CHANGES, CLASS_CHANGES, SERIAL = 0.10, 0.25, 0.35
+#: Weights of the tests and how the first is correlated with the others, as measured on words run together.
+WORD_WEIGHTS, WORD_SPREAD = (2.0, 1.0, 1.0), math.sqrt(9.8)  # surprise, uniformity (correlated by 0.6), vowel changes (0.25 and 0.2)
+MIXED_WEIGHTS, MIXED_SPREAD = (2.0, 2.0, 1.0), 3.0
+#: Beyond so many deviations from what random symbols do, a token is not random.
+NOT_UNIFORM, NOT_SERIAL = 5.0, 4.0
 VOWELS, CONSONANTS = "AEIOUYaeiouy", "B-DF-HJ-NP-TV-XZb-df-hj-np-tv-xz"
+VOWEL_TURNS = f"(?<=[{VOWELS}])[{CONSONANTS}]|(?<=[{CONSONANTS}])[{VOWELS}]"
+PAIRS = "(?<=[A-Za-z])[A-Za-z]"
+DIGIT_TURNS = "(?<=[0-9])[^0-9]|(?<=[^0-9])[0-9]"
+CLASS_TURNS = "(?<=[a-z])[^a-z]|(?<=[A-Z])[^A-Z]|(?<=[0-9])[^0-9]|(?<=[+/_=-])[^+/_=-]"
 BANDS = (20, 28, 40, 64)
-STEP = 0.05
+STEP, LIMIT, RUN = 0.05, 40.0, 256
+
+
+def running(sizes: Column) -> Column:
+    """Running sums of an array of ints, in blocks of RUN, so that no long array is grown one by one."""
+
+    def grown(part: Column, start: Column) -> Column:
+        zero = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(part, zero, lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"] + x)).alias("out")), lambda a: a["out"])
+
+    def blocks(sizes: Column) -> Column:
+        starts = F.when(F.size(sizes) > 0, F.sequence(F.lit(1), F.size(sizes), F.lit(RUN))).otherwise(F.array().cast("array<int>"))
+        sums = F.transform(starts, lambda s: F.aggregate(F.slice(sizes, s, RUN), F.lit(0), lambda a, x: a + x))
+        return let(grown(sums, F.lit(0)), lambda ends: F.flatten(F.transform(starts, lambda s, i: grown(F.slice(sizes, s, RUN), F.when(i > 0, F.element_at(ends, F.greatest(i, F.lit(1)))).otherwise(0)))))
+
+    return let(sizes, blocks)
 
 
 def spans(text: Column, pattern: str, kind: int, value_group: int = 0, least: int = 1) -> Column:
@@ -46,20 +80,15 @@ def spans(text: Column, pattern: str, kind: int, value_group: int = 0, least: in
 
     Matches whose value is shorter than ``least`` are consumed, then dropped.
     """
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), hits.alias("hit"), values.alias("value"))
-    item = "struct<start:int,kind:int,end:int,value:string>"
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{item}>").alias("out"))
+    item = "array<struct<start:int,kind:int,end:int,value:string>>"
+    found = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"), F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)).alias("values"))
 
-    def step(a: Column, x: Column) -> Column:
-        start = a["at"] + F.length(x["gap"])
-        end = start + F.length(F.coalesce(x["hit"], F.lit("")))
-        one = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["value"].alias("value"))
-        keep = x["hit"].isNotNull() & (F.length(x["value"]) >= least)
-        return F.struct(end.alias("at"), F.when(keep, F.concat(a["out"], F.array(one))).otherwise(a["out"]).alias("out"))
+    def placed(x: Column) -> Column:
+        ends = running(F.zip_with(x["gaps"], x["hits"], lambda g, h: F.length(g) + F.coalesce(F.length(h), F.lit(0))))
+        both = F.zip_with(F.arrays_zip(x["hits"].alias("hit"), x["values"].alias("value")), F.slice(ends, 1, F.size(x["hits"])), lambda h, e: F.struct((e - F.length(h["hit"])).alias("start"), F.lit(kind).alias("kind"), e.alias("end"), h["value"].alias("value")))
+        return F.filter(both, lambda b: F.length(b["value"]) >= least)
 
-    return F.when(text.rlike(pattern), F.aggregate(parts, zero, step, lambda a: a["out"])).otherwise(F.array().cast(f"array<{item}>"))
+    return F.when(text.rlike(pattern), let(found, placed)).otherwise(F.array()).cast(item)
 
 
 def upper_tail(z: Column) -> Column:
@@ -81,51 +110,98 @@ def root_deviance(x: Column, n: Column, p: float) -> Column:
     return F.when((n < 1) | ((share > p) != above), 0.0).when(above, root).otherwise(-root)
 
 
-def one_case(token: Column) -> Column:
-    """Combined statistic of a token of one case: hex, or letters with or without digits."""
-    n = F.length(token).cast("double")
-    digits = root_deviance(F.regexp_count(token, F.lit("(?<=[0-9])[^0-9]|(?<=[^0-9])[0-9]")), n - 1, CASE_DIGITS)
-    is_hex, bare = token.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), token.rlike("^[A-Za-z]+$")
-    size = F.when(is_hex, 16.0).when(bare, 26.0).when(token.rlike("^(?:[A-Z2-7]+|[a-z2-7]+)$"), 32.0).otherwise(36.0)
-    symbols = F.array(*[F.lit(c) for c in ALPHABET[:62]])
-    squares = F.aggregate(symbols, F.lit(0.0), lambda a, c: a + F.pow(n - F.length(F.replace(token, c, F.lit(""))), F.lit(2)))
-    chi2, df = size / n * squares - n, size - 1
-    shift = n * (16 * HEX_SQUARES - 1)
-    z_hex = (2 * digits + (15 + shift - chi2) / F.sqrt(2 * (15 + 2 * shift))) / math.sqrt(5)
-    letters = F.transform(F.filter(F.split(F.lower(token), ""), lambda c: c.between("a", "z")), lambda c: F.ascii(c) - 96)
-    k = F.greatest(F.size(letters), F.lit(1)).cast("double")
-    weights = F.array(*[F.lit(w) for w in WEIGHTS])
-    z_letters = (F.aggregate(letters, F.lit(0.0), lambda a, i: a + F.element_at(weights, i)) - k * CASE_WEIGHT) / (CASE_SPREAD * F.sqrt(k))
-    pairs = F.regexp_count(token, F.lit("(?<=[A-Za-z])[A-Za-z]")).cast("double")
-    turns = F.regexp_count(token, F.lit(f"(?<=[{VOWELS}])[{CONSONANTS}]|(?<=[{CONSONANTS}])[{VOWELS}]"))
-    z_word = 2 * z_letters - root_deviance(turns, pairs, CASE_VOWELS)  # the two are correlated by about 0.25: variance 6
-    z = F.when(is_hex, z_hex).when(bare, z_word / math.sqrt(6)).otherwise((z_word + 2 * digits) / math.sqrt(10))
-    # Farther from uniform than random symbols can be (numerals, periods): no secret, however rare its letters.
-    return F.when(chi2 > df + 5 * F.sqrt(2 * df), F.lit(-40.0)).otherwise(z)
-
-
-def battery(token: Column) -> Column:
-    """Combined statistic of one token: large values reject "prose-like"."""
-    token = F.when(token.rlike("^[A-Z2-7]{14,}={1,6}$"), F.rtrim(token, F.lit("="))).otherwise(token)  # padding of base32
-    n = F.length(token).cast("double")
-    size = F.when(token.rlike("^[A-Za-z0-9]+$"), 62.0).otherwise(66.0)
-    letters = F.array(*[F.lit(c) for c in ALPHABET])
-    squares = F.aggregate(letters, F.lit(0.0), lambda a, c: a + F.pow(n - F.length(F.replace(token, c, F.lit(""))), F.lit(2)))
-    chi2, df = size / n * squares - n, size - 1
-    shift = n * F.greatest(F.lit(0.05), size * PROSE_SQUARES - 1)
-    z_chi = (df + shift - chi2) / F.sqrt(2 * (df + 2 * shift))
-    changes = F.regexp_count(token, F.lit("(?<=[a-z])[^a-z]|(?<=[A-Z])[^A-Z]|(?<=[0-9])[^0-9]|(?<=[+/_=-])[^+/_=-]"))
-    z_runs = (changes - (n - 1) * PROSE_CHANGES) / F.sqrt((n - 1) * PROSE_CHANGES * (1 - PROSE_CHANGES))
-    codes = F.transform(F.filter(F.split(token, ""), lambda c: c != ""), lambda c: F.ascii(c).cast("double"))
-    mean = F.aggregate(codes, F.lit(0.0), lambda a, x: a + x) / n
-    spread = F.aggregate(codes, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-    lagged = F.zip_with(codes, F.slice(codes, 2, F.greatest(F.lit(1), F.size(codes) - 1)), lambda x, y: F.when(y.isNull(), 0.0).otherwise((x - mean) * (y - mean)))
-    serial = F.when(spread > 0, F.aggregate(lagged, F.lit(0.0), lambda a, x: a + x) / spread).otherwise(1.0)
-    z_serial = (PROSE_SERIAL - F.abs(serial)) * F.sqrt(n)
-    mixed = (2 * z_chi + 2 * z_runs + z_serial) / 3.0  # unit variance under the null: weights 2, 2, 1
-    z = F.when(token.rlike("^(?:[A-Z0-9]+|[a-z0-9]+)$"), one_case(token)).otherwise(mixed)
-    # A token whose order is far from random (constant, counting, blocks) is no secret.
-    return F.when(F.abs(serial) * F.sqrt(n) > 4, F.lit(-40.0)).otherwise(F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z)))
+def base_null(docs: DataFrame, text_col: str = "text") -> tuple[list[float], float]:
+    """Letter frequencies and the share of vowel changes in all text but the tokens, with the prior added."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(docs[text_col]), TOKEN, " "), "[^a-z]+", " ")
+    rows = docs.select(plain.alias("t"))
+    count = lambda c: F.octet_length("t") - F.octet_length(F.replace(F.col("t"), F.lit(c), F.lit("")))
+    sums = [F.sum(count(c)).alias(c) for c in LOWER]
+    row = rows.agg(*sums, F.sum(F.regexp_count("t", F.lit(VOWEL_TURNS))).alias("turns"), F.sum(F.regexp_count("t", F.lit(PAIRS))).alias("pairs")).first()
+    letters = [(row[c] or 0) + PRIOR * p / sum(LETTERS) for c, p in zip(LOWER, LETTERS)]
+    return [x / sum(letters) for x in letters], ((row["turns"] or 0) + PRIOR * VOWEL_CHANGES) / ((row["pairs"] or 0) + PRIOR)
+
+
+def symbol_moments(letters: list[float], encoding: int) -> tuple[float, float]:
+    """Sums of the squares and cubes of the symbols' shares under the null of an encoding."""
+    digits, capitals, signs = SHAPES[encoding]
+    some = letters[:6] if encoding == HEX16 else letters
+    some = [x / sum(some) for x in some]
+    rest = 1 - digits - capitals - signs
+    return tuple((rest**k + capitals**k) * sum(x**k for x in some) + 10 * (digits / 10) ** k + 4 * (signs / 4) ** k for k in (2, 3))
+
+
+def surprise(letters: list[float]) -> tuple[list[float], float, float]:
+    """log of how much rarer than in random letters each letter is, and its mean and deviation under the null."""
+    weights = [math.log(1 / 26 / max(x, RAREST)) for x in letters]
+    mean = sum(x * w for x, w in zip(letters, weights))
+    return weights, mean, math.sqrt(sum(x * (w - mean) ** 2 for x, w in zip(letters, weights)))
+
+
+def encoding_of(token: Column) -> Column:
+    tests = (("^(?:[0-9a-f]+|[0-9A-F]+)$", HEX16), ("^(?:[A-Z]+|[a-z]+)$", ALPHA), ("^(?:[A-Z2-7]+|[a-z2-7]+)$", BASE32), ("^(?:[A-Z0-9]+|[a-z0-9]+)$", BASE36), ("^[A-Za-z0-9]+$", BASE62))
+    out = F.when(token.rlike(tests[0][0]), tests[0][1])
+    for pattern, code in tests[1:]:
+        out = out.when(token.rlike(pattern), code)
+    return out.otherwise(BASE64)
+
+
+def battery(tokens: Column, letters: list[float], vowels: float) -> Column:
+    """``tokens`` (start, kind, end, value) as (start, kind, end, z): large z reject "ordinary text run together"."""
+    weights, mean_surprise, spread = surprise(letters)
+    pick = lambda values, e: F.element_at(F.array(*[F.lit(float(v)) for v in values]), e + 1)
+    symbols = F.array(*[F.lit(c) for c in ALPHABET])
+    by_symbol = F.array(*[F.lit(w) for w in weights + weights + [0.0] * (len(ALPHABET) - 52)])
+    is_letter = F.array(*[F.lit(1)] * 52, *[F.lit(0)] * (len(ALPHABET) - 52))
+    moments = [symbol_moments(letters, e) for e in range(len(SIZES))]
+    place = ["start", "kind", "end"]
+
+    def read(t: Column) -> Column:
+        v = F.when(t["value"].rlike("^[A-Z2-7]{14,}={1,6}$"), F.rtrim(t["value"], F.lit("="))).otherwise(t["value"])  # padding of base32
+        return F.struct(*[t[c].alias(c) for c in place], v.alias("v"))
+
+    def counted(t: Column) -> Column:
+        counts = F.transform(symbols, lambda c: (F.octet_length(t["v"]) - F.octet_length(F.replace(t["v"], c, F.lit("")))).cast("long"))
+        codes = F.transform(F.filter(F.split(t["v"], ""), lambda c: c != ""), lambda c: F.ascii(c).cast("long"))
+        return F.struct(*[t[c].alias(c) for c in [*place, "v"]], F.octet_length(t["v"]).cast("double").alias("n"), encoding_of(t["v"]).alias("e"), counts.alias("counts"), codes.alias("codes"))
+
+    def summed(t: Column) -> Column:
+        total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
+        after = F.zip_with(t["codes"], F.slice(t["codes"], 2, F.size(t["codes"])), lambda x, y: F.coalesce(x * y, F.lit(0).cast("long")))
+        known = F.zip_with(t["counts"], by_symbol, lambda c, w: c * w)
+        some = F.zip_with(t["counts"], is_letter, lambda c, i: c * i)
+        return F.struct(
+            *[t[c].alias(c) for c in [*place, "v", "n", "e"]],
+            total(F.transform(t["counts"], lambda c: c * (c - 1))).cast("double").alias("same"),
+            F.aggregate(known, F.lit(0.0), lambda a, x: a + x).alias("surprise"), total(some).cast("double").alias("k"),
+            total(t["codes"]).cast("double").alias("s"), total(F.transform(t["codes"], lambda x: x * x)).cast("double").alias("ss"), total(after).cast("double").alias("sxy"),
+            (F.element_at(t["codes"], 1) + F.element_at(t["codes"], -1)).cast("double").alias("ends"),
+        )
+
+    def tested(t: Column) -> Column:
+        n, e = t["n"], t["e"]
+        two, three = (pick([m[i] for m in moments], e) for i in range(2))
+        pairs = n * (n - 1)
+        # Equal pairs of symbols: their number gives chi-squared against a uniform alphabet, its null moments are exact.
+        uniform = (pairs * two - t["same"]) / F.sqrt(2 * pairs * (two - two * two) + 4 * pairs * (n - 2) * (three - two * two))
+        chi2, df = pick(SIZES, e) / n * (t["same"] + n) - n, pick(SIZES, e) - 1
+        mean = t["s"] / n
+        spread_ = t["ss"] - n * mean * mean
+        serial = F.when(spread_ > 0.5, (t["sxy"] - mean * (2 * t["s"] - t["ends"]) + (n - 1) * mean * mean) / spread_).otherwise(1.0)
+        digits = root_deviance(F.regexp_count(t["v"], F.lit(DIGIT_TURNS)), n - 1, DIGIT_CHANGES)
+        turns = root_deviance(F.regexp_count(t["v"], F.lit(VOWEL_TURNS)), F.regexp_count(t["v"], F.lit(PAIRS)).cast("double"), vowels)
+        k = F.greatest(t["k"], F.lit(1.0))
+        rare = (t["surprise"] - k * mean_surprise) / (spread * F.sqrt(k))
+        classes = (F.regexp_count(t["v"], F.lit(CLASS_TURNS)) - (n - 1) * CLASS_CHANGES) / F.sqrt((n - 1) * CLASS_CHANGES * (1 - CLASS_CHANGES))
+        word = (WORD_WEIGHTS[0] * rare + WORD_WEIGHTS[1] * uniform - WORD_WEIGHTS[2] * turns) / WORD_SPREAD
+        mixed = (MIXED_WEIGHTS[0] * uniform + MIXED_WEIGHTS[1] * classes + MIXED_WEIGHTS[2] * (SERIAL - F.abs(serial)) * F.sqrt(n)) / MIXED_SPREAD
+        z = F.when(e == HEX16, (uniform + 2 * digits) / math.sqrt(5)).when(e == ALPHA, word).when(e <= BASE36, (word * 1.5 + digits) / math.sqrt(3.25)).otherwise(mixed)
+        fails = (chi2 > df + NOT_UNIFORM * F.sqrt(2 * df)) | (F.abs(serial) * F.sqrt(n) > NOT_SERIAL)
+        return F.struct(*[t[c].alias(c) for c in place], F.when(fails, -LIMIT).otherwise(F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), z))).alias("z"))
+
+    # Each step is an array of its own, so that nothing is computed twice.
+    for step in (read, counted, summed, tested):
+        tokens = F.transform(tokens, step)
+    return tokens
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: float = 0.001) -> DataFrame:
@@ -135,13 +211,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: flo
     separate tests; an empty table has no tests. ``q`` is the false-discovery rate a band.
     """
     text = F.coalesce(docs[text_col], F.lit(""))
+    letters, vowels = base_null(docs, text_col)
     base = F.array_sort(F.concat(spans(text, ASSIGN, 0, 1, 6), spans(text, ACCESS, 1), spans(text, HEX, 2)))
-    found = docs.select(docs[id_col].alias("id"), base.alias("base"), spans(text, TOKEN, 3).alias("tokens"))
-    free = F.filter("tokens", lambda t: ~F.exists(F.col("base"), lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    found = docs.select(docs[id_col].alias("id"), let(F.struct(base.alias("base"), spans(text, TOKEN, 3).alias("tokens")), lambda x: F.struct(x["base"].alias("base"), F.filter(x["tokens"], lambda t: ~F.exists(x["base"], lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))).alias("free"))).alias("x"))
     band = lambda n: sum((F.when(n >= b, 1).otherwise(0) for b in BANDS[1:]), F.lit(0))
-    scored = F.transform(free, lambda t: F.struct(t["start"].alias("start"), t["kind"].alias("kind"), t["end"].alias("end"), band(t["end"] - t["start"]).alias("band"), F.floor(battery(t["value"]) / STEP).cast("int").alias("bin")))
-    bare = F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end")))
-    rows = cut_lineage(found.select("id", bare.alias("base"), scored.alias("tokens")))
+    scored = F.transform(battery(F.col("x.free"), letters, vowels), lambda t: F.struct(t["start"].alias("start"), t["kind"].alias("kind"), t["end"].alias("end"), band(t["end"] - t["start"]).alias("band"), F.floor(t["z"] / STEP).cast("int").alias("bin")))
+    bare = F.transform("x.base", lambda b: F.struct(b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end")))
+    rows = cut_lineage(found.select("id", bare.alias("base"), F.when(F.size("x.free") > 0, scored).otherwise(F.array()).cast("array<struct<start:int,kind:int,end:int,band:int,bin:int>>").alias("tokens")))
     hist = rows.select(F.explode("tokens").alias("t")).groupBy("t.band", "t.bin").count()
     down = Window.partitionBy("band").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tested = hist.select("band", "bin", F.sum("count").over(down).alias("k"), F.sum("count").over(Window.partitionBy("band")).alias("m"))

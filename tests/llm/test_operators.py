@@ -449,6 +449,128 @@ def test_secret_scan(spark):
     assert secrets.secret_report(docs(spark, [])).count() == 0
 
 
+def brute_null(texts):
+    counts, turns, pairs = dict.fromkeys(secrets.LOWER, 0), 0, 0
+    for t in texts:
+        plain = re.sub("[^a-z]+", " ", re.sub(secrets.TOKEN, " ", (t or "").lower()))
+        for c in counts:
+            counts[c] += plain.count(c)
+        for a, b in zip(plain, plain[1:]):
+            if a != " " and b != " ":
+                pairs += 1
+                turns += (a in "aeiouy") != (b in "aeiouy")
+    letters = [counts[c] + 1e6 * p / sum(secrets.LETTERS) for c, p in zip(secrets.LOWER, secrets.LETTERS)]
+    return [x / sum(letters) for x in letters], (turns + 1e6 * 0.56) / (pairs + 1e6)
+
+
+def brute_battery(token, letters, vowels):
+    from math import log, sqrt
+
+    v = token.rstrip("=") if re.fullmatch("[A-Z2-7]{14,}={1,6}", token) else token
+    n, lower = len(v), v.lower()
+    cased = v in (v.lower(), v.upper())
+    e = 0 if set(v) <= set("0123456789abcdef") or set(v) <= set("0123456789ABCDEF") else 1 if v.isalpha() and cased else None
+    if e is None:
+        e = 2 if cased and set(lower) <= set("abcdefghijklmnopqrstuvwxyz234567") else 3 if cased and v.isalnum() else 4 if v.isalnum() else 5
+    size = (16, 26, 32, 36, 62, 66)[e]
+    digits, capitals, signs = ((0.5, 0, 0), (0, 0, 0), (0.1, 0, 0), (0.1, 0, 0), (0.05, 0.15, 0), (0.05, 0.15, 0.08))[e]
+    some = letters[:6] if e == 0 else letters
+    shares = [x / sum(some) for x in some]
+    rest = 1 - digits - capitals - signs
+    table = [x * rest for x in shares] + [x * capitals for x in shares] + [digits / 10] * 10 + [signs / 4] * 4
+    two, three = sum(x**2 for x in table), sum(x**3 for x in table)
+    counts = [v.count(c) for c in set(v)]
+    same = sum(c * (c - 1) for c in counts)
+    uniform = (n * (n - 1) * two - same) / sqrt(2 * n * (n - 1) * (two - two**2) + 4 * n * (n - 1) * (n - 2) * (three - two**2))
+    chi2 = sum((c - n / size) ** 2 / (n / size) for c in counts) + (size - len(counts)) * n / size
+    codes = [ord(c) for c in v]
+    mean = sum(codes) / n
+    spread = sum((x - mean) ** 2 for x in codes)
+    serial = sum((x - mean) * (y - mean) for x, y in zip(codes, codes[1:])) / spread if spread > 0.5 else 1.0
+
+    def deviance(x, n, p):
+        if n < 1:
+            return 0.0
+        above = x > n * p
+        s = min(1 - 1e-9, max(1e-9, (x + (-0.5 if above else 0.5)) / n))
+        if (s > p) != above:
+            return 0.0
+        return (1 if above else -1) * sqrt(max(0.0, 2 * n * (s * log(s / p) + (1 - s) * log((1 - s) / (1 - p)))))
+
+    changed = lambda f: sum(f(a) != f(b) for a, b in zip(v, v[1:]))
+    both = [(a, b) for a, b in zip(lower, lower[1:]) if a.isalpha() and b.isalpha()]
+    turns = deviance(sum((a in "aeiouy") != (b in "aeiouy") for a, b in both), len(both), vowels)
+    weights = [log(1 / 26 / max(x, 0.01)) for x in letters]
+    expect = sum(x * w for x, w in zip(letters, weights))
+    sd = sqrt(sum(x * (w - expect) ** 2 for x, w in zip(letters, weights)))
+    held = [weights[ord(c) - 97] for c in lower if c.isalpha()]
+    k = max(1, len(held))
+    rare = (sum(held) - k * expect) / (sd * sqrt(k))
+    word = (2 * rare + uniform - turns) / sqrt(9.8)
+    number = deviance(changed(str.isdigit), n - 1, 0.1)
+    kind = lambda c: "d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "s"
+    classes = (changed(kind) - (n - 1) * 0.25) / sqrt((n - 1) * 0.25 * 0.75)
+    mixed = (2 * uniform + 2 * classes + (0.35 - abs(serial)) * sqrt(n)) / 3
+    z = (uniform + 2 * number) / sqrt(5) if e == 0 else word if e == 1 else (1.5 * word + number) / sqrt(3.25) if e <= 3 else mixed
+    return -40.0 if chi2 > size - 1 + 5 * sqrt(2 * (size - 1)) or abs(serial) * sqrt(n) > 4 else max(-40.0, min(40.0, z))
+
+
+def brute_added(texts, q=0.001):
+    """Random spans of each text, by the bars of Benjamini-Hochberg in each length band."""
+    from math import erfc, floor, sqrt
+
+    letters, vowels = brute_null(texts)
+    tests = []
+    for i, t in enumerate(texts):
+        base = base_spans(t or "")
+        for m in re.finditer(secrets.TOKEN, t or ""):
+            if not any(a < m.end() and m.start() < b for a, _, b in base):
+                band = sum(len(m[0]) >= x for x in (28, 40, 64))
+                tests.append((i, m.start(), m.end(), band, floor(brute_battery(m[0], letters, vowels) / 0.05)))
+    out = [[] for _ in texts]
+    for band in range(4):
+        mine = [x for x in tests if x[3] == band]
+        bins = sorted((x[4] for x in mine), reverse=True)
+        passed = [b for b in set(bins) if 0.5 * erfc(b * 0.05 / sqrt(2)) * len(bins) <= q * sum(x >= b for x in bins)]
+        for i, a, b, _, x in mine:
+            if passed and x >= min(passed):
+                out[i].append((a, b))
+    return [sorted(x) for x in out]
+
+
+def test_secret_battery_matches_brute_force(spark):
+    """Tokens of every encoding and length among prose, names, numbers and paths: the same spans, and the same statistic."""
+    rng = random.Random(31)
+    alphabets = ["0123456789abcdef", "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz0123456789", secrets.ALPHABET[:62], secrets.ALPHABET[:66], "0123456789", "ab", "A="]
+    words = "account total error user name index value first last token node list tree path open read write".split()
+    tokens = ["".join(rng.choices(rng.choice(alphabets), k=rng.choice([20, 22, 28, 35, 41, 64, 90]))) for _ in range(300)]
+    tokens += ["".join(rng.choices([w.title() if k else w for w in words], k=6)) for k in range(2) for _ in range(200)] + ["/".join(rng.choices(words, k=5)) for _ in range(100)] + ["MFRGGZDFMZTWQ2LK" + "ABCD======", "z" * 40, "=" * 25, "ab" * 15]
+    rng.shuffle(tokens)
+    texts = [f"{prose(rng, 8)} é {a} {prose(rng, 4)}, 😀 {b}" for a, b in zip(tokens[::2], tokens[1::2])] + [None, ""]
+    frame = docs(spark, list(enumerate(texts)))
+    got = {r.id: [(x.start, x.end) for x in r.added] for r in secrets.scan(frame).collect()}
+    want = brute_added(texts)
+    assert [got[i] for i in range(len(texts))] == want and sum(map(len, want)) > 100
+    letters, vowels = secrets.base_null(frame)
+    again, vowels_ = brute_null(texts)
+    assert letters == pytest.approx(again) and vowels == pytest.approx(vowels_)
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(tokens)], "i int, t string").select("i", F.array(F.struct(F.lit(0).alias("start"), F.lit(3).alias("kind"), F.length("t").alias("end"), F.col("t").alias("value"))).alias("x"))
+    zs = {r.i: r.z for r in rows.select("i", secrets.battery(F.col("x"), letters, vowels)[0]["z"].alias("z")).collect()}
+    assert [zs[i] for i in range(len(tokens))] == pytest.approx([brute_battery(t, letters, vowels) for t in tokens], abs=1e-6)
+
+
+def test_secret_scan_is_linear_in_long_texts(spark):
+    """One token of a million characters and 30,000 short ones: seconds, not hours."""
+    import time
+
+    rng = random.Random(3)
+    long_ = "".join(rng.choices(secrets.ALPHABET[:62], k=1_000_000))
+    many = " ".join("".join(rng.choices("abcdefgh", k=21)) for _ in range(30_000))
+    before = time.time()
+    got = {r.doc_id: r.spans for r in secrets.secret_report(docs(spark, [(1, long_), (2, many), (3, "a:" * 100_000)])).collect()}
+    assert got[1] == f"random:0:{len(long_)}" and got[3] == "" and time.time() - before < 60
+
+
 def test_secrets_of_one_case_among_prose(spark):
     """Planted at 1 % of the tokens each: upper-case hex, base32, a-z; words run together are left alone."""
     rng = random.Random(11)
