@@ -17,14 +17,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievespark.llm.common import sliced
+from sievespark.session import cut_lineage, drop
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)
 PROBES = 2
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 19
-#: Languages are a short list; a label column with more values is refused.
-MAX_LANGUAGES = 512
+LETTER, MARK = 2, 1
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -52,9 +52,11 @@ def ngram_hashes(codes: np.ndarray, letter: np.ndarray) -> list[np.ndarray]:
 
 
 def letters_table() -> np.ndarray:
+    """LETTER, MARK (kept inside words, but no letter) or 0 for every code point."""
     import unicodedata
 
-    return np.fromiter((unicodedata.category(chr(i))[0] in "LM" for i in range(0x110000)), bool, 0x110000)
+    kind = {"L": LETTER, "M": MARK}
+    return np.fromiter((kind.get(unicodedata.category(chr(i))[0], 0) for i in range(0x110000)), np.uint8, 0x110000)
 
 
 _LETTERS: list[np.ndarray] = []
@@ -65,12 +67,13 @@ def folded(text: str) -> tuple[np.ndarray, np.ndarray]:
     if not _LETTERS:
         _LETTERS.append(letters_table())
     codes = np.frombuffer((" " + text.lower() + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = _LETTERS[0][codes]
-    keep = letter.copy()
+    kind = _LETTERS[0][codes]
+    inside = kind > 0
+    keep = inside.copy()
     keep[0] = True
-    keep[1:] |= letter[:-1]  # one blank after each run of letters
-    codes, letter = codes[keep], letter[keep]
-    return np.where(letter, codes, np.uint32(32)), letter
+    keep[1:] |= inside[:-1]  # one blank after each run of letters and marks
+    codes, kind = codes[keep], kind[keep]
+    return np.where(kind > 0, codes, np.uint32(32)), kind == LETTER
 
 
 def text_hashes(text: str) -> Iterator[np.ndarray]:
@@ -128,11 +131,17 @@ class Filters:
         return self.languages[best], float(min(1.0, max(0.0, share[best])))
 
 
-def _drawn(labelled: DataFrame, sizes: list, rows: int, seed: int) -> DataFrame:
-    """About ``rows`` of the ``sizes`` different texts of each language, once each, by a seeded hash of the text."""
+def _sizes(labelled: DataFrame) -> DataFrame:
+    """(of, size): different texts of each language; a row a language. Written."""
+    return cut_lineage(labelled.select(F.col("lang").alias("of"), F.xxhash64("text")).distinct().groupBy("of").agg(F.count(F.lit(1)).alias("size")))
+
+
+def _drawn(labelled: DataFrame, sizes: DataFrame, rows: int, seed: int) -> DataFrame:
+    """About ``rows`` different texts of each language, once each, by a seeded hash of the text."""
     scale = 1 << 30
-    rate = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, min(scale, scale * rows // n))])
-    return labelled.where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(scale)) < F.element_at(rate, F.col("lang"))).distinct()
+    bar = F.least(F.lit(scale), F.floor(F.lit(scale) / F.col("size") * rows))
+    both = labelled.join(F.broadcast(sizes), F.col("lang") == F.col("of"))  # a row a language
+    return both.where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(scale)) < bar).select("lang", "text").distinct()
 
 
 def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 4000, grams_per_language: int = 20_000, stray: float = 0.05, seed: int = 0) -> Filters:
@@ -144,11 +153,9 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", rows_pe
     """
     spark = df.sparkSession
     labelled = df.select(df[lang_col].alias("lang"), df[text_col].alias("text")).where("lang is not null and text is not null")
-    sizes = labelled.select("lang", F.xxhash64("text")).distinct().groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    sizes = sorted(sizes)
-    if not sizes:
+    sizes = _sizes(labelled)
+    names = sorted(r["of"] for r in sizes.collect())  # the languages: a list of names
+    if not names:
         return Filters([], [])
     chosen = _drawn(labelled, sizes, rows_per_language, seed)
 
@@ -178,10 +185,17 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", rows_pe
     # Strays from foreign passages: far rarer here than in the n-gram's own language.
     own = shares.withColumn("most", F.max("share").over(Window.partitionBy("gram"))).where(F.col("share") >= stray * F.col("most"))
     top = own.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("place") <= grams_per_language)
-    table = top.select("lang", "gram").toArrow()  # at most MAX_LANGUAGES * grams_per_language rows
-    langs, values = np.array(table.column("lang").to_pylist(), object), table.column("gram").to_numpy().view(np.uint64)
-    names = [lang for lang, _ in sizes]
-    return Filters(names, [np.sort(values[langs == name]) for name in names])
+    table = top.select("lang", "gram").toArrow()  # grams_per_language rows a language: the model
+    drop(sizes)
+    found: dict[str, list[np.ndarray]] = {name: [] for name in names}
+    langs = table.column("lang").combine_chunks().dictionary_encode() if table.num_rows else None
+    if langs is not None:
+        values, codes = table.column("gram").to_numpy().view(np.uint64), langs.indices.to_numpy()
+        order = np.argsort(codes, kind="stable")
+        edges = np.searchsorted(codes[order], np.arange(len(langs.dictionary) + 1))
+        for name, a, b in zip(langs.dictionary.to_pylist(), edges[:-1], edges[1:]):
+            found[name].append(values[order[a:b]])
+    return Filters(names, [np.sort(np.concatenate(found[n])) if found[n] else np.zeros(0, np.uint64) for n in names])
 
 
 def predict(df: DataFrame, filters: Filters, text: Column | str, keep: list[Column]) -> DataFrame:
@@ -225,12 +239,14 @@ def bars(held: DataFrame, filters: Filters, text_col: str = "text", lang_col: st
     many characters score lower than alphabets, since a filter holds a smaller share of their n-grams.
     """
     labelled = held.select(held[lang_col].alias("lang"), held[text_col].alias("text")).where("lang is not null and text is not null")
-    sizes = sorted(labelled.select("lang", F.xxhash64("text")).distinct().groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect())
-    if not sizes or not filters.languages:
+    if not filters.languages:
         return {}
+    sizes = _sizes(labelled)
     scored = predict(_drawn(labelled, sizes, rows, seed), filters, "text", [F.col("lang").alias("lang"), F.col("text").alias("text")])
     low = scored.where("kept.lang = lang_pred").groupBy("lang_pred").agg(F.percentile_approx("score", 0.05, 10_000).alias("low"))
-    return {r["lang_pred"]: below * r["low"] for r in low.collect()}  # a row a language
+    out = {r["lang_pred"]: below * r["low"] for r in low.collect()}  # a row a language
+    drop(sizes)
+    return out
 
 
 def accepted(docs: DataFrame, min_score: float = 0.5, **how: object) -> DataFrame:
@@ -242,8 +258,9 @@ def accepted(docs: DataFrame, min_score: float = 0.5, **how: object) -> DataFram
     filters = train(docs.where(~held_out(docs["doc_id"])), **how)
     low = bars(docs.where(held_out(docs["doc_id"])), filters, **{k: v for k, v in how.items() if k in ("text_col", "lang_col", "seed")})
     bar = F.lit(min_score)
-    for lang, value in sorted(low.items()):
-        bar = F.when(F.col("lang_pred") == lang, min(min_score, value)).otherwise(bar)
+    if low:
+        known = F.create_map(*[F.lit(x) for lang, value in sorted(low.items()) for x in (lang, min(min_score, value))])
+        bar = F.coalesce(F.try_element_at(known, F.col("lang_pred")), bar)
     cols = docs.columns
     out = predict(docs, filters, f"c{cols.index('text')}", [docs[c].alias(f"c{i}") for i, c in enumerate(cols)])
     kept = out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= bar))

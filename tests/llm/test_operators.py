@@ -77,11 +77,63 @@ def test_mixing_meets_targets(spark, mixed_rows):
 
 
 def test_mixed_rows_hold_what_is_taken(spark, mixed_rows):
+    """Whole documents, so a source misses its target by half a document at most."""
     rows = docs(spark, mixed_rows)
-    plan = mixing.mix_documents(rows).agg(F.sum("taken")).first()[0]
+    plan = mixing.mix_documents(rows).join(rows.select("doc_id", "source").distinct(), "doc_id")
     out = mixing.mixed_rows(rows)
     assert out.columns == rows.columns
-    assert out.select(F.sum(mixing.word_count(F.col("text")))).first()[0] == plan
+    assert {r.text for r in out.collect()} <= {r[1] for r in mixed_rows}
+    due = {r.source: (r.n, r.m) for r in plan.groupBy("source").agg(F.sum("taken").alias("n"), F.max("size").alias("m")).collect()}
+    got = {r.source: r.n for r in out.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()}
+    assert all(abs(got.get(s, 0) - n) <= (m + 1) / 2 for s, (n, m) in due.items() if s is not None)
+
+
+def test_mix_sql_agrees(spark, mixed_rows, tmp_path):
+    docs(spark, mixed_rows).select("doc_id", "text", "source").coalesce(1).write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
+    want = con.execute(mixing.ORACLE).fetchall()
+    assert [x[0] for x in con.description] == ["doc_id", "size", "source_size", "target", "taken", "copies", "part"]
+    order = lambda r: tuple((x is None, x or 0) for x in r)
+    assert sorted(map(tuple, mixing.mix_documents(docs(spark, mixed_rows)).collect()), key=order) == sorted(want, key=order)
+
+
+def test_mixing_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_PATTERNS", 10)
+    rows = [(i, prose(random.Random(i), 1 + i % 7), f"s{i % 400:03d}") for i in range(1200)]
+    got = mixing.mix_documents(docs(spark, rows)).collect()
+    by = {}
+    for r in got:
+        by.setdefault(rows[r.doc_id][2], [0, r.target])[0] += r.taken
+    assert len(by) == 400 and all(abs(n - t) <= 1 for n, t in by.values())
+
+
+def test_flow_is_a_cheapest_one():
+    """Against a linear program solved by enumeration of small cases."""
+    import itertools
+
+    rng = random.Random(4)
+    for _ in range(60):
+        cap = [rng.randint(0, 3) for _ in range(3)]
+        member = [sorted(rng.sample(range(2), rng.randint(1, 2))) for _ in cap]
+        quota = [rng.randint(0, 6) for _ in range(2)]
+        sent = mixing.min_cost_flow(cap, member, quota, 2)
+
+        def cost(total, c):
+            first = min(total, c)
+            return first + 4 * (total - first)
+
+        best = None
+        ways = [[(a, b) for a in range(2 * c + 1) for b in range(2 * c + 1 - a) if (0 in m or not a) and (1 in m or not b)] for c, m in zip(cap, member)]
+        for pick in itertools.product(*ways):
+            if all(sum(x[s] for x in pick) <= quota[s] for s in range(2)):
+                value = (-sum(map(sum, pick)), sum(cost(sum(x), c) for x, c in zip(pick, cap)))
+                best = value if best is None else min(best, value)
+        totals = [sum(x) for x in sent]
+        assert all(t <= 2 * c for t, c in zip(totals, cap))
+        for s in range(2):
+            assert sum(x[m.index(s)] for x, m in zip(sent, member) if s in m) <= quota[s]
+        assert (-sum(totals), sum(map(cost, totals, cap))) == best
 
 
 def test_flow_prefers_fresh_text():
@@ -370,6 +422,54 @@ def test_language_id(spark):
     assert {r.lang_pred for r in language_id.identify(docs(spark, [(1, "abc", "s", None)])).collect()} == {"und"}
 
 
+def test_language_matches_brute_force(spark):
+    """Training and prediction with plain sets of n-grams in place of hashes and filters."""
+    import unicodedata
+    from collections import Counter
+
+    rng = random.Random(16)
+    sets = {f"l{k}": " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyzäöéñ"[k : k + 12], k=rng.randint(3, 7))) for _ in range(60)) for k in range(6)}
+    rows = [(i, prose(rng, rng.randint(1, 30), sets[k] if rng.random() < 0.95 else sets["l0"]) + rng.choice(["", " 12-ab!", " É\u0301x"]), "s", k) for i, k in enumerate(rng.choices(list(sets), k=600))]
+    rows += [(1000, "\u0301\u0301", "s", "l1"), (1001, None, "s", "l1"), (1002, "ø \u0301", "s", None)]
+
+    def grams(text):
+        kept = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in text.lower())
+        t = " " + " ".join(kept.split()) + " " if kept.split() else " "
+        for n in (1, 2, 3, 4):
+            for i in range(len(t) - n + 1):
+                if any(unicodedata.category(c)[0] == "L" for c in t[i : i + n]):
+                    yield t[i : i + n]
+
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    counts = {k: Counter() for k in sets}
+    for text, k in {(r[1], r[3]) for r in rows if r[3] and r[1] and not held(r[0])}:
+        counts[k].update(grams(text))
+    share = {k: {g: n / sum(c.values()) for g, n in c.items()} for k, c in counts.items()}
+    most = {}
+    for c in share.values():
+        for g, x in c.items():
+            most[g] = max(most.get(g, 0), x)
+    known = {k: {g for g, x in c.items() if x >= 0.05 * most[g]} for k, c in share.items()}
+    got = {r.doc_id: r for r in language_id.identify(docs(spark, rows), rows_per_language=10**6, grams_per_language=10**6).collect()}
+    for i, text, _, _ in rows:
+        mine = list(grams(text or ""))
+        if not mine:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        want = {k: sum(g in s for g in mine) / len(mine) for k, s in known.items()}
+        top = max(want.values())
+        assert abs(want[got[i].lang_pred] - top) < 0.02 and abs(got[i].score - top) < 0.02
+
+
+def test_more_languages_than_a_mask_word(spark):
+    rng = random.Random(17)
+    names = [f"x{i:03d}" for i in range(600)]
+    sets = {k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for k in names}
+    rows = [(i, " ".join(["".join(rng.choices(sets[k], k=6)) for _ in range(12)]), "s", k) for i, k in enumerate(names * 3)]
+    filters = language_id.train(docs(spark, rows))
+    assert filters.languages == names and filters.predict(rows[5][1])[0] == names[5]
+
+
 def test_languages_of_many_characters_are_accepted(spark):
     """A script of 3,500 characters has more n-grams than a filter keeps; its rows stay, those of no known language go."""
     rng = random.Random(12)
