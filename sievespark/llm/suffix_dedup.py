@@ -34,7 +34,9 @@ LENGTH, GRAM = 100, 20
 #: Text bytes handled at once in a map task (in blocks that fit the cache), and behind one bucket.
 BATCH_BYTES, BLOCK_BYTES, BUCKET_BYTES = 1 << 22, 1 << 17, 1 << 23
 #: An owner of so many pieces is hot; only the most frequent HOT_OWNERS are sent out (8 MB).
-HOT_PIECES, HOT_OWNERS = 2000, 1 << 20
+HOT_PIECES, HOT_OWNERS, SINGLES = 2000, 1 << 20, 16
+#: Tasks that buckets are dealt to at most; there are more of both as the data grow.
+MOST_TASKS = 100_000
 LAST_ID = (1 << 63) - 1
 _U = np.uint64
 _MUL = 0x9DDFEA08EB382D69
@@ -330,20 +332,21 @@ def _hot_owners(rows: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
-        def merged(least: int) -> pa.RecordBatch:
+        def merged() -> pa.RecordBatch:
             h, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             held.clear()
-            some = n >= least
-            return pa.RecordBatch.from_arrays([pa.array(h[some].view(np.int64)), pa.array(n[some])], ["owner", "n"])
+            # Owners met once stand for SINGLES of their kind, chosen by chance: sums stay right, most rows go.
+            some = (n > 1) | (rng.integers(0, SINGLES, len(h)) == 0)
+            return pa.RecordBatch.from_arrays([pa.array(h[some].view(np.int64)), pa.array(np.where(n[some] > 1, n[some], SINGLES))], ["owner", "n"])
 
+        rng = np.random.Generator(np.random.PCG64(11))
         for batch in sliced(batches):
             for _, _, segs in batches_of(*_rows(batch)):
                 held.append(Batch(segs).owner)
             if sum(map(len, held)) > 4_000_000:
-                yield merged(2)
-        yield merged(2)
+                yield merged()
+        yield merged()
 
-    # An owner met once in a task's batch is left out: the error is at most one piece a batch.
     counts = rows.mapInArrow(count, "owner long, n long").groupBy("owner").agg(F.sum("n").alias("n"))
     counts = counts.where(F.col("n") >= HOT_PIECES).orderBy(F.desc("n")).limit(HOT_OWNERS).select("owner")
     return np.sort(counts.toArrow().column("owner").to_numpy().view(np.uint64))
@@ -444,7 +447,8 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         some = (times[inverse] > 1) | (flat[4] == 1)
         return pa.table([pa.array(c[some]) for c in flat], names=["id", "mark", "a", "b", "kind", "bucket"])
 
-    spans = rows.mapInArrow(head, BLOBS).groupBy("bucket").applyInArrow(repeated, "id long, mark long, a long, b long, kind long, bucket long")
+    tasks = min(buckets, MOST_TASKS)
+    spans = rows.mapInArrow(head, BLOBS).repartition(tasks, "bucket").groupBy("bucket").applyInArrow(repeated, "id long, mark long, a long, b long, kind long, bucket long")
     by_doc = spans.groupBy(F.col("id").alias("rid"), F.col("mark").alias("rmark")).agg(F.collect_list(F.struct("bucket", "kind", "a", "b")).alias("spans"))
     texts = rows.join(by_doc, (F.col("id") == F.col("rid")) & (F.col("mark") == F.col("rmark"))).select("id", "mark", "data", "spans")
 
@@ -510,7 +514,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         flat = np.concatenate(ranges, axis=1) if ranges else np.zeros((4, 0), np.int64)
         return pa.table([pa.array(c) for c in flat], names=["id", "mark", "start", "end"])
 
-    return texts.mapInArrow(cut, BLOBS).groupBy("bucket").applyInArrow(join, "id long, mark long, start long, end long")
+    return texts.mapInArrow(cut, BLOBS).repartition(tasks, "bucket").groupBy("bucket").applyInArrow(join, "id long, mark long, start long, end long")
 
 
 def keyed_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -553,3 +557,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     out = both.mapInArrow(clean, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     id_: Column = F.when(F.col("id") != LAST_ID, F.col("id")).alias(id_col)
     return out.select(id_, "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else []))
+
+
+#: The same rows in SQL, for ids that are not repeated.
+ORACLE = r"""
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+w as (select doc_id, s, substr(x, cast(2 * s + 1 as bigint), 200) as g from (select doc_id, x, unnest(range(0, len(x) // 2 - 99)) as s from d)),
+again as (select doc_id, s from w qualify row_number() over (partition by g order by doc_id nulls last, s) > 1),
+runs as (select doc_id, min(s) as a, max(s) + 100 as b from (
+  select doc_id, s, sum(fresh) over (partition by doc_id order by s) as run from (
+    select doc_id, s, case when s <= lag(s) over (partition by doc_id order by s) + 100 then 0 else 1 end as fresh from again)) group by doc_id, run),
+gaps as (select doc_id, a, coalesce(lag(b) over (partition by doc_id order by a), 0) as from_, b from runs),
+left_ as (select g.doc_id, count(*) as n_spans, sum(b - a) as n_removed, max(b) as last_,
+    string_agg(substr(x, cast(2 * from_ + 1 as bigint), cast(2 * (a - from_) as bigint)), '' order by a) as head
+  from gaps g join d on d.doc_id is not distinct from g.doc_id group by g.doc_id)
+select d.doc_id, cast(len(x) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, cast(coalesce(n_spans, 0) as bigint) as n_spans,
+  sha256(unhex(case when l.n_spans is null then x else head || substr(x, cast(2 * last_ + 1 as bigint)) end)) as kept_sha256
+from d left join left_ l on l.doc_id is not distinct from d.doc_id
+"""

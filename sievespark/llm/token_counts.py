@@ -1,6 +1,6 @@
 """Exact token counts from a tokenizer compiled to finite-state transducers.
 
-Two deterministic transducers are composed.
+Two deterministic transducers work one after the other.
 
 * The splitter works on character classes. Its transitions are annotated with the cuts they emit
   (before the current and before the previous character, which settles the one character of
@@ -12,7 +12,9 @@ Two deterministic transducers are composed.
   up to there and the number of tokens since. States are made as they are met (determinised
   lazily) and each transition is annotated with the change in the number of tokens.
 
-Both are compiled from the tokenizer's own file. Nothing is shuffled.
+Both are compiled from the tokenizer's own file. Nothing is shuffled. Only the splitter's chunk maps
+are composed by the scan; the piece transducer has too many states for maps over all of them, so it
+runs over each distinct piece from its start, and a chunk's tokens are the sum over its pieces.
 """
 
 from __future__ import annotations
@@ -237,14 +239,18 @@ class Tokenizer:
         data = json.loads(spec)
         model, letters = data["model"], byte_letters()
         pre = data.get("pre_tokenizer") or {}
-        if model["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or data.get("normalizer"):
-            raise ValueError("only byte-level BPE files without a normalizer are compiled")
+        added = data.get("added_tokens") or []
+        odd = [k for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+        odd += [k for t in added for k in ("single_word", "lstrip", "rstrip", "normalized") if t.get(k) and not (k == "normalized" and not data.get("normalizer"))]
+        if model["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or pre.get("use_regex") is False or data.get("normalizer") or odd:
+            raise ValueError(f"only plain byte-level BPE files without a normalizer are compiled {odd}")
         raw = lambda s: bytes(letters[c] for c in s)
-        special = {t["content"] for t in data.get("added_tokens", [])}
+        special = {t["content"] for t in added}
         vocab = {raw(t): i for t, i in model["vocab"].items() if t not in special}
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.pieces = Pieces(vocab, {(raw(a), raw(b)): i for i, (a, b) in enumerate(merges)})
-        self.special = sorted(special, key=len, reverse=True)
+        # Leftmost, then longest, as the library takes them.
+        self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.table, self.classes = splitter(), class_table()
 
     def _parts(self, text: str) -> Iterator[str]:
@@ -275,10 +281,10 @@ class Tokenizer:
 
         for i, text in enumerate(texts):
             spans = [text] if text else []
-            for s in self.special:
-                out[i] += sum(x.count(s) for x in spans)
-                spans = [y for x in spans for y in x.split(s) if y]
-            for part in (p for x in spans for p in self._parts(x)):
+            if self.special and text:
+                spans = self.special.split(text)
+                out[i] += len(spans) - 1
+            for part in (p for x in spans if x for p in self._parts(x)):
                 parts.append(part)
                 owners.append(i)
                 held += len(part)

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievespark.session import cut_and_count
+
 QUERY_ROWS, CANDIDATE_ROWS = 1024, 4096
 #: Dense scores held at once in a task.
 STRIP = 128
@@ -77,32 +79,38 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
     Candidates are all rows but those with the query's own id. Rows with a null id or a vector
     that takes no part (see :func:`quantised`) are neither. Equal query rows are one query;
     rows that repeat an id with other vectors are queries and candidates of their own. Scores are
-    64-bit integers. Fewer than k candidates are all returned; an empty table gives no rows.
+    64-bit integers; vectors whose products might not fit are refused. Fewer than k candidates are all returned; an empty table gives no rows.
     """
     rows = df.select(df[id_col].cast("long").alias("id"), quantised(df[vector_col], scale).alias("v"), is_query.alias("q")).where("id is not null and v is not null")
-    asked = rows.where("q").select("id", "v").distinct()
-    n_queries, n_rows = asked.count(), rows.count()
-    q_blocks, c_blocks = max(1, -(-n_queries // QUERY_ROWS)), max(1, -(-n_rows // CANDIDATE_ROWS))
-    deal = lambda n: F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("int")
+    widest = F.max(F.size("v").cast("double") * F.pow(F.array_max(F.transform("v", lambda x: F.abs(x.cast("double")))), F.lit(2)))
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), widest.alias("w")).first()
+    if (seen["w"] or 0) >= 2.0**62:
+        raise ValueError("inner products may not fit in 64 bits")
+    # Each distinct query has a number, written once, so that its vector need not travel with its results.
+    asked, n_queries = cut_and_count(rows.where("q").select("id", "v").distinct().select(F.monotonically_increasing_id().alias("qn"), "id", "v"))
+    q_blocks, c_blocks = max(1, -(-n_queries // QUERY_ROWS)), max(1, -(-seen["n"] // CANDIDATE_ROWS))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = asked.select(deal(q_blocks).alias("qb"), every(c_blocks).alias("cb"), "id", "v")
+    left = asked.select(F.pmod(F.xxhash64("qn"), F.lit(q_blocks)).cast("int").alias("qb"), every(c_blocks).alias("cb"), "qn", "id", "v")
     # Rows that repeat exactly are dealt over all blocks by their place in the scan.
     spread = F.pmod(F.xxhash64("id", "v", F.monotonically_increasing_id()), F.lit(c_blocks)).cast("int")
     right = rows.select(spread.alias("cb"), "id", "v").select(every(q_blocks).alias("qb"), "cb", "id", "v")
 
     def search(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
+        numbers, places, found = [], [], []
         ids = two["id"].to_numpy(np.int64) if len(two) else np.zeros(0, np.int64)
         keys = one["id"].to_numpy(np.int64) if len(one) else np.zeros(0, np.int64)
         if len(ids) and len(keys):
             for at, strip in scores(list(one["v"]), list(two["v"])):
-                for i, row in enumerate(strip):
-                    query = one["v"].iloc[at + i]
-                    out += [(keys[at + i], query, ids[j], row[j]) for j in best(row, ids, keys[at + i], k)]
-        return pd.DataFrame(out, columns=["query_id", "qv", "id", "score"])
-
-    found = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(search, "query_id long, qv array<long>, id long, score long")
-    order = Window.partitionBy("query_id", "qv").orderBy(F.desc("score"), "id")
+                for i, row in enumerate(strip, at):
+                    top = best(row, ids, keys[i], k)
+                    numbers.append(np.full(len(top), i))
+                    places.append(top)
+                    found.append(row[top])
+        at, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (numbers, places))
+        return pd.DataFrame({"qn": one["qn"].to_numpy()[at] if len(at) else at, "query_id": keys[at] if len(at) else at, "id": ids[j] if len(j) else j, "score": np.concatenate(found) if found else at})
+
+    found = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(search, "qn long, query_id long, id long, score long")
+    order = Window.partitionBy("qn").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
 

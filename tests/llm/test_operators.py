@@ -161,6 +161,24 @@ def test_token_counts_match_the_library(spark):
     assert token_counts.token_counts(docs(spark, []), path).count() == 0
 
 
+def test_token_files_that_are_not_compiled_are_refused():
+    import json
+
+    spec = json.loads(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+    spec["model"] |= {"vocab": {chr(c): i for i, c in enumerate(token_counts.byte_letters().values())}, "merges": []}
+    spec["model"]["vocab"] = {k: i for i, k in enumerate(token_counts.byte_letters())}
+    token_counts.Tokenizer(json.dumps(spec))
+    changes = [("pre_tokenizer", {"use_regex": False}), ("pre_tokenizer", {"add_prefix_space": True}), ("model", {"ignore_merges": True}), ("model", {"byte_fallback": True}), ("model", {"end_of_word_suffix": "x"})]
+    for part, change in changes:
+        with pytest.raises(ValueError):
+            token_counts.Tokenizer(json.dumps(spec | {part: spec[part] | change}))
+    for flag in ("single_word", "lstrip", "rstrip"):
+        with pytest.raises(ValueError):
+            token_counts.Tokenizer(json.dumps(spec | {"added_tokens": [{"content": "<x>", flag: True}]}))
+    both = token_counts.Tokenizer(json.dumps(spec | {"added_tokens": [{"content": "ab"}, {"content": "bcd"}, {"content": "abc"}]}))
+    assert both.count_all(["abcd", "bcdab", "xabx"]) == [2, 2, 3]
+
+
 def test_token_count_parts_and_chunks(monkeypatch):
     counter = token_counts.Tokenizer(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
     rng = random.Random(2)
@@ -325,6 +343,8 @@ def test_top_k_is_exact(spark):
         want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
     assert sorted(got) == sorted(want)
     assert topk_search.top_k(df.limit(0), df["vec_id"] % 50 == 0).count() == 0
+    with pytest.raises(ValueError):
+        topk_search.top_k(spark.createDataFrame([(1, [1e9, 1.0])], schema), F.lit(True))
 
 
 def brute_repeats(rows):
@@ -364,6 +384,26 @@ def test_suffix_dedup_matches_brute_force(spark):
     assert suffix_dedup.remove_repeats(docs(spark, [])).count() == 0
 
 
+def test_suffix_dedup_sql_agrees(spark, tmp_path):
+    rows = repeat_rows()
+    docs(spark, rows).select("doc_id", "text").coalesce(1).write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
+    want = {r[0]: r[1:] for r in con.execute(suffix_dedup.ORACLE).fetchall()}
+    assert want == brute_repeats(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)))
+
+
+def test_hot_owners_are_found_across_tasks(spark, monkeypatch):
+    """A passage that stands once in each of many tasks is as hot as one that stands often in one."""
+    monkeypatch.setattr(suffix_dedup, "HOT_PIECES", 100)
+    rng = random.Random(2)
+    once = "".join(rng.choices("abcdefgh", k=140))
+    rows = docs(spark, [(i, "".join(rng.choices("ijklmnop", k=50)) + once + "".join(rng.choices("ijklmnop", k=50))) for i in range(400)]).repartition(400)
+    hot = suffix_dedup._hot_owners(suffix_dedup.keyed_rows(rows, "doc_id", "text"))
+    assert len(hot) and set(hot) <= set(suffix_dedup.Batch([(0, 0, once.encode())]).owner) | set(hot)
+    assert set(suffix_dedup.Batch([(0, 0, once.encode())]).owner) & set(hot)
+
+
 def test_suffix_dedup_across_batches_and_hot_owners(monkeypatch):
     """The bucket path without Spark: tiny batches, every owner hot or none."""
     rows = [(i, t) for i, t in repeat_rows() if i is not None]
