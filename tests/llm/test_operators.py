@@ -592,7 +592,7 @@ def test_secret_scan(spark):
 def brute_null(texts):
     counts, turns, pairs = dict.fromkeys(secrets.LOWER, 0), 0, 0
     for t in texts:
-        plain = re.sub("[^a-z]+", " ", re.sub(secrets.TOKEN, " ", (t or "").lower()))
+        plain = re.sub("[^a-z]+", " ", (t or "").lower())
         for c in counts:
             counts[c] += plain.count(c)
         for a, b in zip(plain, plain[1:]):
