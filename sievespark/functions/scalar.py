@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: Fixed patterns and thresholds of the funnel's file formats and stages.
 SCORE_PATTERN = r"ENERGY=\s*(-?[\d.]+)"
 VARIANT_SUFFIX = r"^(.*)_S\d+_T\d+$"
-TAG_PATTERN = r"(?s)> <([^>\n]+)>\n(.*?)\n\n"
+TAG_PATTERN = r"(?s)>\s*<(\w+)>[^\S\n]*\n(.*?)\n\n"
 #: Critical value of a one-sided normal test at 0.05, as far as double precision tells them apart.
 GOOD_T = -1.6448536269514726
 
@@ -18,6 +18,12 @@ def pose_score(block: Column) -> Column:
     return F.nullif(F.regexp_extract(block, SCORE_PATTERN, 1), F.lit("")).try_cast("double")
 
 
+def bad_score(block: Column) -> Column:
+    """A score is there but is no number; null otherwise: its text."""
+    text = F.nullif(F.regexp_extract(block, SCORE_PATTERN, 1), F.lit(""))
+    return F.when(text.isNotNull() & text.try_cast("double").isNull(), text)
+
+
 def base_id(compound: Column) -> Column:
     """The id without its last stereo/tautomer suffix pair."""
     return F.regexp_replace(compound, VARIANT_SUFFIX, "$1")
@@ -76,7 +82,7 @@ def quartic_strain(theta: Column, angles: Column) -> Column:
     """struct(energy, not_observed): the first peak within tolerance2 gives b1*d^2 + b2*d^4, none gives 100."""
     near = F.filter(angles, lambda a: F.abs(angle_difference(theta, a["theta_0"])) <= a["tolerance2"])
     peak = F.get(near, F.lit(0))
-    d = angle_difference(theta, peak["theta_0"]) * 3.141592653589793 / 180
+    d = angle_difference(theta, peak["theta_0"])  # the curves are given in degrees
     energy = F.when(peak.isNull(), 100.0).otherwise(peak["beta_1"] * d * d + peak["beta_2"] * F.pow(d, F.lit(4)))
     return F.struct(energy.alias("energy"), peak.isNull().alias("not_observed"))
 
@@ -106,12 +112,28 @@ def property_map(block: Column) -> Column:
 
 
 def add_properties(block: Column, properties: dict[str, Column]) -> Column:
-    """The block with tags inserted before its terminator."""
-    body = F.regexp_replace(block, r"(?s)\$\$\$\$\s*\z", "")
-    tags = [x for name, value in properties.items() for x in (F.lit(f"> <{name}>\n"), F.coalesce(value.cast("string"), F.lit("")), F.lit("\n\n"))]
+    """The block with tags inserted before its last terminator."""
+    body = F.regexp_replace(block, r"(?s)\$\$\$\$(?!.*\$\$\$\$).*\z", "")
+    body = F.when(body.endswith("\n"), body).otherwise(F.concat(body, F.lit("\n")))
+    tags = [x for name, value in properties.items() for x in (F.lit(f">  <{name}>\n"), F.coalesce(value.cast("string"), F.lit("")), F.lit("\n\n"))]
     return F.concat(body, *tags, F.lit("$$$$\n"))
 
 
+def normal_cdf(x: Column) -> Column:
+    """P(Z <= x) to double precision, by the rational form of Hart (1968) as given by West (2005)."""
+    a = F.abs(x)
+    up = down = F.lit(0.0)
+    for c in (3.52624965998911e-02, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871, 221.213596169931, 220.206867912376):
+        up = up * a + c
+    for c in (8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752):
+        down = down * a + c
+    far = a + 0.65
+    for k in (4, 3, 2, 1):
+        far = a + k / far
+    tail = F.exp(-a * a / 2) * F.when(a < 7.07106781186547, up / down).otherwise(1 / far / 2.506628274631)
+    return F.when(x > 0, 1 - tail).otherwise(tail)
+
+
 def chunk_index(rank: Column, size: int) -> Column:
     """0-based chunk of a 1-based rank."""
     return F.expr("0").cast("long") + F.floor((rank - 1) / size)
@@ -125,3 +147,10 @@ def strained(total: Column, single: Column, flagged: Column, total_limit: float
 def tier(count: Column, std_z: Column, t_stat: Column, loose: float = 1.0) -> Column:
     """singleton, loose, tier2 (consistent) or tier1 (consistent and significantly good)."""
     return F.when(count < 2, "singleton").when(std_z >= loose, "loose").when(t_stat <= GOOD_T, "tier1").otherwise("tier2")
+
+
+def pdb_atom(serial: Column, name: Column, residue: Column, chain: Column, number: Column, x: Column, y: Column, z: Column, occupancy: Column, temperature: Column, element: Column) -> Column:
+    """A fixed-column atom line; names below four letters start in the second column of their field."""
+    field = F.when(F.length(name) < 4, F.concat(F.lit(" "), F.rpad(name, 3, " "))).otherwise(F.substring(name, 1, 4))
+    form = "ATOM  %5d %s %s %s%4d    %8.3f%8.3f%8.3f%6.2f%6.2f          %2s"
+    return F.format_string(form, serial, field, F.rpad(residue, 3, " "), chain, number, x, y, z, occupancy, temperature, element)

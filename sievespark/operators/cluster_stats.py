@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievespark.functions.scalar import GOOD_T
+from sievespark.functions.scalar import GOOD_T, normal_cdf
 
 
 def pool_zscore(df: DataFrame, value: str, within: Sequence[str] = (), name: str = "z") -> DataFrame:
@@ -40,9 +38,5 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def p_values(df: DataFrame, t: str = "t_stat", name: str = "p_value") -> DataFrame:
-    """Normal CDF of a column; there is no erf in the JVM, so in Arrow batches."""
-    @F.pandas_udf("double")
-    def cdf(x: pd.Series) -> pd.Series:
-        return x.map(lambda v: None if v is None or v != v else 0.5 * (1 + math.erf(v / math.sqrt(2))))
-
-    return df.withColumn(name, cdf(F.col(t)))
+    """Normal CDF of a column."""
+    return df.withColumn(name, normal_cdf(F.col(t)))

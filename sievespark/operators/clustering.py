@@ -10,10 +10,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievespark.session import cut_lineage
+from sievespark.operators.ranking import ranked
+from sievespark.session import cut_and_count, cut_lineage
+
+#: Nodes or edges of a group that one Arrow call takes (edges: about 200 MB there).
+GROUP = 2_000_000
 
 
 def at_thresholds(edges: DataFrame, twentieths: Sequence[int]) -> DataFrame:
@@ -81,40 +85,73 @@ def butina_rounds(nodes: DataFrame, edges: DataFrame, twentieths: Sequence[int])
     return out.select(*key, "node", F.when(F.col("own"), F.col("node")).otherwise(F.col("near")).alias("centroid"))
 
 
+def butina(nodes: DataFrame, edges: DataFrame, twentieths: Sequence[int]) -> DataFrame:
+    """(group, k, node, centroid): groups of up to GROUP nodes and edges each in one Arrow call, larger ones by rounds."""
+    edges = cut_lineage(edges)
+    sizes = nodes.groupBy("group").agg(F.count(F.lit(1)).alias("n")).unionByName(edges.groupBy("group").agg(F.count(F.lit(1)).alias("n")))
+    large, n = cut_and_count(sizes.where(F.col("n") > GROUP).select("group").distinct())
+    if not n:
+        return butina_grouped(nodes, edges, twentieths)
+    some = [butina_grouped(*(d.join(large, "group", "left_anti") for d in (nodes, edges)), twentieths)]
+    many = butina_rounds(*(d.join(large, "group", "left_semi") for d in (nodes, edges)), twentieths)
+    return some[0].unionByName(many.select(*some[0].columns))
+
+
 def nested(nodes: DataFrame, edges: DataFrame, twentieths: Sequence[int], least: int = 10) -> DataFrame:
     """(k, group, node, centroid): groups below ``least`` are one cluster, named by their first node."""
     sizes = nodes.groupBy("group").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"))
     sized = nodes.join(sizes, "group")
     small = sized.where(F.col("size") < least).select("group", F.explode(F.array(*[F.lit(k) for k in twentieths])).alias("k"), "node", F.col("first").alias("centroid"))
     large = sized.where(F.col("size") >= least).select("group", "node")
-    return small.unionByName(butina_grouped(large, edges.join(large.select("group").distinct(), "group", "left_semi"), twentieths))
+    return small.unionByName(butina(large, edges.join(large.select("group").distinct(), "group", "left_semi"), twentieths))
+
+
+def numbered(clusters: DataFrame, least: int = 10, by: Sequence[str] = ("k",)) -> DataFrame:
+    """``clusters`` of :func:`nested` with a global ``cluster_id`` from 0 for each value of ``by``.
+
+    Small groups come first, in order of their first node; then large groups likewise, their clusters
+    in order of their first nodes.
+    """
+    by = list(by)
+    first = clusters.groupBy(*by, "group", "centroid").agg(F.min("node").alias("first"))
+    groups = clusters.groupBy(*by, "group").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("start"))
+    placed = first.join(groups, [*by, "group"]).withColumn("large", (F.col("size") >= least).cast("int"))
+    ids = ranked(placed.select(*by, "group", "centroid", "large", "start", "first"), ["large", "start", "first"], by, "cluster_id")
+    return clusters.join(ids.select(*by, "group", "centroid", (F.col("cluster_id") - 1).alias("cluster_id")), [*by, "group", "centroid"])
 
 
 def size_summary(clusters: DataFrame, by: Sequence[str], cluster: Sequence[str]) -> DataFrame:
-    """n_compounds, n_clusters, n_singletons, largest, mean and median size, and the share of the top ten."""
-    from pyspark.sql import Window
-
-    sizes = clusters.groupBy(*by, *cluster).agg(F.count(F.lit(1)).alias("size"))
-    placed = sizes.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("size"), *cluster)))
-    return placed.groupBy(*by).agg(
-        F.sum("size").alias("n_compounds"),
-        F.count(F.lit(1)).alias("n_clusters"),
-        F.count_if(F.col("size") == 1).alias("n_singletons"),
+    """n_compounds, n_clusters, n_singletons, largest, mean and median size, and the share of the top ten.
+
+    All of it follows from how many clusters there are of each size.
+    """
+    sizes = clusters.groupBy(*by, *cluster).agg(F.count(F.lit(1)).alias("size")).groupBy(*by, "size").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy(*by)
+    up, down = (w.orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow) for o in ("size", F.desc("size")))
+    hist = sizes.select(*by, "size", "c", F.sum("c").over(up).alias("upto"), F.sum("c").over(down).alias("from_top"), F.sum("c").over(w).alias("n"))
+    top = F.greatest(F.lit(0), F.least(F.col("c"), 10 - (F.col("from_top") - F.col("c"))))
+    middle = [F.min(F.when(F.col("upto") > F.expr(e), F.col("size"))) for e in ("(n - 1) div 2", "n div 2")]
+    return hist.groupBy(*by).agg(
+        F.sum(F.col("size") * F.col("c")).alias("n_compounds"),
+        F.sum("c").alias("n_clusters"),
+        F.sum(F.when(F.col("size") == 1, F.col("c")).otherwise(0)).alias("n_singletons"),
         F.max("size").alias("largest_cluster_size"),
-        F.avg("size").alias("mean_cluster_size"),
-        F.median("size").alias("median_cluster_size"),
-        (100.0 * F.sum(F.when(F.col("place") <= 10, F.col("size")).otherwise(0)) / F.sum("size")).alias("top10_pct"),
+        (F.sum(F.col("size") * F.col("c")) / F.sum("c")).alias("mean_cluster_size"),
+        ((middle[0] + middle[1]) / 2).alias("median_cluster_size"),
+        (100.0 * F.sum(F.col("size") * top) / F.sum(F.col("size") * F.col("c"))).alias("top10_pct"),
     )
 
 
 def medoids(clusters: DataFrame, sims: DataFrame, cluster: Sequence[str]) -> DataFrame:
     """(cluster, medoid): the member with the highest mean similarity to the others; a lone member is its own.
 
-    ``sims`` has (a, b, sim) for all pairs inside the clusters; ties go to the smallest node.
+    ``sims`` has (a, b, sim) for all pairs inside the clusters; ties go to the smallest node. Members
+    without a fingerprint are to be left out of ``clusters``; a cluster of none then has no medoid.
     """
-    both = sims.select("a", "b", "sim").unionByName(sims.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
+    own = [c for c in cluster if c in sims.columns]  # nodes may be numbered anew in each cluster
+    both = sims.select(*own, "a", "b", "sim").unionByName(sims.select(*own, F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
     left = clusters.select(*cluster, F.col("node").alias("a"))
     right = clusters.select(*cluster, F.col("node").alias("b"))
-    mean = both.join(left, "a").join(right, [*cluster, "b"]).groupBy(*cluster, F.col("a").alias("node")).agg(F.avg("sim").alias("mean_sim"))
+    mean = both.join(left, [*own, "a"]).join(right, [*cluster, "b"]).groupBy(*cluster, F.col("a").alias("node")).agg(F.avg("sim").alias("mean_sim"))
     scored = clusters.join(mean, [*cluster, "node"], "left")
     return scored.groupBy(*cluster).agg(F.min_by("node", F.struct((-F.coalesce("mean_sim", F.lit(-1.0))).alias("m"), F.col("node"))).alias("medoid"))

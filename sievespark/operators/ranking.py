@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievespark.session import cut_lineage
+
 
 def best_pose(poses: DataFrame, key: Sequence[str], score: str, distance: str, tie: Sequence[str], payload: Sequence[str] = ()) -> DataFrame:
     """One winner a key: the lowest score; without any score the smallest distance. Ties go to the least ``tie``.
@@ -19,27 +21,29 @@ def best_pose(poses: DataFrame, key: Sequence[str], score: str, distance: str, t
     return won.select(*key, "w.*")
 
 
-def ranked(df: DataFrame, order: Sequence[str], within: Sequence[str] = (), name: str = "rank", slices: int | None = None) -> DataFrame:
-    """Dense positions from 1 over ``order`` within each ``within``; the first order column is numeric.
+def _dealt(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """``df`` in ranges of the whole order, each sorted in one task: columns __slot and __at (place in it). Written.
 
-    The rows are dealt into ranges of the first order column, each range is numbered by itself and
-    shifted by the sizes of the ranges before it, so no group is ever sorted in one task. Nulls in
-    the first order column come last.
+    A group or a tied score of any size is cut at the next column of the order.
     """
-    spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    first = F.col(order[0]).cast("double")
-    cuts = df.agg(F.percentile_approx(first, [i / n for i in range(1, n)], 10_000).alias("c")).first()["c"] if n > 1 else []
-    cuts = sorted(set(cuts or []))
-    slot = F.size(F.filter(F.lit(cuts).cast("array<double>"), lambda c: c <= first)) if cuts else F.lit(0)
-    rows = df.withColumn("__slot", F.when(first.isNull(), len(cuts) + 1).otherwise(slot))
-    sizes = rows.groupBy(*within, "__slot").count()
-    before = Window.partitionBy(*within).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select(*within, "__slot", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__shift"))
-    inside = Window.partitionBy(*within, "__slot").orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    numbered = rows.withColumn("__n", F.row_number().over(inside))
-    joined = numbered.join(shift, [*within, "__slot"]) if not within else _null_safe(numbered, shift, [*within, "__slot"])
-    return joined.withColumn(name, (F.col("__n") + F.col("__shift")).cast("long")).drop("__slot", "__n", "__shift")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    return cut_lineage(rows.withColumns({"__slot": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}))
+
+
+def ranked(df: DataFrame, order: Sequence[str], within: Sequence[str] = (), name: str = "rank") -> DataFrame:
+    """Dense positions from 1 over ``order`` within each ``within``; nulls come last.
+
+    The rows are dealt into ranges of (``within``, ``order``), numbered inside each range and shifted
+    by the rows of their group in the ranges before. They are written on the way, so ranks and values
+    are of one computation; the input is read once more to find the ranges.
+    """
+    rows = _dealt(df, [F.col(c).asc_nulls_last() for c in (*within, *order)])
+    sizes = rows.groupBy(*within, "__slot").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    before = F.sum("__n").over(Window.partitionBy(*within).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1))
+    shift = sizes.select(*within, "__slot", (F.coalesce(before, F.lit(0)) - F.col("__first") + 1).alias("__shift"))  # a row a group and range
+    joined = _null_safe(rows, shift, [*within, "__slot"])
+    return joined.withColumn(name, (F.col("__at") + F.col("__shift")).cast("long")).drop("__slot", "__at", "__shift")
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -67,10 +71,30 @@ def cut_prefix(df: DataFrame, score: str, cutoff: float) -> DataFrame:
 
 
 def inversions(df: DataFrame, order: str, value: str, within: Sequence[str]) -> DataFrame:
-    """Rows a group whose value falls below the one before; none means sorted."""
-    w = Window.partitionBy(*within).orderBy(order)
-    before = F.lag(value).over(w)
-    return df.select(*within, (before > F.col(value)).alias("__bad")).groupBy(*within).agg(F.count_if("__bad").cast("long").alias("inversions"))
+    """Rows a group whose value falls below the one before; none means sorted.
+
+    Counted inside ranges of (``within``, ``order``), and once more over the ranges' borders.
+    """
+    rows = _dealt(df.select(*within, order, value), [F.col(c).asc_nulls_last() for c in (*within, order)])
+    inside = F.lag(value).over(Window.partitionBy(*within, "__slot").orderBy("__at")) > F.col(value)
+    ends = [f(F.col(value), F.col("__at")).alias(n) for f, n in ((F.min_by, "__first"), (F.max_by, "__last"))]
+    per = rows.withColumn("__bad", inside).groupBy(*within, "__slot").agg(F.count_if("__bad").alias("__n"), *ends)
+    border = F.lag("__last").over(Window.partitionBy(*within).orderBy("__slot")) > F.col("__first")
+    return per.withColumn("__b", border.cast("int")).groupBy(*within).agg((F.sum("__n") + F.coalesce(F.sum("__b"), F.lit(0))).cast("long").alias("inversions"))
+
+
+def require_sorted(df: DataFrame, order: str, value: str, within: Sequence[str] = ()) -> DataFrame:
+    """``df``; an error if a value falls below the one before it."""
+    if not inversions(df, order, value, within).where("inversions > 0").isEmpty():
+        raise ValueError(f"{value} is not sorted by {order}")
+    return df
+
+
+def require_some(df: DataFrame, what: str) -> DataFrame:
+    """``df``; an error if it has no rows."""
+    if df.isEmpty():
+        raise ValueError(f"no row is left: {what}")
+    return df
 
 
 def last_wins(df: DataFrame, key: Sequence[str], seq: Sequence[str]) -> DataFrame:

@@ -1,24 +1,55 @@
-"""Receptor files as records: fixed columns, cap routing, fragment numbering, chain-gap marks."""
+"""Receptor files as records: fixed columns, cap split-out, fragment ends, serial numbers, chain gaps.
+
+Caps (ACE before a chain, NME after it) may be merged into the residues they cap, under names of
+their own. They are split out as residues with standard names, residues are put in order, a TER
+line closes each fragment, and atoms are numbered anew. Files are told apart by the columns
+``within``, so any number of receptors is one job.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Cap residues, and their atom names in the form the next tool reads.
-CAPS = ("ACE", "NME")
-CAP_ATOMS = {("ACE", "1HH3"): "HH31", ("ACE", "2HH3"): "HH32", ("ACE", "3HH3"): "HH33", ("NME", "1HH3"): "HH31", ("NME", "2HH3"): "HH32", ("NME", "3HH3"): "HH33", ("NME", "HN"): "H", ("NME", "CA"): "CH3"}
+from sievespark.functions.scalar import pdb_atom
+
+
+@dataclass(frozen=True)
+class Site:
+    """A residue that carries a merged cap, the cap's own residue number, and the fragment it belongs to."""
+
+    residue: int
+    number: int
+    fragment: int
+    cap: str
+
+
+#: Merged cap atoms and their standard names (the element is the first letter).
+CAP_ATOMS = {
+    "ACE": {"CAY": "CH3", "HY1": "HH31", "HY2": "HH32", "HY3": "HH33", "CY": "C", "OY": "O", "HAY1": "HH31", "HAY2": "HH32", "HAY3": "HH33"},
+    "NME": {"NT": "N", "CAT": "CH3", "HNT": "H", "HT": "H", "HT1": "HH31", "HT2": "HH32", "HT3": "HH33", "HAT1": "HH31", "HAT2": "HH32", "HAT3": "HH33"},
+}
+#: The sites of the capped receptors, the stray atom beside an ACE, the last residue of their first fragment.
+SITES = (Site(24, 23, 1, "ACE"), Site(316, 315, 2, "ACE"), Site(245, 246, 1, "NME"), Site(422, 423, 2, "NME"))
+STRAY = {"ACE": ("HY",)}
+BREAKS = (245,)
 CAP_SIZE = 6
 
 
+def _is_atom(line: Column) -> Column:
+    return line.startswith("ATOM") | line.startswith("HETATM")
+
+
 def atoms(lines: DataFrame, line: str = "value") -> DataFrame:
     """Fixed-column records; lines that are no atoms, or whose residue number is none, fall out."""
     at = lambda a, b: F.trim(F.substring(F.col(line), a + 1, b - a))
-    out = lines.where(F.col(line).startswith("ATOM") | F.col(line).startswith("HETATM")).select(
+    out = lines.where(_is_atom(F.col(line))).select(
         "*", at(12, 16).alias("atom"), at(17, 20).alias("resname"), at(21, 22).alias("chain"), at(22, 26).try_cast("int").alias("resnum"),
         *[at(a, a + 8).try_cast("double").alias(c) for c, a in (("x", 30), ("y", 38), ("z", 46))],
+        *[F.coalesce(at(a, a + 6).try_cast("double"), F.lit(v)).alias(c) for c, a, v in (("occupancy", 54, 1.0), ("temperature", 60, 0.0))],
     )
     return out.where("resnum is not null")
 
@@ -31,33 +62,93 @@ def target_atom(records: DataFrame, resname: str, resnum: int, atom: str) -> Dat
     return the_only_row(records, where, f"{resname} {resnum} {atom}")
 
 
-def route(records: DataFrame) -> DataFrame:
-    """Column ``part``: cap, drop (hydrogens named HY) or body; cap atoms get their standard names."""
-    cap = F.col("resname").isin(*CAPS)
-    names = F.create_map(*[F.lit(x) for (r, a), new in CAP_ATOMS.items() for x in (f"{r}/{a}", new)])
-    new = F.when(cap, F.coalesce(F.element_at(names, F.concat("resname", F.lit("/"), "atom")), F.col("atom"))).otherwise(F.col("atom"))
-    part = F.when(F.col("atom").startswith("HY"), "drop").when(cap, "cap").otherwise("body")
-    return records.withColumn("part", part).withColumn("atom", new)
-
-
-def incomplete_caps(records: DataFrame) -> DataFrame:
-    """Caps without their six atoms."""
-    return route(records).where("part = 'cap'").groupBy("chain", "resname", "resnum").count().where(F.col("count") != CAP_SIZE)
-
-
-def number_fragments(records: DataFrame, within: Sequence[str], order: str, fragment: str | Column) -> DataFrame:
-    """``ter_after``: the fragment ends here; ``serial``: running number that counts those marks too."""
-    w = Window.partitionBy(*within).orderBy(order)
+def route(records: DataFrame, sites: Sequence[Site] = SITES, breaks: Sequence[int] = BREAKS) -> DataFrame:
+    """Columns ``part`` (cap, drop or body), ``name``, ``residue`` (cap or own name), ``number`` and ``fragment``.
+
+    At a site, atoms with one of the cap's merged names go to the cap's residue under their standard
+    names and stray atoms are dropped; everything else stays in its residue. A cap's fragment is its
+    site's, another residue's follows from the ``breaks`` (last residues of fragments).
+    """
+    part, name, number = F.lit("body"), F.col("atom"), F.col("resnum")
+    residue = F.col("resname")
+    fragment = sum((F.when(F.col("resnum") > last, 1).otherwise(0) for last in breaks), F.lit(1))
+    for s in sites:
+        here, names = F.col("resnum") == s.residue, CAP_ATOMS[s.cap]
+        cap = here & F.col("atom").isin(*names)
+        new = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+        part = F.when(cap, "cap").when(here & F.col("atom").isin(*STRAY.get(s.cap, ())), "drop").otherwise(part)
+        name = F.when(cap, F.element_at(new, F.col("atom"))).otherwise(name)
+        residue = F.when(cap, s.cap).otherwise(residue)
+        number = F.when(cap, s.number).otherwise(number)
+        fragment = F.when(cap, s.fragment).otherwise(fragment)
+    return records.withColumns({"part": part, "name": name, "residue": residue, "number": number, "fragment": fragment})
+
+
+def cap_sizes(routed: DataFrame, within: Sequence[str] = (), sites: Sequence[Site] = SITES) -> DataFrame:
+    """(within, residue, number, n, complete) for every site of every file, also where a cap has no atom."""
+    spark = routed.sparkSession
+    known = spark.createDataFrame([(s.cap, s.number) for s in sites], "residue string, number int")
+    found = routed.where("part = 'cap'").groupBy(*within, "residue", "number").agg(F.count(F.lit(1)).alias("n"))
+    files = routed.select(*within).distinct() if within else spark.range(1).select()
+    every = files.crossJoin(F.broadcast(known))  # a few sites a file
+    out = every.join(found, [*within, "residue", "number"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return out.withColumn("complete", F.col("n") == CAP_SIZE)
+
+
+def number_fragments(records: DataFrame, within: Sequence[str], order: Sequence[str], fragment: str | Column) -> DataFrame:
+    """``ter_before``: another fragment starts here; ``serial``: running number. A TER line uses up no number."""
+    w = Window.partitionBy(*within).orderBy(*order)
     kind = F.col(fragment) if isinstance(fragment, str) else fragment
-    out = records.withColumn("ter_after", F.coalesce(F.lead(kind).over(w) != kind, F.lit(False)))
-    before = F.coalesce(F.sum(F.col("ter_after").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return out.withColumn("serial", F.row_number().over(w) + before)
-
-
-def gap_marks(records: DataFrame, order: str, last: int, first: int) -> DataFrame:
-    """``ter_after`` where residue ``last`` is followed by residue ``first``; an error if that never happens."""
-    w = Window.partitionBy("chain").orderBy(order)
-    out = records.withColumn("ter_after", F.coalesce((F.col("resnum") == last) & (F.lead("resnum").over(w) == first), F.lit(False)))
-    if not out.agg(F.bool_or("ter_after")).first()[0]:
-        raise ValueError(f"no chain goes from residue {last} to {first}")
-    return out
+    return records.withColumn("ter_before", F.coalesce(F.lag(kind).over(w) != kind, F.lit(False))).withColumn("serial", F.row_number().over(w))
+
+
+def capped_lines(lines: DataFrame, within: Sequence[str] = (), sites: Sequence[Site] = SITES, breaks: Sequence[int] = BREAKS) -> DataFrame:
+    """(within, seq, value): the lines of the prepared files.
+
+    Lines (``line_no``, ``value``) that are no atoms come first, but for TER, END and CONECT (whose
+    serial numbers no longer hold); then the residues by number, atoms in their old order; TER
+    before a new fragment and at the end, with the next atom's number; END. An atom without a
+    residue number, or a residue whose number a cap needs, is an error. No lines, no rows.
+    """
+    text = F.col("value")
+    out = [*within, "seq", "value"]
+    bad = lines.where(_is_atom(text)).where(F.trim(F.substring(text, 23, 4)).try_cast("int").isNull())
+    routed = route(atoms(lines), sites, breaks)
+    taken = routed.where("part = 'body'").where(F.col("number").isin(*[s.number for s in sites]))
+    if not bad.isEmpty() or not taken.isEmpty():
+        raise ValueError("an atom has no residue number, or a cap's residue number is taken")
+    header = lines.where(~(_is_atom(text) | text.startswith("TER") | text.startswith("END") | text.startswith("CONECT")))
+    header = header.select(*within, F.struct(F.lit(0).alias("part"), F.col("line_no").cast("long").alias("a"), F.lit(0).alias("b")).alias("seq"), "value")
+    chain = F.max_by(F.substring(text, 22, 1), "line_no").over(Window.partitionBy(*within))  # caps take the last atom's chain
+    placed = number_fragments(routed.withColumn("chain", chain).where("part <> 'drop'"), within, ["number", "line_no"], "fragment")
+    serial = F.lpad(F.col("serial").cast("string"), 5, " ")
+    cap = pdb_atom(F.col("serial"), F.col("name"), F.col("residue"), F.col("chain"), F.col("number"), *[F.col(c) for c in ("x", "y", "z", "occupancy", "temperature")], F.substring("name", 1, 1))
+    line = F.when(F.col("part") == "cap", cap).otherwise(F.concat(F.substring(text, 1, 6), serial, F.substring(text, F.lit(12), F.length(text))))
+    ter = F.when(F.col("ter_before"), F.array(F.concat(F.lit("TER   "), serial), line)).otherwise(F.array(line))
+    body = placed.select(*within, "serial", F.posexplode(ter).alias("b", "value"))
+    body = body.select(*within, F.struct(F.lit(1).alias("part"), F.col("serial").cast("long").alias("a"), "b").alias("seq"), "value")
+    last = placed.groupBy(*within).agg(F.max("serial").alias("n")).where("n is not null")
+    ends = F.array(F.concat(F.lit("TER   "), F.lpad((F.col("n") + 1).cast("string"), 5, " ")), F.lit("END"))
+    tail = last.select(*within, F.posexplode(ends).alias("b", "value")).select(*within, F.struct(F.lit(2).alias("part"), F.lit(0).cast("long").alias("a"), "b").alias("seq"), "value")
+    return header.unionByName(body).unionByName(tail).select(*out)
+
+
+def gap_marks(lines: DataFrame, last: int, within: Sequence[str] = ()) -> DataFrame:
+    """``ter_after``: an atom of residue ``last`` whose very next line is an atom of another residue.
+
+    ``lines`` are all lines of the files (``line_no``, ``value``), since any line in between breaks the pair.
+    """
+    text = F.col("value")
+    number = F.when(_is_atom(text), F.trim(F.substring(text, 23, 4)).try_cast("int"))
+    after = F.lead(number).over(Window.partitionBy(*within).orderBy("line_no"))
+    return lines.withColumn("ter_after", F.coalesce((number == last) & (after != last), F.lit(False)))
+
+
+def gap_lines(lines: DataFrame, last: int, within: Sequence[str] = ()) -> DataFrame:
+    """(within, seq, value): the lines with a TER line at the chain gap; an error if there is no gap."""
+    marked = gap_marks(lines, last, within)
+    if marked.where("ter_after").isEmpty():
+        raise ValueError(f"no chain breaks after residue {last}")
+    both = F.when(F.col("ter_after"), F.array("value", F.rpad(F.lit("TER"), 11, " "))).otherwise(F.array("value"))
+    rows = marked.select(*within, "line_no", F.posexplode(both).alias("b", "value"))
+    return rows.select(*within, F.struct(F.lit(1).alias("part"), F.col("line_no").cast("long").alias("a"), "b").alias("seq"), "value")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievespark.operators.cluster_stats import p_values
+
 
 def pick_list(members: DataFrame, good: DataFrame, outliers: DataFrame, cluster: Sequence[str], medoids: DataFrame | None = None) -> DataFrame:
     """(cluster, source, compound_id, ad4_score, cluster_size, roles).
@@ -24,10 +26,16 @@ def pick_list(members: DataFrame, good: DataFrame, outliers: DataFrame, cluster:
     roles = best.unionByName(middle).groupBy(*cluster, "compound_id").agg(F.array_join(F.array_sort(F.collect_set("role")), "+").alias("roles"))
     chosen = roles.join(inside.select(*cluster, "compound_id", "ad4_score", F.col("count").alias("cluster_size")), [*cluster, "compound_id"])
     out = chosen.withColumn("source", F.lit("cluster"))
-    alone = outliers.select(*cluster, "compound_id", "ad4_score", F.lit(1).cast("long").alias("cluster_size"), F.lit("singleton").alias("roles"), F.lit("singleton").alias("source"))
+    alone = outliers.select(*cluster, "compound_id", "ad4_score", F.lit(1).cast("long").alias("cluster_size"), F.lit("singleton_outlier").alias("roles"), F.lit("singleton").alias("source"))
     return out.unionByName(alone).select(*cluster, "source", "compound_id", "ad4_score", "cluster_size", "roles")
 
 
+def kept_clusters(picks: DataFrame, judged: DataFrame, cluster: Sequence[str]) -> DataFrame:
+    """Statistics of the clusters that gave picks: count, mean_z, min_z, std_z, t_stat, p_value."""
+    kept = picks.where("source = 'cluster'").select(*cluster).distinct()
+    return p_values(judged).join(kept, list(cluster), "left_semi").select(*cluster, "count", "mean_z", "min_z", "std_z", "t_stat", "p_value")
+
+
 def consensus(df: DataFrame, ranks: Sequence[str], sigma: float) -> DataFrame:
     """Exponential consensus sum(exp(-r / sigma) / sigma) and the mean rank."""
     total = sum((F.exp(-F.col(r) / sigma) / sigma for r in ranks), F.lit(0.0))

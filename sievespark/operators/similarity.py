@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Reference rows that may be broadcast (a 2048-bit fingerprint takes about 300 bytes).
-BROADCAST_ROWS = 100_000
+#: Fingerprints (about 300 bytes each at 2048 bits) that meet in one block.
+BLOCK = 4096
 
 
 def sign_bits(vector: Column, dims: int = 64) -> Column:
@@ -30,21 +30,38 @@ def edges(df: DataFrame, group: str, node: str, fp: str, twentieths: int) -> Dat
     """(group, a, b, inter, uni) for pairs a < b of a group with Tanimoto of ``twentieths`` / 20 or more.
 
     The threshold is compared in integers. Made once at the lowest threshold, the edges serve every
-    higher one. Bit counts bound the pairs: |a| * 20 >= t * |b| is part of the join.
+    higher one. Bit counts bound the pairs: |a| * 20 >= t * |b| is part of the join. A group is dealt
+    into blocks of about BLOCK nodes and the blocks meet pair by pair, so a large one is many tasks.
     """
     ones = F.aggregate(F.transform(fp, lambda x: F.bit_count(x).cast("int")), F.lit(0), lambda s, n: s + n)
     rows = df.select(F.col(group).alias("group"), F.col(node).alias("node"), F.col(fp).alias("fp"), ones.alias("n"))
-    a, b = rows.alias("a"), rows.alias("b")
+    sizes = df.groupBy(F.col(group).alias("group")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = rows.join(sizes, "group").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    left = placed.select("*", F.explode(F.sequence(F.col("own"), F.col("blocks") - 1)).alias("other")).alias("a")
+    right = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("other")).alias("b")
+    met = (F.col("a.group") == F.col("b.group")) & (F.col("a.own") == F.col("b.other")) & (F.col("a.other") == F.col("b.own"))
     fits = (F.col("a.n") * 20 >= F.col("b.n") * twentieths) & (F.col("b.n") * 20 >= F.col("a.n") * twentieths)
-    pairs = a.join(b, (F.col("a.group") == F.col("b.group")) & (F.col("a.node") < F.col("b.node")) & fits)
-    out = pairs.select(F.col("a.group").alias("group"), F.col("a.node").alias("a"), F.col("b.node").alias("b"), shared_bits(F.col("a.fp"), F.col("b.fp")).alias("inter"), all_bits(F.col("a.fp"), F.col("b.fp")).alias("uni"))
+    pairs = left.join(right, met & ((F.col("a.own") < F.col("b.own")) | (F.col("a.node") < F.col("b.node"))) & fits)
+    out = pairs.select(F.col("a.group").alias("group"), F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"), shared_bits(F.col("a.fp"), F.col("b.fp")).alias("inter"), all_bits(F.col("a.fp"), F.col("b.fp")).alias("uni"))
     return out.where(F.col("inter") * 20 >= F.col("uni") * twentieths)
 
 
 def max_similarity(df: DataFrame, node: str, fp: str, known: DataFrame, known_fp: str) -> DataFrame:
-    """Per row of ``df`` the highest Tanimoto to a row of ``known`` (a stated reference set)."""
-    small = known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    ref = known.select(F.col(known_fp).alias("__k"))
-    pairs = df.select(node, fp).join(F.broadcast(ref) if small else ref)
-    inter, uni = shared_bits(F.col(fp), F.col("__k")), all_bits(F.col(fp), F.col("__k"))
-    return pairs.groupBy(node).agg(F.max(F.when(uni > 0, inter / uni).otherwise(0.0)).alias("max_tc"))
+    """Per row of ``df`` the highest Tanimoto to a row of ``known``, a stated reference set of any size.
+
+    Rows and references are dealt into blocks; each pair of blocks is one group of the join, and a row
+    meets a block of references as one array.
+    """
+    refs = known.select(F.col(known_fp).alias("r")).withColumn("at", F.monotonically_increasing_id())
+    n = max(1, -(-known.count() // BLOCK))
+    blocks = refs.groupBy(F.pmod(F.xxhash64("at"), F.lit(n)).cast("int").alias("block")).agg(F.collect_list("r").alias("refs"))  # about BLOCK each
+    rows = df.select(F.col(node).alias("node"), F.col(fp).alias("fp"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"))
+
+    def tanimoto(fp: Column, r: Column) -> Column:
+        uni = all_bits(fp, r)
+        return F.when(uni > 0, shared_bits(fp, r) / uni).otherwise(0.0)
+
+    pairs = rows.join(F.broadcast(blocks) if n == 1 else blocks, "block")  # one block is of bounded size
+    best = pairs.select("node", F.array_max(F.transform("refs", lambda r: tanimoto(F.col("fp"), r))).alias("tc"))
+    return best.groupBy(F.col("node").alias(node)).agg(F.max("tc").alias("max_tc"))

@@ -6,34 +6,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievespark.chem.molblock import describe_poses, nearest_charged
-from sievespark.functions.scalar import base_id
+from sievespark.functions.scalar import bad_score, base_id, winner_first
+from sievespark.operators.lookups import missing_keys, require_none
 from sievespark.operators.ranking import best_per_key, best_pose, cut_prefix, ranked
 
 
+#: The texts of the report's error column.
+NOTHING_READ, NO_CHARGE, BAD_SCORE = "rdkit failed to parse", "no charged N atom found in any pose", "could not convert string to float: "
+
+
 def geometric_filter(poses: DataFrame, target: tuple[float, float, float], limit: float = 5.0, expected: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(report, winners): every compound's outcome, and each passing compound's winning pose.
 
-    Spark's readers pass over files without a byte; with ``expected`` (compound_id) those compounds
-    are reported as empty.
+    A pose that cannot be parsed, or has no charged nitrogen, has no distance and is passed over; the
+    others decide. A score that is no number makes the whole compound an error. Spark's readers pass
+    over files without a byte; with ``expected`` (compound_id) those compounds are reported as empty.
     """
     seen = describe_poses(poses).withColumn("distance", nearest_charged(F.col("atoms"), target))
     near = F.col("distance") <= limit
     per = seen.groupBy("compound_id").agg(
-        F.count("block").alias("n"), F.count("distance").alias("charged"), F.count_if(near).alias("near"), F.max("error").alias("broken")
+        F.count("block").alias("n"), F.count("distance").alias("charged"), F.count_if(near).alias("near"), F.min_by(bad_score(F.col("block")), F.when(bad_score(F.col("block")).isNotNull(), F.col("pose_idx"))).alias("broken")
     )
     if expected is not None:
         per = expected.select("compound_id").distinct().join(per, "compound_id", "left").fillna(0, ["n", "charged", "near"])
-    error = F.when(F.col("n") == 0, "empty file").when(F.col("charged") == 0, "no charged atom")
     report = per.select(
         "compound_id",
-        F.when(F.col("n").cast("boolean") & F.col("broken").isNotNull(), "error").when(F.col("near") > 0, "True").otherwise("False").alias("passed"),
-        F.coalesce("broken", error).alias("error"),
+        F.when(F.col("broken").isNotNull(), "error").when(F.col("near") > 0, "True").otherwise("False").alias("passed"),
+        F.when(F.col("broken").isNotNull(), F.concat(F.lit(BAD_SCORE + "'"), "broken", F.lit("'"))).when(F.col("n") == 0, NOTHING_READ).when(F.col("charged") == 0, NO_CHARGE).alias("error"),
     )
     passing = report.where("passed = 'True'").select("compound_id")
     won = best_pose(seen.where(near), ["compound_id"], "score", "distance", ["pose_idx"])
     return report, won.join(passing, "compound_id", "left_semi")
 
 
+def moved_poses(poses: DataFrame, winners: DataFrame) -> DataFrame:
+    """(compound_id, text, moved): each winner's file with the winning pose in front, the others in order."""
+    files = poses.where("block is not null").groupBy("compound_id").agg(F.array_sort(F.collect_list(F.struct("pose_idx", "block"))).alias("b"))  # up to nine poses
+    both = files.join(winners.select("compound_id", F.col("pose_idx").alias("winner")), "compound_id")
+    blocks = F.transform("b", lambda x: x["block"])
+    return both.select("compound_id", F.array_join(winner_first(blocks, F.col("winner")), "").alias("text"), (F.col("winner") > 0).alias("moved"))
+
+
+def fetch_blocks(hits: DataFrame, poses: DataFrame) -> DataFrame:
+    """``hits`` (compound_id, pose_idx) with the pose's block; hits without one fall out, see :func:`lookups.missing_keys`."""
+    return hits.join(poses.select("compound_id", "pose_idx", "block"), ["compound_id", "pose_idx"])
+
+
+def review_set(hits: DataFrame, poses: DataFrame, n: int = 100, rank: str = "rank") -> DataFrame:
+    """The first ``n`` hits with their blocks; a hit without one is an error."""
+    top = hits.where(F.col(rank) <= n)
+    found = fetch_blocks(top, poses)
+    require_none(missing_keys(top, found, ["compound_id"]), "no pose is there for")
+    return found
+
+
 def hit_list(winners: DataFrame, strain: DataFrame, cutoff: float = -7.0, variants: bool = True) -> DataFrame:
     """Winners that are not strained and score at or below the cutoff, one a base id, ranked.
 

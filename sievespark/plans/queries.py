@@ -18,6 +18,7 @@ from sievespark.operators import clustering as B
 from sievespark.operators import curves as V
 from sievespark.operators import lookups as L
 from sievespark.operators import ranking as R
+from sievespark.operators import receptor as P
 from sievespark.operators import similarity as T
 from sievespark.session import read_table
 
@@ -284,10 +285,10 @@ def butina_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return B.butina_grouped(nodes, edges, GRID).select(F.col("group").alias("grp"), big("k").alias("k"), "node", "centroid")
 
 
-@query(f"with recursive {BUTINA} select grp, k, node, centroid from butina where k = 7")
+@query(f"with recursive {BUTINA} select grp, k, node, centroid from butina")
 def butina_by_rounds(spark: SparkSession, sf: str) -> DataFrame:
     nodes, edges = grid_edges(spark, sf)
-    return B.butina_rounds(nodes, edges, (7,)).select(F.col("group").alias("grp"), big("k").alias("k"), "node", "centroid")
+    return B.butina_rounds(nodes, edges, GRID).select(F.col("group").alias("grp"), big("k").alias("k"), "node", "centroid")
 
 
 NESTED = f"""{BUTINA}, sizes as (select grp, count(*) as size, min(node) as first from fp group by grp),
@@ -304,6 +305,14 @@ def nested_assignment(spark: SparkSession, sf: str) -> DataFrame:
     return nested_clusters(spark, sf).select(F.col("group").alias("grp"), big("k").alias("k"), "node", "centroid")
 
 
+@query(f"""with recursive {NESTED}, firsts as (select k, grp, centroid, min(node) as first from nested group by all),
+groups as (select k, grp, count(*) >= 50 as large, min(node) as start from nested group by all),
+ids as (select f.k, f.grp, f.centroid, row_number() over (partition by f.k order by large, start, first) - 1 as cluster_id from firsts f join groups using (k, grp))
+select grp, k, node, cluster_id from nested join ids using (k, grp, centroid)""")
+def global_cluster_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return B.numbered(nested_clusters(spark, sf), 50).select(F.col("group").alias("grp"), big("k").alias("k"), "node", "cluster_id")
+
+
 SUMMARY = f"""{NESTED}, csize as (select k, grp, centroid, count(*) as size from nested group by all),
 ordered as (select *, row_number() over (partition by k order by size desc, grp, centroid) as place from csize),
 summary as (select k, cast(sum(size) as bigint) as n_compounds, count(*) as n_clusters, count(*) filter (size = 1) as n_singletons, max(size) as largest_cluster_size,
@@ -436,9 +445,23 @@ def good_clusters_q4(spark: SparkSession, sf: str) -> DataFrame:
     return q4(spark, sf).select("conformation", "cluster_id", "count", r6("t_stat").alias("t_stat"), "good")
 
 
-@query(None)
+def horner(*coefficients: float) -> str:
+    out = "0.0"
+    for c in coefficients:
+        out = f"({out} * a + {c!r}::double)"
+    return out
+
+
+CDF = f"""exp(-a * a / 2) * case when a < 7.07106781186547 then
+  {horner(3.52624965998911e-02, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871, 221.213596169931, 220.206867912376)}
+  / {horner(8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752)}
+  else 1 / (a + 1 / (a + 2 / (a + 3 / (a + 4 / (a + 0.65))))) / 2.506628274631 end"""
+
+
+@query(f"""with {GOOD}, x as (select conformation, cluster_id, t_stat, abs(t_stat) as a from q4), y as (select *, {CDF} as tail from x)
+select conformation, cluster_id, round(t_stat, 6) as t_stat, round(case when t_stat > 0 then 1 - tail else tail end, 9) as p_value from y""")
 def p_values_q4(spark: SparkSession, sf: str) -> DataFrame:
-    return C.p_values(q4(spark, sf)).select("conformation", "cluster_id", "t_stat", "p_value")
+    return C.p_values(q4(spark, sf)).select("conformation", "cluster_id", r6("t_stat").alias("t_stat"), F.round("p_value", 9).alias("p_value"))
 
 
 Q4SUM = "q4s as (select conformation, count(*) as n_tested, count(*) filter (good) as n_good from q4 group by 1)"
@@ -496,7 +519,7 @@ mid as (select m.conformation, m.cluster_id, m.compound_id, m.ad4_score, 'medoid
   qualify row_number() over (partition by conformation, cluster_id order by round(abs(m.z - g.mean_z), 9), compound_id) = 1),
 roles as (select conformation, cluster_id, compound_id, ad4_score, string_agg(role, '+' order by role) as roles from (select * from best union all select * from mid) group by all),
 picks as (select r.conformation, 'cluster' as source, r.cluster_id, r.compound_id, r.ad4_score, g.count as cluster_size, r.roles from roles r join q4 g using (conformation, cluster_id)
-  union all select conformation, 'singleton', cluster_id, compound_id, ad4_score, 1, 'singleton' from outliers)"""
+  union all select conformation, 'singleton', cluster_id, compound_id, ad4_score, 1, 'singleton_outlier' from outliers)"""
 
 
 def picks(spark: SparkSession, sf: str) -> DataFrame:
@@ -516,6 +539,16 @@ def pick_list_q5(spark: SparkSession, sf: str) -> DataFrame:
     return picks(spark, sf)
 
 
+@query(f"""with {PICKS}, kept as (select distinct conformation, cluster_id from picks where source = 'cluster'),
+x as (select g.*, abs(t_stat) as a from q4 g join kept using (conformation, cluster_id)), y as (select *, {CDF} as tail from x)
+select conformation, cluster_id, count, round(mean_z, 6) as mean_z, round(min_z, 6) as min_z, round(std_z, 6) as std_z, round(t_stat, 6) as t_stat, round(case when t_stat > 0 then 1 - tail else tail end, 9) as p_value from y""")
+def kept_clusters_q5(spark: SparkSession, sf: str) -> DataFrame:
+    from sievespark.operators.selection import kept_clusters
+
+    kept = kept_clusters(picks(spark, sf), q4(spark, sf), ["conformation", "cluster_id"])
+    return kept.select("conformation", "cluster_id", "count", *[r6(c).alias(c) for c in ("mean_z", "min_z", "std_z", "t_stat")], F.round("p_value", 9).alias("p_value"))
+
+
 @query(f"""with {PICKS} select conformation, count(*) filter (source = 'cluster') as cluster, count(*) filter (source = 'singleton') as singleton, count(*) as total from picks group by 1""")
 def composition_pivot(spark: SparkSession, sf: str) -> DataFrame:
     p = picks(spark, sf).groupBy("conformation").pivot("source", ["cluster", "singleton"]).agg(F.count(F.lit(1)))
@@ -605,12 +638,13 @@ def best_per_cluster_rescored(spark: SparkSession, sf: str) -> DataFrame:
     return best.select("cluster_id", "r.compound_id", F.round("r.dg", 4).alias("dg"))
 
 
-@query("""with q as (select vec_id, embedding as v from embeddings), k as (select vec_id as kid, embedding as w from embeddings where vec_id < 20),
-t as (select vec_id, max(list_sum(list_transform(range(1, 65), lambda i: (v[i] > 0 and w[i] > 0)::int)) / list_sum(list_transform(range(1, 65), lambda i: (v[i] > 0 or w[i] > 0)::int))) as max_tc from q, k where vec_id >= 20 group by 1)
+@query("""with q as (select vec_id, embedding as v from embeddings where label <> 0), k as (select embedding as w from embeddings where label = 0),
+t as (select vec_id, max(list_sum(list_transform(range(1, 65), lambda i: (v[i] > 0 and w[i] > 0)::int)) / list_sum(list_transform(range(1, 65), lambda i: (v[i] > 0 or w[i] > 0)::int))) as max_tc from q, k group by 1)
 select vec_id, round(max_tc, 6) as max_tc, case when max_tc >= 0.55 then 'known' when max_tc >= 0.35 then 'borderline' else 'novel' end as flag from t""")
 def novelty_max_tc(spark: SparkSession, sf: str) -> DataFrame:
+    """One label stands for the known actives, so both sides grow with the table."""
     fp = fingerprints(spark, sf)
-    t = T.max_similarity(fp.where("node >= 20"), "node", "fp", fp.where("node < 20"), "fp")
+    t = T.max_similarity(fp.where("group <> 0"), "node", "fp", fp.where("group = 0"), "fp")
     return t.select(F.col("node").alias("vec_id"), r6("max_tc").alias("max_tc"), F.when(F.col("max_tc") >= 0.55, "known").when(F.col("max_tc") >= 0.35, "borderline").otherwise("novel").alias("flag"))
 
 
@@ -673,10 +707,10 @@ def strain_interp(spark: SparkSession, sf: str) -> DataFrame:
 d as (select *, case when ((theta - 60 + 720) % 360) > 180 then ((theta - 60 + 720) % 360) - 360 else ((theta - 60 + 720) % 360) end as d1,
   case when ((theta + 90 + 720) % 360) > 180 then ((theta + 90 + 720) % 360) - 360 else ((theta + 90 + 720) % 360) end as d2 from t)
 select l_orderkey, l_linenumber, l_partkey, l_suppkey,
-  round(case when abs(d1) <= 40 then 2.0 * pow(radians(d1), 2) + 0.5 * pow(radians(d1), 4) when abs(d2) <= 30 then 1.0 * pow(radians(d2), 2) + 0.25 * pow(radians(d2), 4) else 100 end, 6) as energy,
+  round(case when abs(d1) <= 40 then 2e-3 * pow(d1, 2) + 5e-7 * pow(d1, 4) when abs(d2) <= 30 then 1e-3 * pow(d2, 2) + 2.5e-7 * pow(d2, 4) else 100 end, 6) as energy,
   not (abs(d1) <= 40 or abs(d2) <= 30) as not_observed from d""")
 def strain_quartic(spark: SparkSession, sf: str) -> DataFrame:
-    peaks = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(("theta_0", "tolerance2", "beta_1", "beta_2"), row)]) for row in ((60.0, 40.0, 2.0, 0.5), (-90.0, 30.0, 1.0, 0.25))])
+    peaks = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(("theta_0", "tolerance2", "beta_1", "beta_2"), row)]) for row in ((60.0, 40.0, 2e-3, 5e-7), (-90.0, 30.0, 1e-3, 2.5e-7))])
     s = S.quartic_strain(F.col("l_quantity") * 7.19 - 180, peaks)
     return read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", r6(s["energy"]).alias("energy"), s["not_observed"].alias("not_observed"))
 
@@ -754,10 +788,116 @@ def regex_score(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("event_id", S.pose_score(F.regexp_replace("props", r'"k":', "ENERGY=")).alias("score"))
 
 
-@query("""select user_id, event_id, row_number() over (partition by user_id order by event_id) + coalesce(sum(ter) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding), 0) as serial, ter = 1 as ter_after from (
-  select *, case when lead(event_type) over (partition by user_id order by event_id) <> event_type then 1 else 0 end as ter from events)""")
+@query("""select user_id, event_id, row_number() over w as serial, coalesce(lag(event_type) over w <> event_type, false) as ter_before
+from events window w as (partition by user_id order by event_id)""")
 def ter_insertion(spark: SparkSession, sf: str) -> DataFrame:
-    from sievespark.operators.receptor import number_fragments
-
     e = read_table(spark, sf, "events").select("user_id", "event_id", "event_type")
-    return number_fragments(e, ["user_id"], "event_id", "event_type").select("user_id", "event_id", big("serial").alias("serial"), "ter_after")
+    return P.number_fragments(e, ["user_id"], ["event_id"], "event_type").select("user_id", "event_id", big("serial").alias("serial"), "ter_before")
+
+
+# Receptor lines: a supplier's lineitems are a file, part and order numbers make atom names and residues.
+ATOM_NAMES = ("CAY", "HY1", "HY", "CY", "HAY2", "NT", "HNT", "HAT1", "CA", "N", "HYX")
+RESIDUES = (24, 316, 245, 422, 100, 300)
+ATOMS = f"""raw as (select l_suppkey as file, ((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 100 + cast(l_quantity as bigint) as line_no, ({list(ATOM_NAMES)})[l_partkey % {len(ATOM_NAMES)} + 1] as atom,
+  ({list(RESIDUES)})[l_orderkey % {len(RESIDUES)} + 1] as resnum, l_quantity as x, l_linenumber % 2 as kind from lineitem),
+routed as (select *, atom in ('CAY', 'HY1', 'CY', 'HAY2') and resnum in (24, 316) as ace, atom in ('NT', 'HNT', 'HAT1') and resnum in (245, 422) as nme,
+  atom = 'HY' and resnum in (24, 316) as stray from raw),
+named as (select file, line_no, x, kind, resnum, atom, case when ace or nme then 'cap' when stray then 'drop' else 'body' end as part,
+  case when ace or nme then case atom when 'CAY' then 'CH3' when 'HY1' then 'HH31' when 'CY' then 'C' when 'HAY2' then 'HH32' when 'NT' then 'N' when 'HNT' then 'H' else 'HH31' end else atom end as name,
+  case when ace then 'ACE' when nme then 'NME' else 'GLY' end as residue,
+  case when ace then resnum - 1 when nme then resnum + 1 else resnum end as number,
+  case when ace or nme then case when resnum in (24, 245) then 1 else 2 end when resnum <= 245 then 1 else 2 end as fragment from routed)"""
+
+
+def receptor_lines(spark: SparkSession, sf: str) -> DataFrame:
+    li = read_table(spark, sf, "lineitem")
+    pick = lambda values, key: F.element_at(F.array(*[F.lit(v) for v in values]), (F.col(key) % len(values) + 1).cast("int"))
+    name = pick(ATOM_NAMES, "l_partkey")
+    field = F.when(F.length(name) < 4, F.concat(F.lit(" "), F.rpad(name, 3, " "))).otherwise(name)
+    kind = F.when(F.col("l_linenumber") % 2 == 0, "ATOM  ").otherwise("HETATM")
+    number = F.lpad(pick(RESIDUES, "l_orderkey").cast("string"), 4, " ")
+    x = F.lpad(F.format_string("%.3f", F.col("l_quantity").cast("double")), 8, " ")
+    value = F.concat(kind, F.lit("    0 "), field, F.lit(" GLY A"), number, F.lit("    "), x, F.lit("   1.000   2.000  0.50  3.25           C"))
+    return li.select(F.col("l_suppkey").alias("file"), (((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")) * 100 + F.col("l_quantity").cast("long")).alias("line_no"), value.alias("value"))
+
+
+@query(f"with {ATOMS} select file, part, name, residue, cast(number as integer) as number, cast(fragment as integer) as fragment, count(*) as n, sum(cast(x as double)) as sum_x from named group by all")
+def cap_routing(spark: SparkSession, sf: str) -> DataFrame:
+    routed = P.route(P.atoms(receptor_lines(spark, sf)))
+    return routed.groupBy("file", "part", "name", "residue", "number", "fragment").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sum_x"))
+
+
+@query(f"""with {ATOMS}, files as (select distinct file from named), sites as (select unnest(['ACE', 'ACE', 'NME', 'NME']) as residue, unnest([23, 315, 246, 423]) as number),
+found as (select file, residue, number, count(*) as n from named where part = 'cap' group by all)
+select file, residue, cast(number as integer) as number, coalesce(n, 0) as n, coalesce(n, 0) = 6 as complete from files cross join sites left join found using (file, residue, number)""")
+def cap_completeness(spark: SparkSession, sf: str) -> DataFrame:
+    return P.cap_sizes(P.route(P.atoms(receptor_lines(spark, sf))), ["file"])
+
+
+@query(f"""with {ATOMS}, placed as (select *, row_number() over w as serial, coalesce(lag(fragment) over w <> fragment, false) as ter
+    from named where part <> 'drop' window w as (partition by file order by number, line_no)),
+fmt as (select *, case when length(name) < 4 then ' ' || rpad(name, 3, ' ') else name end as field from placed),
+body as (select file, serial, ter, case when part = 'cap'
+    then 'ATOM  ' || lpad(serial::varchar, 5, ' ') || ' ' || field || ' ' || residue || ' A' || lpad(number::varchar, 4, ' ') || '    ' || lpad(printf('%.3f', x::double), 8, ' ') || '   1.000   2.000  0.50  3.25           ' || name[1]
+    else case when kind = 0 then 'ATOM  ' else 'HETATM' end || lpad(serial::varchar, 5, ' ') || ' ' || field || ' GLY A' || lpad(resnum::varchar, 4, ' ') || '    ' || lpad(printf('%.3f', x::double), 8, ' ') || '   1.000   2.000  0.50  3.25           C' end as value from fmt),
+ends as (select file, max(serial) + 1 as serial from body group by file)
+select file, serial, 1 as place, value from body union all select file, serial, 0, 'TER   ' || lpad(serial::varchar, 5, ' ') from body where ter
+union all select file, serial, 0, 'TER   ' || lpad(serial::varchar, 5, ' ') from ends union all select file, serial, 1, 'END' from ends""")
+def capped_receptors(spark: SparkSession, sf: str) -> DataFrame:
+    out = P.capped_lines(receptor_lines(spark, sf), ["file"])
+    # A line's serial: its own, or for TER and END the one that would come next.
+    last = F.max(F.when(F.col("seq.part") == 1, F.col("seq.a"))).over(Window.partitionBy("file"))
+    tail, ter = F.col("seq.part") == 2, F.col("value").startswith("TER")
+    return out.select("file", F.when(tail, last + 1).otherwise(F.col("seq.a")).alias("serial"), F.when(ter, 0).otherwise(1).alias("place"), "value")
+
+
+@query("""select user_id, event_id, case when event_type = 'click' and lead(event_type) over w = 'view' then true else false end as ter_after
+from events window w as (partition by user_id order by event_id)""")
+def gap_marks(spark: SparkSession, sf: str) -> DataFrame:
+    code = F.when(F.col("event_type") == "click", "   1").when(F.col("event_type") == "view", "   2")
+    line = F.when(code.isNotNull(), F.concat(F.rpad(F.lit("ATOM"), 22, " "), code)).otherwise("REMARK")
+    lines = read_table(spark, sf, "events").select("user_id", F.col("event_id").alias("line_no"), line.alias("value"))
+    return P.gap_marks(lines, 1, ["user_id"]).select("user_id", F.col("line_no").alias("event_id"), "ter_after")
+
+
+@query(r"""with b as (select doc_id, unnest(range(1, len(parts) + 1)) as i, parts from (select doc_id, string_split(text, chr(10)) as parts from documents where text is not null))
+select doc_id, i - 1 as pose_idx, case when i < len(parts) then parts[i] || '$$$$' || chr(10) else parts[i] end as block from b
+where i < len(parts) or regexp_replace(parts[i], '\\s', '', 'g') <> ''""")
+def block_splitter(spark: SparkSession, sf: str) -> DataFrame:
+    """A document's lines stand for blocks: each line end becomes a terminator."""
+    d = read_table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit("$$$$\n")).alias("text"))
+    return d.select("doc_id", F.posexplode(S.split_blocks(F.col("text"))).alias("pose_idx", "block")).select("doc_id", big("pose_idx").alias("pose_idx"), "block")
+
+
+@query(r"""select c_custkey, c_name as stem from customer""")
+def file_stems(spark: SparkSession, sf: str) -> DataFrame:
+    path = F.concat(F.lit("file:/poses/x%20y/"), F.replace("c_name", F.lit("#"), F.lit("%23")), F.lit(".sdf"))
+    return read_table(spark, sf, "customer").select("c_custkey", S.file_stem(path).alias("stem"))
+
+
+@query(f"""with {ATOMS}, one as (select file, count(*) filter (atom = 'CA' and resnum = 100) as n, max(x) filter (atom = 'CA' and resnum = 100) as x from raw group by file)
+select file, cast(x as double) as x from one where n = 1""")
+def target_atoms(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with exactly one target atom, and its x."""
+    rec = P.atoms(receptor_lines(spark, sf)).where((F.col("resname") == "GLY") & (F.col("resnum") == 100) & (F.col("atom") == "CA"))
+    return rec.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("x")).where("n = 1").select("file", "x")
+
+
+@query("""select l_orderkey, case when bad then 'error' when near > 0 then 'True' else 'False' end as passed,
+  case when bad then 'bad score' when near = 0 and charged = 0 then 'no charge' end as error from (
+  select l_orderkey, bool_or(l_linenumber = 7) as bad, count(*) filter (l_returnflag = 'R' and l_linestatus = 'F') as charged,
+    count(*) filter (l_returnflag = 'R' and l_linestatus = 'F' and l_quantity <= 5) as near from lineitem group by l_orderkey)""")
+def geometric_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """Real pose blocks: a line item is a pose, unreadable for status O, charged for flag R, its score no number for line 7."""
+    from sievespark.plans.funnel import BAD_SCORE, NO_CHARGE, geometric_filter
+
+    li = read_table(spark, sf, "lineitem")
+    atom = F.concat(F.lpad(F.format_string("%.4f", F.col("l_quantity").cast("double")), 10, " "), F.lit("    0.0000    0.0000 N   0  0\n"))
+    charge = F.when(F.col("l_returnflag") == "R", "M  CHG  1   1   1\n").otherwise("")
+    score = F.when(F.col("l_linenumber") == 7, "1.2.3").otherwise(F.format_string("%.2f", -F.col("l_extendedprice")))
+    block = F.concat(F.lit("m\n\n\n  1  0  0  0  0  0  0  0  0  0999 V2000\n"), atom, charge, F.lit("M  END\n> <R>\nENERGY= "), score, F.lit("\n\n$$$$\n"))
+    block = F.when(F.col("l_linestatus") == "F", block).otherwise(F.concat(F.lit("unreadable ENERGY= "), score, F.lit("\n$$$$\n")))
+    poses_ = li.select(F.col("l_orderkey").alias("compound_id"), F.col("l_linenumber").alias("pose_idx"), block.alias("block")).withColumn("score", S.pose_score(F.col("block")))
+    report, _ = geometric_filter(poses_, (0.0, 0.0, 0.0))
+    error = F.when(F.col("error").startswith(BAD_SCORE), "bad score").when(F.col("error") == NO_CHARGE, "no charge")
+    return report.select(F.col("compound_id").alias("l_orderkey"), "passed", error.alias("error"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sievespark.chem import molblock as M
 from sievespark.functions import scalar as S
 from sievespark.operators import cluster_stats, clustering, curves, lookups, ranking, receptor, rescoring, selection, similarity, strain
-from sievespark.plans import funnel
+from sievespark.plans import clusters, funnel
 from sievespark.sources import readers, writers
 
 
@@ -48,8 +48,9 @@ def test_scalar_functions(spark):
     assert got == pytest.approx(want)
     assert [one(spark, S.angle_difference(F.lit(a), F.lit(b))) for a, b in ((170.0, -170.0), (-170.0, 170.0), (180.0, 0.0), (0.0, 180.0))] == [-20.0, 20.0, 180.0, 180.0]
     peaks = F.array(F.struct(F.lit(0.0).alias("theta_0"), F.lit(30.0).alias("tolerance2"), F.lit(2.0).alias("beta_1"), F.lit(1.0).alias("beta_2")))
-    d = math.radians(30)
-    assert tuple(one(spark, S.quartic_strain(F.lit(30.0), peaks))) == pytest.approx((2 * d**2 + d**4, False))
+    assert tuple(one(spark, S.quartic_strain(F.lit(30.0), peaks))) == pytest.approx((2 * 30**2 + 30**4, False))  # degrees
+    zs = [-40.0, -9.0, -7.2, -7.0, -3.3, -1.0, 0.0, 0.4, 2.5, 7.3]
+    assert [one(spark, S.normal_cdf(F.lit(z))) for z in zs] == pytest.approx([0.5 * math.erfc(-z / math.sqrt(2)) for z in zs], rel=1e-9)
     assert tuple(one(spark, S.quartic_strain(F.lit(31.0), peaks))) == (100.0, True)
     arr = F.array(*map(F.lit, "abcd"))
     assert ["".join(one(spark, S.winner_first(arr, F.lit(i)))) for i in (0, 2, 3, 4, -1)] == ["abcd", "cabd", "dabc", "abcd", "abcd"]
@@ -74,7 +75,9 @@ def test_properties_round_trip(spark):
     b = S.add_properties(F.lit("m\nM  END\n$$$$\n"), {"A": F.lit("1"), "B": F.lit(None)})
     again = S.add_properties(b, {"A": F.lit("2")})
     assert one(spark, S.property_map(again)) == {"A": "2", "B": ""}
-    assert one(spark, again).count("$$$$") == 1 and one(spark, again).endswith("> <A>\n2\n\n$$$$\n")
+    assert one(spark, again).count("$$$$") == 1 and one(spark, again).endswith(">  <A>\n2\n\n$$$$\n")
+    assert one(spark, S.add_properties(F.lit("m\nM  END$$$$"), {"A": F.lit("1")})) == "m\nM  END\n>  <A>\n1\n\n$$$$\n"
+    assert one(spark, S.property_map(F.lit("> <A>\nx\n\n>\t<B_2> \ny\nz\n\n$$$$\n"))) == {"A": "x", "B_2": "y\nz"}
 
 
 def test_winner_rules(spark):
@@ -126,6 +129,7 @@ def test_boundaries_are_inclusive_where_they_should_be(spark):
     assert [r.good for r in judged.orderBy("mean_z").collect()] == [True, False]
     p = cluster_stats.p_values(judged).orderBy("mean_z").first()
     assert p.p_value == pytest.approx(0.05, abs=1e-4)
+    assert p.p_value == pytest.approx(0.5 * (1 + math.erf(p.t_stat / math.sqrt(2))), rel=1e-12)
 
 
 def graph(spark, links, n):
@@ -228,27 +232,67 @@ def test_strain_precedence(spark):
     assert (r.total, r.single, r.flagged, r.n_torsions) == (pytest.approx(2.7), 2.0, True, 2)
     names = spark.createDataFrame([("m",), ("rigid",)], "compound string")
     rep = {r.compound: r for r in strain.strain_report(names, df).collect()}
-    assert rep["m"].strained is None and rep["rigid"].strained is None and rep["rigid"].n_torsions == 0 and rep["rigid"].error
+    assert rep["m"].strained is None and rep["m"].error == strain.FLAGGED and rep["rigid"].strained is None and rep["rigid"].n_torsions == 0 and rep["rigid"].error == strain.RIGID
 
 
-def test_receptor(spark, tmp_path):
-    def line(n, atom, res, num, x=0.0):
-        return f"ATOM  {n:5d} {atom:<4} {res:<3} A{num:4d}    {x:8.3f}{1.0:8.3f}{2.0:8.3f}  1.00  0.00"
+def atom_line(n, atom, res, num, x=0.0, tail=True):
+    field = f" {atom:<3}" if len(atom) < 4 else atom
+    return f"ATOM  {n:5d} {field} {res:<3} A{num:4d}    {x:8.3f}{1.0:8.3f}{2.0:8.3f}" + (f"{0.5:6.2f}{9.25:6.2f}          {atom[:1]:>2}" if tail else "")
 
-    text = [line(1, "1HH3", "ACE", 1), line(2, "CG", "ASP", 116, 5.5), line(3, "HY1", "ACE", 1), line(4, "N", "GLY", 228), line(5, "N", "SER", 324), "TER", "HEADER"]
+
+def test_receptor_target_and_gap(spark, tmp_path):
+    text = [atom_line(2, "CG", "ASP", 116, 5.5), atom_line(4, "N", "LYS", 228), "REMARK", atom_line(5, "H", "LYS", 228), atom_line(6, "N", "LYS", 324), "TER", "HEADER"]
     (tmp_path / "r.pdb").write_text("\n".join(text) + "\n")
-    rec = receptor.atoms(readers.read_receptor(spark, str(tmp_path / "r.pdb")))
-    assert rec.count() == 5
+    lines = readers.read_receptor(spark, str(tmp_path / "r.pdb"))
+    rec = receptor.atoms(lines)
+    assert rec.count() == 4
     assert receptor.target_atom(rec, "ASP", 116, "CG").first().x == 5.5
     with pytest.raises(ValueError):
         receptor.target_atom(rec, "ASP", 117, "CG").first()
-    routed = {r.line_no: (r.part, r.atom) for r in receptor.route(rec).collect()}
-    assert routed == {0: ("cap", "HH31"), 1: ("body", "CG"), 2: ("drop", "HY1"), 3: ("body", "N"), 4: ("body", "N")}
-    assert receptor.incomplete_caps(rec).count() == 1
-    marks = receptor.gap_marks(rec, "line_no", 228, 324)
-    assert [r.line_no for r in marks.where("ter_after").collect()] == [3]
+    got = [r.value for r in receptor.gap_lines(lines, 228).orderBy("seq").collect()]
+    assert got == text[:4] + ["TER        "] + text[4:]  # not after line 2: a line that is no atom follows
     with pytest.raises(ValueError):
-        receptor.gap_marks(rec, "line_no", 1, 999)
+        receptor.gap_lines(lines, 324)
+
+
+def test_receptor_caps_are_split_out(spark):
+    """Two files at once; the second has sites without caps."""
+    old = [
+        "HEADER    x", "CRYST1",
+        *[atom_line(9, a, "ASN", 24, i) for i, a in enumerate(("HY", "CAY", "HY1", "HY2", "HY3", "CY", "OY", "HY", "N", "HYX"))],
+        atom_line(30, "CA", "GLY", 100), atom_line(31, "HY", "GLY", 100), "TER      31", "CONECT    9   10",
+        *[atom_line(40, a, "SER", 245) for a in ("C", "NT", "CAT", "HT", "HAT1", "HAT2", "HAT3")],
+        *[atom_line(50, a, "CYS", 316, tail=False) for a in ("CAY", "HAY1", "HAY2", "HAY3", "CY", "OY", "N")],
+        *[atom_line(60, a, "GLN", 422) for a in ("NT", "CAT", "HNT", "HT1", "HT2")], atom_line(65, "CA", "GLN", 422),
+        "END",
+    ]
+    other = [atom_line(7, "N", "ALA", 400), atom_line(3, "N", "ALA", 7)]
+    rows = [("a", i, v) for i, v in enumerate(old)] + [("b", i, v) for i, v in enumerate(other)]
+    lines = spark.createDataFrame(rows, "path string, line_no int, value string").repartition(3)
+    got = receptor.capped_lines(lines, ["path"]).orderBy("seq").collect()
+
+    def cap(n, name, res, num, x=0.0, occ=0.5, temp=9.25):
+        field = f" {name:<3}" if len(name) < 4 else name
+        return f"ATOM  {n:5d} {field} {res} A{num:4d}    {x:8.3f}{1.0:8.3f}{2.0:8.3f}{occ:6.2f}{temp:6.2f}          {name[:1]:>2}"
+
+    want = ["HEADER    x", "CRYST1"]
+    want += [cap(i + 1, n, "ACE", 23, i + 1) for i, n in enumerate(("CH3", "HH31", "HH32", "HH33", "C", "O"))]
+    want += [atom_line(7, "N", "ASN", 24, 8), atom_line(8, "HYX", "ASN", 24, 9), atom_line(9, "CA", "GLY", 100), atom_line(10, "HY", "GLY", 100), atom_line(11, "C", "SER", 245)]
+    want += [cap(12 + i, n, "NME", 246) for i, n in enumerate(("N", "CH3", "H", "HH31", "HH32", "HH33"))]
+    want += ["TER      18"]
+    want += [cap(18 + i, n, "ACE", 315, occ=1.0, temp=0.0) for i, n in enumerate(("CH3", "HH31", "HH32", "HH33", "C", "O"))]
+    want += [atom_line(24, "N", "CYS", 316, tail=False), atom_line(25, "CA", "GLN", 422)]
+    want += [cap(26 + i, n, "NME", 423) for i, n in enumerate(("N", "CH3", "H", "HH31", "HH32"))]
+    want += ["TER      31", "END"]
+    assert [r.value for r in got if r.path == "a"] == want
+    assert [r.value for r in got if r.path == "b"] == [atom_line(1, "N", "ALA", 7), "TER       2", atom_line(2, "N", "ALA", 400), "TER       3", "END"]
+    sizes = receptor.cap_sizes(receptor.route(receptor.atoms(lines)), ["path"]).collect()
+    assert {(r.path, r.number): r.n for r in sizes} == {("a", 23): 6, ("a", 246): 6, ("a", 315): 6, ("a", 423): 5} | {("b", n): 0 for n in (23, 246, 315, 423)}
+    assert sum(r.complete for r in sizes) == 3
+    assert receptor.capped_lines(lines.limit(0), ["path"]).count() == 0
+    for bad in (atom_line(1, "N", "ALA", 246), "ATOM      1  N   ALA A  x "):
+        with pytest.raises(ValueError):
+            receptor.capped_lines(spark.createDataFrame([("a", 0, bad)], lines.schema), ["path"])
 
 
 def test_molecules():
@@ -280,23 +324,33 @@ def test_funnel_end_to_end(spark, tmp_path):
         "F": "broken\n$$$$\n",
         "G": pose(1, True, -6.9),
         "H": "",
+        "I": "broken\n$$$$\n" + pose(1, True, -6.95),
+        "J": pose(1, True, -9.0) + pose(1, True, -9.0).replace("-9.0", "1.2.3"),
     }
     for name, text in files.items():
         (tmp_path / f"{name}.sdf").write_text(text)
     poses = readers.read_poses(spark, str(tmp_path))
     report, won = funnel.geometric_filter(poses, (0.0, 0.0, 0.0), expected=spark.createDataFrame([(c,) for c in files], "compound_id string"))
     got = {r.compound_id: (r.passed, r.error) for r in report.collect()}
-    assert got["C"] == ("False", "no charged atom") and got["D"] == ("False", None) and got["F"][0] == "error" and got["H"] == ("False", "empty file")
-    assert {r.compound_id: r.pose_idx for r in won.collect()} == {"A_S1_T1": 1, "A_S2_T1": 0, "B": 0, "E": 0, "G": 0}
+    assert got["C"] == got["F"] == ("False", funnel.NO_CHARGE) and got["D"] == ("False", None) and got["H"] == ("False", funnel.NOTHING_READ)
+    # A pose that cannot be parsed is passed over, the other decides; a score that is no number is the compound's error.
+    assert got["I"] == ("True", None) and got["J"] == ("error", "could not convert string to float: '1.2.3'")
+    assert {r.compound_id: r.pose_idx for r in won.collect()} == {"A_S1_T1": 1, "A_S2_T1": 0, "B": 0, "E": 0, "G": 0, "I": 1}
+    moved = {r.compound_id: (r.text, r.moved) for r in funnel.moved_poses(poses, won).collect()}
+    a, b, c = (pose(x, True, s) for x, s in ((3, -8.0), (4, -9.0), (9, -20.0)))
+    assert moved["A_S1_T1"] == (b + a + c, True) and moved["B"] == (files["B"], False)
+    won = won.where("compound_id <> 'I'")
     strains = spark.createDataFrame([(c, 1.0, 0.5, False) for c in files], "compound_id string, total double, single double, strained boolean")
     hits = funnel.hit_list(won, strains)
     assert [(r["rank"], r.compound_id) for r in hits.orderBy("rank").collect()] == [(1, "A_S2_T1"), (2, "B")]
-    blocks = hits.join(poses.select("compound_id", "pose_idx", "block"), ["compound_id", "pose_idx"])
+    blocks = funnel.review_set(hits, poses)
+    with pytest.raises(ValueError):
+        funnel.review_set(hits, poses.where("compound_id <> 'B'"))
     writers.write_tagged_blocks(blocks, str(tmp_path / "out"), {"COMPOUND_ID": F.col("compound_id")}, per_file=1)
     back = readers.read_tagged(spark, str(tmp_path / "out" / "*"))
     assert sorted(r.properties["COMPOUND_ID"] for r in back.collect()) == ["A_S2_T1", "B"]
     feats = M.featurise(poses.where("pose_idx = 0")).collect()
-    assert sum(r.fp is None for r in feats) == 1
+    assert sum(r.fp is None for r in feats) == 2
 
 
 def test_torsion_rules(spark, tmp_path):
@@ -317,13 +371,221 @@ def test_rescoring(spark):
 
     out = rescoring.rescore(picks, scorer)
     rows = {r.compound_id: r for r in out.collect()}
-    assert rows["m2"].mmgbsa_dg == -2.0 and rows["m4"].error == "timeout" and len(rows["m3"].error) == 311
+    assert rows["m2"].mmgbsa_dg == -2.0 and rows["m4"].error == "timeout" and rows["m3"].error == "exception: " + "x" * 400
     good, bad = rescoring.split_results(out)
     assert good.count() == 4 and bad.count() == 2
     assert rescoring.rescore(picks, scorer, done=out).count() == 2
     assert sorted(r.chunk for r in rescoring.drop_failed_chunks(out, "chunk").collect()) == [0, 0]
 
 
+def test_external_program(spark, tmp_path):
+    """A stand-in program: score from the record, or one of the four kinds of failure; each compound once."""
+    script = tmp_path / "score.sh"
+    script.write_text('echo x >> "$3"\ncase "$(cat $1)" in ok*) printf "status,TOTAL\\nS,-12.5\\n" > $2;; bad*) printf "status,TOTAL\\nF,1\\n" > $2;; word*) printf "status,TOTAL\\nS,x\\n" > $2;; slow*) sleep 20;; *) echo oops >&2; exit 3;; esac\n')
+    rows = [("c", k, k) for k in ("ok", "bad", "word", "slow", "none")]
+    calls = tmp_path / "calls"
+    scorer = rescoring.external_scorer(lambda record, result, row: ["sh", str(script), record, result, str(calls)], timeout=3)
+    out = rescoring.rescore(spark.createDataFrame(rows, "conformation string, compound_id string, block string"), scorer, rows_per_task=2)
+    got = {r.compound_id: (r.mmgbsa_dg, r.error) for r in out.collect()}
+    assert got["ok"] == (-12.5, None) and got["slow"] == (None, "timeout") and got["none"] == (None, "no_output_rc3: oops\n")
+    assert got["bad"][1] == "bad_status: {'status': 'F', 'TOTAL': '1'}" and got["word"][1] == "exception: could not convert string to float: 'x'"
+    rescoring.secondary_rank(out.where("mmgbsa_dg is not null").withColumn("ad4", F.lit(1.0)), "mmgbsa_dg", "ad4").collect()
+    assert len(calls.read_text().split()) == 5
+
+
+def test_scaffolds_tell_graphs_apart():
+    def mol(n, bonds, doubles=()):
+        return M.Molecule(["C"] * n, [(0.0, 0.0, 0.0)] * n, [(a, b, 2 if (a, b) in doubles else 1) for a, b in bonds])
+
+    ring = lambda at, k: [(at + i, at + (i + 1) % k) for i in range(k)]
+    decalin = mol(10, [*ring(0, 6), (0, 6), (6, 7), (7, 8), (8, 9), (9, 1)])
+    bicyclopentyl = mol(10, [*ring(0, 5), *ring(5, 5), (0, 5)])
+    assert M.scaffold_key(decalin) != M.scaffold_key(bicyclopentyl)  # colour refinement alone gives one key
+    hexane, ketone = mol(6, ring(0, 6)), mol(7, [*ring(0, 6), (0, 6)], {(0, 6)})
+    assert M.scaffold_key(mol(7, [*ring(0, 6), (0, 6)])) == M.scaffold_key(hexane) != M.scaffold_key(ketone)
+    assert M.scaffold_key(mol(4, [(0, 1), (1, 2), (2, 3)])) == ""
+    prisms = mol(6, [*ring(0, 3), *ring(3, 3), (0, 3), (1, 4), (2, 5)]), mol(6, [(a, b) for a in range(3) for b in range(3, 6)])  # both cubic on six atoms
+    assert M.scaffold_key(prisms[0]) != M.scaffold_key(prisms[1])
+    rng = random.Random(5)
+    for m in (decalin, bicyclopentyl, ketone, *prisms):
+        for _ in range(5):
+            order = rng.sample(range(len(m.symbols)), len(m.symbols))
+            turned = M.Molecule(m.symbols, m.xyz, [(order[a], order[b], o) for a, b, o in rng.sample(m.bonds, len(m.bonds))])
+            assert M.scaffold_key(turned) == M.scaffold_key(m)
+
+
+def test_strain_from_molecules(spark):
+    """Match by an injected matcher, measure, energy, precedence, verdict."""
+    def bent(angle):
+        t = math.radians(angle)
+        return [("C", 1.0, 0.0, 0.0), ("C", 0.0, 0.0, 0.0), ("C", 0.0, 0.0, 1.0), ("C", math.cos(t), math.sin(t), 1.0)]
+
+    chain = [(1, 2, 1), (2, 3, 1), (3, 4, 1)]
+    poses = [("g60", block("g", bent(60), chain)), ("g100", block("g", bent(100), chain)), ("rigid", block("r", bent(0)[:3], chain[:2])), ("broken", "x\n$$$$\n"), ("short", block("s", bent(5), chain)), ("long", block("l", bent(7), chain))]
+    rules = spark.createDataFrame(
+        [
+            (0, "CC", "CCCC", "exact", [{"energy": float(k), "lower": 0.0, "upper": 0.0} for k in range(36)], []),
+            (1, "GG", "*", "approximate", [], [{"theta_0": 60.0, "tolerance2": 10.0, "beta_1": 0.01, "beta_2": 0.0}]),
+        ],
+        "rule int, class string, smarts string, method string, bins array<struct<energy:double,lower:double,upper:double>>, angles array<struct<theta_0:double,tolerance2:double,beta_1:double,beta_2:double>>",
+    )
+
+    def matcher(text, patterns):
+        assert patterns == ["CCCC", "*"]
+        if text.startswith("s"):
+            return [(0, (0, 1))]
+        if text.startswith("l"):
+            return [(0, (0, 1, 2, 3, 0))]
+        return [(1, (0, 1, 2, 3)), (0, (3, 2, 1, 0))] if "V2000" in text and text.startswith("g") else []
+
+    got = {r.compound: r for r in strain.strain_of_poses(spark.createDataFrame(poses, "compound string, block string"), rules, matcher).collect()}
+    theta = strain.match_torsions(spark.createDataFrame(poses[:1], "compound string, block string"), rules, matcher).collect()
+    assert sorted(abs(r.theta) for r in theta) == pytest.approx([60.0, 60.0], abs=0.01)
+    # The same four atoms: the first rule wins; at 60 degrees the histogram of 0 .. 35 gives about 23 or 11.
+    assert got["g60"].n_torsions == 1 and got["g60"].total == pytest.approx(17 + theta[0].theta / 10) and got["g60"].strained is True
+    assert got["rigid"].error == got["long"].error == strain.RIGID and got["broken"].error == strain.NOT_PARSED and "tuple index" in got["short"].error
+    only = rules.where("rule = 1").withColumn("rule", F.lit(0))
+    loose = {r.compound: r for r in strain.strain_of_poses(spark.createDataFrame(poses[:2], "compound string, block string"), only, lambda t, p: [(0, (0, 1, 2, 3))]).collect()}
+    assert loose["g100"].flagged and loose["g100"].strained is None and loose["g100"].error == strain.FLAGGED
+    back = {r.compound: r.not_observed for r in strain.match_torsions(spark.createDataFrame(poses[:2], "compound string, block string"), only, lambda t, p: [(0, (0, 1, 2, 3))]).collect()}
+    assert back["g100"] and back["g60"] == (theta[0].theta < 0)
+
+
+def test_clusters_end_to_end(spark):
+    """Pose blocks to picks, against the stages written as plain loops."""
+    rng = random.Random(8)
+
+    def ring(k, tail, symbol="C"):
+        atoms = [("C", float(i), 0.0, 0.0) for i in range(k)] + [(symbol if i == tail - 1 else "C", 0.0, float(i), 1.0) for i in range(tail)]
+        bonds = [(i + 1, (i + 1) % k + 1, 1) for i in range(k)] + [(1 if i == 0 else k + i, k + i + 1, 1) for i in range(tail)]
+        return block("m", atoms, bonds)
+
+    rows = []
+    for conf in ("c1", "c5"):
+        blocks = [ring(6, 1 + i % 9, rng.choice("CNO")) for i in range(30)] + [ring(5, i) for i in range(4)] + [block("m", [("C", 0.0, 0.0, 0.0)] * 2, [(1, 2, 1)])] * 2 + ["broken\n$$$$\n"]
+        tails = [1 + i % 9 for i in range(30)] + [rng.randint(1, 9) for _ in blocks[30:]]
+        blocks = [b for _, b in sorted(zip(tails, blocks), key=lambda x: x[0] + rng.random())]  # alike in structure, alike in score
+        scores = sorted(rng.gauss(-8, 1.5) for _ in blocks[:-1]) + [-3.0]
+        scores[0] -= 1  # an outlier
+        rows += [(conf, f"{conf}m{i}", i + 1, s, b) for i, (s, b) in enumerate(zip(scores, blocks))]
+    hits = spark.createDataFrame(rows, "conformation string, compound_id string, rank int, ad4_score double, block string").repartition(5)
+    grid = (7, 10, 12, 15)
+    out = clusters.cluster_hits(hits, grid=grid, least=10, picked=15, lone_cut=-1.0)
+    got = {(r.conformation, r.k, r.compound_id): r.cluster_id for r in out.members.collect()}
+    tc = lambda a, b: sum((x & y & ((1 << 64) - 1)).bit_count() for x, y in zip(a, b)) / sum(((x | y) & ((1 << 64) - 1)).bit_count() for x, y in zip(a, b))
+    want, stats, fps = {}, {}, {}
+    for conf in ("c1", "c5"):
+        mine = [r for r in rows if r[0] == conf]
+        groups = {}
+        for _, cid, rank, _, b in mine:
+            try:
+                m = M.parse_block(b)
+                fps[cid], key = M.fingerprint(m), M.scaffold_key(m)
+            except ValueError:
+                key = "__ERROR__" + cid
+            groups.setdefault(key, []).append((rank, cid))
+        for k in grid:
+            next_id = 0
+            for members in [g for g in groups.values() if len(g) < 10]:
+                want |= {(conf, k, c): next_id for _, c in members}
+                next_id += 1
+            for members in [g for g in groups.values() if len(g) >= 10]:
+                links = [(a, b) for i, (a, x) in enumerate(members) for b, y in members[i + 1 :] if round(tc(fps[x], fps[y]) * 1e9) >= round(k / 20 * 1e9)]
+                near = {a: set() for a, _ in members}
+                for a, b in links:
+                    near[a].add(b)
+                    near[b].add(a)
+                centre, ids = {}, {}
+                for v in sorted(near, key=lambda v: (-len(near[v]), v)):
+                    if v not in centre:
+                        centre[v] = v
+                        for w in near[v]:
+                            centre.setdefault(w, v)
+                for rank, cid in members:
+                    if centre[rank] not in ids:
+                        ids[centre[rank]] = next_id
+                        next_id += 1
+                    want[conf, k, cid] = ids[centre[rank]]
+        values = [r[3] for r in mine]
+        mean = sum(values) / len(values)
+        std = math.sqrt(sum((x - mean) ** 2 for x in values) / len(values))
+        stats |= {r[1]: (r[3], (r[3] - mean) / std, r[2]) for r in mine}
+    assert got == want
+    for r in out.summary.collect():
+        sizes = {}
+        for (conf, k, _), c in want.items():
+            if (conf, k) == (r.conformation, r.k):
+                sizes[c] = sizes.get(c, 0) + 1
+        ordered = sorted(sizes.values())
+        assert (r.n_compounds, r.n_clusters, r.n_singletons, r.largest_cluster_size) == (37, len(sizes), ordered.count(1), ordered[-1])
+        assert r.median_cluster_size == (ordered[(len(ordered) - 1) // 2] + ordered[len(ordered) // 2]) / 2
+        assert r.top10_pct == pytest.approx(100 * sum(ordered[-10:]) / 37) and r.mean_cluster_size == pytest.approx(37 / len(sizes))
+    picks = set()
+    for conf in ("c1", "c5"):
+        sets = {}
+        for (c, k, cid), n in want.items():
+            if (c, k) == (conf, 15):
+                sets.setdefault(n, []).append(cid)
+        for n, cids in sets.items():
+            z = [stats[c][1] for c in cids]
+            m = sum(z) / len(z)
+            if len(cids) == 1:
+                if z[0] <= -1.0:
+                    picks.add((conf, "singleton", n, cids[0], "singleton_outlier"))
+                continue
+            sd = math.sqrt(sum((x - m) ** 2 for x in z) / (len(z) - 1))
+            if sd < 1.0 and round(m, 4) * math.sqrt(len(z)) <= S.GOOD_T:
+                cids.sort(key=lambda c: stats[c][2])
+                known = [c for c in cids if c in fps]
+                roles = {min(cids, key=lambda c: stats[c][0]): ["best_scorer"]}
+                roles.setdefault(max(known, key=lambda c: (round(sum(tc(fps[c], fps[d]) for d in known if d != c) / max(1, len(known) - 1), 12), -stats[c][2])), []).append("medoid")
+                picks |= {(conf, "cluster", n, c, "+".join(r)) for c, r in roles.items()}
+    assert {(r.conformation, r.source, r.cluster_id, r.compound_id, r.roles) for r in out.picks.collect()} == picks and len(picks) > 3
+    assert {(r.conformation, r.cluster_id) for r in out.kept.collect()} == {p[:1] + p[2:3] for p in picks if p[1] == "cluster"}
+    assert out.groups.where("conformation = 'c1' and bm_group_id = 0").first()["size"] == 30 and out.groups.count() == 8
+    b = out.bounds.first()
+    assert b.lower <= b.upper and out.per_cluster.count() > 0 and out.judged.count() <= out.per_cluster.count()
+    tagged = clusters.tagged_picks(out.picks, hits).select(S.property_map(F.col("block")).alias("p")).collect()
+    assert {r.p["COMPOUND_ID"] for r in tagged} == {p[3] for p in picks} and {r.p["SOURCE"] for r in tagged} <= {"cluster", "singleton"}
+
+
+def test_large_groups_go_by_rounds(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "GROUP", 20)
+    rng = random.Random(9)
+    links = sorted({tuple(sorted(rng.sample(range(40), 2))) for _ in range(110)})
+    nodes, links_ = graph(spark, links, 40)
+    nodes = nodes.unionByName(spark.createDataFrame([("s", 0), ("s", 1)], nodes.schema))
+    got = {r.node: r.centroid for r in clustering.butina(nodes, links_, (10,)).where("group = 'g'").collect()}
+    assert got == greedy(links, 40)
+
+
+def test_blocks_of_edges_and_references(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK", 7)
+    rng = random.Random(10)
+    fps = {i: rng.getrandbits(64) & rng.getrandbits(64) for i in range(60)}
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    df = spark.createDataFrame([("g" if i < 50 else "h", i, [signed(x)]) for i, x in fps.items()], "g string, n long, fp array<bigint>")
+    want = {(a, b) for a in fps for b in fps if a < b and (a < 50) == (b < 50) and 20 * (fps[a] & fps[b]).bit_count() >= 6 * (fps[a] | fps[b]).bit_count()}
+    assert sorted((r.a, r.b) for r in similarity.edges(df, "g", "n", "fp", 6).collect()) == sorted(want)
+    best = {r.n: r.max_tc for r in similarity.max_similarity(df, "n", "fp", df.where("n % 3 = 0"), "fp").collect()}
+    assert best == pytest.approx({a: max((x & y).bit_count() / (x | y).bit_count() for b, y in fps.items() if b % 3 == 0) for a, x in fps.items()})
+
+
+def test_tied_scores_are_ranked_in_parts(spark):
+    rows = [("x" if i % 10 else None, 1.0, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, s double, i int").repartition(6)
+    got = {(r.g, r.i): r["rank"] for r in ranking.ranked(df, ["s", "i"], ["g"]).collect()}
+    for g in ("x", None):
+        assert [got[g, i] for k, _, i in rows if k == g] == list(range(1, 1 + sum(k == g for k, _, _ in rows)))
+    bad = [(g, i, rng_) for g, rng_list in (("a", [1.0, 3.0, 2.0, 2.0, 5.0, None, 1.0]), ("b", list(map(float, range(200)))), ("c", list(map(float, range(200, 0, -1))))) for i, rng_ in enumerate(rng_list)]
+    got = {r.g: r.inversions for r in ranking.inversions(spark.createDataFrame(bad, "g string, i int, v double").repartition(5), "i", "v", ["g"]).collect()}
+    assert got == {"a": 1, "b": 0, "c": 199}
+    with pytest.raises(ValueError):
+        ranking.require_sorted(spark.createDataFrame(bad, "g string, i int, v double"), "i", "v", ["g"])
+    with pytest.raises(ValueError):
+        ranking.require_some(df.limit(0), "hits")
+
+
 def test_pick_list_merges_roles(spark):
     m = spark.createDataFrame([("c", 1, "a", -9.0, -2.0), ("c", 1, "b", -8.0, -1.0), ("c", 1, "d", -7.0, -1.4), ("c", 2, "e", -9.5, -2.2)], "conformation string, cluster_id int, compound_id string, ad4_score double, z double")
     good = spark.createDataFrame([("c", 1, 3, -1.45), ("c", 2, 1, -2.2)], "conformation string, cluster_id int, count long, mean_z double")
