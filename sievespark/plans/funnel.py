@@ -35,7 +35,7 @@ def geometric_filter(poses: DataFrame, target: tuple[float, float, float], limit
         F.when(F.col("broken").isNotNull(), F.concat(F.lit(BAD_SCORE + "'"), "broken", F.lit("'"))).when(F.col("n") == 0, NOTHING_READ).when(F.col("charged") == 0, NO_CHARGE).alias("error"),
     )
     passing = report.where("passed = 'True'").select("compound_id")
-    won = best_pose(seen.where(near), ["compound_id"], "score", "distance", ["pose_idx"])
+    won = best_pose(seen.where(near), ["compound_id"], "score", "distance", ["pose_idx"], [c for c in ("seq",) if c in poses.columns])
     return report, won.join(passing, "compound_id", "left_semi")
 
 
@@ -63,11 +63,14 @@ def review_set(hits: DataFrame, poses: DataFrame, n: int = 100, rank: str = "ran
 def hit_list(winners: DataFrame, strain: DataFrame, cutoff: float = -7.0, variants: bool = True) -> DataFrame:
     """Winners that are not strained and score at or below the cutoff, one a base id, ranked.
 
-    ``strain`` has compound_id, total, single, strained. Compounds without a score fall out.
+    ``strain`` has compound_id, total, single, strained. Compounds without a score fall out. Ties go
+    by ``seq`` (the files' order) where ``winners`` has it, else by compound_id.
     """
-    scored = winners.where("score is not null").select("compound_id", "pose_idx", F.col("score").alias("ad4_score"))
+    tie = "seq" if "seq" in winners.columns else "compound_id"
+    more = [F.col("seq")] if tie == "seq" else []
+    scored = winners.where("score is not null").select("compound_id", "pose_idx", F.col("score").alias("ad4_score"), *more)
     passed = strain.where("strained = false").select("compound_id", "total", "single")
     hits = cut_prefix(scored, "ad4_score", cutoff).join(passed, "compound_id")
     if variants:
-        hits = best_per_key(hits.withColumn("base", base_id(F.col("compound_id"))), ["base"], [F.col("ad4_score"), F.col("compound_id")]).drop("base")
-    return ranked(hits, ["ad4_score", "compound_id"])
+        hits = best_per_key(hits.withColumn("base", base_id(F.col("compound_id"))), ["base"], [F.col("ad4_score"), F.col(tie)]).drop("base")
+    return ranked(hits, ["ad4_score", tie]).drop("seq")

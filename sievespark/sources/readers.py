@@ -6,20 +6,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievespark.functions.scalar import file_stem, pose_score, property_map, split_blocks
+from sievespark.operators.ranking import ranked
 from sievespark.sources.schemas import TABLES
 
 
-def read_poses(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, compound_id, pose_idx, block, score) of every *.sdf below ``folder``; one file a compound."""
+def first_match(spark: SparkSession, pattern: str) -> str:
+    """The first path, in order of names, that a glob pattern meets; an error if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path) or []
+    names = sorted(str(f.getPath()) for f in found)
+    if not names:
+        raise FileNotFoundError(pattern)
+    return names[0]
+
+
+def read_poses(spark: SparkSession, folder: str, numbered: bool = False) -> DataFrame:
+    """(path, compound_id, pose_idx, block, score) of every *.sdf below ``folder``; one file a compound.
+
+    ``numbered`` adds ``seq``, the file's place in order of paths, which decides ties of scores.
+    """
     files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.sdf").select(F.input_file_name().alias("path"), "value")
     blocks = files.select("path", file_stem(F.col("path")).alias("compound_id"), F.posexplode_outer(split_blocks(F.col("value"))).alias("pose_idx", "block"))
-    return blocks.withColumn("score", pose_score(F.col("block")))
+    scored = blocks.withColumn("score", pose_score(F.col("block")))
+    if not numbered:
+        return scored
+    return scored.join(ranked(files.select(F.col("path")).distinct(), ["path"], name="seq"), "path")
+
 
+def read_tagged(spark: SparkSession, path: str, key: str | None = None, numbered: bool = False) -> DataFrame:
+    """(block, properties) of large files of many compounds, split at their terminators while reading.
 
-def read_tagged(spark: SparkSession, path: str) -> DataFrame:
-    """(block, properties) of a large file of many compounds, split at its terminators while reading."""
-    rows = spark.read.text(path, lineSep="$$$$\n").where(F.trim("value") != "").select(F.concat("value", F.lit("$$$$\n")).alias("block"))
-    return rows.withColumn("properties", property_map(F.col("block")))
+    ``numbered`` adds ``seq``, the block's place over all parts in order of their names; a block
+    without the property ``key`` is an error.
+    """
+    text = spark.read.text(path, lineSep="$$$$\n")
+    place = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at")] if numbered else []
+    rows = text.select("value", *place).where(F.trim("value") != "").select(F.concat("value", F.lit("$$$$\n")).alias("block"), *(["path", "start", "at"] if numbered else []))
+    if numbered:
+        rows = ranked(rows, ["path", "start", "at"], name="seq").select("block", "seq")
+    rows = rows.withColumn("properties", property_map(F.col("block")))
+    if key and not rows.where(F.try_element_at("properties", F.lit(key)).isNull()).isEmpty():
+        raise ValueError(f"a block has no property {key}")
+    return rows
 
 
 def read_stage_table(spark: SparkSession, name: str, path: str) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import itertools
+import os
+import tarfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +22,11 @@ def write_stage_table(df: DataFrame, name: str, path: str, partition_by: Sequenc
     df.select(*extra, *cols).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def add_to_stage_table(df: DataFrame, name: str, path: str, first: bool) -> None:
+    """The same as one growing table: the first part replaces what is there, others are added."""
+    df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name]]).write.mode("overwrite" if first else "append").parquet(path)
+
+
 def write_csv(df: DataFrame, name: str, path: str) -> None:
     """The same as CSV with a header, at the edge of the system."""
     df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name]]).write.mode("overwrite").csv(path, header=True)
@@ -42,3 +51,22 @@ def write_summary(df: DataFrame, path: str) -> None:
         raise ValueError("a summary is one row")
     lines = [(f"{k}: {v}",) for k, v in row[0].asDict().items()]
     df.sparkSession.createDataFrame(lines, "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_single_file(df: DataFrame, path: str, rank: str = "rank", block: str = "block") -> None:
+    """All blocks in rank order as one text file, for tools that read no other; bounded by what one task writes."""
+    write_ranked_blocks(df, path, rank, block, per_file=1 << 62)
+
+
+def write_archive(df: DataFrame, path: str, name: str = "name", text: str = "text", extra: dict[str, str] | None = None) -> int:
+    """Rows as files of a gzip archive on the driver, streamed row by row; ``extra`` maps names to texts. Returns the files."""
+    n = 0
+    with tarfile.open(path + ".partial", "w:gz") as tar:
+        for file, content in itertools.chain((extra or {}).items(), df.orderBy(name).select(name, text).toLocalIterator()):
+            data = content.encode()
+            info = tarfile.TarInfo(file)
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+            n += 1
+    os.replace(path + ".partial", path)
+    return n

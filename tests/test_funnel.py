@@ -353,6 +353,75 @@ def test_funnel_end_to_end(spark, tmp_path):
     assert sum(r.fp is None for r in feats) == 2
 
 
+def test_commands(spark, tmp_path, capsys):
+    """The stages from the command line: filter, cutoff, dedup, caps, gap; a dry run writes nothing."""
+    from sievespark import cli
+
+    poses = tmp_path / "poses"
+    for sub, name, score in (("a", "X_S1_T1", -8.0), ("b", "X_S2_T1", -9.0), ("b", "Y", -8.0), ("c", "Z", -5.0)):
+        (poses / sub).mkdir(parents=True, exist_ok=True)
+        (poses / sub / f"{name}.sdf").write_text(block("m", [("N", 9.0, 0.0, 0.0)], [], [(1, 1)], -20.0) + block("m", [("N", 1.0, 0.0, 0.0)], [], [(1, 1)], score))
+    (tmp_path / "r.pdb").write_text("\n".join([atom_line(1, "CG", "ASP", 116, 0.0), atom_line(2, "N", "LYS", 228)]) + "\n")
+    at = lambda n: str(tmp_path / n)
+    text = (tmp_path / "r.pdb").read_text().replace("   1.000   2.000", "   0.000   0.000")
+    (tmp_path / "r.pdb").write_text(text)
+    cli.main(["filter", "--poses", str(poses), "--receptor", at("r.pdb"), "--out", at("dry"), "--dry-run"])
+    assert not (tmp_path / "dry").exists() and "4 rows" in capsys.readouterr().out
+    cli.main(["filter", "--poses", str(poses), "--receptor", at("r.pdb"), "--out", at("f")])
+    hits = readers.read_stage_table(spark, "ranked_hits", at("f/ranked_hits")).orderBy("rank").collect()
+    assert [(r["rank"], r.compound_id, r.winning_pose_score) for r in hits] == [(1, "X_S2_T1", -9.0), (2, "X_S1_T1", -8.0), (3, "Y", -8.0), (4, "Z", -5.0)]
+    assert readers.read_stage_table(spark, "reordered_compounds", at("f/reordered_compounds")).where("winning_pose_index_0based = 1").count() == 4
+    moved = spark.read.parquet(at("f/passed")).where("compound_id = 'Z'").first()
+    assert moved.moved and moved.text.index("-5.0") < moved.text.index("-20.0")
+    final = spark.createDataFrame([(r["rank"], r.compound_id, r.winning_pose_score, 1.0, 0.5) for r in hits], "rank long, compound_id string, ad4_score double, total_TEU double, single_TEU double")
+    writers.write_csv(final, "final_hits", at("hits"))
+    cli.main(["cutoff", "--hits", at("hits"), "--out", at("cut"), "--cutoff", "-7"])
+    cli.main(["dedup", "--hits", at("cut"), "--out", at("one")])
+    assert [(r["rank"], r.compound_id) for r in readers.read_stage_table(spark, "final_hits", at("one")).orderBy("rank").collect()] == [(1, "X_S2_T1"), (2, "Y")]
+    with pytest.raises(ValueError):
+        cli.main(["cutoff", "--hits", at("hits"), "--out", at("none"), "--cutoff", "-70"])
+    cli.main(["gap", "--receptor", at("r.pdb"), "--out", at("gap"), "--last", "116"])
+    assert [r.value for r in spark.read.text(at("gap")).collect()] == [*text.splitlines()[:1], "TER        ", *text.splitlines()[1:]]
+    cli.main(["caps", "--receptor", at("r.pdb"), "--out", at("caps")])
+    assert [r.value[:3] for r in spark.read.text(at("caps")).collect()] == ["ATO", "ATO", "TER", "END"]
+
+
+def test_files_in_order(spark, tmp_path):
+    import tarfile
+
+    for n, names in (("part00", "abc"), ("part01", "de")):
+        (tmp_path / f"{n}.sdf").write_text("".join(f"{c}\nM  END\n>  <COMPOUND_ID>\n{c}\n\n$$$$\n" for c in names))
+    back = readers.read_tagged(spark, str(tmp_path / "part*.sdf"), key="COMPOUND_ID", numbered=True)
+    assert [r.properties["COMPOUND_ID"] for r in back.orderBy("seq").collect()] == list("abcde") and back.agg(F.max("seq")).first()[0] == 5
+    with pytest.raises(ValueError):
+        readers.read_tagged(spark, str(tmp_path / "part*.sdf"), key="ROLE")
+    assert readers.first_match(spark, str(tmp_path / "part*.sdf")).endswith("part00.sdf")
+    with pytest.raises(FileNotFoundError):
+        readers.first_match(spark, str(tmp_path / "no*.sdf"))
+    df = spark.createDataFrame([("b.sdf", "two"), ("a.sdf", "één")], "name string, text string")
+    assert writers.write_archive(df, str(tmp_path / "x.tar.gz"), extra={"r.pdb": "TER"}) == 3
+    with tarfile.open(tmp_path / "x.tar.gz") as tar:
+        assert [(m.name, tar.extractfile(m).read().decode()) for m in tar] == [("r.pdb", "TER"), ("a.sdf", "één"), ("b.sdf", "two")]
+    rows = spark.createDataFrame([("c1", 0.5, 10)], "conformation string, tc double, n_clusters long")
+    for first in (True, True, False):
+        writers.add_to_stage_table(rows, "q2_cluster_counts", str(tmp_path / "q2"), first)
+    assert spark.read.parquet(str(tmp_path / "q2")).count() == 2
+    writers.write_single_file(back.withColumn("rank", -F.col("seq")), str(tmp_path / "one"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "one").rglob("part-*")))
+    assert [line for line in text.splitlines() if len(line) == 1][::2] == list("edcba")
+
+
+def test_stream_hands_over_new_files_once(spark, tmp_path):
+    from sievespark import streaming
+
+    seen = []
+    for name in ("a", "b"):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{name}.sdf").write_text(block(name, [("N", 1.0, 0.0, 0.0)], [], [(1, 1)], -5.0))
+        streaming.new_poses(spark, str(tmp_path / "in"), lambda df, n: seen.extend(r.compound_id for r in df.collect()), str(tmp_path / "ck")).awaitTermination()
+    assert seen == ["a", "b"]
+
+
 def test_torsion_rules(spark, tmp_path):
     (tmp_path / "t.xml").write_text('<library><hierarchyClass name="GG"><torsionRule smarts="g" method="exact"/></hierarchyClass><hierarchyClass name="CO"><hierarchySubClass><torsionRule smarts="a" method="approximate"><angleList><angle theta_0="0" tolerance2="30" beta_1="1" beta_2="2"/></angleList></torsionRule></hierarchySubClass><torsionRule smarts="b" method="exact"><histogram_converted><bin energy="1" lower="0" upper="2"/></histogram_converted></torsionRule></hierarchyClass></library>')
     rules = readers.read_torsion_rules(spark, str(tmp_path / "t.xml")).orderBy("rule").collect()
