@@ -8,9 +8,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievespark.chem.patterns import find
 from sievespark.functions.scalar import dihedral, histogram_value, quartic_strain, strained
 from sievespark.session import cut_lineage
 
+#: (block, patterns) -> [(number of the pattern, atoms), ...].
+Matcher = Callable[[str, list[str]], list[tuple[int, tuple[int, ...]]]]
 #: The texts of the report's error column.
 NOT_PARSED, RIGID, FLAGGED = "could not parse winning pose", "no torsions matched (rigid)", "flagged (unreliable estimate)"
 
@@ -32,7 +35,7 @@ def combine_matches(matches: DataFrame) -> DataFrame:
     return two.groupBy("compound").agg(F.sum("energy").alias("total"), F.max("energy").alias("single"), F.bool_or("not_observed").alias("flagged"), F.count(F.lit(1)).alias("n_torsions"))
 
 
-def match_torsions(poses: DataFrame, rules: DataFrame, matcher: Callable[[str, list[str]], list[tuple[int, tuple[int, ...]]]], key: str = "compound", block: str = "block") -> DataFrame:
+def match_torsions(poses: DataFrame, rules: DataFrame, matcher: Matcher = find, key: str = "compound", block: str = "block") -> DataFrame:
     """Matches of every rule in every pose, measured: the table that :func:`combine_matches` takes, plus theta and error.
 
     ``rules`` is a library as :func:`read_torsion_rules` gives it (a few hundred rows). Matches of more
@@ -72,7 +75,7 @@ def match_torsions(poses: DataFrame, rules: DataFrame, matcher: Callable[[str, l
     return both.select("compound", "a1", "a2", "a3", "a4", "rule", "seq", "theta", F.when(F.col("rule").isNotNull(), energy).alias("energy"), "specific", F.when(exact, False).otherwise(peak["not_observed"]).alias("not_observed"), "error")
 
 
-def strain_of_poses(poses: DataFrame, rules: DataFrame, matcher: Callable[[str, list[str]], list[tuple[int, tuple[int, ...]]]], key: str = "compound", block: str = "block", total_limit: float = 7.0, single_limit: float = 1.8) -> DataFrame:
+def strain_of_poses(poses: DataFrame, rules: DataFrame, matcher: Matcher = find, key: str = "compound", block: str = "block", total_limit: float = 7.0, single_limit: float = 1.8) -> DataFrame:
     """Every pose's strain report, from its block: match, measure, energy, precedence, verdict."""
     found = cut_lineage(match_torsions(poses, rules, matcher, key, block))
     broken = found.where("error is not null").select("compound", F.col("error").alias("why")).distinct()

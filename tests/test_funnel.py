@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievespark.chem import molblock as M
+from sievespark.chem import patterns
 from sievespark.functions import scalar as S
 from sievespark.operators import cluster_stats, clustering, curves, lookups, ranking, receptor, rescoring, selection, similarity, strain
 from sievespark.plans import clusters, funnel
@@ -483,6 +484,43 @@ def test_scaffolds_tell_graphs_apart():
             assert M.scaffold_key(turned) == M.scaffold_key(m)
 
 
+def flat(symbols, bonds, charges=()):
+    return block("m", [(s, float(i), 0.0, 0.0) for i, s in enumerate(symbols)], [(a + 1, b + 1, o) for a, b, o in bonds], [(i + 1, c) for i, c in charges])
+
+
+def kekule(k, at=0):
+    return [(at + i, at + (i + 1) % k, 2 if i % 2 == 0 else 1) for i in range(k)]
+
+
+@pytest.mark.parametrize(
+    "mol,smarts,count",
+    [
+        ("benzene", "c1ccccc1", 1), ("benzene", "C1CCCCC1", 0), ("benzene", "[c:1]:[c:2]", 6), ("benzene", "[cH1]", 6), ("benzene", "[R1]", 6), ("benzene", "[r6]", 6), ("benzene", "[r5]", 0),
+        ("cyclohexane", "C1CCCCC1", 1), ("cyclohexane", "c", 0), ("cyclohexane", "C@C", 6), ("cyclohexane", "C!@C", 0), ("cyclohexane", "[CX4;H2]", 6), ("cyclohexane", "[^3]", 6),
+        ("pyrrole", "[nH]", 1), ("pyrrole", "n", 1), ("pyrrole", "[#7;a]", 1), ("naphthalene", "c1ccc2ccccc2c1", 1), ("naphthalene", "[R2]", 2), ("naphthalene", "[x3]", 2),
+        ("amide", "[CX3](=O)[NX3]", 1), ("amide", "[O:1]=[C:2]-[N:3]-[C:4]", 1), ("amide", "[$([CX3]=O)]", 1), ("amide", "[!$([CX3]=O);#6]", 2), ("amide", "C[N,O]", 2), ("amide", "[C,N]=O", 1), ("amide", "C#N", 0), ("amide", "C~[!#6]", 3),
+        ("ammonium", "[N+]", 1), ("ammonium", "[N+;X4]", 1), ("ammonium", "[NX3]", 0), ("ammonium", "[#1]", 1), ("ammonium", "[H][N+]", 1), ("quinone", "c", 0), ("quinone", "C=O", 2), ("ester", "O=C-O-C", 1), ("ester", "C(=O)(O)C", 1),
+    ],
+)
+def test_patterns(mol, smarts, count):
+    made = {
+        "benzene": flat("CCCCCC", kekule(6)),
+        "cyclohexane": flat("CCCCCC", [(i, (i + 1) % 6, 1) for i in range(6)]),
+        "pyrrole": flat("NCCCC", [(0, 1, 1), (1, 2, 2), (2, 3, 1), (3, 4, 2), (4, 0, 1)]),
+        "naphthalene": flat("CCCCCCCCCC", [*kekule(6), (5, 6, 1), (6, 7, 2), (7, 8, 1), (8, 9, 2), (9, 0, 1)]),
+        "amide": flat("CCONC", [(0, 1, 1), (1, 2, 2), (1, 3, 1), (3, 4, 1)]),
+        "ammonium": flat("CNH", [(0, 1, 1), (1, 2, 1)], [(1, 1)]),
+        "quinone": flat("CCCCCCOO", [(0, 1, 1), (1, 2, 2), (2, 3, 1), (3, 4, 1), (4, 5, 2), (5, 0, 1), (0, 6, 2), (3, 7, 2)]),
+        "ester": flat("CCOOC", [(0, 1, 1), (1, 2, 2), (1, 3, 1), (3, 4, 1)]),
+    }
+    assert len(patterns.find(made[mol], [smarts])) == count
+
+
+def test_patterns_that_cannot_be_read_are_passed_over():
+    got = patterns.find(flat("CCCC", [(0, 1, 1), (1, 2, 1), (2, 3, 1)]), ["[Q]", "C(", "CCCC", "[C"])
+    assert got == [(2, (0, 1, 2, 3))]
+
+
 def test_strain_from_molecules(spark):
     """Match by an injected matcher, measure, energy, precedence, verdict."""
     def bent(angle):
@@ -516,6 +554,10 @@ def test_strain_from_molecules(spark):
     only = rules.where("rule = 1").withColumn("rule", F.lit(0))
     loose = {r.compound: r for r in strain.strain_of_poses(spark.createDataFrame(poses[:2], "compound string, block string"), only, lambda t, p: [(0, (0, 1, 2, 3))]).collect()}
     assert loose["g100"].flagged and loose["g100"].strained is None and loose["g100"].error == strain.FLAGGED
+    # The same by the module's own patterns.
+    own = rules.withColumn("smarts", F.when(F.col("rule") == 0, "[CH3:1][C:2]!@[CX4:3][C:4]").otherwise("[*:1]~[*:2]~[*:3]~[*:4]"))
+    mine = {r.compound: r for r in strain.strain_of_poses(spark.createDataFrame(poses, "compound string, block string"), own).collect()}
+    assert mine["g60"].total == pytest.approx(got["g60"].total) and mine["rigid"].error == strain.RIGID and mine["broken"].error == strain.NOT_PARSED
     back = {r.compound: r.not_observed for r in strain.match_torsions(spark.createDataFrame(poses[:2], "compound string, block string"), only, lambda t, p: [(0, (0, 1, 2, 3))]).collect()}
     assert back["g100"] and back["g60"] == (theta[0].theta < 0)
 
