@@ -41,8 +41,3 @@ def unused(names: list[str], wanted: str) -> str:
     while wanted.lower() in taken:
         wanted += "_"
     return wanted
-
-
-def keyed(df: DataFrame, *names: str) -> DataFrame:
-    """Only the columns an operator uses, so extra columns cannot clash with its own."""
-    return df.select(*[df[n] for n in names])
