@@ -8,8 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Words as runs of anything but ASCII white space (a fixed value of the contracts).
-WORD = r"[^\x20\x09-\x0D]+"
+#: What stands between words: ASCII white space (a fixed value of the contracts).
+GAP = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -19,8 +19,8 @@ def ascii_lower(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Number of words as long; null text has none."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    """Number of words as long, by splitting between them (faster than counting matches); null text has none."""
+    return F.when(text.isNull(), 0).otherwise(F.size(F.array_remove(F.split(text, GAP, -1), ""))).cast("long")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

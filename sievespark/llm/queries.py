@@ -72,4 +72,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mixing.ORACLE, "op3_chat": chat_format.ORACLE, "op4_topk": topk_search.ORACLE, "op5_suffix_dedup": suffix_dedup.ORACLE, "op9_decontaminate": decontamination.ORACLE, "op10_near_dedup": near_dedup.ORACLE}
+    return {"op1_mix": mixing.ORACLE, "op3_chat": chat_format.ORACLE, "op4_topk": topk_search.ORACLE, "op5_suffix_dedup": suffix_dedup.ORACLE, "op8_shard": sharding.oracle(SHARDS), "op9_decontaminate": decontamination.ORACLE, "op10_near_dedup": near_dedup.ORACLE}

@@ -57,8 +57,20 @@ def place(df: DataFrame, key: str, shards: list[str], slots: int = 65_537, weigh
     spark = df.sparkSession
     table = lookup_table(shards, slots, weights, seed)
     look = spark.createDataFrame(pa.table({"look": pa.array(range(slots), pa.int64()), "shard": [shards[i] for i in table]}))
-    hashed = F.xxhash64(F.lit(seed), F.coalesce(df[key].cast("string"), F.lit("\x00null")))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(df[key].cast("string"), F.lit("\x01null"))))
+    hashed = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
     keep = [c for c in df.columns if c not in (slot_col, shard_col)]
     rows = df.select(*[df[c].alias(f"c{i}") for i, c in enumerate(keep)], F.pmod(hashed, F.lit(slots)).alias("slot"))
     joined = rows.join(F.broadcast(look), F.col("slot") == F.col("look"), "left")  # MAX_SLOTS bounds the table
     return joined.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], F.col("slot").alias(slot_col), F.col("shard").alias(shard_col))
+
+
+def oracle(shards: list[str], slots: int = 65_537) -> str:
+    """The placement of ``documents`` by doc_id in SQL; the table itself, which SQL cannot fill, is written out."""
+    table = ",".join(map(str, lookup_table(shards, slots)))
+    names = ",".join(f"'{s}'" for s in shards)
+    return f"""
+with t as (select [{table}] as look, [{names}] as names),
+d as (select doc_id, cast('0x' || substr(md5('0:' || coalesce(cast(doc_id as varchar), chr(1) || 'null')), 1, 15) as bigint) % {slots} as slot from documents)
+select doc_id, slot, names[look[slot + 1] + 1] as shard from d, t
+"""
