@@ -119,6 +119,26 @@ def add_properties(block: Column, properties: dict[str, Column]) -> Column:
     return F.concat(body, *tags, F.lit("$$$$\n"))
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """x at so many decimals as text formatting writes it: by its exact binary value, half to even.
+
+    Spark's own rounding goes by the shortest decimal form (2.675 to 2.68, here 2.67). The product with
+    10**digits is split into its double and what that leaves out, so a half is told exactly.
+    """
+    scale = 10.0**digits
+    big = 134217729.0  # 2**27 + 1 parts a double into two halves
+    high = lambda v: big * v - (big * v - v)
+    a, b = high(x), high(F.lit(scale))
+    p = x * scale
+    lost = (a * b - p) + a * (scale - b) + (x - a) * b + (x - a) * (scale - b)
+    n = F.floor(p).cast("double")
+    over = (p - n - 0.5) + lost
+    up = (over > 0) | ((over == 0) & (n % 2 != 0))
+    # What is lost may also carry the value below n, never further.
+    low = (p - n) + lost < -0.5
+    return F.when(F.abs(x) < 2.0**52 / scale, (n + F.when(up, 1.0).when(low, -1.0).otherwise(0.0)) / scale).otherwise(x)
+
+
 def normal_cdf(x: Column) -> Column:
     """P(Z <= x) to double precision, by the rational form of Hart (1968) as given by West (2005)."""
     a = F.abs(x)

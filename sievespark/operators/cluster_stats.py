@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievespark.functions.scalar import GOOD_T, normal_cdf
+from sievespark.functions.scalar import GOOD_T, normal_cdf, rounded
 
 
 def pool_zscore(df: DataFrame, value: str, within: Sequence[str] = (), name: str = "z") -> DataFrame:
@@ -28,7 +28,7 @@ def judge_clusters(clusters: DataFrame, mean_digits: int | None = 4) -> DataFram
 
     ``mean_digits`` rounds the mean first, as a stage that rereads a text table does.
     """
-    mean = F.col("mean_z") if mean_digits is None else F.round("mean_z", mean_digits)
+    mean = F.col("mean_z") if mean_digits is None else rounded(F.col("mean_z"), mean_digits)
     return clusters.where("trustworthy").withColumn("t_stat", mean * F.sqrt(F.col("count"))).withColumn("good", F.col("t_stat") <= GOOD_T)
 
 

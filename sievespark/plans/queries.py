@@ -402,7 +402,7 @@ def cluster_counts_in_range(spark: SparkSession, sf: str) -> DataFrame:
 ZSCORES = f"""{COMPOUNDS}, zs as (select *, (ad4_score - avg(ad4_score) over w) / stddev_pop(ad4_score) over w as z from compounds window w as (partition by conformation))"""
 STATS = f"""{ZSCORES}, stats as (select conformation, cluster_id, count(*) as count, avg(z) as mean_z, min(z) as min_z, coalesce(stddev_samp(z), 0) as std_z from zs group by all),
 q3 as (select *, count >= 2 and std_z < 1.0 as trustworthy from stats)"""
-GOOD = f"""{STATS}, q4 as (select *, round(mean_z, 4) * sqrt(count) as t_stat, round(mean_z, 4) * sqrt(count) <= {S.GOOD_T} as good from q3 where trustworthy)"""
+GOOD = f"""{STATS}, q4 as (select *, cast(format('{{:.4f}}', mean_z) as double) * sqrt(count) as t_stat, cast(format('{{:.4f}}', mean_z) as double) * sqrt(count) <= {S.GOOD_T} as good from q3 where trustworthy)"""
 
 
 def zscores(spark: SparkSession, sf: str) -> DataFrame:
@@ -570,11 +570,11 @@ def stdz_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return kept.groupBy("conformation", F.floor(F.col("std_z") * 20).cast("long").alias("bin"), "trustworthy").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""with {STATS}, t as (select *, round(mean_z, 4) * sqrt(count) as t_stat from q3),
+@query(f"""with {STATS}, t as (select *, cast(format('{{:.4f}}', mean_z) as double) * sqrt(count) as t_stat from q3),
 c as (select conformation, mean_z, case when count < 2 then 'singleton' when std_z >= 1.0 then 'loose' when t_stat <= {S.GOOD_T} then 'tier1' else 'tier2' end as category from t)
 select conformation, category, count(*) as n, round(avg(mean_z), 6) as mean_of_means from c group by all""")
 def category_means(spark: SparkSession, sf: str) -> DataFrame:
-    named = q3(spark, sf).withColumn("category", S.tier(F.col("count"), F.col("std_z"), F.round("mean_z", 4) * F.sqrt("count")))
+    named = q3(spark, sf).withColumn("category", S.tier(F.col("count"), F.col("std_z"), S.rounded(F.col("mean_z"), 4) * F.sqrt("count")))
     return named.groupBy("conformation", "category").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("mean_z")).alias("mean_of_means"))
 
 

@@ -57,6 +57,15 @@ def test_scalar_functions(spark):
     assert ["".join(one(spark, S.winner_first(arr, F.lit(i)))) for i in (0, 2, 3, 4, -1)] == ["abcd", "cabd", "dabc", "abcd", "abcd"]
 
 
+def test_rounding_is_that_of_text(spark):
+    rng = random.Random(6)
+    values = [2.675, 0.25, 0.125, 1.005, -2.675, -0.00005, 0.00005, 0.00015, 1e-9, 123456.78905, 0.0, 1e15 + 0.5, 5e-324] + [rng.choice([1, -1]) * rng.randint(0, 10**7) / 10**5 for _ in range(300)] + [rng.gauss(0, 3) for _ in range(300)] + [rng.randint(0, 2**20) / 2**5 for _ in range(100)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (2, 3, 4, 5):
+        got = [r.r for r in df.select(S.rounded(F.col("v"), digits).alias("r")).collect()]
+        assert got == [float(f"{v:.{digits}f}") for v in values]
+
+
 def test_dihedral_against_vectors(spark):
     rng = random.Random(1)
     for _ in range(5):
