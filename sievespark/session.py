@@ -69,7 +69,7 @@ def cut_and_count(df: DataFrame) -> tuple[DataFrame, int]:
     """The same, and the number of its rows, counted on the way."""
     seen = Observation()
     out = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
-    return out, int(seen.get["n"])
+    return out, int(seen.get.get("n") or 0)
 
 
 def drop(*tables: DataFrame) -> None:
