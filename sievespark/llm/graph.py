@@ -76,7 +76,7 @@ def _followed(hooks: DataFrame) -> DataFrame:
         longer = cut_lineage(hooks.join(ahead, "to", "left").observe(seen, F.count("far").alias("n")).select("id", F.coalesce("far", "to").alias("to")))
         if hooks is not first:
             drop(hooks)
-        if not seen.get["n"]:
+        if not seen.get.get("n"):
             return longer
         hooks = longer
 
@@ -103,7 +103,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         hooks = _followed(table.where("not link").select("id", "to"))
         rounds.append(hooks.withColumnRenamed("to", "comp"))
         old += [table, hooks]
-        if not seen.get["n"]:
+        if not seen.get.get("n"):
             break
         for end in ("id", "to"):
             known = hooks.select(F.col("id").alias("known"), F.col("to").alias("root"))

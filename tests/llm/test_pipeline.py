@@ -72,3 +72,23 @@ def test_every_operator_has_one_query():
 def test_op1_whole_table(spark, tables):
     out = queries.op1_mix(spark, tables[0])
     assert out.count() == len(tables[1])
+
+
+@pytest.mark.parametrize("kind", ["empty", "nulls", "repeats"])
+def test_stages_on_tables_without_much_in_them(spark, tables, kind):
+    """No rows; rows of nulls and texts without words; rows that repeat an id, or have none."""
+    rows = {
+        "empty": [],
+        "nulls": [(None, None, None, None, None)] * 3 + [(1, "", None, None, 0), (2, "12 34", None, "s", 5)],
+        "repeats": [(None, "kala mato suri pelo", "xx", "a", 1)] * 4 + [(7, "kala mato suri pelo", "xx", None, 3), (7, "tani vero luma", "xx", None, 3)],
+    }[kind]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("__row", F.lit("x")).withColumn("r", F.lit(1))
+    names = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, tables[0])
+        assert name == "shard" or docs.columns == names
+    got = sorted((r.doc_id is None, r.doc_id or 0) for r in docs.collect())
+    if kind != "repeats":
+        assert got == []
+    else:  # of an id's two texts one stays, rows without an id are documents of their own; sources are filled with second copies
+        assert set(got) <= {(True, 0), (False, 7)} and 4 <= len(got) <= 10
