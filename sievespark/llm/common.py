@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: What stands between words: ASCII white space (a fixed value of the contracts).
 GAP = r"[\x20\x09-\x0D]+"
@@ -41,3 +42,12 @@ def unused(names: list[str], wanted: str) -> str:
     while wanted.lower() in taken:
         wanted += "_"
     return wanted
+
+
+_KINDS = {"int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "string": T.StringType(), "binary": T.BinaryType()}
+
+
+def columns(spec: str) -> list[T.StructField]:
+    """Fields from "name kind, ..."; ``[]`` behind a kind makes it an array of that kind."""
+    parts = [x.split() for x in spec.split(",")]
+    return [T.StructField(n, T.ArrayType(_KINDS[k[:-2]]) if k.endswith("[]") else _KINDS[k]) for n, k in parts]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievespark.llm import chat_format, decontamination, language_id, mixing, near_dedup, ranked_search, secrets, sharding, suffix_dedup, token_counts, topk_search
+from sievespark.llm import chat_format, decontamination, language_id, lm_score, manifest, mixing, near_dedup, ranked_search, secrets, sharding, suffix_dedup, token_counts, topk_search
 from sievespark.session import read_table
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -71,9 +71,17 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.top_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verify_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix, op2_token_counts, op3_chat, op4_topk, op5_suffix_dedup, op6_language, op7_secrets, op8_shard, op9_decontaminate, op10_near_dedup, op11_search)}
+    return {f.__name__: f for f in (op1_mix, op2_token_counts, op3_chat, op4_topk, op5_suffix_dedup, op6_language, op7_secrets, op8_shard, op9_decontaminate, op10_near_dedup, op11_search, op12_manifest, op13_lm_score)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mixing.ORACLE, "op3_chat": chat_format.ORACLE, "op4_topk": topk_search.ORACLE, "op5_suffix_dedup": suffix_dedup.ORACLE, "op8_shard": sharding.oracle(SHARDS), "op9_decontaminate": decontamination.ORACLE, "op10_near_dedup": near_dedup.ORACLE, "op11_search": ranked_search.ORACLE}
+    return {"op1_mix": mixing.ORACLE, "op3_chat": chat_format.ORACLE, "op4_topk": topk_search.ORACLE, "op5_suffix_dedup": suffix_dedup.ORACLE, "op8_shard": sharding.oracle(SHARDS), "op9_decontaminate": decontamination.ORACLE, "op10_near_dedup": near_dedup.ORACLE, "op11_search": ranked_search.ORACLE, "op12_manifest": manifest.ORACLE}

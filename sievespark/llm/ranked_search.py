@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from sievespark.llm.common import sliced
+from sievespark.llm.common import columns, sliced
 from sievespark.llm.words import byte_table, int_lists, split_words
 from sievespark.session import cut_lineage, drop
 
@@ -157,7 +157,7 @@ def bags(df: DataFrame, id_col: Column, text: Column, terms: pa.Array | None = N
                 found = pa.ListArray.from_arrays(found.offsets, values.take(pa.array(code)).cast(pa.string()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets)), found, int_lists(times.astype(np.int64), sizes)], ["id", "size", "terms", "times"])
 
-    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("size", T.LongType()), *T._parse_datatype_string(f"terms array<{kind}>, times array<bigint>").fields])
+    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), *columns(f"size long, terms {kind}[], times long[]")])
     return rows.mapInArrow(run, schema)
 
 
