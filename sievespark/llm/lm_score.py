@@ -106,10 +106,10 @@ def _slots(keys: np.ndarray, level: int, sizes: np.ndarray | int) -> Iterator[np
         h = h + step
 
 
-def segment_bits(keys: np.ndarray, counts: np.ndarray) -> bytes:
+def segment_bits(keys: np.ndarray, counts: np.ndarray, bits_per_key: int = BITS_PER_KEY) -> bytes:
     """The bits of one segment."""
     levels = levels_of(counts)
-    size = -(-max(64, BITS_PER_KEY * int(levels.sum())) // 8) * 8
+    size = -(-max(64, bits_per_key * int(levels.sum())) // 8) * 8
     flags = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         for slots in _slots(keys[levels >= level], level, size):
@@ -228,7 +228,7 @@ def _pairs(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return hashes, np.concatenate([[batch.column(0)[i].as_py()], stream[:-1]]).astype(np.int64), stream.astype(np.int64)
 
 
-def build_filter(chunks: DataFrame, counts: DataFrame, segments: int) -> DataFrame:
+def build_filter(chunks: DataFrame, counts: DataFrame, segments: int, bits_per_key: int = BITS_PER_KEY) -> DataFrame:
     """(seg, bits) of the words and pairs of rows that are not held. Written."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +265,7 @@ def build_filter(chunks: DataFrame, counts: DataFrame, segments: int) -> DataFra
         def done() -> Iterator[pa.RecordBatch]:
             if held:
                 merge()
-                yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([segment_bits(*held[0])])], ["seg", "bits"])
+                yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([segment_bits(*held[0], bits_per_key)])], ["seg", "bits"])
             held.clear()
 
         for batch in batches:
@@ -326,7 +326,7 @@ def _routed(chunks: DataFrame, parts: DataFrame, segments: int) -> DataFrame:
     return told.groupBy("of").agg(F.sort_array(F.collect_list(F.struct("seg", "levels"))).alias("told")).select("of", F.col("told.levels").alias("levels"))
 
 
-def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR, filter_bytes: int = FILTER_BYTES) -> DataFrame:
+def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR, filter_bytes: int = FILTER_BYTES, bits_per_key: int = BITS_PER_KEY) -> DataFrame:
     """The id column, held_out, n_tokens, n_known, train_tokens, base_score, score of each row of ``docs``.
 
     Rows whose ``held`` is false or null teach. Tokens are the words of the text, A-Z lower-cased,
@@ -343,7 +343,7 @@ def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str
     counts = cut_lineage(by_word.where(F.col("c") > 0))
     taught, distinct = (int(x or 0) for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
     segments = max(1, -(-(taught + distinct) // SEGMENT_KEYS))
-    parts = build_filter(chunks, counts, segments)
+    parts = build_filter(chunks, counts, segments, bits_per_key)
     # Exact counts, back to the chunks' dictionaries.
     asked = chunks.select("chunk", F.posexplode("words").alias("pos", "w"))
     told = asked.join(counts, F.col("w") == F.col("word"), "left").groupBy(F.col("chunk").alias("of")).agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("c", F.lit(0)).alias("c")))).alias("known"))  # a chunk's dictionary
