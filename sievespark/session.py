@@ -73,10 +73,7 @@ def cut_and_count(df: DataFrame) -> tuple[DataFrame, int]:
 
 
 def drop(*tables: DataFrame) -> None:
-    """Remove tables of :func:`cut_lineage`, and let the JVM's cleaner remove the shuffle files behind them.
-
-    The cleaner goes by garbage collection, which a driver with a large heap may not see for hours.
-    """
+    """Remove tables of :func:`cut_lineage`, and :func:`release` the shuffle files behind them."""
     for table in tables:
         path = _TABLES.pop(table, None)
         if path:
@@ -84,4 +81,12 @@ def drop(*tables: DataFrame) -> None:
             folder = jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
     if tables:
-        tables[0].sparkSession._jvm.System.gc()
+        release(tables[0].sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the JVM's cleaner remove the shuffle files of what is finished.
+
+    The cleaner goes by garbage collection, which a driver with a large heap may not see for hours.
+    """
+    spark._jvm.System.gc()
