@@ -1,13 +1,14 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 One scan turns the texts into chunks: token streams over a dictionary of the chunk's own, written
-once. Exact counts of words are a sum over the dictionaries, joined back to them by word. Pairs of
-consecutive tokens of the training rows are counted by hash: summed inside tasks, dealt by segment
-and summed again. A segment of the filter holds each word and pair under the keys (hash, 1) to
+once. The dictionaries are dealt by segment of the words' hashes; there the exact counts of words
+are sums by word, and go back to the chunks. Pairs of consecutive tokens of the training rows are
+counted by hash: summed inside tasks, dealt by segment and summed again. A segment of the filter holds each word and pair under the keys (hash, 1) to
 (hash, level), where the level is 1 + floor(log of the count, base BASE); it has as many bits as its own
 keys need, so the filter grows with the corpus. Asking for levels 1, 2, ... until one is missing
 gives the quantised count back. Filters of up to FILTER_BYTES are broadcast; beyond that the
 chunks' questions are dealt to the segments and the answers back to the chunks, with equal results.
+What is dealt out are blocks of words, hashes or counts, not a row each.
 
 A token's probability is the pair's count smoothed by the word's (Dirichlet):
 (c(h w) + K p(w)) / (c(h) + K), with p(w) = (c(w) + 1) / (N + V + 1), all c from the filter.
@@ -29,19 +30,19 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from sievespark.llm.common import columns, sliced
 from sievespark.llm.words import WHITE, byte_table, int_lists, split_words
-from sievespark.session import cut_lineage, drop
+from sievespark.session import cut_lineage, drop, release
 
 WORDS = byte_table(WHITE)
-#: The token after the last word of a text, and before the first; no word is empty.
-END = ""
+#: The token after the last word of a text, and before the first; no word is a blank.
+END = " "
 #: UTF-8 bytes beyond which a word is known by its digest (after a blank, which no word holds).
 LONG_WORD = 80
 #: Tokens of a chunk; longer texts are cut into several.
 CHUNK = 1 << 20
 #: Pairs held in a task before they are summed and dealt out (about 100 bytes each on the way).
 HELD = 1 << 22
-#: Keys of a segment at most.
-SEGMENT_KEYS = 1 << 22
+#: Training tokens a segment (so it has at most twice as many keys, of words and pairs).
+SEGMENT_TOKENS = 1 << 21
 #: Size of a filter that is broadcast.
 FILTER_BYTES = 128 << 20
 BASE, PROBES, BITS_PER_KEY = 1.5, 4, 8
@@ -78,6 +79,41 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def plane(values: np.ndarray) -> bytes:
+    """Integers with their low bytes first, then the next ones: what is small packs well."""
+    return np.ascontiguousarray(values.astype("<i8" if values.dtype.itemsize == 8 else "<i4").view(np.uint8).reshape(-1, values.dtype.itemsize).T).tobytes()
+
+
+def unplane(data: bytes, size: int) -> np.ndarray:
+    flat = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T)
+    return flat.view(f"<i{size}").reshape(-1).astype(np.int64)
+
+
+def joined(words: pa.Array) -> bytes:
+    """Words, each with a line feed behind it."""
+    if not len(words):
+        return b""
+    lines = pc.binary_join_element_wise(words, pa.scalar("", words.type), pa.scalar("\n", words.type))
+    return lines.buffers()[2].to_pybytes()[: np.frombuffer(lines.buffers()[1], np.int64)[len(lines)]]
+
+
+def split(data: bytes) -> pa.Array:
+    return pc.split_pattern(pa.array([data[:-1].decode()], pa.large_string()), "\n").flatten() if data else pa.array([], pa.large_string())
+
+
+#: Random values by place and byte, from a fixed seed: a word's hash is their sum (tabulation).
+_PLACES = np.random.Generator(np.random.PCG64(13)).integers(0, 1 << 64, (LONG_WORD + 2, 256), np.uint64, endpoint=False)
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """Hashes of :func:`joined` words."""
+    flat = np.frombuffer(data, np.uint8)
+    ends = np.flatnonzero(flat == 10)
+    starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+    place = np.arange(len(flat)) - np.repeat(starts, ends - starts + 1)
+    return mixed(np.add.reduceat(_PLACES[place, flat], starts)) if len(starts) else np.zeros(0, np.uint64)
+
+
 def word_keys(words: np.ndarray) -> np.ndarray:
     return mixed(words + _A)
 
@@ -158,16 +194,15 @@ def _coded(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 
 def _chunk_schema(id_type: T.DataType) -> T.StructType:
-    fixed = columns("chunk long, lead int, stream binary, rows long[], held boolean[], sizes int[], words string[], counts long[]")
-    return T.StructType([*fixed, T.StructField("ids", T.ArrayType(id_type))])
+    return T.StructType([*columns("chunk long, lead int, stream binary, words binary, counts binary, rows long[], held boolean[], sizes int[], taught long"), T.StructField("ids", T.ArrayType(id_type))])
 
 
 def chunked(docs: DataFrame, id_col: Column, held: Column, text: Column) -> DataFrame:
     """Chunks of the texts. Written.
 
-    stream: int32 codes of the chunk's ``words``; lead: the code before the first; for each text (or
+    stream: codes of the chunk's ``words``; lead: the code before the first; for each text (or
     piece of one) its row number, id, held and tokens; counts: how often each word occurs in rows
-    that are not held.
+    that are not held, taught: their sum.
     """
     rows = docs.select(id_col.alias("id"), held.alias("held"), text.alias("text"))
     schema = _chunk_schema(rows.schema["id"].dataType)
@@ -192,10 +227,12 @@ def chunked(docs: DataFrame, id_col: Column, held: Column, text: Column) -> Data
                 some, local = np.unique(stream[a : b + 1], return_inverse=True)
                 piece = np.minimum(ends[first : last + 1], b) - np.maximum(np.concatenate([[0], ends])[first : last + 1], a)
                 taught = np.repeat(~held_[first : last + 1], piece)
-                one = [chunk, int(local[0]), local[1:].astype(np.int32).tobytes()]
-                lists = [np.arange(row + first, row + last + 1), held_[first : last + 1], piece.astype(np.int32)]
-                counts = np.bincount(local[1:][taught], minlength=len(some)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([*(pa.array([x], t.type) for x, t in zip(one, arrow)), *(int_lists(x, np.array([len(x)])) for x in lists), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), values.take(pa.array(some)).cast(pa.string())), int_lists(counts, np.array([len(some)])), pa.ListArray.from_arrays(pa.array([0, last + 1 - first], pa.int32()), ids[first : last + 1])], arrow.names)
+                counts = np.bincount(local[1:][taught], minlength=len(some))
+                one = {"chunk": chunk, "lead": int(local[0]), "stream": plane(local[1:].astype(np.int32)), "words": joined(values.take(pa.array(some))), "counts": plane(counts.astype(np.int32)), "taught": int(counts.sum())}
+                lists = {"rows": np.arange(row + first, row + last + 1), "held": held_[first : last + 1], "sizes": piece.astype(np.int32)}
+                whole = {c: pa.array([x], arrow.field(c).type) for c, x in one.items()} | {c: int_lists(x, np.array([len(x)])) for c, x in lists.items()}
+                whole["ids"] = pa.ListArray.from_arrays(pa.array([0, last + 1 - first], pa.int32()), ids[first : last + 1])
+                yield pa.RecordBatch.from_arrays([whole[c] for c in arrow.names], arrow.names)
                 chunk += 1
             row += len(sizes)
 
@@ -213,76 +250,125 @@ def chunked(docs: DataFrame, id_col: Column, held: Column, text: Column) -> Data
     return cut_lineage(rows.mapInArrow(run, schema))
 
 
-def _blobs(keys: np.ndarray, counts: np.ndarray, segments: int) -> Iterator[pa.RecordBatch]:
-    """A row for each segment with keys: (seg, keys, counts); ``keys`` ascend."""
-    segment = segment_of(keys, segments)
-    first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]])) if len(keys) else []
-    for a, b in zip(first, [*first[1:], len(keys)]):
-        yield pa.RecordBatch.from_arrays([pa.array([segment[a]], pa.int32()), pa.array([keys[a:b].tobytes()]), pa.array([counts[a:b].astype(np.int64).tobytes()])], ["seg", "keys", "counts"])
+def _runs(segment: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(segment, from, to) of ascending segments."""
+    first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]])).tolist() if len(segment) else []
+    for a, b in zip(first, [*first[1:], len(segment)]):
+        yield int(segment[a]), a, b
 
 
-def _pairs(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes, code before, code) of row i: (lead, stream, hashes, ...)."""
-    stream = np.frombuffer(batch.column(1)[i].as_py(), np.int32)
-    hashes = batch.column(2)[i].values.to_numpy().view(np.uint64)
-    return hashes, np.concatenate([[batch.column(0)[i].as_py()], stream[:-1]]).astype(np.int64), stream.astype(np.int64)
+def _row(names: str, *values: object) -> pa.RecordBatch:
+    """One row of columns "name kind, ..."."""
+    schema = to_arrow_schema(T.StructType(columns(names)))
+    return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(values, schema)], schema=schema)
 
 
-def build_filter(chunks: DataFrame, counts: DataFrame, segments: int, bits_per_key: int = BITS_PER_KEY) -> DataFrame:
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns))
+
+
+_BLOB, _ASK, _TOLD = "seg int, keys binary, counts binary", "seg int, of long, words binary, counts binary", "seg int, of long, keys binary, counts binary"
+
+
+def word_counts(chunks: DataFrame, segments: int) -> DataFrame:
+    """Exact counts of words. Written.
+
+    (seg, of, counts): for each chunk its words of the segment, in its order; (seg, null, keys,
+    counts): the segment's words that occur in rows that are not held.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for of, words, counts in _in_order(batches):
+            segment, counts = segment_of(word_keys(word_hashes(words)), segments), unplane(counts, 4)
+            order = np.argsort(segment, kind="stable")
+            values = split(words).take(pa.array(order))
+            for s, a, b in _runs(segment[order]):
+                yield _row(_ASK, s, of, joined(values[a:b]), plane(counts[order[a:b]].astype(np.int32)))
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            coded = pa.concat_arrays([split(words) for _, words, _ in held]).dictionary_encode()
+            codes, sums = coded.indices.to_numpy(), np.zeros(len(coded.dictionary), np.int64)
+            np.add.at(sums, codes, np.concatenate([n for _, _, n in held]))
+            at = 0
+            for of, _, n in held:
+                yield _row(_TOLD, now, of, None, plane(sums[codes[at : at + len(n)]]))
+                at += len(n)
+            some = sums > 0
+            keys = word_keys(word_hashes(joined(coded.dictionary)))[some]
+            order = np.argsort(keys, kind="stable")
+            yield _row(_TOLD, now, None, keys[order].tobytes(), sums[some][order].tobytes())
+            held.clear()
+
+        for segment, of, words, counts in _in_order(batches):
+            if segment != now:
+                yield from done()
+                now = segment
+            held.append((of, words, unplane(counts, 4)))
+        yield from done()
+
+    asked = chunks.select("chunk", "words", "counts").mapInArrow(ask, T.StructType(columns(_ASK)))
+    return cut_lineage(asked.repartition(segments, "seg").sortWithinPartitions("seg", "of").mapInArrow(tell, T.StructType(columns(_TOLD))))
+
+
+def _pairs(lead: int, stream: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(code before, code) of each token."""
+    code = unplane(stream, 4)
+    return np.concatenate([[lead], code[:-1]]).astype(np.int64), code
+
+
+def build_filter(chunks: DataFrame, words: DataFrame, segments: int, bits_per_key: int = BITS_PER_KEY) -> DataFrame:
     """(seg, bits) of the words and pairs of rows that are not held. Written."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        found, n = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            keys, times = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return _blobs(keys, times, segments)
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                hashes, before, code = _pairs(batch, i)
-                taught = np.repeat(~batch.column(3)[i].values.to_numpy(zero_copy_only=False).astype(bool), batch.column(4)[i].values.to_numpy())
-                held.append(pair_keys(hashes[before[taught]], hashes[code[taught]]))
-                n += len(held[-1])
-                if n >= HELD:
-                    yield from flush()
-                    n = 0
-        if held:
+            keys, times = np.unique(np.concatenate(found), return_counts=True)
+            found.clear()
+            for s, a, b in _runs(segment_of(keys, segments)):
+                yield _row(_BLOB, s, keys[a:b].tobytes(), times[a:b].astype(np.int64).tobytes())
+
+        for lead, stream, words_, held, sizes in _in_order(batches):
+            before, code = _pairs(lead, stream)
+            taught, hashes = np.repeat(~np.array(held, bool), sizes), word_hashes(words_)
+            found.append(pair_keys(hashes[before[taught]], hashes[code[taught]]))
+            n += len(found[-1])
+            if n >= HELD:
+                yield from flush()
+                n = 0
+        if found:
             yield from flush()
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from _blobs(*summed(word_keys(batch.column(0).to_numpy().view(np.uint64)), batch.column(1).to_numpy()), segments)
-
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, n = None, [], 0
 
         def merge() -> None:
-            keys, times = summed(*(np.concatenate(x) for x in zip(*held)))
-            held[:] = [(keys, times)]
+            held[:] = [summed(*(np.concatenate(x) for x in zip(*held)))]
 
         def done() -> Iterator[pa.RecordBatch]:
             if held:
                 merge()
-                yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([segment_bits(*held[0], bits_per_key)])], ["seg", "bits"])
+                yield _row("seg int, bits binary", now, segment_bits(*held[0], bits_per_key))
             held.clear()
 
-        for batch in batches:
-            for segment, keys, times in zip(*(c.to_pylist() for c in batch.columns)):
-                if segment != now:
-                    yield from done()
-                    now, n = segment, 0
-                held.append((np.frombuffer(keys, np.uint64), np.frombuffer(times, np.int64)))
-                n += len(held[-1][0])
-                if n >= SEGMENT_KEYS:
-                    merge()
-                    n = 0
+        for segment, keys, times in _in_order(batches):
+            if segment != now:
+                yield from done()
+                now, n = segment, 0
+            held.append((np.frombuffer(keys, np.uint64), np.frombuffer(times, np.int64)))
+            n += len(held[-1][0])
+            if n >= SEGMENT_TOKENS:
+                merge()
+                n = 0
         yield from done()
 
-    blob = "seg int, keys binary, counts binary"
-    hashed = F.transform("words", lambda w: F.xxhash64(w))
-    both = chunks.select("lead", "stream", hashed.alias("hashes"), "held", "sizes").mapInArrow(pairs, blob).unionByName(counts.select(F.xxhash64("word"), "c").mapInArrow(words, blob))
+    both = chunks.select("lead", "stream", "words", "held", "sizes").mapInArrow(pairs, T.StructType(columns(_BLOB))).unionByName(words.where("of is null").select("seg", "keys", "counts"))
     return cut_lineage(both.repartition(segments, "seg").sortWithinPartitions("seg").mapInArrow(bits, "seg int, bits binary"))
 
 
@@ -293,37 +379,38 @@ def _asked(hashes: np.ndarray, before: np.ndarray, code: np.ndarray) -> tuple[np
     return keys, place[: len(hashes)], place[len(hashes) :][which]
 
 
+def _gathered(told: DataFrame, what: str) -> DataFrame:
+    """(of, ``what``): a chunk's blocks, in the order of their segments."""
+    return told.groupBy("of").agg(F.sort_array(F.collect_list(F.struct("seg", what))).alias("told")).select("of", F.col(f"told.{what}").alias(what))
+
+
 def _routed(chunks: DataFrame, parts: DataFrame, segments: int) -> DataFrame:
     """(of, levels): for each chunk the levels of its keys, by segment; for filters that are not broadcast.
 
     A segment's bits come first in its task, then the questions of the chunks pass by.
     """
+    kind = "seg int, of long, data binary"
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                keys, _, _ = _asked(*_pairs(batch, i))
-                for part in _blobs(keys, np.zeros(len(keys)), segments):
-                    yield pa.RecordBatch.from_arrays([part.column(0), batch.column(3)[i : i + 1], part.column(1)], ["seg", "of", "data"])
+        for lead, stream, words, of in _in_order(batches):
+            keys, _, _ = _asked(word_hashes(words), *_pairs(lead, stream))
+            for s, a, b in _runs(segment_of(keys, segments)):
+                yield _row(kind, s, of, keys[a:b].tobytes())
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, known = None, LogFilter(segments, [])
-        for batch in batches:
-            for segment, of, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if segment != now:
-                    now, known = segment, LogFilter(segments, [])
-                if of is None:
-                    known = LogFilter(segments, [(segment, data)])
-                else:
-                    levels = known.levels(np.frombuffer(data, np.uint64)).astype(np.uint8)
-                    yield pa.RecordBatch.from_arrays([pa.array([of]), pa.array([segment], pa.int32()), pa.array([levels.tobytes()])], ["of", "seg", "levels"])
-
-    hashed = F.transform("words", lambda w: F.xxhash64(w))
-    asked = chunks.select("lead", "stream", hashed.alias("hashes"), "chunk").mapInArrow(ask, "seg int, of long, data binary")
+        for segment, of, data in _in_order(batches):
+            if segment != now:
+                now, known = segment, LogFilter(segments, [])
+            if of is None:
+                known = LogFilter(segments, [(segment, data)])
+            else:
+                yield _row("of long, seg int, levels binary", of, segment, known.levels(np.frombuffer(data, np.uint64)).astype(np.uint8).tobytes())
+
+    asked = chunks.select("lead", "stream", "words", "chunk").mapInArrow(ask, T.StructType(columns(kind)))
     bits = parts.select("seg", F.lit(None).cast("long").alias("of"), F.col("bits").alias("data"))
     dealt = bits.unionByName(asked).repartition(segments, "seg").sortWithinPartitions(F.col("seg"), F.col("of").asc_nulls_first())
-    told = dealt.mapInArrow(answer, "of long, seg int, levels binary")
-    return told.groupBy("of").agg(F.sort_array(F.collect_list(F.struct("seg", "levels"))).alias("told")).select("of", F.col("told.levels").alias("levels"))
+    return _gathered(dealt.mapInArrow(answer, "of long, seg int, levels binary"), "levels")
 
 
 def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR, filter_bytes: int = FILTER_BYTES, bits_per_key: int = BITS_PER_KEY) -> DataFrame:
@@ -339,15 +426,13 @@ def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     out_ = F.coalesce(held, F.lit(False))
     chunks = chunked(docs, docs[id_col], out_, docs[text_col])
-    by_word = chunks.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).groupBy(F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("c"))
-    counts = cut_lineage(by_word.where(F.col("c") > 0))
-    taught, distinct = (int(x or 0) for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
-    segments = max(1, -(-(taught + distinct) // SEGMENT_KEYS))
-    parts = build_filter(chunks, counts, segments, bits_per_key)
-    # Exact counts, back to the chunks' dictionaries.
-    asked = chunks.select("chunk", F.posexplode("words").alias("pos", "w"))
-    told = asked.join(counts, F.col("w") == F.col("word"), "left").groupBy(F.col("chunk").alias("of")).agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("c", F.lit(0)).alias("c")))).alias("known"))  # a chunk's dictionary
-    rows = chunks.join(told.select("of", F.col("known.c").alias("c")), F.col("chunk") == F.col("of")).drop("of")
+    taught = int(chunks.agg(F.sum("taught")).first()[0] or 0)
+    segments = -(-taught // SEGMENT_TOKENS) or 1
+    told = word_counts(chunks, segments)
+    distinct = int(told.where("of is null").agg(F.sum(F.length("keys"))).first()[0] or 0) // 8
+    parts = build_filter(chunks, told, segments, bits_per_key)
+    release(spark)
+    rows = chunks.join(_gathered(told.where("of is not null"), "counts").withColumnRenamed("counts", "exact"), F.col("chunk") == F.col("of")).drop("of")
     model = None
     if (parts.agg(F.sum(F.length("bits"))).first()[0] or 0) <= filter_bytes:
         table = parts.toArrow()  # at most filter_bytes
@@ -363,14 +448,16 @@ def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                hashes, before, code = _pairs(batch, i)
+                lead, stream, data, answers, answered = (batch.column(j)[i].as_py() for j in range(5))
+                hashes, (before, code) = word_hashes(data), _pairs(lead, stream)
                 keys, words, pairs = _asked(hashes, before, code)
-                levels = model.value.levels(keys) if model else np.frombuffer(b"".join(batch.column(3)[i].as_py()), np.uint8)
+                levels = model.value.levels(keys) if model else np.frombuffer(b"".join(answers), np.uint8)
                 about = counts_of(levels)
                 single, both = about[words], about[pairs]
                 own = (single + 1) / (taught + distinct + 1)
                 chance = (np.minimum(both, single[before]) + prior * own[code]) / (single[before] + prior)
-                exact = batch.column(4)[i].values.to_numpy()
+                exact = np.empty(len(hashes), np.int64)
+                exact[np.argsort(segment_of(word_keys(hashes), segments), kind="stable")] = np.concatenate([unplane(x, 8) for x in answered])
                 base = np.log10((exact + 1) / (taught + distinct + 1))
                 sizes = batch.column(5)[i].values.to_numpy()
                 starts = np.cumsum(sizes) - sizes
@@ -378,11 +465,10 @@ def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str
                 parts_ = [batch.column(8)[i].values, batch.column(6)[i].values, batch.column(7)[i].values, pa.array(sizes.astype(np.int64)), pa.array(over((exact > 0)[code].astype(np.int64))), pa.array(over(base[code])), pa.array(over(np.log10(np.minimum(chance, 1.0))))]
                 yield pa.RecordBatch.from_arrays(parts_, arrow.names)
 
-    hashed = F.transform("words", lambda w: F.xxhash64(w))
-    pieces = rows.select("lead", "stream", hashed.alias("hashes"), "levels", "c", "sizes", "rows", "held", "ids").mapInArrow(run, schema)
+    pieces = rows.select("lead", "stream", "words", "levels", "exact", "sizes", "rows", "held", "ids").mapInArrow(run, schema)
     whole = pieces.groupBy("row").agg(F.first("id").alias(id_col), F.first("held_out").alias("held_out"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     out = cut_lineage(whole.select(id_col, "held_out", "n_tokens", "n_known", F.lit(taught).cast("long").alias("train_tokens"), "base_score", "score"))
-    drop(chunks, counts, parts)
+    drop(chunks, told, parts)
     return out
 
 

@@ -228,7 +228,7 @@ def plain(frame):
 
 @pytest.mark.parametrize("chunk, keys, held, filter_bytes", [(1 << 20, 1 << 22, 1 << 22, 1 << 27), (50, 100, 300, 1 << 27), (50, 100, 300, 0)])
 def test_scores_like_brute_force(spark, rows, monkeypatch, chunk, keys, held, filter_bytes):
-    for name, value in (("CHUNK", chunk), ("SEGMENT_KEYS", keys), ("HELD", held)):
+    for name, value in (("CHUNK", chunk), ("SEGMENT_TOKENS", keys), ("HELD", held)):
         monkeypatch.setattr(lm_score, name, value)
     frame = docs(spark, rows).repartition(3)
     got = lm_score.scores(frame, lm_score.held_out(frame["doc_id"]), filter_bytes=filter_bytes, bits_per_key=4000)  # no probe hits by chance
@@ -236,7 +236,7 @@ def test_scores_like_brute_force(spark, rows, monkeypatch, chunk, keys, held, fi
 
 
 def test_broadcast_and_routed_filters_agree(spark, rows, monkeypatch):
-    monkeypatch.setattr(lm_score, "SEGMENT_KEYS", 200)
+    monkeypatch.setattr(lm_score, "SEGMENT_TOKENS", 200)
     frame = docs(spark, rows)
     one, two = (lm_score.scores(frame, lm_score.held_out(frame["doc_id"]), filter_bytes=b) for b in (1 << 27, 0))
     assert plain(one) == plain(two)
