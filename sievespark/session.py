@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -89,4 +90,5 @@ def release(spark: SparkSession) -> None:
 
     The cleaner goes by garbage collection, which a driver with a large heap may not see for hours.
     """
+    gc.collect()  # the driver's Python holds on to plans too
     spark._jvm.System.gc()
