@@ -38,11 +38,13 @@ END = " "
 #: UTF-8 bytes beyond which a word is known by its digest (after a blank, which no word holds).
 LONG_WORD = 80
 #: Tokens of a chunk; longer texts are cut into several.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Pairs held in a task before they are summed and dealt out (about 100 bytes each on the way).
 HELD = 1 << 22
 #: Training tokens a segment (so it has at most twice as many keys, of words and pairs).
 SEGMENT_TOKENS = 1 << 21
+#: Keys that are asked for at once.
+ASKED = 1 << 17
 #: Size of a filter that is broadcast.
 FILTER_BYTES = 128 << 20
 BASE, PROBES, BITS_PER_KEY = 1.5, 4, 8
@@ -89,6 +91,15 @@ def unplane(data: bytes, size: int) -> np.ndarray:
     return flat.view(f"<i{size}").reshape(-1).astype(np.int64)
 
 
+def ascending(keys: np.ndarray) -> bytes:
+    """Ascending keys by their differences."""
+    return plane(np.diff(keys, prepend=np.uint64(0)).view(np.int64))
+
+
+def unascending(data: bytes) -> np.ndarray:
+    return np.cumsum(unplane(data, 8).view(np.uint64), dtype=np.uint64)
+
+
 def joined(words: pa.Array) -> bytes:
     """Words, each with a line feed behind it."""
     if not len(words):
@@ -165,7 +176,9 @@ class LogFilter:
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The highest level up to which all keys are there, by asking for 1, 2, ..."""
-        out = np.zeros(len(keys), np.int64)
+        if len(keys) > ASKED:
+            return np.concatenate([self.levels(keys[at : at + ASKED]) for at in range(0, len(keys), ASKED)])
+        out = np.zeros(len(keys), np.uint8)
         segment = segment_of(keys, self.segments)
         start, size = self.at[segment], ((self.at[segment + 1] - self.at[segment]) * 8).astype(np.uint64)
         open_ = np.flatnonzero(size > 0)
@@ -302,7 +315,7 @@ def word_counts(chunks: DataFrame, segments: int) -> DataFrame:
             some = sums > 0
             keys = word_keys(word_hashes(joined(coded.dictionary)))[some]
             order = np.argsort(keys, kind="stable")
-            yield _row(_TOLD, now, None, keys[order].tobytes(), sums[some][order].tobytes())
+            yield _row(_TOLD, now, None, ascending(keys[order]), plane(sums[some][order]))
             held.clear()
 
         for segment, of, words, counts in _in_order(batches):
@@ -332,7 +345,7 @@ def build_filter(chunks: DataFrame, words: DataFrame, segments: int, bits_per_ke
             keys, times = np.unique(np.concatenate(found), return_counts=True)
             found.clear()
             for s, a, b in _runs(segment_of(keys, segments)):
-                yield _row(_BLOB, s, keys[a:b].tobytes(), times[a:b].astype(np.int64).tobytes())
+                yield _row(_BLOB, s, ascending(keys[a:b]), plane(times[a:b].astype(np.int64)))
 
         for lead, stream, words_, held, sizes in _in_order(batches):
             before, code = _pairs(lead, stream)
@@ -361,7 +374,7 @@ def build_filter(chunks: DataFrame, words: DataFrame, segments: int, bits_per_ke
             if segment != now:
                 yield from done()
                 now, n = segment, 0
-            held.append((np.frombuffer(keys, np.uint64), np.frombuffer(times, np.int64)))
+            held.append((unascending(keys), unplane(times, 8)))
             n += len(held[-1][0])
             if n >= SEGMENT_TOKENS:
                 merge()
@@ -395,7 +408,7 @@ def _routed(chunks: DataFrame, parts: DataFrame, segments: int) -> DataFrame:
         for lead, stream, words, of in _in_order(batches):
             keys, _, _ = _asked(word_hashes(words), *_pairs(lead, stream))
             for s, a, b in _runs(segment_of(keys, segments)):
-                yield _row(kind, s, of, keys[a:b].tobytes())
+                yield _row(kind, s, of, ascending(keys[a:b]))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, known = None, LogFilter(segments, [])
@@ -405,7 +418,7 @@ def _routed(chunks: DataFrame, parts: DataFrame, segments: int) -> DataFrame:
             if of is None:
                 known = LogFilter(segments, [(segment, data)])
             else:
-                yield _row("of long, seg int, levels binary", of, segment, known.levels(np.frombuffer(data, np.uint64)).astype(np.uint8).tobytes())
+                yield _row("of long, seg int, levels binary", of, segment, known.levels(unascending(data)).tobytes())
 
     asked = chunks.select("lead", "stream", "words", "chunk").mapInArrow(ask, T.StructType(columns(kind)))
     bits = parts.select("seg", F.lit(None).cast("long").alias("of"), F.col("bits").alias("data"))
