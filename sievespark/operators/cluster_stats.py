@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievespark.functions.scalar import GOOD_T, normal_cdf, rounded
+from sievespark.operators.names import unused
 
 
 def pool_zscore(df: DataFrame, value: str, within: Sequence[str] = (), name: str = "z") -> DataFrame:
     """(x - mean) / population deviation of the row's pool; one row a pool is sent out."""
-    pools = df.groupBy(*within).agg(F.avg(value).alias("__mean"), F.stddev_pop(value).alias("__std"))
+    mean, std = unused(df.columns, "mean", "std")
+    pools = df.groupBy(*within).agg(F.avg(value).alias(mean), F.stddev_pop(value).alias(std))
     both = df.join(pools, list(within)) if within else df.crossJoin(F.broadcast(pools))
-    return both.withColumn(name, (F.col(value) - F.col("__mean")) / F.col("__std")).drop("__mean", "__std")
+    return both.withColumn(name, (F.col(value) - F.col(mean)) / F.col(std)).drop(mean, std)
 
 
 def describe_clusters(df: DataFrame, cluster: Sequence[str], z: str = "z", loose: float = 1.0) -> DataFrame:

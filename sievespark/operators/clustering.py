@@ -140,18 +140,3 @@ def size_summary(clusters: DataFrame, by: Sequence[str], cluster: Sequence[str])
         ((middle[0] + middle[1]) / 2).alias("median_cluster_size"),
         (100.0 * F.sum(F.col("size") * top) / F.sum(F.col("size") * F.col("c"))).alias("top10_pct"),
     )
-
-
-def medoids(clusters: DataFrame, sims: DataFrame, cluster: Sequence[str]) -> DataFrame:
-    """(cluster, medoid): the member with the highest mean similarity to the others; a lone member is its own.
-
-    ``sims`` has (a, b, sim) for all pairs inside the clusters; ties go to the smallest node. Members
-    without a fingerprint are to be left out of ``clusters``; a cluster of none then has no medoid.
-    """
-    own = [c for c in cluster if c in sims.columns]  # nodes may be numbered anew in each cluster
-    both = sims.select(*own, "a", "b", "sim").unionByName(sims.select(*own, F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
-    left = clusters.select(*cluster, F.col("node").alias("a"))
-    right = clusters.select(*cluster, F.col("node").alias("b"))
-    mean = both.join(left, [*own, "a"]).join(right, [*cluster, "b"]).groupBy(*cluster, F.col("a").alias("node")).agg(F.avg("sim").alias("mean_sim"))
-    scored = clusters.join(mean, [*cluster, "node"], "left")
-    return scored.groupBy(*cluster).agg(F.min_by("node", F.struct((-F.coalesce("mean_sim", F.lit(-1.0))).alias("m"), F.col("node"))).alias("medoid"))

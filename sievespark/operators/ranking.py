@@ -6,7 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sievespark.operators.names import unused
+from sievespark.operators.quantiles import at_positions
 from sievespark.session import cut_lineage
 
 
@@ -17,18 +20,19 @@ def best_pose(poses: DataFrame, key: Sequence[str], score: str, distance: str, t
     """
     wanted = F.struct(*[F.col(c) for c in dict.fromkeys((*tie, distance, score, *payload))])
     order = F.struct(F.col(score).isNull(), F.coalesce(score, distance), *[F.col(c) for c in tie])
-    won = poses.groupBy(*key).agg(F.min_by(wanted, order).alias("w"))
-    return won.select(*key, "w.*")
+    (won,) = unused(poses.columns, "won")
+    return poses.groupBy(*key).agg(F.min_by(wanted, order).alias(won)).select(*key, f"{won}.*")
 
 
-def _dealt(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
-    """``df`` in ranges of the whole order, each sorted in one task: columns __slot and __at (place in it). Written.
+def _dealt(df: DataFrame, keys: Sequence[Column]) -> tuple[DataFrame, str, str]:
+    """``df`` in ranges of the whole order, each sorted in one task, with the names of two more columns: range, and place in it. Written.
 
     A group or a tied score of any size is cut at the next column of the order.
     """
+    slot, at = unused(df.columns, "slot", "at")
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    return cut_lineage(rows.withColumns({"__slot": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}))
+    return cut_lineage(rows.withColumns({slot: F.spark_partition_id(), at: F.monotonically_increasing_id()})), slot, at
 
 
 def ranked(df: DataFrame, order: Sequence[str], within: Sequence[str] = (), name: str = "rank") -> DataFrame:
@@ -38,27 +42,30 @@ def ranked(df: DataFrame, order: Sequence[str], within: Sequence[str] = (), name
     by the rows of their group in the ranges before. They are written on the way, so ranks and values
     are of one computation; the input is read once more to find the ranges.
     """
-    rows = _dealt(df, [F.col(c).asc_nulls_last() for c in (*within, *order)])
-    sizes = rows.groupBy(*within, "__slot").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
-    before = F.sum("__n").over(Window.partitionBy(*within).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1))
-    shift = sizes.select(*within, "__slot", (F.coalesce(before, F.lit(0)) - F.col("__first") + 1).alias("__shift"))  # a row a group and range
-    joined = _null_safe(rows, shift, [*within, "__slot"])
-    return joined.withColumn(name, (F.col("__at") + F.col("__shift")).cast("long")).drop("__slot", "__at", "__shift")
+    rows, slot, at = _dealt(df, [F.col(c).asc_nulls_last() for c in (*within, *order)])
+    n, first, shift = unused(rows.columns, "n", "first", "shift")
+    sizes = rows.groupBy(*within, slot).agg(F.count(F.lit(1)).alias(n), F.min(at).alias(first))
+    before = F.sum(n).over(Window.partitionBy(*within).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1))
+    moved = sizes.select(*within, slot, (F.coalesce(before, F.lit(0)) - F.col(first) + 1).alias(shift))  # a row a group and range
+    joined = _null_safe(rows, moved, [*within, slot])
+    return joined.select(*df.columns, (F.col(at) + F.col(shift)).cast("long").alias(name))
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    other = right.select(*[F.col(k).alias(f"__r_{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
-    cond = None
-    for i, k in enumerate(keys):
-        one = left[k].eqNullSafe(F.col(f"__r_{i}"))
-        cond = one if cond is None else cond & one
-    return left.join(other, cond).drop(*[f"__r_{i}" for i in range(len(keys))])
+    """Inner join; nulls of ``keys`` equal each other."""
+    names = unused([*left.columns, *right.columns], *[f"right_{i}" for i in range(len(keys))])
+    other = right.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], *[c for c in right.columns if c not in keys])
+    cond = F.lit(True)
+    for k, n in zip(keys, names):
+        cond &= left[k].eqNullSafe(F.col(n))
+    return left.join(other if keys else F.broadcast(other), cond).drop(*names)  # without keys: one row
 
 
 def best_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in ``order`` (the first wins a tie); a group limit runs before the shuffle."""
+    (place,) = unused(df.columns, "place")
     w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    return df.withColumn(place, F.row_number().over(w)).where(F.col(place) == 1).drop(place)
 
 
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
@@ -75,12 +82,13 @@ def inversions(df: DataFrame, order: str, value: str, within: Sequence[str]) ->
 
     Counted inside ranges of (``within``, ``order``), and once more over the ranges' borders.
     """
-    rows = _dealt(df.select(*within, order, value), [F.col(c).asc_nulls_last() for c in (*within, order)])
-    inside = F.lag(value).over(Window.partitionBy(*within, "__slot").orderBy("__at")) > F.col(value)
-    ends = [f(F.col(value), F.col("__at")).alias(n) for f, n in ((F.min_by, "__first"), (F.max_by, "__last"))]
-    per = rows.withColumn("__bad", inside).groupBy(*within, "__slot").agg(F.count_if("__bad").alias("__n"), *ends)
-    border = F.lag("__last").over(Window.partitionBy(*within).orderBy("__slot")) > F.col("__first")
-    return per.withColumn("__b", border.cast("int")).groupBy(*within).agg((F.sum("__n") + F.coalesce(F.sum("__b"), F.lit(0))).cast("long").alias("inversions"))
+    rows, slot, at = _dealt(df.select(*within, order, value), [F.col(c).asc_nulls_last() for c in (*within, order)])
+    bad, n, first, last, border = unused(rows.columns, "bad", "n", "first", "last", "border")
+    falls = F.lag(value).over(Window.partitionBy(*within, slot).orderBy(at)) > F.col(value)
+    ends = [f(F.col(value), F.col(at)).alias(x) for f, x in ((F.min_by, first), (F.max_by, last))]
+    per = rows.withColumn(bad, falls).groupBy(*within, slot).agg(F.count_if(bad).alias(n), *ends)
+    crossed = F.lag(last).over(Window.partitionBy(*within).orderBy(slot)) > F.col(first)
+    return per.withColumn(border, crossed.cast("int")).groupBy(*within).agg((F.sum(n) + F.coalesce(F.sum(border), F.lit(0))).cast("long").alias("inversions"))
 
 
 def require_sorted(df: DataFrame, order: str, value: str, within: Sequence[str] = ()) -> DataFrame:
@@ -100,12 +108,29 @@ def require_some(df: DataFrame, what: str) -> DataFrame:
 def last_wins(df: DataFrame, key: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """A lookup table with one row a key: the last in ``seq``."""
     rest = [c for c in df.columns if c not in key]
-    return df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*seq)).alias("r")).select(*key, "r.*")
+    (row,) = unused(df.columns, "row")
+    return df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*seq)).alias(row)).select(*key, f"{row}.*")
 
 
 def share_cut(df: DataFrame, share: float, order: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
-    """The first ``ceil(share * n)`` rows of each group."""
-    placed = ranked(df, order, within, "__rank")
-    sizes = df.groupBy(*within).agg(F.ceil(F.count(F.lit(1)) * share).alias("__most"))
-    both = _null_safe(placed, sizes, list(within)) if within else placed.crossJoin(F.broadcast(sizes))
-    return both.where("__rank <= __most").drop("__rank", "__most")
+    """The first ``ceil(share * n)`` rows of each group in ``order``; nulls come last.
+
+    Where the first of ``order`` is a number, its value at the cut is found by selection (see
+    :func:`at_positions`): rows below it stay, and only rows that tie with it are ranked. Reading
+    ``df`` again must give the same rows, since it is read once a pass.
+    """
+    first = order[0]
+    if not isinstance(df.schema[first].dataType, T.NumericType):
+        rank, most = unused(df.columns, "rank", "most")
+        sizes = df.groupBy(*within).agg(F.ceil(F.count(F.lit(1)) * share).alias(most))
+        return _null_safe(ranked(df, order, within, rank), sizes, list(within)).where(F.col(rank) <= F.col(most)).select(*df.columns)
+    found = at_positions(df, [first], [lambda n: F.ceil(n * share) - 1], within, nulls_last=True)
+    at, edge, below, rank = unused(df.columns, "at", "edge", "below", "rank")
+    cut = found.select(*within, F.col("at").alias(at), F.col("value").alias(edge), F.col("below").alias(below))
+    value = F.col(first).cast("double")
+    placed = F.when(F.isnan(value), F.lit(None)).otherwise(value)  # NaN and null come after all numbers
+    both = _null_safe(df, cut, list(within))
+    lower = both.where(placed.isNotNull() & (F.col(edge).isNull() | (placed < F.col(edge)))).where(F.col(at) >= 0)
+    ties = both.where(placed.eqNullSafe(F.col(edge))).where(F.col(at) >= 0)
+    kept = ranked(ties, order, within, rank).where(F.col(rank) <= F.col(at) - F.col(below) + 1)
+    return lower.select(*df.columns).unionByName(kept.select(*df.columns))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievespark.operators.ranking import best_per_key, ranked
 from sievespark.session import cut_and_count, cut_lineage
 
 
@@ -98,14 +99,11 @@ def drop_failed_chunks(scored: DataFrame, chunk: str) -> DataFrame:
 
 def secondary_rank(df: DataFrame, first: str, second: str, n: int = 20) -> DataFrame:
     """The best ``n`` by ``first`` beside their rank by ``second``."""
-    from sievespark.operators.ranking import ranked
-
     both = ranked(ranked(df, [first], name="rank"), [second], name="other_rank")
     return both.where(F.col("rank") <= n)
 
 
 def best_per_cluster(df: DataFrame, cluster: Sequence[str], score: str, lone: str = "singleton") -> DataFrame:
     """The best row of each cluster; rows whose source is ``lone`` pass through."""
-    w = Window.partitionBy(*cluster).orderBy(score, "compound_id")
-    inside = df.where(F.col("source") != lone).withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    inside = best_per_key(df.where(F.col("source") != lone), cluster, [F.col(score), F.col("compound_id")])
     return inside.unionByName(df.where(F.col("source") == lone))

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from sievespark.chem.molblock import Backend, featurise
 from sievespark.functions.scalar import add_properties
 from sievespark.operators.cluster_stats import describe_clusters, judge_clusters, pool_zscore
-from sievespark.operators.clustering import medoids, nested, numbered, size_summary
+from sievespark.operators.clustering import nested, numbered, size_summary
 from sievespark.operators.curves import half_maximum, intersection, local_minimum, slopes
 from sievespark.operators.ranking import ranked
 from sievespark.operators.selection import kept_clusters, pick_list
-from sievespark.operators.similarity import edges
+from sievespark.operators.similarity import cluster_medoids, edges
 from sievespark.session import cut_lineage
 
 #: Thresholds in twentieths (0.35 to 0.90), and the one at which picks are made.
@@ -44,7 +44,13 @@ def scaffold_groups(hits: DataFrame, backend: Backend | None = None) -> DataFram
     """
     seen = featurise(hits.select("conformation", "compound_id", F.col("rank").cast("long").alias("rank"), "ad4_score", "block"), backend)
     name = F.coalesce("scaffold", F.concat(F.lit("__ERROR__"), "compound_id"))
-    return cut_lineage(seen.withColumn("scaffold", name).withColumn("group", F.concat("conformation", F.lit("/"), "scaffold")))
+    return cut_lineage(seen.withColumn("scaffold", name).withColumn("group", F.concat(F.length("conformation"), F.lit("/"), "conformation", F.lit("/"), "scaffold")))
+
+
+def _conformation(group: Column) -> Column:
+    """What :func:`scaffold_groups` put into a group's name, whatever it holds."""
+    n = F.substring_index(group, "/", 1)
+    return F.substring(group, F.length(n) + 2, n.cast("int"))
 
 
 def group_table(featured: DataFrame) -> DataFrame:
@@ -72,7 +78,7 @@ def cluster_hits(hits: DataFrame, backend: Backend | None = None, grid: Sequence
     featured = scaffold_groups(hits, backend)
     nodes = featured.select("group", F.col("rank").alias("node"))
     links = cut_lineage(edges(featured.where("fp is not null"), "group", "rank", "fp", min(grid)))
-    found = nested(nodes, links, grid, least).withColumn("conformation", F.substring_index("group", "/", 1))
+    found = nested(nodes, links, grid, least).withColumn("conformation", _conformation(F.col("group")))
     found = cut_lineage(numbered(found, least, ["conformation", "k"]))
     scored = pool_zscore(featured, "ad4_score", ["conformation"])
     members = found.select(*CLUSTER, F.col("node").alias("rank")).join(scored.select("conformation", "rank", "compound_id", "ad4_score", "z", "fp"), ["conformation", "rank"])
@@ -88,10 +94,8 @@ def cluster_hits(hits: DataFrame, backend: Backend | None = None, grid: Sequence
     alone = at(stats).where("count = 1").select(*CLUSTER)
     outliers = at(members).join(alone, CLUSTER, "left_semi").where(F.col("z") <= lone_cut)
     chosen = at(members).join(good.select(*CLUSTER), CLUSTER, "left_semi").where("fp is not null")
-    names = F.concat_ws("/", "conformation", F.col("cluster_id").cast("string"))
-    sims = edges(chosen.withColumn("of", names), "of", "rank", "fp", 0).select("group", "a", "b", F.when(F.col("uni") > 0, F.col("inter") / F.col("uni")).otherwise(0.0).alias("sim"))
-    middle = medoids(chosen.select(names.alias("group"), F.col("rank").alias("node")), sims, ["group"])
-    middle = chosen.withColumn("group", names).join(middle, "group").where(F.col("rank") == F.col("medoid")).select(*CLUSTER, "compound_id")
+    middle = cluster_medoids(chosen.select(*CLUSTER, F.col("rank").alias("node"), "fp"), CLUSTER)
+    middle = chosen.join(middle, CLUSTER).where(F.col("rank") == F.col("medoid")).select(*CLUSTER, "compound_id")
     picks = cut_lineage(pick_list(at(members), good, outliers, CLUSTER, middle))
     return Clusters(group_table(featured), members, summary, bounds, inside, judged.join(inside.select(*CLUSTER), CLUSTER, "left_semi"), picks.drop("k"), kept_clusters(picks, at(judged), CLUSTER).drop("k"))
 

@@ -20,6 +20,7 @@ from sievespark.operators import lookups as L
 from sievespark.operators import ranking as R
 from sievespark.operators import receptor as P
 from sievespark.operators import similarity as T
+from sievespark.operators.quantiles import quantiles
 from sievespark.session import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,8 +196,11 @@ def union_all_tagged(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("select " + ", ".join(f"min({c}) as min_{n}, max({c}) as max_{n}, round(avg({c}), 6) as mean_{n}, median({c}) as median_{n}" for c, n in (("l_extendedprice", "score"), ("l_quantity", "total"), ("l_discount", "single"))) + " from lineitem")
 def score_range_report(spark: SparkSession, sf: str) -> DataFrame:
-    cols = (("l_extendedprice", "score"), ("l_quantity", "total"), ("l_discount", "single"))
-    return read_table(spark, sf, "lineitem").agg(*[x for c, n in cols for x in (F.min(c).alias(f"min_{n}"), F.max(c).alias(f"max_{n}"), r6(F.avg(c)).alias(f"mean_{n}"), F.median(c).alias(f"median_{n}"))])
+    cols = {"l_extendedprice": "score", "l_quantity": "total", "l_discount": "single"}
+    li = read_table(spark, sf, "lineitem")
+    ends = li.agg(*[x for c, n in cols.items() for x in (F.min(c).alias(f"min_{n}"), F.max(c).alias(f"max_{n}"), r6(F.avg(c)).alias(f"mean_{n}"))])
+    middle = quantiles(li, list(cols), [0.5]).agg(*[F.max(F.when(F.col("of") == c, F.col("value"))).alias(f"median_{n}") for c, n in cols.items()])
+    return ends.crossJoin(F.broadcast(middle))  # a row each
 
 
 @query(f"""with {COMPOUNDS}, r as (select compound_id, row_number() over (order by ad4_score, compound_id) as rank from compounds)
@@ -503,8 +507,7 @@ select grp, centroid, arg_min(node, (round(-coalesce(mean_sim, -1), 9), node)) a
 def medoid_per_cluster(spark: SparkSession, sf: str) -> DataFrame:
     fp = fingerprints(spark, sf)
     clusters = B.butina_grouped(fp.select("group", "node"), T.edges(fp, "group", "node", "fp", 6), (6,)).select("group", "node", "centroid")
-    sims = T.edges(fp, "group", "node", "fp", 0).select("a", "b", (F.col("inter") / F.col("uni")).alias("sim"))
-    return B.medoids(clusters, sims, ["group", "centroid"]).select(F.col("group").alias("grp"), "centroid", "medoid")
+    return T.cluster_medoids(clusters.join(fp, ["group", "node"]), ["group", "centroid"]).select(F.col("group").alias("grp"), "centroid", "medoid")
 
 
 @query(f"with {COMPOUNDS} select conformation, cluster_id, compound_id as best_scorer from compounds qualify row_number() over (partition by conformation, cluster_id order by ad4_score, compound_id) = 1")

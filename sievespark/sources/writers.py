@@ -41,7 +41,7 @@ def write_ranked_blocks(df: DataFrame, path: str, rank: str = "rank", block: str
 
 def write_tagged_blocks(df: DataFrame, path: str, tags: dict[str, Column], rank: str = "rank", block: str = "block", per_file: int = 50_000) -> None:
     """Blocks with properties added before their terminators."""
-    write_ranked_blocks(df.withColumn("__tagged", add_properties(F.col(block), tags)), path, rank, "__tagged", per_file)
+    write_ranked_blocks(df.select(F.col(rank), add_properties(F.col(block), tags).alias(block)), path, rank, block, per_file)
 
 
 def write_summary(df: DataFrame, path: str) -> None:

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,12 +192,6 @@ def test_nested_groups_and_summary(spark):
     assert s.top10_pct == 100.0
 
 
-def test_medoid_of_two_is_the_first(spark):
-    c = spark.createDataFrame([(1, 5), (1, 6), (2, 7), (3, 1), (3, 2), (3, 3)], "c long, node long")
-    sims = spark.createDataFrame([(5, 6, 0.5), (1, 2, 0.9), (2, 3, 0.8), (1, 3, 0.1), (5, 7, 1.0)], "a long, b long, sim double")
-    assert {r.c: r.medoid for r in clustering.medoids(c, sims, ["c"]).collect()} == {1: 5, 2: 7, 3: 2}
-
-
 def test_similarity(spark):
     df = spark.createDataFrame([("g", 1, [0b1110]), ("g", 2, [0b0111]), ("g", 3, [0b1000]), ("h", 4, [0b1110])], "g string, n long, fp array<bigint>")
     e = similarity.edges(df, "g", "n", "fp", 10).collect()
@@ -711,3 +706,187 @@ def test_pick_list_merges_roles(spark):
     good = spark.createDataFrame([("c", 1, 3, -1.45), ("c", 2, 1, -2.2)], "conformation string, cluster_id int, count long, mean_z double")
     out = selection.pick_list(m, good, m.limit(0), ["conformation", "cluster_id"]).collect()
     assert sorted((r.compound_id, r.roles) for r in out) == [("a", "best_scorer"), ("d", "medoid"), ("e", "best_scorer+medoid")]
+
+
+# ---- selection
+
+
+@pytest.mark.parametrize("bracket", [10, 1_000_000])
+def test_quantiles_by_selection(spark, bracket):
+    """Groups of skew, ties, one value, nulls and NaN alone, against numpy."""
+    from sievespark.operators import quantiles
+
+    rng = random.Random(7)
+    rows = [("wide", rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300), 1.0) for _ in range(3000)]
+    rows += [("ties", float(rng.choice([3, 3, 3, 3, rng.random()])), None) for _ in range(2001)] + [("one", 5.0, 2.0)]
+    rows += [("none", None, None), ("none", float("nan"), None), (None, 1.0, 7.0), (None, 2.0, float("nan")), (None, -4.0, 8.0)]
+    df = spark.createDataFrame(rows, "g string, a double, b double")
+    got = {(r.g, r.of, r.share): r.value for r in quantiles.quantiles(df, ["a", "b"], [0.0, 0.25, 0.5, 1.0], ["g"], bracket).collect()}
+    for g in {r[0] for r in rows}:
+        for k, c in ((1, "a"), (2, "b")):
+            own = sorted(r[k] for r in rows if r[0] == g and r[k] is not None and r[k] == r[k])
+            for q in (0.0, 0.25, 0.5, 1.0):
+                assert got[g, c, q] == (pytest.approx(float(np.quantile(own, q))) if own else None)
+
+
+def test_share_cut_ranks_ties_alone(spark):
+    from sievespark.operators.ranking import share_cut
+
+    rng = random.Random(3)
+    rows = [(g, rng.choice([1.0, 2.0, 2.0, 2.0, rng.random(), None, float("nan")]), i, "x", "y") for g in ("a", "b", None) for i in range(157)]
+    df = spark.createDataFrame(rows, "g string, s double, i long, rank string, at string")
+    key = lambda r: (r[1] is None, r[1] is not None and r[1] != r[1], r[1] if r[1] is not None and r[1] == r[1] else 0, r[2])
+    for share in (0.0, 0.01, 0.3, 0.6, 1.0):
+        want = []
+        for g in ("a", "b", None):
+            own = sorted((r for r in rows if r[0] == g), key=key)
+            want += [(g, r[2]) for r in own[: math.ceil(len(own) * share)]]
+        got = share_cut(df, share, ["s", "i"], ["g"])
+        assert got.columns == df.columns and sorted(((r.g, r.i) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    assert share_cut(df, 0.5, ["rank", "i"]).count() == 236 and share_cut(df.limit(0), 0.5, ["s"]).count() == 0
+
+
+def test_helper_columns_leave_the_users_alone(spark):
+    from sievespark.operators import ranking
+    from sievespark.operators.rescoring import best_per_cluster
+
+    df = spark.createDataFrame([(1, 2.0, 7, 8, 9, "s", "a"), (1, 1.0, 4, 5, 6, "s", "b")], "k int, v double, __n int, at int, slot int, source string, compound_id string")
+    more = df.withColumns({c: F.lit(c) for c in ("place", "n", "first", "shift", "won", "__at", "__slot")})
+    assert ranking.best_per_key(more, ["k"], [F.col("v")]).columns == more.columns
+    assert ranking.ranked(more, ["v"]).columns == [*more.columns, "rank"]
+    assert {r["at"] for r in ranking.ranked(more, ["v"], ["k"]).collect()} == {8, 5}
+    assert best_per_cluster(more, ["k"], "v").columns == more.columns
+    assert ranking.last_wins(more.withColumn("row", F.lit(1)), ["k"], ["v"]).first()["__n"] == 7
+
+
+# ---- similarity in blocks
+
+
+def random_fps(rng, n, bits, size, words):
+    """Fingerprints with some common and many rare bits, near copies among them."""
+    out = []
+    for _ in range(n):
+        if out and rng.random() < 0.3:
+            own = set(rng.choice(out)) ^ set(rng.sample(range(bits), rng.randint(0, 2)))
+        else:
+            own = {b for b in (int(rng.paretovariate(0.4)) - 1 for _ in range(rng.randint(0, size))) if b < bits} | set(rng.sample(range(bits), rng.randint(0, 3)))
+        out.append(sorted(own))
+    packed = []
+    for own in out:
+        w = [0] * words
+        for b in own:
+            w[b // 64] |= 1 << (b % 64)
+        packed.append([x - (1 << 64) if x >> 63 else x for x in w])
+    return out, packed
+
+
+def tanimoto(a, b):
+    return len(set(a) & set(b)), len(set(a) | set(b))
+
+
+@pytest.mark.parametrize("t, block", [(6, 4096), (12, 7), (17, 7), (20, 7), (1, 50)])
+def test_edges_of_both_plans(spark, monkeypatch, t, block):
+    monkeypatch.setattr(similarity, "BLOCK", block)
+    rng = random.Random(t)
+    sets, packed = random_fps(rng, 120, 256, 20, 4)
+    df = spark.createDataFrame([(f"g{i % 3}", i, f) for i, f in enumerate(packed)] + [(None, 500, packed[0]), ("g0", 501, None), ("g1", 1, packed[1])], "grp string, id long, fp array<long>")
+    want = set()
+    for a in range(120):
+        for b in range(a + 1, 120):
+            inter, uni = tanimoto(sets[a], sets[b])
+            if a % 3 == b % 3 and inter * 20 >= uni * t:
+                want.add((f"g{a % 3}", a, b, inter, uni))
+    for plan in ("blocks", "bits", "auto"):
+        got = [tuple(r) for r in similarity.edges(df, "grp", "id", "fp", t, plan).collect()]
+        assert set(got) == want and (block < 4096 or len(got) >= len(want))
+
+
+def test_prefixes_bring_few_pairs_together(spark):
+    rng = random.Random(9)
+    sets = [rng.sample(range(2048), 50) for _ in range(400)]
+    packed = [[sum(1 << (b % 64) for b in s if b // 64 == w) for w in range(32)] for s in sets]
+    packed = [[x - (1 << 64) if x >> 63 else x for x in p] for p in packed]
+    rows = spark.createDataFrame([("g", i, p) for i, p in enumerate(packed)], "group string, node long, fp array<long>").withColumn("n", similarity.bit_count(F.col("fp")))
+    listed = similarity.prefixes(rows, 17, similarity._bit_order(rows))
+    met = sum(r["c"] * (r["c"] - 1) // 2 for r in listed.groupBy("token").agg(F.count(F.lit(1)).alias("c")).collect())
+    assert listed.count() == 400 * (50 - 43 + 1) and met < 400 * 399 / 2 / 10
+
+
+@pytest.mark.parametrize("block", [4096, 10])
+def test_highest_similarity_visits_near_counts(spark, monkeypatch, block):
+    monkeypatch.setattr(similarity, "BLOCK", block)
+    rng = random.Random(block)
+    sets, packed = random_fps(rng, 150, 128, 40, 2)
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(packed[:60])] + [(99, None)], "id long, fp array<long>")
+    refs = spark.createDataFrame([(f,) for f in packed[60:]] + [(None,)], "r array<long>")
+    want = {i: max(x / y if y else 0.0 for x, y in (tanimoto(sets[i], r) for r in sets[60:])) for i in range(60)}
+    got = {r.id: r.max_tc for r in similarity.max_similarity(df, "id", "fp", refs, "r").collect()}
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
+    assert similarity.max_similarity(df, "id", "fp", refs.limit(0), "r").count() == 0
+
+
+def medoid_by_hand(sets, nodes):
+    sims = {n: sum(x / y if y else 0.0 for m in nodes if m != n for x, y in [tanimoto(sets[n], sets[m])]) for n in nodes}
+    return min(nodes, key=lambda n: (-round(sims[n], 9), n))
+
+
+@pytest.mark.parametrize("block", [4096, 16])
+def test_medoids_without_pairs(spark, block):
+    rng = random.Random(5)
+    sets, packed = random_fps(rng, 200, 128, 30, 2)
+    of = {i: None if i < 20 else "big" if i < 140 else f"c{i % 25}" for i in range(200)}
+    rows = [(of[i], i % 2, i, f, "x") for i, f in enumerate(packed)] + [("empty", 0, 900, None, "x"), ("lone", 1, 901, packed[0], "x")]
+    df = spark.createDataFrame(rows, "c string, d long, node long, fp array<long>, place string")
+    got = {(r.c, r.d): r.medoid for r in similarity.cluster_medoids(df, ["c", "d"], block=block).collect()}
+    want = {k: medoid_by_hand(sets, [i for i in range(200) if (of[i], i % 2) == k]) for k in {(of[i], i % 2) for i in range(200)}}
+    assert got == {**want, ("lone", 1): 901}
+
+
+def test_medoid_of_a_large_cluster(spark):
+    """20,000 members: blocks against blocks, after the bound has dropped most; the centre is planted."""
+    rng = np.random.default_rng(6)
+    bits = np.zeros((20_000, 128), np.uint8)
+    bits[:, :64] = 1
+    for i in range(1, 20_000):  # flips around the centre, the more the further on
+        flips = rng.choice(128, size=int(rng.integers(1, 60)), replace=False)
+        bits[i, flips] ^= 1
+    words = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+    df = spark.createDataFrame([(1, i, [int(x) for x in w]) for i, w in enumerate(words.tolist())], "c int, node long, fp array<long>")
+    assert similarity.cluster_medoids(df, ["c"]).first().medoid == 0
+
+
+def test_symmetric_scaffolds_have_keys():
+    """Rings of rings, cages and unions of equal parts: the same key however they are numbered."""
+    rng = random.Random(1)
+    graphs = []
+    for n in (6, 20, 60):
+        graphs.append([(i, (i + 1) % n) for i in range(n)])
+    graphs.append([(i, j) for i in range(9) for j in range(9, 18)])  # complete bipartite
+    graphs.append([(6 * k + i, 6 * k + (i + 1) % 6) for k in range(8) for i in range(6)])  # eight rings apart
+    cube = [(a, a ^ 1 << k) for a in range(64) for k in range(6) if a < a ^ 1 << k]
+    graphs.append(cube)
+    graphs.append([(0, 6 * k + 1) for k in range(10)] + [(6 * k + 1 + i, 6 * k + 1 + (i + 1) % 6) for k in range(10) for i in range(6)])  # ten rings on one atom
+    keys = []
+    for edges in graphs:
+        nodes = sorted({x for e in edges for x in e})
+        found = set()
+        for _ in range(3):
+            name = dict(zip(nodes, rng.sample(nodes, len(nodes))))
+            near = {i: set() for i in nodes}
+            for a, b in edges:
+                near[name[a]].add(name[b])
+                near[name[b]].add(name[a])
+            found.add(M.canonical_edges(near))
+        assert len(found) == 1
+        keys.append(found.pop())
+    assert len(set(keys)) == len(graphs)
+
+
+def test_features_fail_apart(spark):
+    def broken(block):
+        raise ValueError("no")
+
+    df = spark.createDataFrame([("x",)], "block string")
+    for tool, want in ((M.Backend(lambda b: [1], broken), ([1], None)), (M.Backend(broken, lambda b: "k"), (None, "k"))):
+        r = M.featurise(df, tool).first()
+        assert (r.fp, r.scaffold) == want
