@@ -51,3 +51,12 @@ def columns(spec: str) -> list[T.StructField]:
     """Fields from "name kind, ..."; ``[]`` behind a kind makes it an array of that kind."""
     parts = [x.split() for x in spec.split(",")]
     return [T.StructField(n, T.ArrayType(_KINDS[k[:-2]]) if k.endswith("[]") else _KINDS[k]) for n, k in parts]
+
+
+def orderable(kind: T.DataType) -> bool:
+    """Whether Spark can sort and compare values of this type."""
+    if isinstance(kind, T.ArrayType):
+        return orderable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(orderable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))

@@ -60,9 +60,24 @@ def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All links of a ``hi`` node are in one task: it is hooked for good; what ties other nodes stays a link."""
     own, u, v = (np.zeros(0, np.int64) for _ in range(3))
-    for hi, lo in _links(batches):
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    n = 0
+
+    def settle() -> None:
+        nonlocal own, u, v
+        hi, lo = (np.concatenate(c) for c in zip(*held))
+        held.clear()
         own = np.union1d(own, hi)
         u, v = stars(np.concatenate([u, hi]), np.concatenate([v, lo]))
+
+    for pair in _links(batches):
+        held.append(pair)
+        n += len(pair[0])
+        if n > max(HELD, len(u)):  # what is held doubles, so all contractions together are a few passes
+            settle()
+            n = 0
+    if held:
+        settle()
     if len(u):
         yield pa.RecordBatch.from_arrays([pa.array(~np.isin(u, own)), pa.array(u), pa.array(v)], ["link", "id", "to"])
 

@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sievespark.llm.common import sliced
+from sievespark.llm.common import columns, sliced
 from sievespark.session import cut_lineage, drop
 
 UNKNOWN = "und"
@@ -217,7 +218,7 @@ def predict(df: DataFrame, filters: Filters, text: Column | str, keep: list[Colu
             found = [model.value.predict(t) for t in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())], ["kept", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, f"kept {rows.schema['kept'].dataType.simpleString()}, lang_pred string, score double")
+    return rows.mapInArrow(run, T.StructType([T.StructField("kept", rows.schema["kept"].dataType), *columns("lang_pred string, score double")]))
 
 
 def held_out(id_col: Column) -> Column:

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievespark.llm.common import sliced
+from sievespark.llm.common import orderable, sliced
 from sievespark.llm.graph import components, compose
 from sievespark.session import cut_and_count, cut_lineage, drop
 
@@ -388,13 +388,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_one(docs: DataFrame, **how: object) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, its columns unchanged.
 
-    Rows that repeat an id are one document; rows without an id are documents of their own.
+    Rows that repeat an id are one document: the least row stays, by the columns that have an order
+    (any of them, where rows differ in maps, variants and the like alone). Rows without an id are
+    documents of their own.
     """
     cols = docs.columns
+    order = F.struct(F.lit(0), *[F.col(f"r.c{i}") for i, f in enumerate(docs.schema.fields) if orderable(f.dataType)])
     row = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(cols)])
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row.alias("r"))
     found = near_duplicates(docs, **how).where("kept and doc_id is not null").select("doc_id").distinct()
-    one = rows.join(found, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("r").alias("r")).select("r")
+    one = rows.join(found, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("r", order).alias("r")).select("r")
     both = one.unionByName(rows.where("doc_id is null").select("r"))
     return both.select(*[F.col("r")[f"c{i}"].alias(c) for i, c in enumerate(cols)])
 

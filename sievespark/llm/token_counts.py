@@ -200,18 +200,21 @@ class Pieces(dict):
         key = (grown[size - keep :], new_past)
         to = self.ids.get(key)
         if to is None:
+            full = len(self.states) >= MEMO_STATES
+            if full:  # also in the middle of a piece: all states go but the one in hand
+                self._reset()
             to = self.ids[key] = len(self.states)
             self.states.append(key)
             self.moves.append({})
+            if full:
+                return to, change
         self.moves[state][byte] = (to, change)
         return to, change
 
     def count(self, data: bytes) -> int:
-        if len(self.states) > MEMO_STATES:
-            self._reset()
-        state, total, moves = 0, 0, self.moves
+        state, total = 0, 0
         for byte in data:
-            hop = moves[state].get(byte) or self._step(state, byte)
+            hop = self.moves[state].get(byte) or self._step(state, byte)
             state = hop[0]
             total += hop[1]
         return total

@@ -1,12 +1,15 @@
 """Each operator against a brute-force version, on small fixtures with nulls, ties, repeats and clashing names."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -343,8 +346,52 @@ def test_top_k_is_exact(spark):
         want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
     assert sorted(got) == sorted(want)
     assert topk_search.top_k(df.limit(0), df["vec_id"] % 50 == 0).count() == 0
-    with pytest.raises(ValueError):
-        topk_search.top_k(spark.createDataFrame([(1, [1e9, 1.0])], schema), F.lit(True))
+
+
+def test_top_k_of_huge_components_is_exact(spark):
+    rng = random.Random(8)
+    pick = lambda: rng.choice([0.5, -1.25, 3.0, 1e7, -1e9, 1e17, -1e17, 1e17 + 64, 1e300, -1.7e308, 5e-324])
+    rows = [(i, [pick() for _ in range(3)]) for i in range(60)] + [(i, [rng.random() for _ in range(3)]) for i in range(60, 120)] + [(200, [1e17, 1e17, 0.0]), (201, [1e17, 1e17, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(Fraction(x) * 256) for x in v] for i, v in rows}
+    want = []
+    for q in (i for i in whole if i % 10 == 0):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], w)), i) for i, w in whole.items() if i != q)[:5]
+        want += [(q, n, i, max(-(2**63), min(2**63 - 1, -s))) for n, (s, i) in enumerate(best, 1)]
+    for rows_ in (1 << 20, 16):
+        got = topk_search.top_k(df, df["vec_id"] % 10 == 0) if rows_ > 16 else topk_search.top_k(df.repartition(5), df["vec_id"] % 10 == 0)
+        assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_blocks_of_vectors_go_by_bytes():
+    assert topk_search._sides(2_000_000, 100_000_000, 64) == (31, 1526)  # 65,536 vectors of 64 components a block: candidates are copied 31 times
+    assert topk_search._sides(1, 10, 3) == (1, 1) and topk_search._sides(0, 0, 0) == (1, 1)
+
+
+def test_long_runs_of_letters_keep_few_states():
+    pieces = token_counts.Tokenizer(open(public_tokenizers.path("byte_bpe_50k.json")).read()).pieces
+    rng = random.Random(2)
+    data = bytes(rng.choices(b"abcdefghijklmnopqrstuvwxyz", k=30_000))
+    want = pieces.count(data)
+    small = token_counts.MEMO_STATES
+    try:
+        token_counts.MEMO_STATES = 500
+        pieces._reset()
+        assert pieces.count(data) == want and len(pieces.states) <= 500
+    finally:
+        token_counts.MEMO_STATES = small
+
+
+def test_contracting_links_is_not_quadratic():
+    import time
+
+    rng = np.random.default_rng(1)
+    n = 800_000
+    hi = rng.integers(1, 1 << 40, n)
+    batches = [pa.RecordBatch.from_arrays([pa.array(hi[i : i + 10_000]), pa.array(hi[i : i + 10_000] // 2)], ["hi", "lo"]) for i in range(0, n, 10_000)]
+    start = time.process_time()
+    out = list(graph._settled(iter(batches)))
+    assert sum(b.num_rows for b in out) >= n * 0.99 and time.process_time() - start < 8
 
 
 def brute_repeats(rows):
