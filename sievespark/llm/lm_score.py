@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,6 +92,14 @@ def unplane(data: bytes, size: int) -> np.ndarray:
     return flat.view(f"<i{size}").reshape(-1).astype(np.int64)
 
 
+def packed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def unpacked(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def ascending(keys: np.ndarray) -> bytes:
     """Ascending keys by their differences."""
     return plane(np.diff(keys, prepend=np.uint64(0)).view(np.int64))
@@ -241,7 +250,7 @@ def chunked(docs: DataFrame, id_col: Column, held: Column, text: Column) -> Data
                 piece = np.minimum(ends[first : last + 1], b) - np.maximum(np.concatenate([[0], ends])[first : last + 1], a)
                 taught = np.repeat(~held_[first : last + 1], piece)
                 counts = np.bincount(local[1:][taught], minlength=len(some))
-                one = {"chunk": chunk, "lead": int(local[0]), "stream": plane(local[1:].astype(np.int32)), "words": joined(values.take(pa.array(some))), "counts": plane(counts.astype(np.int32)), "taught": int(counts.sum())}
+                one = {"chunk": chunk, "lead": int(local[0]), "stream": packed(plane(local[1:].astype(np.int32))), "words": packed(joined(values.take(pa.array(some)))), "counts": packed(plane(counts.astype(np.int32))), "taught": int(counts.sum())}
                 lists = {"rows": np.arange(row + first, row + last + 1), "held": held_[first : last + 1], "sizes": piece.astype(np.int32)}
                 whole = {c: pa.array([x], arrow.field(c).type) for c, x in one.items()} | {c: int_lists(x, np.array([len(x)])) for c, x in lists.items()}
                 whole["ids"] = pa.ListArray.from_arrays(pa.array([0, last + 1 - first], pa.int32()), ids[first : last + 1])
@@ -293,11 +302,12 @@ def word_counts(chunks: DataFrame, segments: int) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for of, words, counts in _in_order(batches):
-            segment, counts = segment_of(word_keys(word_hashes(words)), segments), unplane(counts, 4)
+            words, counts = unpacked(words), unplane(unpacked(counts), 4)
+            segment = segment_of(word_keys(word_hashes(words)), segments)
             order = np.argsort(segment, kind="stable")
             values = split(words).take(pa.array(order))
             for s, a, b in _runs(segment[order]):
-                yield _row(_ASK, s, of, joined(values[a:b]), plane(counts[order[a:b]].astype(np.int32)))
+                yield _row(_ASK, s, of, packed(joined(values[a:b])), plane(counts[order[a:b]].astype(np.int32)))
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -322,7 +332,7 @@ def word_counts(chunks: DataFrame, segments: int) -> DataFrame:
             if segment != now:
                 yield from done()
                 now = segment
-            held.append((of, words, unplane(counts, 4)))
+            held.append((of, unpacked(words), unplane(counts, 4)))
         yield from done()
 
     asked = chunks.select("chunk", "words", "counts").mapInArrow(ask, T.StructType(columns(_ASK)))
@@ -330,8 +340,8 @@ def word_counts(chunks: DataFrame, segments: int) -> DataFrame:
 
 
 def _pairs(lead: int, stream: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(code before, code) of each token."""
-    code = unplane(stream, 4)
+    """(code before, code) of each token of a chunk's stream."""
+    code = unplane(unpacked(stream), 4)
     return np.concatenate([[lead], code[:-1]]).astype(np.int64), code
 
 
@@ -349,7 +359,7 @@ def build_filter(chunks: DataFrame, words: DataFrame, segments: int, bits_per_ke
 
         for lead, stream, words_, held, sizes in _in_order(batches):
             before, code = _pairs(lead, stream)
-            taught, hashes = np.repeat(~np.array(held, bool), sizes), word_hashes(words_)
+            taught, hashes = np.repeat(~np.array(held, bool), sizes), word_hashes(unpacked(words_))
             found.append(pair_keys(hashes[before[taught]], hashes[code[taught]]))
             n += len(found[-1])
             if n >= HELD:
@@ -406,7 +416,7 @@ def _routed(chunks: DataFrame, parts: DataFrame, segments: int) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lead, stream, words, of in _in_order(batches):
-            keys, _, _ = _asked(word_hashes(words), *_pairs(lead, stream))
+            keys, _, _ = _asked(word_hashes(unpacked(words)), *_pairs(lead, stream))
             for s, a, b in _runs(segment_of(keys, segments)):
                 yield _row(kind, s, of, ascending(keys[a:b]))
 
@@ -462,7 +472,7 @@ def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str
         for batch in batches:
             for i in range(batch.num_rows):
                 lead, stream, data, answers, answered = (batch.column(j)[i].as_py() for j in range(5))
-                hashes, (before, code) = word_hashes(data), _pairs(lead, stream)
+                hashes, (before, code) = word_hashes(unpacked(data)), _pairs(lead, stream)
                 keys, words, pairs = _asked(hashes, before, code)
                 levels = model.value.levels(keys) if model else np.frombuffer(b"".join(answers), np.uint8)
                 about = counts_of(levels)
