@@ -8,16 +8,19 @@ Arrow call; groups of any size can run it as rounds of joins. Both give the same
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievespark.operators.ranking import ranked
-from sievespark.session import cut_and_count, cut_lineage
+from sievespark.session import cut_and_count, cut_lineage, drop
 
 #: Nodes or edges of a group that one Arrow call takes (edges: about 200 MB there).
 GROUP = 2_000_000
+#: Links at which the rounds stop and the rest is finished at once.
+REST = 500_000
 
 
 def at_thresholds(edges: DataFrame, twentieths: Sequence[int]) -> DataFrame:
@@ -55,34 +58,76 @@ def butina_grouped(nodes: DataFrame, edges: DataFrame, twentieths: Sequence[int]
     return grid.groupBy("group", "k").cogroup(links.groupBy("group", "k")).applyInPandas(cluster, f"group {types['group']}, k int, node {types['node']}, centroid {types['node']}")
 
 
-def butina_rounds(nodes: DataFrame, edges: DataFrame, twentieths: Sequence[int]) -> DataFrame:
+def _finished(open_: DataFrame, links: DataFrame, best: DataFrame, key: list[str], node: str) -> DataFrame:
+    """(key, node, centroid) of what is open, and of closed nodes that still have links, in one call a group."""
+
+    def walk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        before: dict[object, list] = {}
+        for a, b in zip(right["a"].tolist(), right["b"].tolist()):
+            before.setdefault(a, []).append(b)
+        left = left.sort_values(["d", "node"])  # the order of all nodes: degree, high first, then node
+        place = {n: i for i, n in enumerate(left["node"].tolist())}
+        centre: dict[object, object] = {}
+        for n, is_open in zip(left["node"].tolist(), left["open"].tolist()):
+            beside = [b for b in before.get(n, ()) if centre.get(b) == b]
+            centre[n] = min(beside, key=place.__getitem__) if beside else n if is_open else None
+        first = {c: left[c].iloc[0] if len(left) else None for c in key}
+        return pd.DataFrame({**first, "node": list(centre), "centroid": list(centre.values())}, columns=[*key, "node", "centroid"])
+
+    types = dict(open_.dtypes)
+    waiting = links.select(*key, F.col("a").alias("node")).distinct().join(best.select(*key, "node", "d"), [*key, "node"])
+    rows = open_.select(*key, "node", "d").withColumn("open", F.lit(True)).unionByName(waiting.withColumn("open", F.lit(False)))
+    schema = ", ".join(f"{c} {types[c]}" for c in key) + f", node {node}, centroid {node}"
+    return rows.groupBy(*key).cogroup(links.select(*key, "a", "b").groupBy(*key)).applyInPandas(walk, schema)
+
+
+def butina_rounds(nodes: DataFrame, edges: DataFrame, twentieths: Sequence[int], rest: int = REST, stored: list[int] | None = None) -> DataFrame:
     """The same by rounds of joins, for groups of any size.
 
-    A round makes centroids of the open nodes that come first among their open neighbours, and
-    closes their neighbours; a node then joins the earliest centroid beside it.
+    A link is kept from the later of its nodes to the earlier one only. A round makes centroids of
+    the open nodes without a link to an open node, and closes the nodes with a link to those; closed
+    nodes remember the earliest centroid beside them. Then links to nodes that are no longer open
+    go, and so do a closed node's links to nodes after its centroid, so the stored links shrink each
+    round. When ``rest`` are left, one Arrow call a group and threshold finishes them. ``stored``
+    collects how many links each round begins with.
     """
     key = ["group", "k"]
-    place = cut_lineage(degrees(nodes, edges, twentieths).select(*key, "node", F.struct((-F.col("degree")).alias("d"), F.col("node").alias("n")).alias("pos")))
+    kind = dict(nodes.dtypes)["node"]
+    place = cut_lineage(degrees(nodes, edges, twentieths).select(*key, "node", (-F.col("degree")).alias("d")))
     links = at_thresholds(edges, twentieths).select(*key, "a", "b")
-    links = cut_lineage(links.unionByName(links.select(*key, F.col("b").alias("a"), F.col("a").alias("b"))))
-    here = place.select(*key, F.col("node").alias("a"), F.col("pos").alias("pa"))
-    there = place.select(*key, F.col("node").alias("b"), F.col("pos").alias("pb"))
-    links = cut_lineage(links.join(here, [*key, "a"]).join(there, [*key, "b"]))
-    open_, centres = place, None
-    while True:
-        live = links.join(open_.select(*key, F.col("node").alias("a")), [*key, "a"], "left_semi").join(open_.select(*key, F.col("node").alias("b")), [*key, "b"], "left_semi")
-        beaten = live.where("pb < pa").select(*key, F.col("a").alias("node")).distinct()
-        fresh = cut_lineage(open_.join(beaten, [*key, "node"], "left_anti"))
-        centres = fresh if centres is None else centres.unionByName(fresh)
-        closed = live.join(fresh.select(*key, F.col("node").alias("b")), [*key, "b"], "left_semi").select(*key, F.col("a").alias("node"))
-        open_ = cut_lineage(open_.join(closed.unionByName(fresh.select(*key, "node")).distinct(), [*key, "node"], "left_anti"))
-        if open_.isEmpty():
-            break
-    centres = cut_lineage(centres)
-    near = links.join(centres.select(*key, F.col("node").alias("b")), [*key, "b"], "left_semi").groupBy(*key, F.col("a").alias("node")).agg(F.min_by("b", "pb").alias("near"))
-    own = centres.select(*key, "node", F.lit(True).alias("own"))
-    out = place.join(own, [*key, "node"], "left").join(near, [*key, "node"], "left")
-    return out.select(*key, "node", F.when(F.col("own"), F.col("node")).otherwise(F.col("near")).alias("centroid"))
+    ends = [place.select(*key, F.col("node").alias(c), F.struct("d", "node").alias(f"p{c}")) for c in ("a", "b")]
+    placed = links.join(ends[0], [*key, "a"]).join(ends[1], [*key, "b"])
+    later = F.col("pa") > F.col("pb")
+    turned = placed.select(*key, *[F.when(later, F.col(x)).otherwise(F.col(y)).alias(c) for c, x, y in (("a", "a", "b"), ("b", "b", "a"), ("pb", "pb", "pa"))])
+    links, n = cut_and_count(turned)
+    open_ = place
+    centres = place.where("false").select(*key, "node", F.col("node").alias("centroid"))
+    best = place.where("false").select(*key, "node", "d", F.lit(None).cast(links.schema["pb"].dataType).alias("best"))
+    done, old = [centres], [place]
+    while n > rest:
+        if stored is not None:
+            stored.append(n)
+        fresh = cut_lineage(open_.join(links.select(*key, F.col("a").alias("node")).distinct(), [*key, "node"], "left_anti"))
+        done.append(fresh.select(*key, "node", F.col("node").alias("centroid")))
+        met = links.join(fresh.select(*key, F.col("node").alias("b")), [*key, "b"], "left_semi").groupBy(*key, F.col("a").alias("node")).agg(F.min("pb").alias("best"))
+        known = best.unionByName(met.join(place, [*key, "node"]).select(*best.columns))
+        new = cut_lineage(known.groupBy(*key, "node", "d").agg(F.min("best").alias("best")))
+        gone = new.select(*key, "node").unionByName(fresh.select(*key, "node"))
+        following = cut_lineage(open_.join(gone, [*key, "node"], "left_anti"))
+        live = links.join(following.select(*key, F.col("node").alias("b")), [*key, "b"], "left_semi").join(new.select(*key, F.col("node").alias("a"), "best"), [*key, "a"], "left")
+        fewer, n = cut_and_count(live.where(F.col("best").isNull() | (F.col("pb") < F.col("best"))).select(*links.columns))
+        drop(links, best, *([open_] if open_ is not place else []))
+        old.append(fresh)
+        links, best, open_ = fewer, new, following
+    finished = cut_lineage(_finished(open_, links, best, key, kind))
+    late = finished.where("centroid is not null").join(place, [*key, "node"])
+    centre = finished.select(*key, F.col("node").alias("c"), F.col("centroid").alias("cc")).where("c = cc").join(place.select(*key, F.col("node").alias("c"), F.struct("d", "node").alias("pc")), [*key, "c"])
+    closed = best.join(late.select(*key, "node", F.col("centroid").alias("c")), [*key, "node"], "left").join(centre.select(*key, "c", "pc"), [*key, "c"], "left")
+    joined = closed.select(*key, "node", F.least("best", "pc")["node"].alias("centroid"))
+    own = late.join(best.select(*key, "node"), [*key, "node"], "left_anti").select(*key, "node", "centroid")
+    out = cut_lineage(reduce(DataFrame.unionByName, [*done, joined, own]))
+    drop(*old, links, best, finished)
+    return out
 
 
 def butina(nodes: DataFrame, edges: DataFrame, twentieths: Sequence[int]) -> DataFrame:

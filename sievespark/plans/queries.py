@@ -292,7 +292,7 @@ def butina_clusters(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"with recursive {BUTINA} select grp, k, node, centroid from butina")
 def butina_by_rounds(spark: SparkSession, sf: str) -> DataFrame:
     nodes, edges = grid_edges(spark, sf)
-    return B.butina_rounds(nodes, edges, GRID).select(F.col("group").alias("grp"), big("k").alias("k"), "node", "centroid")
+    return B.butina_rounds(nodes, edges, GRID, rest=1000).select(F.col("group").alias("grp"), big("k").alias("k"), "node", "centroid")
 
 
 NESTED = f"""{BUTINA}, sizes as (select grp, count(*) as size, min(node) as first from fp group by grp),
@@ -776,6 +776,12 @@ def winner_first_reorder(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", F.array_join(S.winner_first(F.col("w"), F.lit(2)), " ").alias("reordered"))
 
 
+@query("""select event_id, format('{:.6g}', value / 1e3) as six, format('{:.3g}', -value * 1e5) as three, format('{:.6g}', event_id / 8.0 + 100000) as halves from events""")
+def significant_digits(spark: SparkSession, sf: str) -> DataFrame:
+    e = read_table(spark, sf, "events")
+    return e.select("event_id", S.significant(F.col("value") / 1e3).alias("six"), S.significant(-F.col("value") * 1e5, 3).alias("three"), S.significant(F.col("event_id") / 8.0 + 100000).alias("halves"))
+
+
 @query("select event_id, event_type as role, cast(value as varchar) is not null as has_score, cast(user_id as varchar) as compound_id from events")
 def sdf_property_map(spark: SparkSession, sf: str) -> DataFrame:
     e = read_table(spark, sf, "events")

@@ -890,3 +890,34 @@ def test_features_fail_apart(spark):
     for tool, want in ((M.Backend(lambda b: [1], broken), ([1], None)), (M.Backend(broken, lambda b: "k"), (None, "k"))):
         r = M.featurise(df, tool).first()
         assert (r.fp, r.scaffold) == want
+
+
+# ---- numbers as text
+
+
+def test_significant_digits_as_python_writes_them(spark):
+    rng = random.Random(12)
+    values = [0.0, -0.0, 1.0, -1.5, 1e-4, 9.9999949e-5, 99999.95, 999999.5, 999998.5, 1234565.0, 1234575.0, 100000.0, 1e16, 1e22, 2.3e-308, 1.7e308, float("inf"), float("-inf"), float("nan"), 0.1, 0.30000000000000004, 2.675, 1e-38]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-300, 300) for _ in range(40_000)]
+    values += [float(f"{rng.choice(['', '-'])}{rng.randint(10**5, 10**6 - 1)}5e{rng.randint(-40, 20)}") for _ in range(50_000)]  # halves in decimals
+    values += [rng.randint(1, 10**8) / 2 ** rng.randint(0, 30) for _ in range(20_000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(-1, None)], "i int, v double").repartition(4)
+    got = {r.i: (r.a, r.b) for r in df.select("i", S.significant(F.col("v")).alias("a"), S.significant(F.col("v"), 3).alias("b")).collect()}
+    assert got.pop(-1) == (None, None)
+    wrong = [(v, got[i]) for i, v in enumerate(values) if got[i] != (f"{v:g}", f"{v:.3g}")]
+    assert wrong == []
+
+
+def test_rounds_store_fewer_links_each_time(spark):
+    rng = random.Random(17)
+    nodes = [(g, i) for g in ("x", "y") for i in range(150)]
+    edges = [(g, a, b, rng.randint(1, 20), 20) for g in ("x", "y") for a in range(150) for b in range(a + 1, 150) if rng.random() < (0.08 if g == "x" else 0.02)]
+    nd, ed = spark.createDataFrame(nodes, "group string, node long"), spark.createDataFrame(edges, "group string, a long, b long, inter int, uni int")
+    want = sorted(map(tuple, clustering.butina_grouped(nd, ed, (2, 8, 14)).select("group", "k", "node", "centroid").collect()))
+    for rest in (0, 200, 10**9):
+        stored = []
+        got = clustering.butina_rounds(nd, ed, (2, 8, 14), rest, stored)
+        assert sorted(map(tuple, got.select("group", "k", "node", "centroid").collect())) == want
+        assert (stored == []) == (rest == 10**9) and all(b < a for a, b in zip(stored, stored[1:]))
+        if rest == 0:
+            assert stored[0] == sum(e[3] >= k for e in edges for k in (2, 8, 14)) and stored[1] < stored[0] / 2
