@@ -910,3 +910,29 @@ def geometric_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     report, _ = geometric_filter(poses_, (0.0, 0.0, 0.0))
     error = F.when(F.col("error").startswith(BAD_SCORE), "bad score").when(F.col("error") == NO_CHARGE, "no charge")
     return report.select(F.col("compound_id").alias("l_orderkey"), "passed", error.alias("error"))
+
+
+# ---- Contacts --------------------------------------------------------------------------------
+
+
+@query("""with g as (select o_orderkey, (o_totalprice % 40) - 20 as bx, (o_custkey % 37) - 18.0 as by_, (o_orderkey % 41) - 20.0 as bz from orders),
+m as (select o_orderkey, 0.6 * bx - 0.8 * by_ + 1 as x, 0.8 * bx + 0.6 * by_ - 2 as y, bz + 0.5 as z,
+  0.6 * (bx - 1) - 0.8 * (by_ - 0.5) + 1 as ax, 0.8 * (bx - 1) + 0.6 * (by_ - 0.5) - 2 as ay, (bz - 0.25) + 0.5 as az from g),
+s as (select s_suppkey as resnum, n_name as resname, (s_acctbal % 30) - 15 as x, (s_suppkey % 29) - 14.0 as y, (s_suppkey % 31) - 15.0 as z from supplier join nation on s_nationkey = n_nationkey),
+near as (select o_orderkey, resname || resnum as residue, sqrt((m.x - s.x) ** 2 + (m.y - s.y) ** 2 + (m.z - s.z) ** 2) as distance, resnum, resname from m join s on abs(m.x - s.x) <= 6 and abs(m.y - s.y) <= 6 and abs(m.z - s.z) <= 6),
+best as (select * from near where distance <= 6 qualify row_number() over (partition by o_orderkey order by distance, resnum, resname) = 1)
+select o_orderkey, round(sqrt((x - 1) ** 2 + (y - 2) ** 2 + (z - 3) ** 2), 6) as offset_, round(degrees(acos(greatest(-1, least(1, ((x - ax) * 1 + (y - ay) * 1 + (z - az) * 0) /
+  (sqrt((x - ax) ** 2 + (y - ay) ** 2 + (z - az) ** 2) * sqrt(2)))))), 4) as angle, residue, round(distance, 6) as distance, coalesce(distance <= 3.5, false) as contact
+from m left join best using (o_orderkey)""")
+def group_contacts(spark: SparkSession, sf: str) -> DataFrame:
+    """An order is a pose with one group of two atoms, a supplier is a residue's atom."""
+    from sievespark.operators import contacts
+
+    o = read_table(spark, sf, "orders")
+    b = [F.col("o_totalprice") % 40 - 20, F.col("o_custkey") % 37 - 18.0, F.col("o_orderkey") % 41 - 20.0]
+    groups = o.select("o_orderkey", *[c.alias(f"b{x}") for c, x in zip(b, "xyz")], *[(c - d).alias(f"a{x}") for c, d, x in zip(b, (1.0, 0.5, 0.25), "xyz")])
+    near = read_table(spark, sf, "supplier").join(read_table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    structure = near.select((F.col("s_acctbal") % 30 - 15).alias("x"), (F.col("s_suppkey") % 29 - 14.0).alias("y"), (F.col("s_suppkey") % 31 - 15.0).alias("z"), F.col("n_name").alias("resname"), F.col("s_suppkey").alias("resnum"))
+    matrix = ((0.6, -0.8, 0, 1), (0.8, 0.6, 0, -2), (0, 0, 1, 0.5))
+    out = contacts.group_contacts(groups, ["o_orderkey"], structure, ((0, 1, 3), (1, 2, 3)), matrix)
+    return out.select("o_orderkey", r6("offset").alias("offset_"), F.round("angle", 4).alias("angle"), "residue", r6("distance").alias("distance"), "contact")

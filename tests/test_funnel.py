@@ -921,3 +921,43 @@ def test_rounds_store_fewer_links_each_time(spark):
         assert (stored == []) == (rest == 10**9) and all(b < a for a, b in zip(stored, stored[1:]))
         if rest == 0:
             assert stored[0] == sum(e[3] >= k for e in edges for k in (2, 8, 14)) and stored[1] < stored[0] / 2
+
+
+# ---- contacts
+
+
+def test_neighbours_by_cells(spark):
+    from sievespark.operators import contacts
+
+    rng = random.Random(4)
+    p = [(i, *(rng.uniform(-9, 9) for _ in range(3))) for i in range(150)] + [(900, None, 1.0, 1.0)]
+    q = [(f"r{i}", *(rng.uniform(-9, 9) for _ in range(3))) for i in range(150)] + [("none", 0.0, None, 0.0)] + [("edge", p[0][1] + 2.5, p[0][2], p[0][3])]
+    points, atoms = spark.createDataFrame(p, "cell int, u double, v double, w double"), spark.createDataFrame(q, "name string, x double, y double, z double")
+    want = {(a[0], b[0]) for a in p for b in q if None not in a and None not in b and math.dist(a[1:], b[1:]) <= 2.5}
+    for limit in (contacts.STRUCTURE, 10):
+        old, contacts.STRUCTURE = contacts.STRUCTURE, limit
+        try:
+            got = contacts.neighbours(points, atoms, ["u", "v", "w"], ["x", "y", "z"], 2.5, ["name"])
+            assert {(r.cell, r.name) for r in got.collect()} == want and got.columns == ["cell", "u", "v", "w", "name", "distance"]
+        finally:
+            contacts.STRUCTURE = old
+    with pytest.raises(ValueError):
+        contacts.moved(F.lit(1), F.lit(1), F.lit(1), ((1, 0, 0),))
+
+
+def test_group_contacts_of_poses(spark):
+    from sievespark.operators import contacts
+
+    def record(shift):
+        atoms = [("C", 0.0), ("C", 1.5), ("N", 2.66)]
+        lines = ["m", "", "", "  3  2  0  0  0  0  0  0  0  0999 V2000"]
+        lines += [f"{x + shift:10.4f}{0:10.4f}{0:10.4f} {s:<3} 0  0" for s, x in atoms]
+        return "\n".join([*lines, "  1  2  1  0", "  2  3  3  0", "M  END", "$$$$", ""])
+
+    poses = spark.createDataFrame([("a", record(0.0)), ("b", record(10.0)), ("c", "no record"), ("d", record(0.0).replace("  2  3  3", "  2  3  1"))], "compound_id string, block string")
+    groups = contacts.group_atoms(poses)
+    assert sorted((r.compound_id, round(r.ax, 2), round(r.bx, 2)) for r in groups.collect()) == [("a", 1.5, 2.66), ("b", 11.5, 12.66)]
+    atoms = spark.createDataFrame([(2.66, 3.0, 0.0, "SER", 7), (2.66, -3.0, 0.0, "ASP", 7), (2.66, 3.0, 0.0, "GLY", 9)], "x double, y double, z double, resname string, resnum int")
+    got = {r.compound_id: r for r in contacts.group_contacts(groups, ["compound_id"], atoms, ((0, 0, 0), (0, 1, 0))).collect()}
+    assert (got["a"].residue, got["a"].distance, got["a"].contact, round(got["a"].angle, 6)) == ("ASP7", 3.0, True, 90.0)
+    assert (got["b"].residue, got["b"].contact) == (None, False)
