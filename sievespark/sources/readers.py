@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,12 @@ def read_poses(spark: SparkSession, folder: str, numbered: bool = False) -> Data
     return scored.join(ranked(files.select(F.col("path")).distinct(), ["path"], name="seq"), "path")
 
 
+def read_conformations(spark: SparkSession, folders: dict[str, str], numbered: bool = False) -> DataFrame:
+    """(conformation, ...) of :func:`read_poses`, a folder for each conformation."""
+    parts = [read_poses(spark, folder, numbered).withColumn("conformation", F.lit(name)) for name, folder in folders.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_tagged(spark: SparkSession, path: str, key: str | None = None, numbered: bool = False) -> DataFrame:
     """(block, properties) of large files of many compounds, split at their terminators while reading.
 

@@ -4,17 +4,24 @@ from __future__ import annotations
 
 import io
 import itertools
+import json
 import os
 import tarfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievespark.functions.scalar import add_properties, chunk_index
+from sievespark.session import cut_lineage, drop
 from sievespark.sources.schemas import TABLES
 
 
+#: Where a table's columns are written; readers of the table pass it over.
+LAYOUT = "_layout"
+
+
 def write_stage_table(df: DataFrame, name: str, path: str, partition_by: Sequence[str] = ()) -> None:
     """Parquet with the declared columns in order, partitioned where asked; replaces what is there."""
     cols = [F.col(f.name).cast(f.dataType) for f in TABLES[name]]
@@ -70,3 +77,29 @@ def write_archive(df: DataFrame, path: str, name: str = "name", text: str = "tex
             n += 1
     os.replace(path + ".partial", path)
     return n
+
+
+def write_part(df: DataFrame, root: str, name: str, parts: Sequence[str], by: str = "conformation") -> None:
+    """Write the table ``name`` below ``root``, partitioned by ``by``; only ``parts`` are replaced, those without a row emptied.
+
+    The columns are written beside it, so a table without a row can be read too.
+    """
+    spark, path = df.sparkSession, f"{root.rstrip('/')}/{name}"
+    rows = cut_lineage(df.where(F.col(by).isin(*parts)))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    layout = T.StructType([*(f for f in rows.schema if f.name != by), rows.schema[by]])
+    spark.createDataFrame([(layout.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{LAYOUT}")
+    there = {r[0] for r in read_part(spark, root, name, parts).select(by).distinct().collect()}
+    held = {r[0] for r in rows.select(by).distinct().collect()}  # as many as parts
+    for gone in sorted(there - held):
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(gone)}")
+        at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+    drop(rows)
+
+
+def read_part(spark: SparkSession, root: str, name: str, parts: Sequence[str] | None = None, by: str = "conformation") -> DataFrame:
+    """The table ``name`` below ``root``; of ``parts`` only these folders are read."""
+    path = f"{root.rstrip('/')}/{name}"
+    layout = T.StructType.fromJson(json.loads(spark.read.text(f"{path}/{LAYOUT}").first()["value"]))
+    rows = spark.read.schema(layout).parquet(path)
+    return rows if parts is None else rows.where(F.col(by).isin(*parts))
