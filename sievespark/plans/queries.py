@@ -19,6 +19,7 @@ from sievespark.operators import curves as V
 from sievespark.operators import lookups as L
 from sievespark.operators import ranking as R
 from sievespark.operators import receptor as P
+from sievespark.operators import rescoring as X
 from sievespark.operators import similarity as T
 from sievespark.operators.quantiles import quantiles
 from sievespark.session import read_table
@@ -604,7 +605,9 @@ def rescored(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"with {RESCORED} select dg is null as failed, count(*) as n, round(min(dg), 4) as best from rescored group by 1")
 def rescoring_split(spark: SparkSession, sf: str) -> DataFrame:
-    return rescored(spark, sf).groupBy(F.col("dg").isNull().alias("failed")).agg(F.count(F.lit(1)).alias("n"), F.round(F.min("dg"), 4).alias("best"))
+    parts = X.split_results(rescored(spark, sf).withColumnRenamed("dg", "mmgbsa_dg"))
+    good, bad = (p.groupBy(F.lit(failed).alias("failed")).agg(F.count(F.lit(1)).alias("n"), F.round(F.min("mmgbsa_dg"), 4).alias("best")) for p, failed in zip(parts, (False, True)))
+    return good.unionByName(bad)
 
 
 @query(f"""with {RESCORED} select mmgbsa_rank, cluster_id, compound_id, round(dg, 4) as dg, ad4_rank from (
@@ -617,10 +620,11 @@ def top20_vs_rank(spark: SparkSession, sf: str) -> DataFrame:
     return both.where("mmgbsa_rank <= 20").select("mmgbsa_rank", "cluster_id", "compound_id", F.round("dg", 4).alias("dg"), "ad4_rank")
 
 
-@query("select event_id // 20 as chunk, count(*) as n, count(*) filter (event_type = 'error') as n_failed, bool_or(event_type = 'error') as invalid from events group by 1")
+@query("""select event_id // 20 as chunk, count(*) as n, round(sum(value), 6) as total from events group by 1 having not bool_or(event_type = 'error')""")
 def failed_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    bad = F.col("event_type") == "error"
-    return read_table(spark, sf, "events").groupBy(F.expr("event_id div 20").alias("chunk")).agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("n_failed"), F.bool_or(bad).alias("invalid"))
+    """What stays when chunks with any error are dropped as a whole."""
+    e = read_table(spark, sf, "events").select(F.expr("event_id div 20").alias("chunk"), "value", F.when(F.col("event_type") == "error", "failed").alias("error"))
+    return X.drop_failed_chunks(e, "chunk").groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), r6(F.sum("value")).alias("total"))
 
 
 @query("select user_id, count(*) as done, count(*) filter (event_type = 'error') as failed, count(*) >= 20 and count(*) filter (event_type = 'error') > 0.3 * count(*) as alarm from events group by 1")
@@ -635,10 +639,13 @@ def resume_todo(spark: SparkSession, sf: str) -> DataFrame:
     return L.missing_keys(e, e.where("event_type = 'purchase'"), ["chunk"])
 
 
-@query(f"with {RESCORED} select cluster_id, compound_id, round(dg, 4) as dg from rescored where dg is not null qualify row_number() over (partition by cluster_id order by dg, compound_id, l_suppkey, l_linenumber) = 1")
+@query(f"""with {RESCORED}, r as (select *, case when cluster_id % 10 = 0 then 'singleton' else 'cluster' end as source from rescored where dg is not null)
+select cluster_id, compound_id, round(dg, 4) as dg, source from r where source = 'cluster' qualify row_number() over (partition by cluster_id order by dg, compound_id) = 1
+union all select cluster_id, compound_id, round(dg, 4), source from r where source = 'singleton'""")
 def best_per_cluster_rescored(spark: SparkSession, sf: str) -> DataFrame:
-    best = rescored(spark, sf).where("dg is not null").groupBy("cluster_id").agg(F.min_by(F.struct("compound_id", "dg"), F.struct("dg", "compound_id", "l_suppkey", "l_linenumber")).alias("r"))
-    return best.select("cluster_id", "r.compound_id", F.round("r.dg", 4).alias("dg"))
+    """The best of each cluster; every tenth order stands for lone picks, which all pass."""
+    done = rescored(spark, sf).where("dg is not null").withColumn("source", F.when(F.col("cluster_id") % 10 == 0, "singleton").otherwise("cluster"))
+    return X.best_per_cluster(done, ["cluster_id"], "dg").select("cluster_id", "compound_id", F.round("dg", 4).alias("dg"), "source")
 
 
 @query("""with q as (select vec_id, embedding as v from embeddings where label <> 0), k as (select embedding as w from embeddings where label = 0),
@@ -782,13 +789,13 @@ def significant_digits(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("event_id", S.significant(F.col("value") / 1e3).alias("six"), S.significant(-F.col("value") * 1e5, 3).alias("three"), S.significant(F.col("event_id") / 8.0 + 100000).alias("halves"))
 
 
-@query("select event_id, event_type as role, cast(value as varchar) is not null as has_score, cast(user_id as varchar) as compound_id from events")
+@query("""select event_id, event_type as role, printf('%.3f', value) as score, cast(user_id as varchar) as compound_id, 4 as n_tags from events""")
 def sdf_property_map(spark: SparkSession, sf: str) -> DataFrame:
     e = read_table(spark, sf, "events")
-    block = S.add_properties(F.lit("name\n\nM  END\n$$$$\n"), {"COMPOUND_ID": F.lit("overwritten"), "ROLE": F.col("event_type"), "SCORE": F.col("value")})
+    block = S.add_properties(F.lit("name\n\nM  END\n$$$$\n"), {"COMPOUND_ID": F.lit("overwritten"), "ROLE": F.col("event_type"), "SCORE": F.format_string("%.3f", F.col("value")), "EMPTY": F.lit(None)})
     again = S.add_properties(block, {"COMPOUND_ID": F.col("user_id")})
-    m = S.property_map(again)
-    return e.select("event_id", m.alias("m")).select("event_id", F.col("m")["ROLE"].alias("role"), F.col("m")["SCORE"].isNotNull().alias("has_score"), F.col("m")["COMPOUND_ID"].alias("compound_id"))
+    m = F.col("m")
+    return e.select("event_id", S.property_map(again).alias("m")).select("event_id", m["ROLE"].alias("role"), m["SCORE"].alias("score"), m["COMPOUND_ID"].alias("compound_id"), F.size(m).alias("n_tags"))
 
 
 @query("""select event_id, cast(nullif(regexp_extract(props, '"k":\\s*(-?[\\d.]+)', 1), '') as double) as score from events""")
@@ -878,18 +885,22 @@ def block_splitter(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", F.posexplode(S.split_blocks(F.col("text"))).alias("pose_idx", "block")).select("doc_id", big("pose_idx").alias("pose_idx"), "block")
 
 
-@query(r"""select c_custkey, c_name as stem from customer""")
+@query(r"""select o_orderkey, replace(o_orderpriority, '-', '#') || case when o_orderkey % 3 = 0 then '.v2' else '' end as stem from orders""")
 def file_stems(spark: SparkSession, sf: str) -> DataFrame:
-    path = F.concat(F.lit("file:/poses/x%20y/"), F.replace("c_name", F.lit("#"), F.lit("%23")), F.lit(".sdf"))
-    return read_table(spark, sf, "customer").select("c_custkey", S.file_stem(path).alias("stem"))
+    """Names of files in folders, with encoded characters, dots inside, and endings of either case."""
+    name = F.concat(F.replace("o_orderpriority", F.lit("-"), F.lit("%23")), F.when(F.col("o_orderkey") % 3 == 0, ".v2").otherwise(""))
+    folder = F.when(F.col("o_orderkey") % 2 == 0, "file:/poses/x%20y/").otherwise("hdfs://host/a.sdf/b/")
+    path = F.concat(folder, F.replace(name, F.lit(" "), F.lit("%20")), F.lit(".sdf"))
+    return read_table(spark, sf, "orders").select("o_orderkey", S.file_stem(path).alias("stem"))
 
 
-@query(f"""with {ATOMS}, one as (select file, count(*) filter (atom = 'CA' and resnum = 100) as n, max(x) filter (atom = 'CA' and resnum = 100) as x from raw group by file)
-select file, cast(x as double) as x from one where n = 1""")
+@query(f"""with {ATOMS}, one as (select file, resnum, count(*) as n, max(x) as x from raw where atom = 'CAY' and x >= 48 group by file, resnum)
+select file, cast(resnum as integer) as resnum, n, cast(case when n = 1 then x end as double) as x from one""")
 def target_atoms(spark: SparkSession, sf: str) -> DataFrame:
-    """Files with exactly one target atom, and its x."""
-    rec = P.atoms(receptor_lines(spark, sf)).where((F.col("resname") == "GLY") & (F.col("resnum") == 100) & (F.col("atom") == "CA"))
-    return rec.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("x")).where("n = 1").select("file", "x")
+    """How often a target atom far out is there in each file and residue; its x where it is there once."""
+    rec = P.atoms(receptor_lines(spark, sf)).where((F.col("atom") == "CAY") & (F.col("x") >= 48))
+    found = rec.groupBy("file", "resnum").agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("x"))
+    return found.select("file", "resnum", "n", F.when(F.col("n") == 1, F.col("x")).alias("x"))
 
 
 @query("""select l_orderkey, case when bad then 'error' when near > 0 then 'True' else 'False' end as passed,
