@@ -3,8 +3,9 @@
 A message's text may be a JSON object. An assistant's ``{"tool_calls": [{"id", "name",
 "arguments"}, ...], "content": ...}`` makes calls; a tool's ``{"tool_call_id": ..., "content":
 ...}`` answers one. An argument ``{"$result": "<call id>"}`` uses another call's result. Where a
-``reply`` tool is named, plain turns are linked too: a user's turn n calls it as ``turn-n``, and an
-assistant's turn n + 1 answers that.
+``reply`` tool is named, plain turns are linked too: a user's turn n counts as a call of it with the
+id ``turn-n``, and an assistant's turn n + 1 as its result. Such links are told in columns only; the
+canonical JSON has the calls and results that the texts have.
 
 Calls and results are joined by (conversation, call id). Order is topological: a result comes
 after its call, a call after the results it uses, and otherwise turns stay as they are. The order
@@ -78,7 +79,7 @@ def violations(value: object, schema: dict, where: str = "$") -> list[str]:
         right = kind is None or isinstance(value, _TYPES[kind])
     if not right:
         return [f"{where}: not of type {kind}"]
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(value == x and isinstance(value, bool) == isinstance(x, bool) for x in schema["enum"]):
         out.append(f"{where}: not in enum")
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         if "minimum" in schema and value < schema["minimum"] or "maximum" in schema and value > schema["maximum"]:
@@ -120,18 +121,20 @@ def parse(role: str | None, text: str | None, turn: int | None, schemas: dict[st
         except ValueError:
             body = None  # a plain text
     message: dict = {"role": role, "content": text}
-    calls, uses, errors, answers, asked = [], [], [], None, None
+    calls, uses, errors, answers, asked, told = [], [], [], None, None, True
     if isinstance(body, dict) and isinstance(body.get("tool_calls"), list):
         message, asked = {"role": role, "content": body.get("content")}, body["tool_calls"]
     elif isinstance(body, dict) and isinstance(body.get("tool_call_id"), str):
         answers = body["tool_call_id"]
         message = {"role": role, "content": body.get("content")}
     elif reply and turn is not None and role == "user":
-        asked = [{"id": f"turn-{turn}", "name": reply, "arguments": {"turn": turn}}]
+        asked, told = [{"id": f"turn-{turn}", "name": reply, "arguments": {"turn": turn}}], False
     elif reply and turn is not None and role == "assistant":
-        answers = f"turn-{turn - 1}"
+        answers, told = f"turn-{turn - 1}", False
     if asked is not None:
-        made = message["tool_calls"] = []
+        made: list[dict] = []
+        if told:
+            message["tool_calls"] = made
         for call in asked:
             if not isinstance(call, dict) or not isinstance(call.get("id"), str):
                 errors.append("a call has no id")
@@ -149,7 +152,7 @@ def parse(role: str | None, text: str | None, turn: int | None, schemas: dict[st
             calls.append(call["id"])
             uses += sorted(used_results(given))
             made.append({"id": call["id"], "name": name, "arguments": given})
-    if answers is not None:
+    if answers is not None and told:
         message["tool_call_id"] = answers
     safe = lambda xs: [escaped(x) for x in xs]
     return {"json": canonical(message), "calls": safe(calls), "uses": safe(uses), "answers": None if answers is None else escaped(answers), "errors": safe(errors)}
@@ -288,8 +291,7 @@ answered as (select distinct conv_id, turn from m where role = 'assistant' and t
 select m.conv_id, m.turn, m.turn as at, cast(0 as integer) as level, m.role, case when m.role = 'assistant' then c.turn end as answers_turn,
   cast(case when m.role = 'assistant' and m.turn is not null and c.turn is null then 1 when m.role = 'user' and m.turn is not null and a.turn is null then 1 else 0 end as integer) as n_problems,
   '{"content":' || coalesce(to_json(text)::varchar, 'null') || ',"role":' || coalesce(to_json(role)::varchar, 'null')
-  || case when role = 'user' and m.turn is not null then ',"tool_calls":[{"arguments":{"turn":' || m.turn || '},"id":"turn-' || m.turn || '","name":"reply"}]'
-     when role = 'assistant' and m.turn is not null then ',"tool_call_id":"turn-' || (m.turn - 1) || '"' else '' end || '}' as json
+  || '}' as json
 from m left join called c on c.conv_id is not distinct from m.conv_id and c.turn = m.turn - 1
 left join answered a on a.conv_id is not distinct from m.conv_id and a.turn = m.turn + 1
 """

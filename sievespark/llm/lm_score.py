@@ -41,7 +41,7 @@ LONG_WORD = 80
 #: Tokens of a chunk; longer texts are cut into several.
 CHUNK = 1 << 19
 #: Pairs held in a task before they are summed and dealt out (about 100 bytes each on the way).
-HELD = 1 << 22
+HELD = 1 << 21
 #: Training tokens a segment (so it has at most twice as many keys, of words and pairs).
 SEGMENT_TOKENS = 1 << 21
 #: Keys that are asked for at once.

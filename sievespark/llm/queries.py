@@ -32,7 +32,7 @@ TOOLS = {
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's conversations hold no explicit call; their plain turns are linked as calls of ``reply`` and its results."""
+    """The driver's conversations hold no explicit call; their plain turns are linked as calls of ``reply`` and its results (in columns, not in the JSON)."""
     out = chat_format.format_messages(read_table(spark, sf_dir, "conversations"), TOOLS, reply="reply")
     return out.select("conv_id", "turn", "at", "level", "role", "answers_turn", F.size("problems").alias("n_problems"), "json")
 

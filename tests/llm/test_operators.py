@@ -328,7 +328,11 @@ def test_chat_replies(spark):
     out = {(r.conv_id, r.turn): r for r in chat_format.format_messages(df, {"reply": {"type": "object"}}, "reply").collect()}
     assert {k: r.answers_turn for k, r in out.items() if r.answers_turn is not None} == {(1, 2): 1, (None, 2): 1}
     assert {k: r.problems for k, r in out.items() if r.problems} == {(1, 3): ["turn-2: no call"], (1, 4): ["turn-4: no result"]}
-    assert out[1, 1].json == '{"content":"q","role":"user","tool_calls":[{"arguments":{"turn":1},"id":"turn-1","name":"reply"}]}'
+    assert out[1, 1].json == '{"content":"q","role":"user"}' and out[1, 2].json == '{"content":"a","role":"assistant"}'  # links are told in columns
+
+
+def test_enum_tells_true_from_one():
+    assert chat_format.violations(True, {"enum": [1]}) and not chat_format.violations(1.0, {"enum": [1]}) and not chat_format.violations(True, {"enum": [True]})
 
 
 def test_top_k_is_exact(spark):
