@@ -402,6 +402,13 @@ def cluster_counts_in_range(spark: SparkSession, sf: str) -> DataFrame:
     return inside.select("conformation", r6("tc").alias("tc"), big("y").alias("n_clusters"))
 
 
+@query(f"with {SNAPPED} select conformation, round(tc, 6) as tc, cast(y as bigint) as n_clusters, tc between lower and upper as inside, round(lo, 6) as lo, round(hi, 6) as hi from curve, rng")
+def curves_with_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole curves, with which of their points lie in the common range and where its ends are."""
+    both = curve(spark, sf).crossJoin(F.broadcast(bounds(spark, sf)))  # one row of bounds
+    return both.select("conformation", r6("tc").alias("tc"), big("y").alias("n_clusters"), F.col("tc").between(F.col("lower"), F.col("upper")).alias("inside"), r6("lo").alias("lo"), r6("hi").alias("hi"))
+
+
 # ---- Statistics of clusters ------------------------------------------------------------------
 
 ZSCORES = f"""{COMPOUNDS}, zs as (select *, (ad4_score - avg(ad4_score) over w) / stddev_pop(ad4_score) over w as z from compounds window w as (partition by conformation))"""
@@ -496,9 +503,11 @@ def outliers(spark: SparkSession, sf: str, cut: float = -1.5) -> DataFrame:
     return zscores(spark, sf).join(alone, ["conformation", "cluster_id"], "left_semi").where(F.col("z") <= cut)
 
 
-@query(f"with {STATS}, {OUTLIERS} select conformation, compound_id, ad4_score, round(z, 6) as z from outliers")
+@query(f"with {STATS}, {OUTLIERS} select conformation, compound_id, ad4_score, round(z, 6) as z, row_number() over (partition by conformation order by ad4_score, compound_id) as place from outliers")
 def singleton_outliers(spark: SparkSession, sf: str) -> DataFrame:
-    return outliers(spark, sf).select("conformation", "compound_id", "ad4_score", r6("z").alias("z"))
+    """In order of z within each conformation (that of the scores)."""
+    placed = R.ranked(outliers(spark, sf).select("conformation", "compound_id", "ad4_score", "z"), ["ad4_score", "compound_id"], ["conformation"], "place")
+    return placed.select("conformation", "compound_id", "ad4_score", r6("z").alias("z"), "place")
 
 
 @query(f"""with recursive {BUTINA}, c as (select grp, node, centroid from butina where k = 6),
