@@ -178,7 +178,7 @@ def pdb_atom(serial: Column, name: Column, residue: Column, chain: Column, numbe
     return F.format_string(form, serial, field, F.rpad(residue, 3, " "), chain, number, x, y, z, occupancy, temperature, element)
 
 
-def _let(body: Callable[..., Column], **values: Column) -> Column:
+def let(body: Callable[..., Column], **values: Column) -> Column:
     """``body`` of values that are computed once each, however often it uses them."""
     one = F.array(F.struct(*[v.alias(k) for k, v in values.items()]))
     return F.element_at(F.transform(one, lambda r: body(*[r[k] for k in values])), 1)
@@ -192,7 +192,7 @@ def _product(a: Column, b: Column) -> Column:
         x, y = u - (u - a), v - (v - b)
         return F.struct(p.alias("p"), (((x * y - p) + x * (b - y) + (a - x) * y) + (a - x) * (b - y)).alias("l"))
 
-    return _let(halves, a=a, b=b, p=a * b, u=big * a, v=big * b)
+    return let(halves, a=a, b=b, p=a * b, u=big * a, v=big * b)
 
 
 def _side_of_half(x: Column, h: Column, e: Column) -> Column:
@@ -203,13 +203,13 @@ def _side_of_half(x: Column, h: Column, e: Column) -> Column:
             def sums(p: Column, q: Column) -> Column:
                 return F.signum(((p["p"] - right) + (p["l"] + q["p"])) + q["l"]) * sign
 
-            return _let(sums, p=_product(first["p"], by), q=_product(first["l"], by))
+            return let(sums, p=_product(first["p"], by), q=_product(first["l"], by))
 
-        return _let(both, first=_product(left, one), by=two)
+        return let(both, first=_product(left, one), by=two)
 
     power = lambda n: F.pow(F.lit(10.0), n)
     size = F.abs(e)
-    found = _let(compare, left=F.when(e < 0, x).otherwise(h), right=F.when(e < 0, h).otherwise(x), one=power(F.least(size, F.lit(22))), two=power(F.least(F.greatest(size - 22, F.lit(0)), F.lit(22))), sign=F.when(e < 0, 1).otherwise(-1))
+    found = let(compare, left=F.when(e < 0, x).otherwise(h), right=F.when(e < 0, h).otherwise(x), one=power(F.least(size, F.lit(22))), two=power(F.least(F.greatest(size - 22, F.lit(0)), F.lit(22))), sign=F.when(e < 0, 1).otherwise(-1))
     return F.when(size > 44, 0).otherwise(found)
 
 
@@ -229,16 +229,16 @@ def significant(x: Column, digits: int = 6) -> Column:
         shift = F.when(F.contains(s, F.lit("E")), F.split_part(s, F.lit("E"), F.lit(2)).cast("int")).otherwise(0)
         mantissa = F.split_part(s, F.lit("E"), F.lit(1))
         whole, plain = F.split_part(mantissa, F.lit("."), F.lit(1)), F.replace(mantissa, F.lit("."), F.lit(""))
-        return _let(lambda v, plain, led, point: cut(v, F.rtrim(led, zero), point - F.length(plain) + F.length(led)), v=v, plain=plain, led=F.ltrim(plain, zero), point=F.length(whole) + shift)
+        return let(lambda v, plain, led, point: cut(v, F.rtrim(led, zero), point - F.length(plain) + F.length(led)), v=v, plain=plain, led=F.ltrim(plain, zero), point=F.length(whole) + shift)
 
     def cut(v: Column, d: Column, point: Column) -> Column:
         def rounded_(v: Column, d: Column, point: Column) -> Column:
             head, after = F.substring(d, 1, digits), F.substring(d, digits + 1, 1)
             side = _side_of_half(v, d.cast("double"), point - (digits + 1))
-            up = F.when((F.length(d) == digits + 1) & (after == "5"), _let(lambda side: (side > 0) | ((side == 0) & (F.substring(d, digits, 1).cast("int") % 2 == 1)), side=side)).otherwise((F.length(d) > digits) & (after >= "5"))
-            return _let(lambda n, point: written(F.when(n == 10**digits, F.lit("1")).otherwise(F.rtrim(n.cast("string"), zero)), point - 1 + (n == 10**digits).cast("int")), n=head.cast("long") + up.cast("long"), point=point)
+            up = F.when((F.length(d) == digits + 1) & (after == "5"), let(lambda side: (side > 0) | ((side == 0) & (F.substring(d, digits, 1).cast("int") % 2 == 1)), side=side)).otherwise((F.length(d) > digits) & (after >= "5"))
+            return let(lambda n, point: written(F.when(n == 10**digits, F.lit("1")).otherwise(F.rtrim(n.cast("string"), zero)), point - 1 + (n == 10**digits).cast("int")), n=head.cast("long") + up.cast("long"), point=point)
 
-        return _let(rounded_, v=v, d=d, point=point)
+        return let(rounded_, v=v, d=d, point=point)
 
     def written(r: Column, power: Column) -> Column:
         def form(r: Column, power: Column, size: Column) -> Column:
@@ -248,8 +248,8 @@ def significant(x: Column, digits: int = 6) -> Column:
             small = F.concat(F.lit("0."), F.repeat(zero, F.greatest(F.lit(0), -power - 1)), r)
             return F.when((power < -4) | (power >= digits), science).when(power < 0, small).otherwise(large)
 
-        return _let(form, r=r, power=power, size=F.abs(power).cast("string"))
+        return let(form, r=r, power=power, size=F.abs(power).cast("string"))
 
-    body = F.when(F.abs(x) == float("inf"), F.lit("inf")).when(x == 0, zero).otherwise(_let(parts, v=F.abs(x), s=F.abs(x).cast("string")))
+    body = F.when(F.abs(x) == float("inf"), F.lit("inf")).when(x == 0, zero).otherwise(let(parts, v=F.abs(x), s=F.abs(x).cast("string")))
     sign = F.when(x.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
     return F.when(F.isnan(x), F.lit("nan")).when(x.isNotNull(), F.concat(sign, body))

@@ -585,7 +585,7 @@ def test_clusters_end_to_end(spark):
         rows += [(conf, f"{conf}m{i}", i + 1, s, b) for i, (s, b) in enumerate(zip(scores, blocks))]
     hits = spark.createDataFrame(rows, "conformation string, compound_id string, rank int, ad4_score double, block string").repartition(5)
     grid = (7, 10, 12, 15)
-    out = clusters.cluster_hits(hits, grid=grid, least=10, picked=15, lone_cut=-1.0)
+    out = clusters.cluster_hits(hits, M.Backend(lambda b: M.fingerprint(M.parse_block(b))), grid=grid, least=10, picked=15, lone_cut=-1.0)
     got = {(r.conformation, r.k, r.compound_id): r.cluster_id for r in out.members.collect()}
     tc = lambda a, b: sum((x & y & ((1 << 64) - 1)).bit_count() for x, y in zip(a, b)) / sum(((x | y) & ((1 << 64) - 1)).bit_count() for x, y in zip(a, b))
     want, stats, fps = {}, {}, {}
@@ -961,3 +961,57 @@ def test_group_contacts_of_poses(spark):
     got = {r.compound_id: r for r in contacts.group_contacts(groups, ["compound_id"], atoms, ((0, 0, 0), (0, 1, 0))).collect()}
     assert (got["a"].residue, got["a"].distance, got["a"].contact, round(got["a"].angle, 6)) == ("ASP7", 3.0, True, 90.0)
     assert (got["b"].residue, got["b"].contact) == (None, False)
+
+
+def test_environments_in_columns(spark):
+    """The same environments as the row-wise form tells apart, however the atoms are numbered; bad records say why."""
+    from sievespark.chem import tables
+
+    rng = random.Random(23)
+    records = {}
+    for k in range(30):
+        n = rng.randint(1, 14)
+        atoms = [(rng.choice("CCCNOS"), *(round(rng.uniform(-5, 5), 3) for _ in range(3))) for _ in range(n)]
+        bonds = [(rng.randint(1, i), i + 1, rng.choice([1, 1, 2, 3])) for i in range(1, n)] + ([(1, n, 1)] if n > 3 else [])
+        charges = [(i + 1, rng.choice([-1, 1])) for i in range(n) if rng.random() < 0.15]
+        order = rng.sample(range(n), n)
+        place = {old + 1: new + 1 for new, old in enumerate(order)}
+        records[k] = block("m", atoms, bonds, charges)
+        records[k + 100] = block("m", [atoms[i] for i in order], [(place[b], place[a], o) for a, b, o in bonds], [(place[a], c) for a, c in charges]).replace("\n", "\r\n")
+    df = spark.createDataFrame(list(records.items()), "id int, block string")
+    t = tables.connection_table(F.col("block"))
+    got = {r.id: r for r in df.select("id", t.alias("t"), tables.environments(t).alias("e"), tables.folded(tables.environments(t), 256).alias("w")).collect()}
+
+    def rowwise(text):
+        mol = M.parse_block(text)
+        near = mol.neighbours()
+        codes = [M._hash(s, len(near[i]), mol.charges.get(i, 0)) for i, s in enumerate(mol.symbols)]
+        found = set(codes)
+        for level in (1, 2):
+            codes = [M._hash(level, codes[i], tuple(sorted((o, codes[j]) for j, o in near[i]))) for i in range(len(codes))]
+            found |= set(codes)
+        return found
+
+    own = {k: rowwise(v) for k, v in records.items()}
+    for k, r in got.items():
+        mol = M.parse_block(records[k])
+        assert [(a.symbol, a.charge, a.x, a.y, a.z) for a in r.t.atoms] == [(s, mol.charges.get(i, 0), *xyz) for i, (s, xyz) in enumerate(zip(mol.symbols, mol.xyz))]
+        assert [tuple(b) for b in r.t.bonds] == mol.bonds and r.t.error is None
+        assert len(set(r.e)) == len(r.e) == len(own[k]) and set(got[k % 100].e) == set(r.e)
+        assert sum(bin(w & (1 << 64) - 1).count("1") for w in r.w) == len({c % 256 for c in r.e}) and len(r.w) == 4
+    for a in range(30):
+        for b in range(a):
+            assert len(set(got[a].e) & set(got[b].e)) == len(own[a] & own[b])
+    good = records[3]
+    bad = {0: (None, tables.NO_COUNTS), 1: ("", tables.NO_COUNTS), 2: (good[: good.index("V2000") + 30], tables.CUT_OFF), 3: (good.replace("V2000", "V3000"), tables.NO_COUNTS)}
+    n = int(good.splitlines()[3][:3])
+    bad[4] = ("\n".join([*good.splitlines()[:4], "nonsense", *good.splitlines()[5:]]), tables.NO_NUMBER)
+    assert n
+    rows = spark.createDataFrame([(i, x) for i, (x, _) in bad.items()], "id int, block string").select("id", t.alias("t"), tables.folded(tables.environments(t)).alias("w")).collect()
+    assert {r.id: (r.t.error, r.t.atoms, r.w) for r in rows} == {i: (why, None, None) for i, (_, why) in bad.items()}
+
+
+def test_a_pattern_with_very_many_matches():
+    """More than a thousand matches of one pattern are all there."""
+    star = block("m", [("C", 0.0, 0.0, 0.0)] + [("F", float(i), 1.0, 0.0) for i in range(60)], [(1, i + 2, 1) for i in range(60)])
+    assert len(patterns.find(star, ["FCF"])) == 60 * 59 // 2
