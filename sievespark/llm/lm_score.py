@@ -43,7 +43,7 @@ CHUNK = 1 << 19
 #: Pairs held in a task before they are summed and dealt out (about 100 bytes each on the way).
 HELD = 1 << 21
 #: Training tokens a segment (so it has at most twice as many keys, of words and pairs).
-SEGMENT_TOKENS = 1 << 21
+SEGMENT_TOKENS = 1 << 20
 #: Keys that are asked for at once.
 ASKED = 1 << 17
 #: Size of a filter that is broadcast.
@@ -272,6 +272,11 @@ def chunked(docs: DataFrame, id_col: Column, held: Column, text: Column) -> Data
     return cut_lineage(rows.mapInArrow(run, schema))
 
 
+def _tasks(segments: int) -> int:
+    """Tasks over all segments; where there are many a task takes several, one after the other."""
+    return segments if segments <= 1000 else 1000 + (segments - 1000) // 16
+
+
 def _runs(segment: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(segment, from, to) of ascending segments."""
     first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]])).tolist() if len(segment) else []
@@ -336,7 +341,7 @@ def word_counts(chunks: DataFrame, segments: int) -> DataFrame:
         yield from done()
 
     asked = chunks.select("chunk", "words", "counts").mapInArrow(ask, T.StructType(columns(_ASK)))
-    return cut_lineage(asked.repartition(segments, "seg").sortWithinPartitions("seg", "of").mapInArrow(tell, T.StructType(columns(_TOLD))))
+    return cut_lineage(asked.repartition(_tasks(segments), "seg").sortWithinPartitions("seg", "of").mapInArrow(tell, T.StructType(columns(_TOLD))))
 
 
 def _pairs(lead: int, stream: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -392,7 +397,7 @@ def build_filter(chunks: DataFrame, words: DataFrame, segments: int, bits_per_ke
         yield from done()
 
     both = chunks.select("lead", "stream", "words", "held", "sizes").mapInArrow(pairs, T.StructType(columns(_BLOB))).unionByName(words.where("of is null").select("seg", "keys", "counts"))
-    return cut_lineage(both.repartition(segments, "seg").sortWithinPartitions("seg").mapInArrow(bits, "seg int, bits binary"))
+    return cut_lineage(both.repartition(_tasks(segments), "seg").sortWithinPartitions("seg").mapInArrow(bits, "seg int, bits binary"))
 
 
 def _asked(hashes: np.ndarray, before: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -421,18 +426,18 @@ def _routed(chunks: DataFrame, parts: DataFrame, segments: int) -> DataFrame:
                 yield _row(kind, s, of, ascending(keys[a:b]))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, known = None, LogFilter(segments, [])
+        now, known = None, LogFilter(1, [])
         for segment, of, data in _in_order(batches):
             if segment != now:
-                now, known = segment, LogFilter(segments, [])
+                now, known = segment, LogFilter(1, [])
             if of is None:
-                known = LogFilter(segments, [(segment, data)])
+                known = LogFilter(1, [(0, data)])
             else:
                 yield _row("of long, seg int, levels binary", of, segment, known.levels(unascending(data)).tobytes())
 
     asked = chunks.select("lead", "stream", "words", "chunk").mapInArrow(ask, T.StructType(columns(kind)))
     bits = parts.select("seg", F.lit(None).cast("long").alias("of"), F.col("bits").alias("data"))
-    dealt = bits.unionByName(asked).repartition(segments, "seg").sortWithinPartitions(F.col("seg"), F.col("of").asc_nulls_first())
+    dealt = bits.unionByName(asked).repartition(_tasks(segments), "seg").sortWithinPartitions(F.col("seg"), F.col("of").asc_nulls_first())
     return _gathered(dealt.mapInArrow(answer, "of long, seg int, levels binary"), "levels")
 
 
