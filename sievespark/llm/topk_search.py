@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from sievespark.session import cut_and_count
 
 #: Bytes of vectors in a block, and pairs that a task scores where the tables are small.
-BLOCK_BYTES, TASK_PAIRS = 32 << 20, 1 << 20
+BLOCK_BYTES, TASK_PAIRS = 32 << 20, 1 << 24
 #: Dense scores held at once in a task.
 STRIP = 128
 LONG = 1 << 63
@@ -96,7 +96,7 @@ def best(row: np.ndarray, ids: np.ndarray, own: int, k: int) -> np.ndarray:
 def _sides(n_queries: int, n_rows: int, widest: int) -> tuple[int, int]:
     """Blocks of queries and of candidates: as large as BLOCK_BYTES allows, since each side is copied once for each block of the other, and smaller where that leaves few tasks."""
     most = max(1, BLOCK_BYTES // (8 * max(1, widest)))
-    side = min(most, max(1024, math.isqrt(max(TASK_PAIRS, n_queries * n_rows // 64))))
+    side = min(most, math.isqrt(max(TASK_PAIRS, n_queries * n_rows // 64)))
     return max(1, -(-n_queries // side)), max(1, -(-n_rows // side))
 
 
