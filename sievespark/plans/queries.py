@@ -889,9 +889,15 @@ def gap_marks(spark: SparkSession, sf: str) -> DataFrame:
 select doc_id, i - 1 as pose_idx, case when i < len(parts) then parts[i] || '$$$$' || chr(10) else parts[i] end as block from b
 where i < len(parts) or regexp_replace(parts[i], '\\s', '', 'g') <> ''""")
 def block_splitter(spark: SparkSession, sf: str) -> DataFrame:
-    """A document's lines stand for blocks: each line end becomes a terminator."""
-    d = read_table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit("$$$$\n")).alias("text"))
-    return d.select("doc_id", F.posexplode(S.split_blocks(F.col("text"))).alias("pose_idx", "block")).select("doc_id", big("pose_idx").alias("pose_idx"), "block")
+    """A document's lines stand for blocks: each line end becomes a terminator.
+
+    A block ends at the first $$$$ wherever it is, so a text's own dollars are written otherwise
+    (as SOH b, and SOH as SOH a) until the blocks are split.
+    """
+    swap = lambda c, *pairs: F.replace(swap(c, *pairs[:-1]), *[F.lit(x) for x in pairs[-1]]) if pairs else c
+    text = swap(F.col("text"), ("\1", "\1a"), ("$", "\1b"), ("\n", "$$$$\n"))
+    d = read_table(spark, sf, "documents").select("doc_id", F.posexplode(S.split_blocks(text)).alias("pose_idx", "block"))
+    return d.select("doc_id", big("pose_idx").alias("pose_idx"), swap(F.col("block"), ("\1b", "$"), ("\1a", "\1")).alias("block"))
 
 
 @query(r"""select o_orderkey, replace(o_orderpriority, '-', '#') || case when o_orderkey % 3 = 0 then '.v2' else '' end as stem from orders""")
