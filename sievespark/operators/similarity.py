@@ -1,4 +1,4 @@
-"""Bit-vector fingerprints: packing, Tanimoto edges inside groups, novelty against a reference set, medoids.
+"""Bit-vector fingerprints: packing, Tanimoto edges and their counts inside groups, novelty against a reference set, medoids.
 
 Fingerprints meet in blocks of bounded size, and a block is one product of 0/1 matrices. What keeps
 blocks apart are bounds: shared rare bits (edges of large groups), bit counts (novelty), and the
@@ -23,6 +23,8 @@ from sievespark.session import cut_lineage, drop
 BLOCK = 4096
 #: Rows of a block that are multiplied at once.
 STRIP = 1024
+#: The same where each pair may be an edge to write (about 60 bytes each in Python).
+ROWS = 256
 #: Members of a large cluster that all others are measured against, for the bound.
 PIVOTS = 16
 #: Similarities are summed as whole numbers of this fraction, so that sums do not hang on their order.
@@ -81,8 +83,14 @@ def _edge_schema(df: DataFrame, group: str, node: str) -> T.StructType:
     return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
 
 
-def _compared(table: pa.Table, twentieths: int, schema: pa.Schema, token: int | None = None, order: np.ndarray | None = None) -> pa.Table:
-    """Edges between the blocks ``i`` and ``j`` of one group.
+def linked(a: np.ndarray, b: np.ndarray, twentieths: int) -> np.ndarray:
+    """Whether rows of ``a`` reach the threshold with rows of ``b``; whole numbers, exact in single precision."""
+    n, m = a.sum(axis=1), b.sum(axis=1)
+    return (a @ b.T) * np.float32(20 + twentieths) >= (n * twentieths)[:, None] + (m * twentieths)[None]
+
+
+def _compared(table: pa.Table, twentieths: int, schema: pa.Schema, token: int | None = None, order: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Edges between the blocks ``i`` and ``j`` of one group, a few rows against a block at a time.
 
     With a ``token`` only those whose first shared bit, in ``order``, it is, so that a pair comes from
     one of its shared bits alone. Rows are taken by bit count: those too short or too long are not met.
@@ -93,24 +101,25 @@ def _compared(table: pa.Table, twentieths: int, schema: pa.Schema, token: int |
     (bits,) = _matrices(table.column("fp"))
     if order is not None:
         bits = bits[:, order[order < bits.shape[1]]]
-    n, found = bits.sum(axis=1).astype(np.int64), [[], [], [], []]
-    for at in range(0, len(left), STRIP):
-        some = left[at : at + STRIP]
+    n = bits.sum(axis=1).astype(np.int64)
+    node = table.column("node").combine_chunks()
+    group = table.column("group")[0]
+    for at in range(0, len(left), ROWS):
+        some = left[at : at + ROWS]
         low, high = n[some[0]] * twentieths, n[some[-1]] * 20
         meet = right[(n[right] * 20 >= low) & (n[right] * twentieths <= high)]
-        inter, uni = _shared(bits[some], bits[meet])
-        hit = inter * 20 >= uni * twentieths
+        hit = linked(bits[some], bits[meet], twentieths)
         if first[0] == second[0]:
             hit &= some[:, None] < meet[None]
         x, y = np.nonzero(hit)
+        del hit
         if token is not None and token >= 0 and len(x):
             once = np.concatenate([(bits[some[x[k : k + STRIP]]] * bits[meet[y[k : k + STRIP]]]).argmax(axis=1) for k in range(0, len(x), STRIP)]) == token
             x, y = x[once], y[once]
-        for out, values in zip(found, (some[x], meet[y], inter[x, y], uni[x, y])):
-            out.append(values)
-    x, y, inter, uni = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in found)
-    node = table.column("node")
-    return pa.table([pa.repeat(table.column("group")[0], len(x)), node.take(pa.array(x)), node.take(pa.array(y)), pa.array(inter.astype(np.int32)), pa.array(uni.astype(np.int32))], schema=schema)
+        if len(x):
+            inter = (bits[some] @ bits[meet].T)[x, y].astype(np.int32)
+            uni = (n[some[x]] + n[meet[y]]).astype(np.int32) - inter
+            yield pa.RecordBatch.from_arrays([pa.repeat(group, len(x)), node.take(pa.array(some[x])), node.take(pa.array(meet[y])), pa.array(inter), pa.array(uni)], schema=schema)
 
 
 def _pairs_of_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
@@ -169,7 +178,11 @@ def edges(df: DataFrame, group: str, node: str, fp: str, twentieths: int, plan:
     def in_blocks(some: DataFrame) -> DataFrame:
         sized = some.join(sizes.select("group", F.ceil(F.col("size") / BLOCK).alias("blocks")), "group")
         dealt = _pairs_of_blocks(sized, F.col("blocks")).groupBy("group", "i", "j")
-        return dealt.applyInArrow(lambda t: _compared(t, twentieths, arrow), schema)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from _compared(pa.Table.from_batches(list(batches)), twentieths, arrow)
+
+        return dealt.applyInArrow(run, schema)
 
     def by_bits(some: DataFrame) -> DataFrame:
         order = _bit_order(some)
@@ -177,7 +190,12 @@ def edges(df: DataFrame, group: str, node: str, fp: str, twentieths: int, plan:
         listed = prefixes(some, twentieths, order)
         lists = listed.groupBy("group", "token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
         dealt = _pairs_of_blocks(listed.join(lists, ["group", "token"]), F.col("blocks")).groupBy("group", "token", "i", "j")
-        return dealt.applyInArrow(lambda t: _compared(t, twentieths, arrow, t.column("token")[0].as_py(), rank), schema)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(list(batches))
+            yield from _compared(table, twentieths, arrow, table.column("token")[0].as_py(), rank)
+
+        return dealt.applyInArrow(run, schema)
 
     if plan == "bits":
         found = by_bits(rows)
@@ -194,6 +212,50 @@ def edges(df: DataFrame, group: str, node: str, fp: str, twentieths: int, plan:
     return found.select("group", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "inter", "uni").where("a <> b")
 
 
+def link_counts(df: DataFrame, group: str, node: str, fp: str, twentieths: Sequence[int]) -> DataFrame:
+    """(group, node, n<k> for each k of ``twentieths``): how many others of the group are at Tanimoto k / 20 or more.
+
+    Blocks meet as for the edges, but a pair of blocks gives its rows' counts only, so what is written
+    grows with rows times blocks of their group, never with pairs. A node is one row of its group; rows
+    without a group or fingerprint have no links.
+    """
+    names = [f"n{k}" for k in twentieths]
+    rows = df.select(F.col(group).alias("group"), F.col(node).alias("node"), F.col(fp).alias("fp"), bit_count(F.col(fp)).alias("n"))
+    schema = T.StructType([rows.schema["group"], rows.schema["node"], *[T.StructField(c, T.LongType()) for c in names]])
+    arrow = to_arrow_schema(schema)
+
+    def count(table: pa.Table) -> pa.Table:
+        own, i, j = (table.column(c).to_numpy() for c in ("own", "i", "j"))
+        same = i[0] == j[0]
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        (bits,) = _matrices(table.column("fp"))
+        n = bits.sum(axis=1)
+        # Unlike fractions of a union of w bits are 1 / 20 w apart, so half of that is room for rounding.
+        kind = np.float32 if bits.shape[1] < 1 << 16 else np.float64
+        bars = [kind(k / 20 - 1 / (40 * max(1, bits.shape[1]))) for k in twentieths]
+        found = np.zeros((len(own), len(bars)), np.int64)
+        for at in range(0, len(left), STRIP):
+            some = left[at : at + STRIP]
+            tc = (bits[some] @ bits[right].T).astype(kind, copy=False)
+            uni = (n[some][:, None] + n[right][None]) - tc
+            tc[uni == 0] = 1  # two empty ones are alike
+            tc /= np.maximum(uni, 1, out=uni)
+            if same:
+                tc[np.arange(len(some)), np.arange(at, at + len(some))] = -1  # itself
+            for c, bar in enumerate(bars):
+                hit = tc >= bar
+                found[some, c] += np.bitwise_count(np.packbits(hit, axis=1)).sum(axis=1, dtype=np.int64)
+                if not same:
+                    found[right, c] += hit.view(np.int8).sum(axis=0, dtype=np.int16)
+        return pa.table([table.column("group"), table.column("node"), *[pa.array(x) for x in found.T]], schema=arrow)
+
+    known = rows.where("group is not null and n is not null")
+    sizes = known.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    met = _pairs_of_blocks(known.join(sizes, "group"), F.col("blocks")).groupBy("group", "i", "j").applyInArrow(count, schema)
+    every = rows.select("group", "node", *[F.lit(0).cast("long").alias(c) for c in names]).unionByName(met)
+    return every.groupBy("group", "node").agg(*[F.sum(c).alias(c) for c in names])
+
+
 def max_similarity(df: DataFrame, node: str, fp: str, known: DataFrame, known_fp: str) -> DataFrame:
     """Per row of ``df`` the highest Tanimoto to a row of ``known``, a stated reference set of any size.
 
