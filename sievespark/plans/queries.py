@@ -273,11 +273,6 @@ def tanimoto_edges(spark: SparkSession, sf: str) -> DataFrame:
     return e.select(big("group").alias("grp").cast("int"), "a", "b", big("inter").alias("inter"), big("uni").alias("uni"), r6(F.col("inter") / F.col("uni")).alias("tc"))
 
 
-def grid_edges(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    fp = fingerprints(spark, sf)
-    return fp.select("group", "node"), T.edges(fp, "group", "node", "fp", GRID[0])
-
-
 @query(f"with {DEGREES} select grp, k, node, degree from degree")
 def degree_per_threshold(spark: SparkSession, sf: str) -> DataFrame:
     nodes, edges = grid_edges(spark, sf)
@@ -286,8 +281,7 @@ def degree_per_threshold(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"with recursive {BUTINA} select grp, k, node, centroid from butina")
 def butina_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    nodes, edges = grid_edges(spark, sf)
-    return B.butina_grouped(nodes, edges, GRID).select(F.col("group").alias("grp"), big("k").alias("k"), "node", "centroid")
+    return B.butina_of_fingerprints(fingerprints(spark, sf), GRID).select(F.col("group").alias("grp"), big("k").alias("k"), "node", "centroid")
 
 
 @query(f"with recursive {BUTINA} select grp, k, node, centroid from butina")

@@ -24,3 +24,50 @@ def test_blocks_of_texts_with_dollars(spark, tmp_path):
     texts = ["one$$$\ntwo$$$$ three\n$\n", "$$$$$\n$$$$", "\x01a\x01b$\n\x01", "plain", "", "\n\n \n", None]
     got, want = both(spark, tmp_path, "block_splitter", documents=spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert got == want and len(got) == 11
+
+
+def bits(rng, n):
+    words = [rng.getrandbits(64) & (rng.getrandbits(64) | rng.getrandbits(64)) for _ in range(n)]
+    return [[x - (1 << 64) if x >> 63 else x] for x in words]
+
+
+def test_clusters_of_fingerprints_as_of_links(spark, monkeypatch):
+    """Counts and clusters without links are those of the links, in blocks and batches of any size."""
+    from sievespark.operators import clustering, similarity
+
+    rng = random.Random(5)
+    rows = [("a", i, f) for i, f in enumerate(bits(rng, 600))] + [("b", 1000 + i, f) for i, f in enumerate(bits(rng, 40))] + [("c", 2000, [0]), ("c", 2001, [0]), ("c", 2002, [5]), ("d", 3000, [7]), ("d", 3001, None)]
+    df = spark.createDataFrame(rows, "group string, node long, fp array<bigint>").repartition(3).cache()
+    grid = (5, 8, 11)
+    links = similarity.edges(df, "group", "node", "fp", 5).cache()
+    ordered = lambda d, *c: sorted(map(tuple, d.select(*c).collect()))
+    degree, cluster = ("group", "k", "node", "degree"), ("group", "k", "node", "centroid")
+    degrees = ordered(clustering.degrees(df.select("group", "node"), links, grid), *degree)
+    clusters = ordered(clustering.butina_grouped(df.select("group", "node"), links, grid), *cluster)
+    assert ordered(clustering.degrees_of_fingerprints(df, grid), *degree) == degrees
+    assert ordered(clustering.butina_of_fingerprints(df, grid), *cluster) == clusters
+    monkeypatch.setattr(similarity, "BLOCK", 90)
+    assert ordered(clustering.degrees_of_fingerprints(df, grid), *degree) == degrees
+    assert ordered(clustering.butina_of_fingerprints(df, grid, batch=64, first=8), *cluster) == clusters
+
+
+@pytest.mark.parametrize("name", ["butina_clusters", "butina_by_rounds", "nested_assignment", "medoid_per_cluster", "degree_per_threshold"])
+def test_clusters_write_no_links(spark, monkeypatch, name):
+    from sievespark.operators import similarity
+
+    def none(*a, **k):
+        raise AssertionError("links are quadratic in a group")
+
+    monkeypatch.setattr(similarity, "edges", none)
+    assert entry.queries()[name](spark, "/root/testdata/sf0.001").columns
+
+
+def test_edges_come_a_strip_at_a_time():
+    import pyarrow as pa
+
+    from sievespark.operators import similarity
+
+    n, schema = 1000, pa.schema([("group", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("inter", pa.int32()), ("uni", pa.int32())])
+    table = pa.table({"group": pa.array([1] * n, pa.int32()), "node": list(range(n)), "fp": [[3]] * n, "n": [2] * n, "own": [0] * n, "i": [0] * n, "j": [0] * n})
+    found = [b.num_rows for b in similarity._compared(table, 10, schema)]
+    assert sum(found) == n * (n - 1) // 2 and max(found) <= similarity.ROWS * n
