@@ -286,8 +286,7 @@ def butina_clusters(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"with recursive {BUTINA} select grp, k, node, centroid from butina")
 def butina_by_rounds(spark: SparkSession, sf: str) -> DataFrame:
-    nodes, edges = grid_edges(spark, sf)
-    return B.butina_rounds(nodes, edges, GRID, rest=1000).select(F.col("group").alias("grp"), big("k").alias("k"), "node", "centroid")
+    return B.butina_of_fingerprints(fingerprints(spark, sf), GRID, first=16).select(F.col("group").alias("grp"), big("k").alias("k"), "node", "centroid")
 
 
 NESTED = f"""{BUTINA}, sizes as (select grp, count(*) as size, min(node) as first from fp group by grp),
