@@ -294,8 +294,7 @@ nested as (select b.grp, b.k, b.node, case when s.size < 50 then s.first else b.
 
 
 def nested_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    nodes, edges = grid_edges(spark, sf)
-    return B.nested(nodes, edges, GRID, least=50)
+    return B.nested_of_fingerprints(fingerprints(spark, sf), GRID, least=50)
 
 
 @query(f"with recursive {NESTED} select grp, k, node, centroid from nested")
