@@ -508,7 +508,7 @@ m as (select x.grp, x.centroid, x.node, avg(s.sim) as mean_sim from c x left joi
 select grp, centroid, arg_min(node, (round(-coalesce(mean_sim, -1), 9), node)) as medoid from m group by all""")
 def medoid_per_cluster(spark: SparkSession, sf: str) -> DataFrame:
     fp = fingerprints(spark, sf)
-    clusters = B.butina_grouped(fp.select("group", "node"), T.edges(fp, "group", "node", "fp", 6), (6,)).select("group", "node", "centroid")
+    clusters = B.butina_of_fingerprints(fp, (6,)).select("group", "node", "centroid")
     return T.cluster_medoids(clusters.join(fp, ["group", "node"]), ["group", "centroid"]).select(F.col("group").alias("grp"), "centroid", "medoid")
 
 
