@@ -275,8 +275,7 @@ def tanimoto_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"with {DEGREES} select grp, k, node, degree from degree")
 def degree_per_threshold(spark: SparkSession, sf: str) -> DataFrame:
-    nodes, edges = grid_edges(spark, sf)
-    return B.degrees(nodes, edges, GRID).select(F.col("group").alias("grp"), big("k").alias("k"), "node", big("degree").alias("degree"))
+    return B.degrees_of_fingerprints(fingerprints(spark, sf), GRID).select(F.col("group").alias("grp"), big("k").alias("k"), "node", big("degree").alias("degree"))
 
 
 @query(f"with recursive {BUTINA} select grp, k, node, centroid from butina")
