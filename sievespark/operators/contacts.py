@@ -1,7 +1,9 @@
 """Contacts of a group of atoms (a nitrile, say) with a reference structure, after superposition.
 
 Positions are columns. A superposition is a 3 x 4 matrix; neighbours within a radius are found by
-an equality join on cells as wide as the radius, each point looking into the 27 cells around it.
+an equality join on cells as wide as the radius, each point looking into the 27 cells around it. The
+nearest one is found without these pairs: cells of points keep lists of the atoms that can be nearest
+to a point inside, and halve until the lists are short.
 """
 
 from __future__ import annotations
@@ -14,11 +16,15 @@ from pyspark.sql import functions as F
 
 from sievespark.chem.molblock import parse_block
 from sievespark.chem.patterns import find
+from sievespark.functions.scalar import distance as between
+from sievespark.functions.scalar import let
 from sievespark.operators.names import unused
-from sievespark.session import cut_lineage
+from sievespark.session import cut_lineage, drop
 
 #: Rows of a structure that are sent to all executors (about 100 bytes each); larger ones are joined by cell.
 STRUCTURE = 200_000
+#: Atoms a cell on average at which cells are small enough, and how often they are halved at most.
+LISTED, HALVED = 32, 6
 
 
 def moved(x: Column, y: Column, z: Column, matrix: Sequence[Sequence[float]]) -> list[Column]:
@@ -82,6 +88,71 @@ def neighbours(points: DataFrame, structure: DataFrame, at: Sequence[str], to: S
     return met.withColumn(distance, apart).where(F.col(distance) <= radius).select(*points.columns, *columns, F.col(distance).alias("distance"))
 
 
+def _can_be_nearest(atoms: Column, cell: Sequence[Column], width: float, radius: float) -> Column:
+    """Those of ``atoms`` that may be nearest to, and within the radius of, some point of the cell.
+
+    The nearest to a point is at most half a diagonal further from it than the nearest to the middle
+    is from the middle, so it is within a whole diagonal more of the middle.
+    """
+    middle = [(c + 0.5) * width for c in cell]
+    half = width * 3**0.5 / 2
+
+    def near(atoms: Column, d: Column) -> Column:
+        bar = F.least(F.array_min(d) + 2 * half, F.lit(radius + half)) * (1 + 1e-9)
+        return let(lambda atoms, d, bar: F.filter(atoms, lambda a, i: F.get(d, i) <= bar), atoms=atoms, d=d, bar=bar)
+
+    return let(near, atoms=atoms, d=F.transform(atoms, lambda a: between([a[x] for x in "xyz"], middle)))
+
+
+def _atom_lists(points: DataFrame, structure: DataFrame, at: Sequence[str], to: Sequence[str], radius: float, columns: Sequence[str]) -> tuple[DataFrame, float]:
+    """(cell, atoms) for the cells that points are in and atoms are near, and the cells' width.
+
+    Cells as wide as the radius take the atoms of the 27 cells around them; then each halves, and its
+    parts keep those of its atoms that can be nearest.
+    """
+    abc = [F.col(f"cell.{c}") for c in "abc"]
+    cells = lambda width: points.select(F.struct(*[F.floor(F.col(c) / width).alias(n) for c, n in zip(at, "abc")]).alias("cell")).distinct()
+    atom = F.struct(*[F.col(c).cast("double").alias(x) for c, x in zip(to, "xyz")], *columns)
+    placed = structure.where(" and ".join(f"`{c}` is not null" for c in to)).select(atom.alias("atom")).distinct()
+    for x in "xyz":
+        placed = placed.withColumn(f"{x}_cell", F.explode(F.array(*[F.floor(F.col(f"atom.{x}") / radius) + i for i in (-1, 0, 1)])))
+    placed = placed.select(F.struct(*[F.col(f"{x}_cell").alias(n) for x, n in zip("xyz", "abc")]).alias("cell"), "atom")
+    width, halved = float(radius), 0
+    n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, much work: tasks are not to be merged
+    lists = placed.join(cells(width), "cell").repartition(n, "cell").groupBy("cell").agg(F.collect_list("atom").alias("atoms"))
+    while True:
+        table = cut_lineage(lists.select("cell", _can_be_nearest(F.col("atoms"), abc, width, radius).alias("atoms")))
+        if halved:
+            drop(last)
+        kept = table.where(F.size("atoms") > 0)
+        sizes = kept.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("atoms")).alias("all")).first()
+        if halved == HALVED or (sizes["all"] or 0) <= LISTED * sizes["n"]:
+            return kept, width
+        last, width, halved = table, width / 2, halved + 1
+        parts = cells(width).repartition(n, "cell").withColumn("parent", F.struct(*[F.floor(c / 2).alias(n) for c, n in zip(abc, "abc")]))
+        lists = parts.join(kept.withColumnRenamed("cell", "parent"), "parent").select("cell", "atoms")
+
+
+def nearest(points: DataFrame, structure: DataFrame, at: Sequence[str], to: Sequence[str], radius: float, columns: Sequence[str]) -> DataFrame:
+    """``points`` with ``nearest``: distance and ``columns`` of the nearest row of ``structure`` up to ``radius`` away, else null.
+
+    Ties go to the least ``columns``. Points without a place have none nearest.
+    """
+    if radius <= 0:
+        raise ValueError("the radius is above 0")
+    lists, width = _atom_lists(points, structure, at, to, radius, columns)
+    cell, found, met = unused(points.columns, "cell", "found", "atoms")
+    mine = points.withColumn(cell, F.struct(*[F.floor(F.col(c) / width).alias(n) for c, n in zip(at, "abc")]))
+    both = mine.join(lists.select(F.col("cell").alias(found), F.col("atoms").alias(met)), F.col(cell) == F.col(found), "left")
+
+    def apart(a: Column) -> Column:
+        d = [F.col(c) - a[x] for c, x in zip(at, "xyz")]
+        return F.struct(F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2]).alias("distance"), *[a[c].alias(c) for c in columns])
+
+    first = F.array_min(F.transform(met, apart))
+    return both.select(*points.columns, let(lambda a: F.when(a["distance"] <= radius, a), a=first).alias("nearest"))
+
+
 def angle(a: Sequence[Column], b: Sequence[Column]) -> Column:
     """Degrees between two directions; null if one has no length."""
     dot = lambda p, q: p[0] * q[0] + p[1] * q[1] + p[2] * q[2]
@@ -104,9 +175,7 @@ def group_contacts(groups: DataFrame, key: Sequence[str], structure: DataFrame,
     d = [p - q for p, q in zip(b, head)]
     names = [f"group_{x}" for x in "xyz"]
     rows = groups.select(*key, *[c.alias(n) for c, n in zip(b, names)], F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2]).alias("offset"), angle([q - p for p, q in zip(a, b)], [q - p for p, q in zip(tail, head)]).alias("angle")).distinct()
-    rows = cut_lineage(rows.withColumn("group_row", F.monotonically_increasing_id()))
-    residue = F.concat("resname", F.col("resnum").cast("string"))
-    met = neighbours(rows.select("group_row", *names), structure, names, ["x", "y", "z"], radius, ["resname", "resnum"])
-    best = met.groupBy("group_row").agg(F.min_by(F.struct(residue.alias("residue"), "distance"), F.struct("distance", "resnum", "resname")).alias("nearest"))
-    both = rows.join(best.withColumnRenamed("group_row", "met_row"), F.col("group_row") == F.col("met_row"), "left")
-    return both.select(*key, "offset", "angle", F.col("nearest.residue").alias("residue"), F.col("nearest.distance").alias("distance"), F.coalesce(F.col("nearest.distance") <= contact, F.lit(False)).alias("contact"))
+    rows = cut_lineage(rows)
+    met = nearest(rows, structure, names, ["x", "y", "z"], radius, ["resnum", "resname"])
+    residue = F.concat("nearest.resname", F.col("nearest.resnum").cast("string"))
+    return met.select(*key, "offset", "angle", residue.alias("residue"), F.col("nearest.distance").alias("distance"), F.coalesce(F.col("nearest.distance") <= contact, F.lit(False)).alias("contact"))

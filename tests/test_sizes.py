@@ -71,3 +71,25 @@ def test_edges_come_a_strip_at_a_time():
     table = pa.table({"group": pa.array([1] * n, pa.int32()), "node": list(range(n)), "fp": [[3]] * n, "n": [2] * n, "own": [0] * n, "i": [0] * n, "j": [0] * n})
     found = [b.num_rows for b in similarity._compared(table, 10, schema)]
     assert sum(found) == n * (n - 1) // 2 and max(found) <= similarity.ROWS * n
+
+
+def test_nearest_without_pairs(spark, monkeypatch):
+    """The nearest atom and its ties as all pairs give them, inside a dense structure, beside it and far off."""
+    from sievespark.operators import contacts
+
+    rng = random.Random(8)
+    p = [(i, *(rng.uniform(-8, 12) for _ in range(3))) for i in range(400)] + [(900, None, 1.0, 1.0), (901, 40.0, 0.0, 0.0), (902, 1.0, 1.0, 1.0)]
+    q = [(f"r{i % 7}", i, *(round(rng.uniform(-3, 4), 1) for _ in range(3))) for i in range(900)] + [("b", 5, 1.0, 1.0, 1.25), ("a", 5, 1.0, 1.0, 0.75), ("none", 6, None, 0.0, 0.0)]
+    points, atoms = spark.createDataFrame(p, "i int, u double, v double, w double"), spark.createDataFrame(q, "name string, number int, x double, y double, z double")
+    want = {}
+    for i, *a in p:
+        met = [(d, n, name) for name, n, *b in q if None not in a and None not in b and (d := sum((x - y) ** 2 for x, y in zip(a, b)) ** 0.5) <= 3.0]
+        want[i] = min(met, default=(None, None, None))
+    pairs = []
+    monkeypatch.setattr(contacts, "neighbours", lambda *a, **k: pairs.append(a))
+    monkeypatch.setattr(contacts, "LISTED", 4)
+    got = contacts.nearest(points, atoms, ["u", "v", "w"], ["x", "y", "z"], 3.0, ["number", "name"]).select("i", "nearest.*").collect()
+    assert len(got) == len(p) and pairs == []
+    for r in got:
+        d, n, name = want[r.i]
+        assert (r.number, r.name) == (n, name) and (r.distance == pytest.approx(d) if n is not None else r.distance is None)
