@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievespark.llm.common import columns, sliced
+from sievespark.operators.quantiles import quantiles
 from sievespark.session import cut_lineage, drop
 
 UNKNOWN = "und"
@@ -233,20 +234,21 @@ def identify(docs: DataFrame, **how: object) -> DataFrame:
     return out.select("kept.doc_id", "kept.held_out", "lang_pred", "score")
 
 
-def bars(held: DataFrame, filters: Filters, text_col: str = "text", lang_col: str = "lang", rows: int = 1000, seed: int = 0, below: float = 0.6) -> dict[str, float]:
+def bars(held: DataFrame, filters: Filters, text_col: str = "text", lang_col: str = "lang", below: float = 0.6) -> dict[str, float]:
     """Per language ``below`` times the 5 % quantile of the scores that its labelled rows get when found.
 
-    ``held`` are rows that training left aside, ``rows`` a language at most are drawn. Scripts of
-    many characters score lower than alphabets, since a filter holds a smaller share of their n-grams.
+    ``held`` are rows that training left aside; all of their different texts count, once each, and the
+    quantile is exact. Scripts of many characters score lower than alphabets, since a filter holds a
+    smaller share of their n-grams.
     """
     labelled = held.select(held[lang_col].alias("lang"), held[text_col].alias("text")).where("lang is not null and text is not null")
     if not filters.languages:
         return {}
-    sizes = _sizes(labelled)
-    scored = predict(_drawn(labelled, sizes, rows, seed), filters, "text", [F.col("lang").alias("lang"), F.col("text").alias("text")])
-    low = scored.where("kept.lang = lang_pred").groupBy("lang_pred").agg(F.percentile_approx("score", 0.05, 10_000).alias("low"))
-    out = {r["lang_pred"]: below * r["low"] for r in low.collect()}  # a row a language
-    drop(sizes)
+    each = predict(labelled, filters, labelled["text"], [F.col("lang").alias("lang"), F.xxhash64("text").alias("of")]).where("kept.lang = lang_pred")
+    scored = cut_lineage(each.groupBy("lang_pred", "kept.of").agg(F.max("score").alias("score")))
+    low = quantiles(scored, ["score"], [0.05], ["lang_pred"])
+    out = {r["lang_pred"]: below * r["value"] for r in low.collect()}  # a row a language
+    drop(scored)
     return out
 
 
@@ -257,7 +259,7 @@ def accepted(docs: DataFrame, min_score: float = 0.5, **how: object) -> DataFram
     ``docs`` stay as they are.
     """
     filters = train(docs.where(~held_out(docs["doc_id"])), **how)
-    low = bars(docs.where(held_out(docs["doc_id"])), filters, **{k: v for k, v in how.items() if k in ("text_col", "lang_col", "seed")})
+    low = bars(docs.where(held_out(docs["doc_id"])), filters, **{k: v for k, v in how.items() if k in ("text_col", "lang_col")})
     bar = F.lit(min_score)
     if low:
         known = F.create_map(*[F.lit(x) for lang, value in sorted(low.items()) for x in (lang, min(min_score, value))])

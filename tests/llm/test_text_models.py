@@ -280,3 +280,17 @@ def test_model_beats_base_on_held_out_text(spark):
 
     got = lm_score.score_documents(docs(spark, [(i, text()) for i in range(400)])).where("held_out").agg(F.sum("base_score"), F.sum("score")).first()
     assert got[1] > 0.75 * got[0]
+
+
+def test_bars_come_from_all_held_out_rows(spark):
+    """The exact quantile of every labelled row's score, however many there are; copies count once."""
+    import numpy as np
+
+    from sievespark.llm import language_id
+
+    rows = [(i, f"word{i % 7} " * (1 + i % 5) + "".join(chr(97 + (i * j) % 26) for j in range(1, 30)), "en") for i in range(2500)]
+    frame = spark.createDataFrame([*rows, *rows[:400]], "doc_id int, text string, lang string")
+    filters = language_id.train(frame.where("doc_id < 300"))
+    scores = [filters.predict(t)[1] for t in {t for _, t, _ in rows}]
+    assert len(scores) > 50 and language_id.bars(frame, filters) == pytest.approx({"en": 0.6 * np.percentile(scores, 5)}, abs=1e-12)
+    assert "rows" not in language_id.bars.__code__.co_varnames
