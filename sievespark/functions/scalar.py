@@ -106,17 +106,20 @@ def property_map(block: Column) -> Column:
     """Tagged values of a block; the last of a repeated tag wins."""
     keys = F.regexp_extract_all(block, F.lit(TAG_PATTERN), F.lit(1))
     values = F.regexp_extract_all(block, F.lit(TAG_PATTERN), F.lit(2))
-    pairs = F.arrays_zip(keys.alias("k"), values.alias("v"))
-    # Entries before a later entry of the same key fall out, so no map ever sees a key twice.
-    numbered = F.transform(pairs, lambda p, i: F.struct(p["k"].alias("k"), p["v"].alias("v"), i.alias("i")))
-    last = F.filter(numbered, lambda p: ~F.exists(numbered, lambda q: (q["k"] == p["k"]) & (q["i"] > p["i"])))
-    return F.map_from_entries(F.transform(last, lambda p: F.struct(p["k"], p["v"])))
+
+    def last(found: Column) -> Column:
+        # Entries before a later entry of the same key fall out, so no map ever sees a key twice.
+        kept = F.filter(found["k"], lambda k, i: F.array_position(F.slice(found["k"], i + 2, F.size(found["k"])), k) == 0)
+        of = F.filter(found["v"], lambda v, i: F.array_position(F.slice(found["k"], i + 2, F.size(found["k"])), F.get(found["k"], i)) == 0)
+        return F.map_from_arrays(kept, of)
+
+    return F.when(block.isNotNull(), let(last, found=F.struct(keys.alias("k"), values.alias("v"))))
 
 
 def add_properties(block: Column, properties: dict[str, Column]) -> Column:
     """The block with tags inserted before its last terminator."""
     body = F.regexp_replace(block, r"(?s)\$\$\$\$(?!.*\$\$\$\$).*\z", "")
-    body = F.when(body.endswith("\n"), body).otherwise(F.concat(body, F.lit("\n")))
+    body = let(lambda b: F.concat(b, F.when(b.endswith("\n"), "").otherwise("\n")), b=body)
     tags = [x for name, value in properties.items() for x in (F.lit(f">  <{name}>\n"), F.coalesce(value.cast("string"), F.lit("")), F.lit("\n\n"))]
     return F.concat(body, *tags, F.lit("$$$$\n"))
 

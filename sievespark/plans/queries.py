@@ -794,8 +794,8 @@ def sdf_property_map(spark: SparkSession, sf: str) -> DataFrame:
     e = read_table(spark, sf, "events")
     block = S.add_properties(F.lit("name\n\nM  END\n$$$$\n"), {"COMPOUND_ID": F.lit("overwritten"), "ROLE": F.col("event_type"), "SCORE": F.format_string("%.3f", F.col("value")), "EMPTY": F.lit(None)})
     again = S.add_properties(block, {"COMPOUND_ID": F.col("user_id")})
-    m = F.col("m")
-    return e.select("event_id", S.property_map(again).alias("m")).select("event_id", m["ROLE"].alias("role"), m["SCORE"].alias("score"), m["COMPOUND_ID"].alias("compound_id"), F.size(m).alias("n_tags"))
+    tags = S.let(lambda m: F.struct(m["ROLE"].alias("role"), m["SCORE"].alias("score"), m["COMPOUND_ID"].alias("compound_id"), F.size(m).alias("n_tags")), m=S.property_map(again))
+    return e.select("event_id", tags.alias("tags")).select("event_id", "tags.*")
 
 
 @query("""select event_id, cast(nullif(regexp_extract(props, '"k":\\s*(-?[\\d.]+)', 1), '') as double) as score from events""")
