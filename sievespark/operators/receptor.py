@@ -86,12 +86,10 @@ def route(records: DataFrame, sites: Sequence[Site] = SITES, breaks: Sequence[in
 
 def cap_sizes(routed: DataFrame, within: Sequence[str] = (), sites: Sequence[Site] = SITES) -> DataFrame:
     """(within, residue, number, n, complete) for every site of every file, also where a cap has no atom."""
-    spark = routed.sparkSession
-    known = spark.createDataFrame([(s.cap, s.number) for s in sites], "residue string, number int")
-    found = routed.where("part = 'cap'").groupBy(*within, "residue", "number").agg(F.count(F.lit(1)).alias("n"))
-    files = routed.select(*within).distinct() if within else spark.range(1).select()
-    every = files.crossJoin(F.broadcast(known))  # a few sites a file
-    out = every.join(found, [*within, "residue", "number"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    here = [(F.col("part") == "cap") & (F.col("residue") == s.cap) & (F.col("number") == s.number) for s in sites]
+    per = routed.groupBy(*within).agg(*[F.count_if(c).alias(f"n_{i}") for i, c in enumerate(here)])  # one pass, a row a file
+    each = F.explode(F.array(*[F.struct(F.lit(s.cap).alias("residue"), F.lit(s.number).alias("number"), F.col(f"n_{i}").alias("n")) for i, s in enumerate(sites)]))
+    out = per.select(*within, each.alias("site")).select(*within, "site.*")
     return out.withColumn("complete", F.col("n") == CAP_SIZE)
 
 
@@ -107,15 +105,17 @@ def capped_lines(lines: DataFrame, within: Sequence[str] = (), sites: Sequence[S
 
     Lines (``line_no``, ``value``) that are no atoms come first, but for TER, END and CONECT (whose
     serial numbers no longer hold); then the residues by number, atoms in their old order; TER
-    before a new fragment and at the end, with the next atom's number; END. An atom without a
+    before a new fragment and at the end, with the next atom's number; END (``seq`` of both holds it). An atom without a
     residue number, or a residue whose number a cap needs, is an error. No lines, no rows.
     """
     text = F.col("value")
     out = [*within, "seq", "value"]
-    bad = lines.where(_is_atom(text)).where(F.trim(F.substring(text, 23, 4)).try_cast("int").isNull())
     routed = route(atoms(lines), sites, breaks)
-    taken = routed.where("part = 'body'").where(F.col("number").isin(*[s.number for s in sites]))
-    if not bad.isEmpty() or not taken.isEmpty():
+    number = F.trim(F.substring(text, 23, 4)).try_cast("int")
+    # A cap's residue number holds no body atom; where it is a site's as well, that site's merged cap atoms go elsewhere.
+    wrong = lines.where(_is_atom(text)).where(number.isNull() | number.isin(*[s.number for s in sites]))
+    taken = route(atoms(wrong), sites, breaks).where("part = 'body'").where(F.col("number").isin(*[s.number for s in sites]))
+    if not wrong.isEmpty() and not (wrong.where(number.isNull()).isEmpty() and taken.isEmpty()):
         raise ValueError("an atom has no residue number, or a cap's residue number is taken")
     header = lines.where(~(_is_atom(text) | text.startswith("TER") | text.startswith("END") | text.startswith("CONECT")))
     header = header.select(*within, F.struct(F.lit(0).alias("part"), F.col("line_no").cast("long").alias("a"), F.lit(0).alias("b")).alias("seq"), "value")
@@ -124,13 +124,14 @@ def capped_lines(lines: DataFrame, within: Sequence[str] = (), sites: Sequence[S
     serial = F.lpad(F.col("serial").cast("string"), 5, " ")
     cap = pdb_atom(F.col("serial"), F.col("name"), F.col("residue"), F.col("chain"), F.col("number"), *[F.col(c) for c in ("x", "y", "z", "occupancy", "temperature")], F.substring("name", 1, 1))
     line = F.when(F.col("part") == "cap", cap).otherwise(F.concat(F.substring(text, 1, 6), serial, F.substring(text, F.lit(12), F.length(text))))
-    ter = F.when(F.col("ter_before"), F.array(F.concat(F.lit("TER   "), serial), line)).otherwise(F.array(line))
-    body = placed.select(*within, "serial", F.posexplode(ter).alias("b", "value"))
-    body = body.select(*within, F.struct(F.lit(1).alias("part"), F.col("serial").cast("long").alias("a"), "b").alias("seq"), "value")
-    last = placed.groupBy(*within).agg(F.max("serial").alias("n")).where("n is not null")
-    ends = F.array(F.concat(F.lit("TER   "), F.lpad((F.col("n") + 1).cast("string"), 5, " ")), F.lit("END"))
-    tail = last.select(*within, F.posexplode(ends).alias("b", "value")).select(*within, F.struct(F.lit(2).alias("part"), F.lit(0).cast("long").alias("a"), "b").alias("seq"), "value")
-    return header.unionByName(body).unionByName(tail).select(*out)
+    row = lambda part, a, b, value: F.struct(F.struct(F.lit(part).alias("part"), a.cast("long").alias("a"), F.lit(b).alias("b")).alias("seq"), value.alias("value"))
+    own, after = F.col("serial"), F.col("serial") + 1
+    one = F.when(F.col("ter_before"), F.array(row(1, own, 0, F.concat(F.lit("TER   "), serial)), row(1, own, 1, line))).otherwise(F.array(row(1, own, 0, line)))
+    end = F.array(row(2, after, 0, F.concat(F.lit("TER   "), F.lpad(after.cast("string"), 5, " "))), row(2, after, 1, F.lit("END")))
+    last = F.lead("serial").over(Window.partitionBy(*within).orderBy("number", "line_no")).isNull()
+    placed = placed.withColumn("last_atom", last)
+    body = placed.select(*within, F.explode(F.when(F.col("last_atom"), F.concat(one, end)).otherwise(one)).alias("row")).select(*within, "row.*")
+    return header.unionByName(body).select(*out)
 
 
 def gap_marks(lines: DataFrame, last: int, within: Sequence[str] = ()) -> DataFrame:
