@@ -862,9 +862,8 @@ union all select file, serial, 0, 'TER   ' || lpad(serial::varchar, 5, ' ') from
 def capped_receptors(spark: SparkSession, sf: str) -> DataFrame:
     out = P.capped_lines(receptor_lines(spark, sf), ["file"])
     # A line's serial: its own, or for TER and END the one that would come next.
-    last = F.max(F.when(F.col("seq.part") == 1, F.col("seq.a"))).over(Window.partitionBy("file"))
-    tail, ter = F.col("seq.part") == 2, F.col("value").startswith("TER")
-    return out.select("file", F.when(tail, last + 1).otherwise(F.col("seq.a")).alias("serial"), F.when(ter, 0).otherwise(1).alias("place"), "value")
+    ter = F.col("value").startswith("TER")
+    return out.select("file", F.col("seq.a").alias("serial"), F.when(ter, 0).otherwise(1).alias("place"), "value")
 
 
 @query("""select user_id, event_id, case when event_type = 'click' and lead(event_type) over w = 'view' then true else false end as ter_after
