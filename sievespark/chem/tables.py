@@ -52,7 +52,12 @@ def connection_table(block: Column) -> Column:
         good = error.isNull()
         return F.struct(F.when(good, charged).alias("atoms"), F.when(good, bonds).alias("bonds"), error.alias("error"))
 
-    return let(table, lines=F.split(F.coalesce(block, F.lit("")), r"\r?\n"))
+    return let(table, lines=F.split(F.replace(F.coalesce(block, F.lit("")), F.lit("\r\n"), F.lit("\n")), "\n"))
+
+
+def maybe_charged(block: Column) -> Column:
+    """Whether a record has a line of charges; atoms of any other have none, whether it can be read or not."""
+    return F.contains(block, F.lit("\nM  CHG"))
 
 
 def environments(table: Column, radius: int = 2) -> Column:

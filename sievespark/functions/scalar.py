@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Fixed patterns and thresholds of the funnel's file formats and stages.
 SCORE_PATTERN = r"ENERGY=\s*(-?[\d.]+)"
+#: What the score pattern finds beside numbers: two dots, or no digit. Casting those would throw once a row.
+NO_NUMBER_PATTERN = r"\.[^.]*\.|^-?\.$"
 VARIANT_SUFFIX = r"^(.*)_S\d+_T\d+$"
 TAG_PATTERN = r"(?s)>\s*<(\w+)>[^\S\n]*\n(.*?)\n\n"
 #: Critical value of a one-sided normal test at 0.05, as far as double precision tells them apart.
@@ -22,8 +24,8 @@ def pose_score(block: Column) -> Column:
 
 def bad_score(block: Column) -> Column:
     """A score is there but is no number; null otherwise: its text."""
-    text = F.nullif(F.regexp_extract(block, SCORE_PATTERN, 1), F.lit(""))
-    return F.when(text.isNotNull() & text.try_cast("double").isNull(), text)
+    text = F.regexp_extract(block, SCORE_PATTERN, 1)
+    return F.when(text.rlike(NO_NUMBER_PATTERN), text)
 
 
 def base_id(compound: Column) -> Column:

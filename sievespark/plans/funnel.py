@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievespark.chem.molblock import describe_poses, nearest_charged
+from sievespark.chem.tables import maybe_charged
 from sievespark.functions.scalar import bad_score, base_id, winner_first
 from sievespark.operators.lookups import missing_keys, require_none, with_default
 from sievespark.operators.ranking import best_per_key, best_pose, cut_prefix, ranked
@@ -30,15 +31,17 @@ def geometric_filter(poses: DataFrame, target: tuple[float, float, float] | Data
     without a byte; with ``expected`` (``by``, compound_id) those compounds are reported as empty.
     """
     key = [*by, "compound_id"]
-    seen = describe_poses(poses)
+    seen = describe_poses(poses, wanted=maybe_charged(F.col("block")))
     if isinstance(target, DataFrame):
         places = target.select(*by, F.struct("x", "y", "z").alias("target_place"))  # a row each
         seen = seen.join(F.broadcast(places), list(by))
         target = tuple(F.col("target_place")[c] for c in "xyz")
     seen = seen.withColumn("distance", nearest_charged(F.col("atoms"), target))
     near = F.col("distance") <= limit
-    per = seen.groupBy(*key).agg(
-        F.count("block").alias("n"), F.count("distance").alias("charged"), F.count_if(near).alias("near"), F.min_by(bad_score(F.col("block")), F.when(bad_score(F.col("block")).isNotNull(), F.col("pose_idx"))).alias("broken")
+    # Blocks stay out of what is grouped: it is sorted, as texts are aggregated.
+    narrow = seen.select(*key, "pose_idx", "distance", F.col("block").isNotNull().alias("there"), bad_score(F.col("block")).alias("broken"))
+    per = narrow.groupBy(*key).agg(
+        F.count_if("there").alias("n"), F.count("distance").alias("charged"), F.count_if(near).alias("near"), F.min_by("broken", F.when(F.col("broken").isNotNull(), F.col("pose_idx"))).alias("broken")
     )
     if expected is not None:
         per = expected.select(*key).distinct().join(per, key, "left").fillna(0, ["n", "charged", "near"])

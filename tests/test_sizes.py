@@ -1,6 +1,7 @@
 """Queries and steps on inputs that the smallest tables do not hold."""
 
 import random
+import re
 
 import duckdb
 import pytest
@@ -93,3 +94,49 @@ def test_nearest_without_pairs(spark, monkeypatch):
     for r in got:
         d, n, name = want[r.i]
         assert (r.number, r.name) == (n, name) and (r.distance == pytest.approx(d) if n is not None else r.distance is None)
+
+
+def test_poses_are_read_where_they_have_charges(spark):
+    """Each compound's outcome is that of reading every block; blocks without charges are not read, and none is grouped."""
+    from pyspark.sql import functions as F
+
+    from sievespark.chem import molblock, tables
+    from sievespark.plans import funnel
+
+    def pose(x, charge="M  CHG  1   1   1\n", score="-8.0", name="m"):
+        return f"{name}\n\n\n  1  0  0  0  0  0  0  0  0  0999 V2000\n{x:>10}    0.0000    0.0000 N   0  0\n{charge}M  END\n> <R>\nENERGY= {score}\n\n$$$$\n"
+
+    near, none = pose("3.0000"), pose("3.0000", "")
+    files = {
+        1: [near], 2: [near.replace("\n", "\r\n")], 3: [none], 4: [none, near], 5: [pose("6.0000"), none], 6: [pose("x")], 7: [pose("x", "")], 8: [pose("x"), near], 9: [None],
+        10: [none.replace("M  END\n", "M  END\nM  CHG  1   1   1\n")], 11: [pose("3.0000", "", name="M  CHG  1   1   1")], 12: [pose("3.0000", "M  CHG  1   1  -1\n")], 13: ["M  CHG  1   1   1\nENERGY= 1.2.3"], 14: [None, near],
+    }
+    scores = ["1.2.3", "..", ".", "-.", "-.5", "1.", "-1.5", "7", "-", "", "0." + "1" * 400, "-..5", "--1", "1.2.3d"]
+    files |= {100 + i: [pose("3.0000", score=s)] for i, s in enumerate(scores)} | {200: [near, pose("9.0000", "", "4.5.6"), pose("9.0000", "", "1.2.3")]}
+
+    def outcome(blocks):
+        found, broken = [], []
+        for b in filter(None, blocks):
+            m = re.search(r"ENERGY=\s*(-?[\d.]+)", b)
+            try:
+                float(m.group(1) if m else 0)
+            except ValueError:
+                broken.append(m.group(1))
+            try:
+                mol = molblock.parse_block(b)
+            except ValueError:
+                continue
+            found += [abs(xyz[0]) for i, (s, xyz) in enumerate(zip(mol.symbols, mol.xyz)) if s == "N" and mol.charges.get(i, 0) > 0]
+        why = f"could not convert string to float: '{broken[0]}'" if broken else funnel.NOTHING_READ if not any(blocks) else None if found else funnel.NO_CHARGE
+        return "error" if broken else str(any(d <= 5 for d in found)), why
+
+    rows = [(c, i, b, None) for c, blocks in files.items() for i, b in enumerate(blocks)]
+    poses = spark.createDataFrame(rows, "compound_id int, pose_idx int, block string, score double").repartition(3)
+    report, won = funnel.geometric_filter(poses, (0.0, 0.0, 0.0))
+    got = {r.compound_id: (r.passed, r.error) for r in report.collect()}
+    assert got == {c: outcome(blocks) for c, blocks in files.items()}
+    assert {r.compound_id: r.pose_idx for r in won.collect()} == {c: next(i for i, b in enumerate(files[c]) if b and "3.0000" in b and "CHG" in b) for c, (p, _) in got.items() if p == "True"}
+    grouped = [x for x in report._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [" in x]
+    assert len(grouped) == 1 and "block" not in grouped[0]
+    read = {(r.compound_id, r.pose_idx): r.atoms for r in molblock.describe_poses(poses, wanted=tables.maybe_charged(F.col("block"))).collect()}
+    assert read[3, 0] is read[4, 0] is read[7, 0] is read[9, 0] is None and len(read[4, 1]) == len(read[2, 0]) == 1
