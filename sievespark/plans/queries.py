@@ -482,8 +482,10 @@ def q4_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""with {GOOD}, {Q3SUM}, {Q4SUM} select conformation, n_clusters_total as n_full, n_testable as n_non_singleton, n_trustworthy as trustworthy,
   coalesce(n_good, 0) as good, n_trustworthy - coalesce(n_good, 0) as tier2 from q3s left join q4s using (conformation)""")
 def tier_table(spark: SparkSession, sf: str) -> DataFrame:
-    both = L.with_default(q3_sums(spark, sf), q4_sums(spark, sf), ["conformation"], {"n_good": 0})
-    return both.select("conformation", F.col("n_clusters_total").alias("n_full"), F.col("n_testable").alias("n_non_singleton"), F.col("n_trustworthy").alias("trustworthy"), F.col("n_good").alias("good"), (F.col("n_trustworthy") - F.col("n_good")).alias("tier2"))
+    """All tiers in one pass over the clusters."""
+    good = F.col("trustworthy") & F.col("good")
+    tiers = C.t_statistics(q3(spark, sf)).groupBy("conformation").agg(F.count(F.lit(1)).alias("n_full"), F.count_if(F.col("count") >= 2).alias("n_non_singleton"), F.count_if("trustworthy").alias("trustworthy"), F.count_if(good).alias("good"))
+    return tiers.withColumn("tier2", F.col("trustworthy") - F.col("good"))
 
 
 OUTLIERS = "outliers as (select z.* from zs z join q3 q using (conformation, cluster_id) where q.count = 1 and z.z <= -1.5)"

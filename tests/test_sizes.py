@@ -140,3 +140,22 @@ def test_poses_are_read_where_they_have_charges(spark):
     assert len(grouped) == 1 and "block" not in grouped[0]
     read = {(r.compound_id, r.pose_idx): r.atoms for r in molblock.describe_poses(poses, wanted=tables.maybe_charged(F.col("block"))).collect()}
     assert read[3, 0] is read[4, 0] is read[7, 0] is read[9, 0] is None and len(read[4, 1]) == len(read[2, 0]) == 1
+
+
+@pytest.mark.parametrize("name", ["tier_table", "cluster_stats_q3", "pick_list_q5"])
+def test_pools_are_not_dealt_to_a_task_each(spark, tmp_path, name):
+    """Rows stay where they are when they meet their pool, however large it is; rows as by the SQL, with a pool of single clusters and one without good ones."""
+    rng = random.Random(15)
+    orders = [(i, rng.choice([1, 1, 1, *range(2, 90)]), rng.choice("FOP"), rng.choice(["1-URGENT", "2-HIGH"]), round(rng.uniform(1000, 300000), 2)) for i in range(1500)]
+    orders += [(i, i, "F", "3-ALONE", round(rng.uniform(1000, 300000), 2)) for i in range(2000, 2040)] + [(3000 + i, i // 2, "O", "4-NONE", 1000.0 * (i // 2 % 2) + i / 7) for i in range(8)]
+    orders += [(4000 + i, 500 + i // 20, "O", "5-GOOD", round(100000.0 * (i // 20) + rng.uniform(0, 9000), 2)) for i in range(100)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where a pool's rows are many
+    try:
+        got, want = both(spark, tmp_path, name, orders=spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_totalprice double"))
+        plan = entry.queries()[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == want and len(got) > 0
+    if name == "tier_table":
+        assert len(got) == 5 and plan.count("FileScan") == 2 and "Join" in plan
+    assert not re.search(r"Join \[conformation#\d+\], \[conformation#\d+\], Inner\n", plan + "\n"), plan
