@@ -8,7 +8,9 @@ counted by hash: summed inside tasks, dealt by segment and summed again. A segme
 keys need, so the filter grows with the corpus. Asking for levels 1, 2, ... until one is missing
 gives the quantised count back. Filters of up to FILTER_BYTES are broadcast; beyond that the
 chunks' questions are dealt to the segments and the answers back to the chunks, with equal results.
-What is dealt out are blocks of words, hashes or counts, not a row each.
+What is dealt out are blocks of words, hashes or counts, not a row each. There is a block for each
+chunk and segment, so blocks grow with the square of the corpus: they travel many to an Arrow batch, and
+a segment counts or answers those of many chunks at once.
 
 A token's probability is the pair's count smoothed by the word's (Dirichlet):
 (c(h w) + K p(w)) / (c(h) + K), with p(w) = (c(w) + 1) / (N + V + 1), all c from the filter.
@@ -46,6 +48,8 @@ HELD = 1 << 21
 SEGMENT_TOKENS = 1 << 20
 #: Keys that are asked for at once.
 ASKED = 1 << 17
+#: Bytes of blocks that travel in one Arrow batch, about, and blocks.
+BATCH_BYTES, BATCH_BLOCKS = 1 << 21, 1 << 13
 #: Size of a filter that is broadcast.
 FILTER_BYTES = 128 << 20
 BASE, PROBES, BITS_PER_KEY = 1.5, 4, 8
@@ -259,13 +263,14 @@ def chunked(docs: DataFrame, id_col: Column, held: Column, text: Column) -> Data
             row += len(sizes)
 
         tokens = 0
-        for batch in sliced(batches):
+        for batch in sliced(batches, 100):
             offsets, words = split_words(batch.column(2), WORDS)
-            parts.append((words, np.diff(offsets), batch.column(1).to_numpy(zero_copy_only=False).astype(bool), batch.column(0)))
-            tokens += len(words) + batch.num_rows
-            if tokens >= CHUNK:
+            more = len(words) + batch.num_rows
+            if parts and tokens + more > CHUNK:  # what is beyond would be a small chunk of its own
                 yield from flush()
                 tokens = 0
+            parts.append((words, np.diff(offsets), batch.column(1).to_numpy(zero_copy_only=False).astype(bool), batch.column(0)))
+            tokens += more
         if parts:
             yield from flush()
 
@@ -274,7 +279,7 @@ def chunked(docs: DataFrame, id_col: Column, held: Column, text: Column) -> Data
 
 def _tasks(segments: int) -> int:
     """Tasks over all segments; where there are many a task takes several, one after the other."""
-    return segments if segments <= 1000 else 1000 + (segments - 1000) // 16
+    return segments if segments <= 64 else 64 + (segments - 64) // 4
 
 
 def _runs(segment: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -284,10 +289,23 @@ def _runs(segment: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(segment[a]), a, b
 
 
-def _row(names: str, *values: object) -> pa.RecordBatch:
-    """One row of columns "name kind, ..."."""
+def _batched(names: str, rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of columns "name kind, ..."; a batch of its own costs more than most blocks, so many share one."""
     schema = to_arrow_schema(T.StructType(columns(names)))
-    return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(values, schema)], schema=schema)
+    held, size = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*held), schema)], schema=schema)
+
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, bytes))
+        if size >= BATCH_BYTES or len(held) >= BATCH_BLOCKS:
+            yield batch()
+            held.clear()
+            size = 0
+    if held:
+        yield batch()
 
 
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -301,47 +319,48 @@ _BLOB, _ASK, _TOLD = "seg int, keys binary, counts binary", "seg int, of long, w
 def word_counts(chunks: DataFrame, segments: int) -> DataFrame:
     """Exact counts of words. Written.
 
-    (seg, of, counts): for each chunk its words of the segment, in its order; (seg, null, keys,
-    counts): the segment's words that occur in rows that are not held.
+    (seg, of, counts): for each chunk its words of the segment, in its order, 8 bytes a count; (seg,
+    null, keys, counts): the segment's words that occur in rows that are not held.
     """
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for of, words, counts in _in_order(batches):
             words, counts = unpacked(words), unplane(unpacked(counts), 4)
             segment = segment_of(word_keys(word_hashes(words)), segments)
             order = np.argsort(segment, kind="stable")
-            values = split(words).take(pa.array(order))
+            words, counts = joined(split(words).take(pa.array(order))), counts[order].astype("<i4").tobytes()
+            at = [0, *(np.flatnonzero(np.frombuffer(words, np.uint8) == 10) + 1).tolist()]
             for s, a, b in _runs(segment[order]):
-                yield _row(_ASK, s, of, packed(joined(values[a:b])), plane(counts[order[a:b]].astype(np.int32)))
+                yield s, of, words[at[a] : at[b]], counts[4 * a : 4 * b]
 
-    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         now, held = None, []
 
-        def done() -> Iterator[pa.RecordBatch]:
+        def done() -> Iterator[tuple]:
             if not held:
                 return
-            coded = pa.concat_arrays([split(words) for _, words, _ in held]).dictionary_encode()
+            coded = split(b"".join(words for _, words, _ in held)).dictionary_encode()
             codes, sums = coded.indices.to_numpy(), np.zeros(len(coded.dictionary), np.int64)
-            np.add.at(sums, codes, np.concatenate([n for _, _, n in held]))
-            at = 0
+            np.add.at(sums, codes, np.frombuffer(b"".join(n for _, _, n in held), "<i4"))
+            told, at = sums[codes].astype("<i8").tobytes(), 0
             for of, _, n in held:
-                yield _row(_TOLD, now, of, None, plane(sums[codes[at : at + len(n)]]))
-                at += len(n)
+                yield now, of, None, told[at : at + 2 * len(n)]
+                at += 2 * len(n)
             some = sums > 0
             keys = word_keys(word_hashes(joined(coded.dictionary)))[some]
             order = np.argsort(keys, kind="stable")
-            yield _row(_TOLD, now, None, ascending(keys[order]), plane(sums[some][order]))
+            yield now, None, ascending(keys[order]), plane(sums[some][order])
             held.clear()
 
         for segment, of, words, counts in _in_order(batches):
             if segment != now:
                 yield from done()
                 now = segment
-            held.append((of, unpacked(words), unplane(counts, 4)))
+            held.append((of, words, counts))
         yield from done()
 
-    asked = chunks.select("chunk", "words", "counts").mapInArrow(ask, T.StructType(columns(_ASK)))
-    return cut_lineage(asked.repartition(_tasks(segments), "seg").sortWithinPartitions("seg", "of").mapInArrow(tell, T.StructType(columns(_TOLD))))
+    asked = chunks.select("chunk", "words", "counts").mapInArrow(lambda b: _batched(_ASK, ask(b)), T.StructType(columns(_ASK)))
+    return cut_lineage(asked.repartition(_tasks(segments), "seg").sortWithinPartitions("seg", "of").mapInArrow(lambda b: _batched(_TOLD, tell(b)), T.StructType(columns(_TOLD))))
 
 
 def _pairs(lead: int, stream: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -353,14 +372,14 @@ def _pairs(lead: int, stream: bytes) -> tuple[np.ndarray, np.ndarray]:
 def build_filter(chunks: DataFrame, words: DataFrame, segments: int, bits_per_key: int = BITS_PER_KEY) -> DataFrame:
     """(seg, bits) of the words and pairs of rows that are not held. Written."""
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         found, n = [], 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def flush() -> Iterator[tuple]:
             keys, times = np.unique(np.concatenate(found), return_counts=True)
             found.clear()
             for s, a, b in _runs(segment_of(keys, segments)):
-                yield _row(_BLOB, s, ascending(keys[a:b]), plane(times[a:b].astype(np.int64)))
+                yield s, ascending(keys[a:b]), plane(times[a:b].astype(np.int64))
 
         for lead, stream, words_, held, sizes in _in_order(batches):
             before, code = _pairs(lead, stream)
@@ -373,16 +392,16 @@ def build_filter(chunks: DataFrame, words: DataFrame, segments: int, bits_per_ke
         if found:
             yield from flush()
 
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         now, held, n = None, [], 0
 
         def merge() -> None:
             held[:] = [summed(*(np.concatenate(x) for x in zip(*held)))]
 
-        def done() -> Iterator[pa.RecordBatch]:
+        def done() -> Iterator[tuple]:
             if held:
                 merge()
-                yield _row("seg int, bits binary", now, segment_bits(*held[0], bits_per_key))
+                yield now, segment_bits(*held[0], bits_per_key)
             held.clear()
 
         for segment, keys, times in _in_order(batches):
@@ -396,8 +415,8 @@ def build_filter(chunks: DataFrame, words: DataFrame, segments: int, bits_per_ke
                 n = 0
         yield from done()
 
-    both = chunks.select("lead", "stream", "words", "held", "sizes").mapInArrow(pairs, T.StructType(columns(_BLOB))).unionByName(words.where("of is null").select("seg", "keys", "counts"))
-    return cut_lineage(both.repartition(_tasks(segments), "seg").sortWithinPartitions("seg").mapInArrow(bits, "seg int, bits binary"))
+    both = chunks.select("lead", "stream", "words", "held", "sizes").mapInArrow(lambda b: _batched(_BLOB, pairs(b)), T.StructType(columns(_BLOB))).unionByName(words.where("of is null").select("seg", "keys", "counts"))
+    return cut_lineage(both.repartition(_tasks(segments), "seg").sortWithinPartitions("seg").mapInArrow(lambda b: _batched("seg int, bits binary", bits(b)), "seg int, bits binary"))
 
 
 def _asked(hashes: np.ndarray, before: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -413,32 +432,48 @@ def _gathered(told: DataFrame, what: str) -> DataFrame:
 
 
 def _routed(chunks: DataFrame, parts: DataFrame, segments: int) -> DataFrame:
-    """(of, levels): for each chunk the levels of its keys, by segment; for filters that are not broadcast.
+    """(of, seg, levels): for each chunk the levels of its keys, by segment; for filters that are not broadcast. Written.
 
-    A segment's bits come first in its task, then the questions of the chunks pass by.
+    The questions are most of what is dealt out, so their shuffle files go before the answers are joined. A segment's bits come first in its task, then the questions of the chunks pass by, ASKED keys at once.
     """
-    kind = "seg int, of long, data binary"
+    kind, told = "seg int, of long, data binary", "of long, seg int, levels binary"
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for lead, stream, words, of in _in_order(batches):
             keys, _, _ = _asked(word_hashes(unpacked(words)), *_pairs(lead, stream))
             for s, a, b in _runs(segment_of(keys, segments)):
-                yield _row(kind, s, of, ascending(keys[a:b]))
+                yield s, of, ascending(keys[a:b])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        now, known, held, n = None, LogFilter(1, []), [], 0
+
+        def done() -> Iterator[tuple]:
+            if not held:
+                return
+            levels, at = known.levels(np.concatenate([keys for _, keys in held])).tobytes(), 0
+            for of, keys in held:
+                yield of, now, levels[at : at + len(keys)]
+                at += len(keys)
+            held.clear()
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, known = None, LogFilter(1, [])
         for segment, of, data in _in_order(batches):
             if segment != now:
-                now, known = segment, LogFilter(1, [])
+                yield from done()
+                now, known, n = segment, LogFilter(1, []), 0
             if of is None:
                 known = LogFilter(1, [(0, data)])
-            else:
-                yield _row("of long, seg int, levels binary", of, segment, known.levels(unascending(data)).tobytes())
+                continue
+            held.append((of, unascending(data)))
+            n += len(held[-1][1])
+            if n >= ASKED:
+                yield from done()
+                n = 0
+        yield from done()
 
-    asked = chunks.select("lead", "stream", "words", "chunk").mapInArrow(ask, T.StructType(columns(kind)))
+    asked = chunks.select("lead", "stream", "words", "chunk").mapInArrow(lambda b: _batched(kind, ask(b)), T.StructType(columns(kind)))
     bits = parts.select("seg", F.lit(None).cast("long").alias("of"), F.col("bits").alias("data"))
     dealt = bits.unionByName(asked).repartition(_tasks(segments), "seg").sortWithinPartitions(F.col("seg"), F.col("of").asc_nulls_first())
-    return _gathered(dealt.mapInArrow(answer, "of long, seg int, levels binary"), "levels")
+    return cut_lineage(dealt.mapInArrow(lambda b: _batched(told, answer(b)), told))
 
 
 def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR, filter_bytes: int = FILTER_BYTES, bits_per_key: int = BITS_PER_KEY) -> DataFrame:
@@ -459,16 +494,18 @@ def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str
     told = word_counts(chunks, segments)
     distinct = int(told.where("of is null").agg(F.sum(F.length("keys"))).first()[0] or 0) // 8
     parts = build_filter(chunks, told, segments, bits_per_key)
-    release(spark)
+    release(spark, wait=0.5)
     rows = chunks.join(_gathered(told.where("of is not null"), "counts").withColumnRenamed("counts", "exact"), F.col("chunk") == F.col("of")).drop("of")
-    model = None
+    model, answers_ = None, []
     if (parts.agg(F.sum(F.length("bits"))).first()[0] or 0) <= filter_bytes:
         table = parts.toArrow()  # at most filter_bytes
         model = spark.sparkContext.broadcast(LogFilter(segments, list(zip(table.column("seg").to_pylist(), table.column("bits").to_pylist()))))
         del table
         rows = rows.withColumn("levels", F.lit(None).cast("array<binary>"))
     else:
-        rows = rows.join(_routed(chunks, parts, segments), F.col("chunk") == F.col("of")).drop("of")
+        answers_ = [_routed(chunks, parts, segments)]
+        release(spark, wait=0.5)
+        rows = rows.join(_gathered(answers_[0], "levels"), F.col("chunk") == F.col("of")).drop("of")
     id_type = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("id", id_type), *columns("row long, held_out boolean, n_tokens long, n_known long, base_score double, score double")])
     arrow = to_arrow_schema(schema)
@@ -485,7 +522,7 @@ def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str
                 own = (single + 1) / (taught + distinct + 1)
                 chance = (np.minimum(both, single[before]) + prior * own[code]) / (single[before] + prior)
                 exact = np.empty(len(hashes), np.int64)
-                exact[np.argsort(segment_of(word_keys(hashes), segments), kind="stable")] = np.concatenate([unplane(x, 8) for x in answered])
+                exact[np.argsort(segment_of(word_keys(hashes), segments), kind="stable")] = np.frombuffer(b"".join(answered), "<i8")
                 base = np.log10((exact + 1) / (taught + distinct + 1))
                 sizes = batch.column(5)[i].values.to_numpy()
                 starts = np.cumsum(sizes) - sizes
@@ -496,7 +533,7 @@ def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str
     pieces = rows.select("lead", "stream", "words", "levels", "exact", "sizes", "rows", "held", "ids").mapInArrow(run, schema)
     whole = pieces.groupBy("row").agg(F.first("id").alias(id_col), F.first("held_out").alias("held_out"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     out = cut_lineage(whole.select(id_col, "held_out", "n_tokens", "n_known", F.lit(taught).cast("long").alias("train_tokens"), "base_score", "score"))
-    drop(chunks, told, parts)
+    drop(chunks, told, parts, *answers_)
     return out
 
 

@@ -242,6 +242,31 @@ def test_broadcast_and_routed_filters_agree(spark, rows, monkeypatch):
     assert plain(one) == plain(two)
 
 
+def test_blocks_travel_many_to_a_batch(spark, monkeypatch):
+    """A block for each of 100 chunks and 64 segments; their Arrow batches must not grow likewise."""
+    for name, value in (("CHUNK", 400), ("SEGMENT_TOKENS", 512)):
+        monkeypatch.setattr(lm_score, name, value)
+    rows_, batches_ = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def counted(self, func, schema, *args, **kwargs):
+        def run(batches):
+            for batch in func(batches):
+                rows_.add(batch.num_rows)
+                batches_.add(1)
+                yield batch
+
+        return plain_map(self, run, schema, *args, **kwargs)
+
+    rng = np.random.default_rng(5)
+    frame = docs(spark, [(i, " ".join(f"w{x}" for x in rng.integers(0, 3000, 99))) for i in range(400)]).coalesce(1)
+    kind = type(frame)
+    plain_map = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", counted)
+    assert lm_score.scores(frame, lm_score.held_out(frame["doc_id"]), filter_bytes=0).count() == 400
+    assert rows_.value > 10_000
+    assert batches_.value * 20 < rows_.value
+
+
 def test_scores_of_nothing_learnt(spark, rows):
     frame = docs(spark, rows)
     assert lm_score.scores(frame.limit(0), F.lit(False)).count() == 0

@@ -159,3 +159,25 @@ def test_pools_are_not_dealt_to_a_task_each(spark, tmp_path, name):
     if name == "tier_table":
         assert len(got) == 5 and plan.count("FileScan") == 2 and "Join" in plan
     assert not re.search(r"Join \[conformation#\d+\], \[conformation#\d+\], Inner\n", plan + "\n"), plan
+
+
+def test_released_shuffle_files_go(spark):
+    """At once, not at the next release: what a written table was dealt by must not fill the disk beside it."""
+    import time
+
+    from sievespark import session
+
+    files = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    for _ in range(2):
+        session.release(spark)
+        time.sleep(1)
+    before = files()
+    table = session.cut_lineage(spark.range(10_000).repartition(8, "id").mapInArrow(lambda b: b, "id long"))
+    assert files() > before
+    session.release(spark, wait=0.5)
+    for _ in range(20):
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before
+    assert table.count() == 10_000
