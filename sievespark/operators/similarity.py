@@ -12,6 +12,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,11 +90,21 @@ def linked(a: np.ndarray, b: np.ndarray, twentieths: int) -> np.ndarray:
     return (a @ b.T) * np.float32(20 + twentieths) >= (n * twentieths)[:, None] + (m * twentieths)[None]
 
 
+def _ranks(nodes: pa.Array) -> np.ndarray:
+    """Places of nodes in their order; all 0 for kinds that Arrow cannot order."""
+    try:
+        return pc.rank(nodes, tiebreaker="dense").to_numpy()
+    except (pa.ArrowNotImplementedError, pa.ArrowInvalid):
+        return np.zeros(len(nodes), np.int64)
+
+
 def _compared(table: pa.Table, twentieths: int, schema: pa.Schema, token: int | None = None, order: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     """Edges between the blocks ``i`` and ``j`` of one group, a few rows against a block at a time.
 
     With a ``token`` only those whose first shared bit, in ``order``, it is, so that a pair comes from
     one of its shared bits alone. Rows are taken by bit count: those too short or too long are not met.
+    Edges come in runs, since nothing is as large as they are: all of a row, as ``a`` and then as ``b``,
+    by shared bits and the bits of either. So written they take about half the bytes.
     """
     table = table.take(pa.array(_sorted(table, "n")))
     own, first, second = (table.column(c).to_numpy() for c in ("own", "i", "j"))
@@ -104,6 +115,7 @@ def _compared(table: pa.Table, twentieths: int, schema: pa.Schema, token: int |
     n = bits.sum(axis=1).astype(np.int64)
     node = table.column("node").combine_chunks()
     group = table.column("group")[0]
+    rank = _ranks(node)
     for at in range(0, len(left), ROWS):
         some = left[at : at + ROWS]
         low, high = n[some[0]] * twentieths, n[some[-1]] * 20
@@ -118,6 +130,10 @@ def _compared(table: pa.Table, twentieths: int, schema: pa.Schema, token: int |
             x, y = x[once], y[once]
         if len(x):
             inter = (bits[some] @ bits[meet].T)[x, y].astype(np.int32)
+            width = bits.shape[1] + 1
+            place = (x * 2 + (rank[some[x]] > rank[meet[y]])) * width + inter
+            runs = np.argsort(place.astype(np.uint16) if 2 * ROWS * width < 1 << 16 else place, kind="stable")  # partners ascend by bit count
+            x, y, inter = x[runs], y[runs], inter[runs]
             uni = (n[some[x]] + n[meet[y]]).astype(np.int32) - inter
             yield pa.RecordBatch.from_arrays([pa.repeat(group, len(x)), node.take(pa.array(some[x])), node.take(pa.array(meet[y])), pa.array(inter), pa.array(uni)], schema=schema)
 

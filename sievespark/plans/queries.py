@@ -270,7 +270,8 @@ butina as (select p.grp, p.k, p.node, case when list_contains(l.cents, p.node) t
 @query(f"with {FP} select grp, a, b, inter, uni, round(inter / uni, 6) as tc from edges where inter * 20 >= uni * 6")
 def tanimoto_edges(spark: SparkSession, sf: str) -> DataFrame:
     e = T.edges(fingerprints(spark, sf), "group", "node", "fp", 6)
-    return e.select(big("group").alias("grp").cast("int"), "a", "b", big("inter").alias("inter"), big("uni").alias("uni"), r6(F.col("inter") / F.col("uni")).alias("tc"))
+    tc = F.expr("(2000000L * inter + uni) div (2 * uni)") / 1e6  # as round() gives it for up to 64 bits, without a decimal a row
+    return e.select(big("group").alias("grp").cast("int"), "a", "b", big("inter").alias("inter"), big("uni").alias("uni"), tc.alias("tc"))
 
 
 @query(f"with {DEGREES} select grp, k, node, degree from degree")

@@ -181,3 +181,23 @@ def test_released_shuffle_files_go(spark):
         time.sleep(0.2)
     assert files() <= before
     assert table.count() == 10_000
+
+
+def test_written_edges_are_small(spark, tmp_path):
+    """Edges are more than anything they come from, so their order has to suit what they are written to."""
+    rng = random.Random(3)
+    rows = [(0, rng.getrandbits(40), [rng.choice((-1.0, 1.0)) for _ in range(64)]) for _ in range(1200)]
+    spark.createDataFrame(rows, "label int, vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    entry.queries()["tanimoto_edges"](spark, str(tmp_path)).write.parquet(f"{tmp_path}/out")
+    edges = spark.read.parquet(f"{tmp_path}/out").count()
+    assert edges > 400_000
+    assert sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < 3 * edges
+
+
+def test_similarities_round_as_in_sql(spark):
+    """All fractions of up to 64 bits."""
+    got = spark.range(1, 65).selectExpr("id as uni", "explode(sequence(0L, id)) as inter").selectExpr("round(inter / uni, 6) as want", "((2000000L * inter + uni) div (2 * uni)) / 1e6D as got", "inter", "uni").collect()
+    con = duckdb.connect()
+    assert len(got) == 2144
+    for r in got:
+        assert r["got"] == r["want"] == con.execute(f"select round({r['inter']}::bigint / {r['uni']}::bigint, 6)").fetchone()[0]
